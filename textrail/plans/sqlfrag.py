@@ -83,3 +83,62 @@ def noisy_text(doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -
 
 def round6(x: str) -> str:
     return f"round(CAST({x} AS DOUBLE), 6)"
+
+
+def clean_wiki(x: str) -> str:
+    t = f"replace({x}, chr(10), ' ')"
+    t = rx(t, "[•]{3,}")
+    t = rx(t, "(Wikipedia|Artículo|Editar|Ver historial|Desde Wikipedia)[^\\n]*")
+    t = f"replace({t}, 'etc.', 'etcétera')"
+    t = collapse(t)
+    t = rx(t, WS + "([,.])", r"\1")
+    return strip(t)
+
+
+def clean_or_revert(orig: str, cleaned: str) -> str:
+    return f"(CASE WHEN CAST(length({cleaned}) AS DOUBLE) < 0.9 * CAST(length({orig}) AS DOUBLE) THEN {orig} ELSE {cleaned} END)"
+
+
+def clean_for_embedding(x: str) -> str:
+    t = rx(x, r"(?s)\A.*?From Wikipedia, the free encyclopedia", "", "")
+    t = rx(t, r"(?s)This page was last edited.*\z", "", "")
+    t = rx(t, r"\[" + DIGIT + r"+\]")
+    t = rx(t, r"\[[\pL\pN_]+\]")
+    t = rx(t, r"\{[^}]*\}")
+    t = f"lower({t})"
+    t = rx(t, "http" + NON_WS + "+|" + NON_WS + "+@" + NON_WS + "+")
+    from ..functions.patterns import WS_CHARS
+    t = rx(t, r"[^\pL\pN_" + WS_CHARS + r".,]", " ")
+    t = strip(collapse(t))
+    parts = f"list_transform(string_split({t}, '.'), lambda s: {strip('s')})"
+    return f"array_to_string(list_filter({parts}, lambda s: length(s) > 20), '. ')"
+
+
+def clean_ascii(x: str) -> str:
+    return rx(collapse(strip(x)), r"[^\x{00}-\x{7F}]+")
+
+
+def clean_citations(x: str) -> str:
+    d = DIGIT
+    t = rx(x, r"(?i)\b(retrieved|retrieval)\b[^\n]*?(" + d + "{4}|" + d + "{1,2}, " + d + "{4})")
+    t = rx(t, r"\b" + d + "{1,2} [A-Za-z]+ " + d + r"{4}\b")
+    t = rx(t, r"\b[A-Za-z]+ " + d + "{1,2}, " + d + r"{4}\b")
+    t = rx(t, r"\[[^\]]*\]")
+    return strip(collapse(t))
+
+
+def after_marker(x: str, marker: str) -> str:
+    last = f"(CASE WHEN strpos({x}, {q(marker)}) > 0 THEN string_split({x}, {q(marker)})[-1] ELSE {x} END)"
+    return f"string_split({strip(last)}, chr(10))[1]"
+
+
+def ellipsize(x: str, n: int, variant: str) -> str:
+    if variant == "A":
+        return f"(CASE WHEN length({x}) > {n} THEN concat(substr({x}, 1, {n}), '...') ELSE {x} END)"
+    return f"(CASE WHEN length({x}) >= {n} THEN concat({strip(f'substr({x}, 1, {n})')}, '...') ELSE {x} END)"
+
+
+def uniform_hash(key_sql: str, seed) -> str:
+    """md5-based U[0,1): same as textrail.functions.text.uniform_hash."""
+    k = f"concat_ws('|', '{seed}', CAST({key_sql} AS VARCHAR))"
+    return f"(CAST(('0x' || substr(md5({k}), 1, 8))::UBIGINT AS DOUBLE) / 4294967296.0)"
