@@ -27,3 +27,81 @@ def parse_choices(df: DataFrame, responses_col: str, selected_col: str, keys=CHO
     combined = F.concat_ws("\n", *[F.concat(F.lit(k + ": "), F.coalesce(F.col("_m")[k], F.lit(""))) for k in keys])
     chosen = F.element_at(F.map_values(F.map_filter(F.col("_m"), lambda k, v: F.lower(k) == F.col("label"))), 1)
     return parsed.select(*keep, "label", combined.alias("combined_text"), chosen.alias("chosen_text"))
+
+
+def best_of_n(cands: DataFrame, key: str, score: str, order: str, answer: str = "answer") -> DataFrame:
+    """Highest score per key, the first candidate (``order``) wins
+    ties; rows without a score rank last (so without a model the first
+    candidate wins).  A partial ``max_by`` aggregate: no group is sorted."""
+    rank_key = F.struct(F.coalesce(F.col(score), F.lit(float("-inf"))).alias("s"), (-F.col(order)).alias("o"))
+    return cands.groupBy(key).agg(F.max_by(F.struct(answer, score, order), rank_key).alias("_b")).select(
+        key, F.col(f"_b.{answer}").alias(answer), F.col(f"_b.{score}").alias(score), F.col(f"_b.{order}").alias(order))
+
+
+def longest(cands: DataFrame, key: str, answer: str = "answer", order: str = "ord",
+            keys: DataFrame | None = None) -> DataFrame:
+    """The longest answer per key (first wins ties); keys without an
+    answer get ``No answer found.``."""
+    best = cands.groupBy(key).agg(
+        F.max_by(answer, F.struct(F.length(answer).alias("l"), (-F.col(order)).alias("o"))).alias(answer))
+    if keys is None:
+        return best
+    return keys.select(key).join(best, key, "left").select(key, F.coalesce(F.col(answer), F.lit(NO_ANSWER)).alias(answer))
+
+
+def chosen_rejected(df: DataFrame, prompt: str = "prompt", r1: str = "response_1", s1: str = "score_1",
+                    r2: str = "response_2", s2: str = "score_2", r3: str | None = None, s3: str | None = None,
+                    keep: tuple[str, ...] = ()) -> DataFrame:
+    """chosen/rejected from two scored responses: score1 >= score2
+    keeps the first as chosen.  When the two texts are identical, a
+    lower-scored third response becomes the rejected one, else the prompt
+    is skipped."""
+    first_wins = F.col(s1) >= F.col(s2)
+    chosen = F.when(first_wins, F.col(r1)).otherwise(F.col(r2))
+    chosen_score = F.when(first_wins, F.col(s1)).otherwise(F.col(s2))
+    rejected = F.when(first_wins, F.col(r2)).otherwise(F.col(r1))
+    same = F.col(r1) == F.col(r2)
+    if r3 is not None:
+        use3 = same & (F.col(r3) != chosen) & (F.col(s3) < chosen_score)
+        rejected = F.when(use3, F.col(r3)).otherwise(rejected)
+        keep_row = ~same | use3
+    else:
+        keep_row = ~same
+    return df.where(keep_row).select(*keep, prompt, chosen.alias("chosen"), rejected.alias("rejected"))
+
+
+def fallback_chain(df: DataFrame, cols: list[str], gate=None, default: str = "I'm sorry, I could not find an answer.",
+                   names: list[str] | None = None, out: str = "answer", source: str = "model_used") -> DataFrame:
+    """First candidate column that is present, non-blank and passes
+    ``gate`` (a ``Column -> Column`` predicate that is True for a *bad*
+    answer, e.g. :func:`textrail.functions.text.is_gibberish`), else the
+    default; the provenance column names the winner."""
+    names = names or cols
+    ans, src = F.lit(default), F.lit("fallback")
+    for c, name in reversed(list(zip(cols, names))):
+        x = F.col(c)
+        ok = x.isNotNull() & (strip(x) != "")
+        if gate is not None:
+            ok = ok & ~gate(x)
+        ans = F.when(ok, x).otherwise(ans)
+        src = F.when(ok, F.lit(name)).otherwise(src)
+    return df.withColumn(out, ans).withColumn(source, src)
+
+
+def add_snippet_candidate(cands: DataFrame, snippets: DataFrame, key: str = "query", answer: str = "answer",
+                          order: str = "ord", snippet: str = "snippet") -> DataFrame:
+    """Candidates + ``Based on the documents, here is some info:\\n<snippet>``
+    as the last candidate of each key."""
+    mx = cands.groupBy(key).agg(F.max(order).alias("_m"))
+    extra = (snippets.join(mx, key, "left")
+             .select(key, F.concat(F.lit(SNIPPET_ANSWER_PREFIX), F.col(snippet)).alias(answer),
+                     (F.coalesce(F.col("_m"), F.lit(-1)) + 1).alias(order)))
+    return cands.select(key, answer, order).unionByName(extra)
+
+
+def softmax_by(df: DataFrame, key: str, score: str, out: str = "prob") -> DataFrame:
+    """``exp(x - max) / sum(exp(x - max))`` per key (two window
+    aggregates over the same partitioning: one shuffle)."""
+    w = Window.partitionBy(key)
+    e = F.exp(F.col(score) - F.max(score).over(w))
+    return df.withColumn("_e", e).withColumn(out, F.col("_e") / F.sum("_e").over(w)).drop("_e")
