@@ -98,3 +98,161 @@ def chunk_stats_by_lang(spark, sf_dir):
                  F.count(F.lit(1)).cast("bigint").alias("n_chunks"),
                  F.sum("n_tokens").cast("bigint").alias("n_tokens"),
                  F.round(F.avg("n_tokens"), 6).alias("avg_tokens")))
+
+
+# ---------------------------------------------------------------- C5-C13
+
+_HEAD_SRC_SQL = ("CASE WHEN lang = 'en' THEN concat('Preface text.', chr(10), 'Introduction and Scope', chr(10), text, "
+                 "chr(10), 'Notes', chr(10), 'Short closing words here') ELSE text END")
+
+
+def _head_src():
+    return F.when(F.col("lang") == "en",
+                  F.concat(F.lit("Preface text.\nIntroduction and Scope\n"), F.col("text"),
+                           F.lit("\nNotes\nShort closing words here"))).otherwise(F.col("text"))
+
+
+def _sql_sections(src: str, thresholds: list[tuple[int, int]] | None, single: tuple[int, int] | None) -> str:
+    head = C.HEADING.replace("(?md)", "(?m)")
+    tlist = "[" + ", ".join(f"{{'t': {t_}, 'o': {o}}}" for t_, o in (thresholds or [single])) + "]"
+    return f"""
+    WITH src AS ({src}),
+    sp AS (SELECT doc_id, text, regexp_extract_all(text, {S.q(head)}, 1) AS titles,
+                  regexp_split_to_array(text, {S.q(head)}) AS bodies FROM src),
+    sec AS (SELECT doc_id,
+              CASE WHEN len(titles) = 0 THEN ['FullText'] ELSE list_transform(titles, lambda x: {S.strip('x')}) END AS ts,
+              CASE WHEN len(titles) = 0 THEN [text] ELSE bodies[2:] END AS bs FROM sp),
+    ex AS (SELECT doc_id, unnest(ts) AS section, unnest(bs) AS body, generate_subscripts(ts, 1) - 1 AS section_no FROM sec),
+    w AS (SELECT doc_id, section_no, section, {S.words(S.strip('body'))} AS ws FROM ex),
+    p AS (SELECT w.*, unnest({tlist}) AS par FROM w),
+    q AS (SELECT doc_id, section_no, section, ws, par.t AS threshold, par.t - par.o AS step, len(ws) AS n FROM p),
+    st AS (SELECT *, unnest(CASE WHEN n <= threshold THEN [0]
+                            ELSE range(0, (CAST(ceil((n - threshold) / step) AS BIGINT)) * step + 1, step) END) AS s FROM q)
+    SELECT doc_id, {"threshold, " if thresholds else ""}CAST(section_no AS BIGINT) AS section_no, section,
+           CAST(s / step + 1 AS BIGINT) AS chunk_no, concat(section, '_', CAST(CAST(s / step + 1 AS BIGINT) AS VARCHAR)) AS chunk_id,
+           array_to_string(ws[s + 1 : s + threshold], ' ') AS chunk_text, CAST(len(ws[s + 1 : s + threshold]) AS BIGINT) AS n_tokens
+    FROM st"""
+
+
+@register("chunk_sections", sql=_sql_sections(f"SELECT doc_id, {_HEAD_SRC_SQL} AS text FROM documents", None, (300, 45)))
+def chunk_sections(spark, sf_dir):
+    """Heading sections, 300-word windows with 45 overlap, early stop."""
+    d = t(spark, sf_dir, "documents", ["doc_id", "text", "lang"])
+    return C.section_hybrid(d.select("doc_id", _head_src().alias("text")), "doc_id", "text", 300)
+
+
+@register("chunk_sweep", sql=_sql_sections(f"SELECT doc_id, {_HEAD_SRC_SQL} AS text FROM documents",
+                                           [(t_, int(t_ * 0.15)) for t_ in C.SWEEP_THRESHOLDS], None))
+def chunk_sweep(spark, sf_dir):
+    """The section chunker at thresholds 50/150/300/450 in one scan."""
+    d = t(spark, sf_dir, "documents", ["doc_id", "text", "lang"])
+    return C.sweep(d.select("doc_id", _head_src().alias("text")), "doc_id", "text")
+
+
+@register("chunk_sweep_summary", sql=f"""
+SELECT threshold, CAST(count(*) AS BIGINT) AS n_chunks, CAST(sum(n_tokens) AS BIGINT) AS n_tokens,
+       CAST(count(DISTINCT doc_id) AS BIGINT) AS n_docs
+FROM ({_sql_sections(f"SELECT doc_id, {_HEAD_SRC_SQL} AS text FROM documents", [(t_, int(t_ * 0.15)) for t_ in C.SWEEP_THRESHOLDS], None)})
+GROUP BY threshold
+""")
+def chunk_sweep_summary(spark, sf_dir):
+    """C10 + C13: chunk totals per threshold of the sweep."""
+    s = chunk_sweep(spark, sf_dir)
+    return s.groupBy("threshold").agg(F.count(F.lit(1)).cast("bigint").alias("n_chunks"),
+                                      F.sum("n_tokens").cast("bigint").alias("n_tokens"),
+                                      F.countDistinct("doc_id").cast("bigint").alias("n_docs"))
+
+
+@register("chunk_paragraphs", sql=f"""
+SELECT doc_id, CAST(generate_subscripts(p, 1) - 1 AS BIGINT) AS chunk_no, unnest(p) AS chunk_text FROM (
+  SELECT doc_id, list_filter(list_transform(string_split(replace(replace(replace(text, chr(10), chr(10) || chr(10)), chr(13) || chr(10), chr(10)), chr(13), chr(10)), chr(10) || chr(10)),
+                                            lambda s: {S.strip('s')}), lambda s: s <> '') AS p FROM documents WHERE text IS NOT NULL)
+WHERE len(p) > 0
+UNION ALL
+SELECT doc_id, NULL, NULL FROM documents WHERE text IS NOT NULL AND len(list_filter(list_transform(string_split(replace(text, chr(10), chr(10) || chr(10)), chr(10) || chr(10)), lambda s: {S.strip('s')}), lambda s: s <> '')) = 0
+""")
+def chunk_paragraphs(spark, sf_dir):
+    """Paragraphs (each line break doubled to form paragraphs)."""
+    d = t(spark, sf_dir, "documents", ["doc_id", "text"])
+    return C.paragraphs(d.select("doc_id", F.replace(F.col("text"), F.lit("\n"), F.lit("\n\n")).alias("text")), "doc_id", "text")
+
+
+@register("chunk_sliding", sql=f"""
+WITH tok AS (SELECT doc_id, {S.words('text')} AS toks FROM documents),
+st AS (SELECT doc_id, toks, unnest(range(0, len(toks) - 50 + 1, 25)) AS s FROM tok WHERE len(toks) >= 50)
+SELECT doc_id, CAST(s / 25 AS BIGINT) AS chunk_no, concat(CAST(doc_id AS VARCHAR), '_', CAST(CAST(s / 25 AS BIGINT) AS VARCHAR)) AS chunk_id,
+       array_to_string(toks[s + 1 : s + 50], ' ') AS chunk_text, CAST(50 AS BIGINT) AS n_tokens FROM st
+""")
+def chunk_sliding(spark, sf_dir):
+    """Full 50-word windows every 25 words."""
+    d = t(spark, sf_dir, "documents", ["doc_id", "text"])
+    return C.sliding(d, "doc_id", "text", 50, 25)
+
+
+@register("chunk_fixed100", sql=f"""
+WITH tok AS (SELECT doc_id, {S.words('text')} AS toks FROM documents),
+st AS (SELECT doc_id, toks, unnest(range(0, len(toks), 100)) AS s FROM tok WHERE len(toks) > 0)
+SELECT doc_id, CAST(s / 100 AS BIGINT) AS chunk_no, concat(CAST(doc_id AS VARCHAR), '_', CAST(CAST(s / 100 AS BIGINT) AS VARCHAR)) AS chunk_id,
+       array_to_string(toks[s + 1 : s + 100], ' ') AS chunk_text, CAST(len(toks[s + 1 : s + 100]) AS BIGINT) AS n_tokens FROM st
+""")
+def chunk_fixed100(spark, sf_dir):
+    """Consecutive 100-word chunks."""
+    d = t(spark, sf_dir, "documents", ["doc_id", "text"])
+    return C.fixed_words(d, "doc_id", "text", 100)
+
+
+@register("sentences_docs", sql="""
+SELECT doc_id, CAST(generate_subscripts(s, 1) - 1 AS BIGINT) AS sent_no, unnest(s) AS sentence FROM (
+  SELECT doc_id, string_split(regexp_replace(text, '([.!?]) +', '\\1' || chr(1), 'g'), chr(1)) AS s FROM documents)
+""")
+def sentences_docs(spark, sf_dir):
+    """C11: sentence split after . ! ? followed by spaces."""
+    d = t(spark, sf_dir, "documents", ["doc_id", "text"])
+    return C.explode_sentences(d, "doc_id", "text")
+
+
+@register("merge_turns", sql="""
+SELECT conv_id, string_agg(text, ' ' ORDER BY turn) AS merged_text, CAST(sum(length(text)) AS BIGINT) AS total_length,
+       arg_min(role, turn) AS role
+FROM conversations GROUP BY conv_id
+""")
+def merge_turns(spark, sf_dir):
+    """Fragments (turns) merged per group in order; first-row fields."""
+    c = t(spark, sf_dir, "conversations").withColumn("len", F.length("text"))
+    return C.merge_fragments(c, "conv_id", "turn", "text", length_col="len", first_cols=("role",))
+
+
+@register("chunk_counts_docs", sql=f"""
+SELECT doc_id, CAST(count(*) AS BIGINT) AS n_chunks FROM (
+  SELECT doc_id, unnest(range(0, len({S.words('text')}), 100)) FROM documents) GROUP BY doc_id
+""")
+def chunk_counts_docs(spark, sf_dir):
+    """Chunks per document (100-word chunks)."""
+    return C.chunk_counts(chunk_fixed100(spark, sf_dir), "doc_id")
+
+
+# ---------------------------------------------------------------- folds (rows-only)
+
+
+@register("chunk_sentence_pack")
+def chunk_sentence_pack(spark, sf_dir):
+    """Sentence packing to 500 tokens with 50-token carry-over."""
+    return C.sentence_pack(cleaned_docs(spark, sf_dir), "doc_id", "text", 500, 50)
+
+
+@register("chunk_dynamic_pack")
+def chunk_dynamic_pack(spark, sf_dir):
+    """Sentence packing to 512 tokens, no overlap."""
+    return C.dynamic_pack(t(spark, sf_dir, "documents", ["doc_id", "text"]), "doc_id", "text", 512)
+
+
+@register("chunk_sentence_overlap")
+def chunk_sentence_overlap(spark, sf_dir):
+    """C4: 120-word chunks carrying the last 20 sentences."""
+    return C.sentence_overlap(t(spark, sf_dir, "documents", ["doc_id", "text"]), "doc_id", "text", 120, 20)
+
+
+@register("chunk_recursive_chars")
+def chunk_recursive_chars(spark, sf_dir):
+    """Separator-aware 1000-char chunks with 100-char overlap."""
+    return C.recursive_chars(t(spark, sf_dir, "documents", ["doc_id", "text"]), "doc_id", "text", 1000, 100)
