@@ -1,7 +1,8 @@
 """Registered query plans: ``name -> (spark, sf_dir) -> DataFrame`` plus
 the DuckDB oracle SQL of each.  Importing this package fills the registry."""
 
-from . import chunk_plans, dataset_plans, feedback_plans, metric_plans, retrieval_plans, stream_plans, text_plans  # noqa: F401
+from . import (chunk_plans, dataset_plans, feedback_plans, metric_plans, retrieval_plans,  # noqa: F401
+               source_plans, stream_plans, text_plans)
 from .common import ORACLES, QUERIES
 
 __all__ = ["QUERIES", "ORACLES"]
