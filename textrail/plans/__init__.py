@@ -2,7 +2,7 @@
 the DuckDB oracle SQL of each.  Importing this package fills the registry."""
 
 from . import (chunk_plans, dataset_plans, feedback_plans, metric_plans, retrieval_plans,  # noqa: F401
-               source_plans, stream_plans, text_plans)
+               model_plans, source_plans, stream_plans, text_plans)
 from .common import ORACLES, QUERIES
 
 __all__ = ["QUERIES", "ORACLES"]
