@@ -11,11 +11,13 @@ skew-join split handles them, and document frequency is a partial
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # --- fixed values ----------------------------------------------------------
 TOKEN = r"[\pL\pN_]{2,}"          # lower-cased runs of 2+ word characters
@@ -144,8 +146,8 @@ def embed(df: DataFrame, text_col: str, fn, dim: int, out_col: str = "embedding"
     batches of ``batch`` rows by a scalar-iterator pandas UDF (the model is
     loaded once per Python worker by ``fn`` itself)."""
 
-    @F.pandas_udf(f"array<float>")
-    def _embed(it):
+    @F.pandas_udf(T.ArrayType(T.FloatType()))
+    def _embed(it: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for s in it:
             outs = []
             vals = s.fillna("").tolist()
