@@ -247,8 +247,10 @@ def sentence_overlap(df: DataFrame, id_col: str, text_col: str, max_words: int =
     def step(acc, s):
         over = acc["len"] + nwords(s) > max_words
         if overlap_unit == "sentence":
-            kept = F.slice(acc["cur"], -overlap, overlap) if overlap > 0 else F.array().cast("array<string>")
-            kept = F.when(F.size(acc["cur"]) > 0, kept).otherwise(acc["cur"])
+            # Python's cur[-k:] keeps everything when the list is short; Spark's
+            # slice with a start before the first element returns nothing.
+            kept = (F.when(F.size(acc["cur"]) > overlap, F.slice(acc["cur"], -overlap, overlap)).otherwise(acc["cur"])
+                    if overlap > 0 else F.array().cast("array<string>"))
         else:
             joined = words(F.array_join(acc["cur"], " "))
             tail = F.when(F.size(joined) > overlap, F.slice(joined, -overlap, overlap)).otherwise(joined)
