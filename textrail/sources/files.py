@@ -89,7 +89,7 @@ def read_text_dir(spark: SparkSession, path: str) -> DataFrame:
     """A folder of ``.txt`` files -> ``(filename, text)``; text
     stripped, empty files dropped.  Bytes that are not UTF-8 decode to
     U+FFFD, which is removed (the reference ignores undecodable bytes)."""
-    df = spark.read.option("wholetext", "true").text(path)
+    df = spark.read.text(path, wholetext=True)
     return (df.select(F.col("_metadata.file_name").alias("filename"),
                       strip(F.regexp_replace("value", "\ufffd", "")).alias("text"))
             .where(F.col("text") != ""))
