@@ -129,11 +129,11 @@ def feedback_score(fb: DataFrame, queries: DataFrame, key: str = "query", label:
 
 
 def value_share(df: DataFrame, col: str) -> DataFrame:
-    """A2: value counts and percentage of the total (ratio computed on the
-    small grouped result)."""
+    """A2: value counts and percentage of the total row count."""
+    total = df.count()  # one cheap count job; no single-partition window
     c = df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
     return c.select(col, F.col("n").cast("bigint").alias("n"),
-                    (F.lit(100.0) * F.col("n") / F.sum("n").over(Window.partitionBy())).alias("pct"))
+                    (F.lit(100.0) * F.col("n") / F.lit(float(max(total, 1)))).alias("pct"))
 
 
 def dedupe_first(df: DataFrame, key: str, order: str, cols: list[str]) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from ..functions.vectors import cosine
 
-DEFAULT_BLOCK_ROWS = 4096
+DEFAULT_BLOCK_ROWS = 16384
 # Candidates whose approximate distance is within this of the k-th best are
 # rescored exactly, so float error in the fast formula cannot change ranks.
 _RESCORE_EPS = 1e-7
@@ -40,53 +40,54 @@ def _block_counts(n_vec: int, n_q: int, block_rows: int, parallelism: int) -> tu
     return bv, bq
 
 
-def _score_block(metric: str, k: int, exclude_self: bool):
+def _score_block(metric: str, k: int, exclude_self: bool, query_chunk: int = 512):
+    """Score one (query block, vector block) pair; emit the best ``k`` per
+    query.  Distances are formed ``query_chunk`` queries at a time so the
+    working matrix stays at ``query_chunk x vector_block`` doubles."""
+    empty = {"query_id": pd.Series([], dtype="int64"), "vec_id": pd.Series([], dtype="int64"),
+             "score": pd.Series([], dtype="float64")}
+
     def fn(vecs: pd.DataFrame, qs: pd.DataFrame) -> pd.DataFrame:
         if len(vecs) == 0 or len(qs) == 0:
-            return pd.DataFrame({"query_id": pd.Series([], dtype="int64"), "vec_id": pd.Series([], dtype="int64"),
-                                 "score": pd.Series([], dtype="float64")})
+            return pd.DataFrame(empty)
         V = np.stack(vecs["embedding"].to_numpy()).astype(np.float64)
-        Q = np.stack(qs["qvec"].to_numpy()).astype(np.float64)
+        Q_all = np.stack(qs["qvec"].to_numpy()).astype(np.float64)
         vid = vecs["vec_id"].to_numpy(dtype=np.int64)
-        qid = qs["query_id"].to_numpy(dtype=np.int64)
-        if metric == "l2sq":
-            approx = (Q * Q).sum(1)[:, None] + (V * V).sum(1)[None, :] - 2.0 * (Q @ V.T)
-        else:  # cosine distance = 1 - cos
-            qn = np.linalg.norm(Q, axis=1)
-            vn = np.linalg.norm(V, axis=1)
-            with np.errstate(divide="ignore", invalid="ignore"):
-                approx = 1.0 - (Q @ V.T) / (qn[:, None] * vn[None, :])
-            approx = np.where(np.isfinite(approx), approx, np.inf)
-        if exclude_self:
-            approx = np.where(qid[:, None] == vid[None, :], np.inf, approx)
+        qid_all = qs["query_id"].to_numpy(dtype=np.int64)
+        vv = (V * V).sum(1)
+        vn = np.sqrt(vv)
         kk = min(k, V.shape[0])
         out_q, out_v, out_s = [], [], []
-        for i in range(Q.shape[0]):
-            row = approx[i]
-            if kk < row.shape[0]:
-                kth = np.partition(row, kk - 1)[kk - 1]
-            else:
-                kth = row.max()
-            if not np.isfinite(kth):
-                cand = np.nonzero(np.isfinite(row))[0]
-            else:
-                cand = np.nonzero(row <= kth + _RESCORE_EPS)[0]
-            if cand.size == 0:
-                continue
-            diff = V[cand] - Q[i]
+        for lo in range(0, Q_all.shape[0], query_chunk):
+            Q = Q_all[lo:lo + query_chunk]
+            qid = qid_all[lo:lo + query_chunk]
             if metric == "l2sq":
-                exact = (diff * diff).sum(1)
-            else:
-                qn_i = math.sqrt(float((Q[i] * Q[i]).sum()))
-                vn_c = np.sqrt((V[cand] * V[cand]).sum(1))
-                exact = 1.0 - (V[cand] @ Q[i]) / (qn_i * vn_c)
-            order = np.lexsort((vid[cand], exact))[:kk]
-            out_q.append(np.full(order.size, qid[i], dtype=np.int64))
-            out_v.append(vid[cand][order])
-            out_s.append(exact[order])
+                approx = (Q * Q).sum(1)[:, None] + vv[None, :] - 2.0 * (Q @ V.T)
+            else:  # cosine distance = 1 - cos
+                qn = np.linalg.norm(Q, axis=1)
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    approx = 1.0 - (Q @ V.T) / (qn[:, None] * vn[None, :])
+                approx = np.where(np.isfinite(approx), approx, np.inf)
+            if exclude_self:
+                approx = np.where(qid[:, None] == vid[None, :], np.inf, approx)
+            for i in range(Q.shape[0]):
+                row = approx[i]
+                kth = np.partition(row, kk - 1)[kk - 1] if kk < row.shape[0] else row.max()
+                cand = np.nonzero(np.isfinite(row))[0] if not np.isfinite(kth) else np.nonzero(row <= kth + _RESCORE_EPS)[0]
+                cand = cand[np.isfinite(row[cand])]
+                if cand.size == 0:
+                    continue
+                if metric == "l2sq":
+                    diff = V[cand] - Q[i]
+                    exact = (diff * diff).sum(1)
+                else:
+                    exact = 1.0 - (V[cand] @ Q[i]) / (math.sqrt(float((Q[i] * Q[i]).sum())) * vn[cand])
+                order = np.lexsort((vid[cand], exact))[:kk]
+                out_q.append(np.full(order.size, qid[i], dtype=np.int64))
+                out_v.append(vid[cand][order])
+                out_s.append(exact[order])
         if not out_q:
-            return pd.DataFrame({"query_id": pd.Series([], dtype="int64"), "vec_id": pd.Series([], dtype="int64"),
-                                 "score": pd.Series([], dtype="float64")})
+            return pd.DataFrame(empty)
         return pd.DataFrame({"query_id": np.concatenate(out_q), "vec_id": np.concatenate(out_v),
                              "score": np.concatenate(out_s)})
     return fn

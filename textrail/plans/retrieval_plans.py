@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import vectors as VF
 from ..operators import features as FE
 from ..operators import retrieval as R
+from ..session import join_small
 from .common import r6, register, t
 
 # ------------------------------------------------------------------ SQL pieces
@@ -96,8 +97,8 @@ def centroid_cosine(spark, sf_dir):
     cen = (ex.groupBy("label", "i").agg(F.avg("x").alias("m"))
            .groupBy("label").agg(F.array_sort(F.collect_list(F.struct("i", "m"))).alias("_c"))
            .select("label", F.transform("_c", lambda s: s["m"]).alias("centroid")))
-    # one row per label (bounded by the label domain, ten here)
-    return (e.join(F.broadcast(cen), "label")
+    # one row per label: broadcast only behind a checked row count
+    return (join_small(e, cen, "label")
             .select("vec_id", "label", r6(VF.cosine("embedding", "centroid")).alias("cos_to_centroid")))
 
 

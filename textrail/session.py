@@ -101,3 +101,12 @@ def compute_once(df, name: str, expr):
     """
     from pyspark.sql import functions as F
     return df.select("*", F.explode(F.array(expr)).alias(name))
+
+
+def join_small(big, small, on, how: str = "inner", max_rows: int = 100_000):
+    """Join with ``small`` broadcast only when its row count is proven to
+    be at most ``max_rows`` (checked with a bounded count); otherwise the
+    planner's shuffle join (with AQE skew handling) is used."""
+    from pyspark.sql import functions as F
+    n = small.limit(max_rows + 1).count()
+    return big.join(F.broadcast(small) if n <= max_rows else small, on, how)
