@@ -58,8 +58,15 @@ def token_window(df: DataFrame, id_col: str, text_col: str, size: int = 500, ove
         raise ValueError("size must exceed overlap")
     name = name_col if name_col is not None else F.col(id_col).cast("string")
     k = list(keep)
-    exploded = (df.select(F.col(id_col), *k, name.alias("_name"), words(F.col(text_col)).alias("_all"))
-                .select(id_col, *k, "_name", _windows(F.col("_all"), size, size - overlap, False, False).alias("_w"))
+    toks = df.select(F.col(id_col), *k, name.alias("_name"), words(F.col(text_col)).alias("_all"))
+    if global_ids:
+        # the window counts and the windows both come from these tokens:
+        # materialise them once (reliable checkpoint in the shared folder)
+        # instead of running the text rules twice
+        from ..session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(df.sparkSession)
+        toks = toks.checkpoint(eager=True)
+    exploded = (toks.select(id_col, *k, "_name", _windows(F.col("_all"), size, size - overlap, False, False).alias("_w"))
                 .select(id_col, *k, "_name", F.posexplode("_w").alias("chunk_no", "_toks"))
                 .select(id_col, *k, "_name", F.col("chunk_no").cast("bigint").alias("chunk_no"),
                         F.array_join("_toks", " ").alias("chunk_text"),
@@ -69,7 +76,9 @@ def token_window(df: DataFrame, id_col: str, text_col: str, size: int = 500, ove
         return exploded.select(id_col, *k, "chunk_no",
                                F.concat_ws("_", "_name", F.col("chunk_no").cast("string")).alias("chunk_id"),
                                "chunk_text", "n_tokens")
-    counts = exploded.groupBy(id_col).agg(F.count(F.lit(1)).alias("_n"))
+    step = size - overlap
+    n_tok = F.size("_all")
+    counts = toks.select(id_col, F.when(n_tok > 0, F.ceil(n_tok / F.lit(step))).otherwise(F.lit(0)).cast("bigint").alias("_n"))
     offs = global_offsets(counts, id_col, "_n", "_off").drop("_n")
     return (exploded.join(offs, id_col)
             .select(id_col, *k, "chunk_no",

@@ -21,12 +21,16 @@ from pyspark.sql import types as T
 
 # --- fixed values ----------------------------------------------------------
 TOKEN = r"[\pL\pN_]{2,}"          # lower-cased runs of 2+ word characters
+NON_WORD_RUN = r"[^\pL\pN_]+"
 # ---------------------------------------------------------------------------
 
 
 def tokens(c) -> F.Column:
+    """Lower-cased maximal runs of 2+ word characters (``TOKEN``), computed
+    as a split on non-word runs plus a length filter: the same tokens as
+    extracting ``TOKEN`` matches, at a fraction of the regex cost."""
     x = F.col(c) if isinstance(c, str) else c
-    return F.regexp_extract_all(F.lower(x), F.lit(TOKEN), 0)
+    return F.filter(F.split(F.lower(x), NON_WORD_RUN), lambda w: F.length(w) >= 2)
 
 
 def term_counts(df: DataFrame, id_col: str, text_col: str, stop_words=None) -> DataFrame:
@@ -38,14 +42,16 @@ def term_counts(df: DataFrame, id_col: str, text_col: str, stop_words=None) -> D
 
 
 def tfidf(df: DataFrame, id_col: str, text_col: str, stop_words=None, n_docs: int | None = None,
-          fit: DataFrame | None = None) -> DataFrame:
+          fit: DataFrame | None = None, counts: DataFrame | None = None) -> DataFrame:
     """V1: smooth idf ``ln((1+n)/(1+df)) + 1``, raw tf, L2-normalised rows.
 
-    ``fit``: optional ``(term, df, n)`` statistics from another corpus
+    ``fit``: optional ``(term, idf)`` statistics from another corpus
     (see :func:`idf_table`); by default they come from ``df`` itself.
+    ``counts``: the ``(id, term, tf)`` table when the caller already built
+    it (the same plan is then reused instead of re-derived).
     Returns ``(id, term, weight)``.
     """
-    tc = term_counts(df, id_col, text_col, stop_words)
+    tc = counts if counts is not None else term_counts(df, id_col, text_col, stop_words)
     idf = fit if fit is not None else idf_table(tc, id_col, n_docs if n_docs is not None else df.select(id_col).distinct().count())
     w = tc.join(idf, "term").select(id_col, "term", (F.col("tf") * F.col("idf")).alias("raw"))
     norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(id_col)))
@@ -92,7 +98,8 @@ def _sparse_block(k: int):
 
 
 def topk_sparse(doc_terms: DataFrame, query_terms: DataFrame, k: int = 5, doc_id: str = "doc_id",
-                query_id: str = "query_id", block_rows: int = 200_000) -> DataFrame:
+                query_id: str = "query_id", block_docs: int = 20_000, n_docs: int | None = None,
+                n_queries: int | None = None) -> DataFrame:
     """V5 by query text: exact top-``k`` cosine over TF-IDF rows.
 
     Same block scheme as :func:`textrail.operators.retrieval.topk`: term
@@ -105,10 +112,13 @@ def topk_sparse(doc_terms: DataFrame, query_terms: DataFrame, k: int = 5, doc_id
     spark = doc_terms.sparkSession
     D = doc_terms.select(F.col(doc_id).cast("bigint").alias("doc_id"), "term", F.col("weight").alias("dw"))
     Q = query_terms.select(F.col(query_id).cast("bigint").alias("query_id"), "term", F.col("weight").alias("qw"))
-    nd, nq = D.count(), Q.count()
+    # Block sizes come from document/query counts; pass them when known
+    # (source-table counts are metadata reads) to avoid counting derived
+    # term tables, which would recompute their whole lineage.
+    nd = n_docs if n_docs is not None else D.select("doc_id").distinct().count()
+    nq = n_queries if n_queries is not None else Q.select("query_id").distinct().count()
     from .retrieval import _block_counts
-    bd, bq = _block_counts(nd, nq, block_rows, spark.sparkContext.defaultParallelism)
-    bd = min(bd, max(1, D.select("doc_id").distinct().count()))
+    bd, bq = _block_counts(nd, nq, block_docs, spark.sparkContext.defaultParallelism)
     D = D.select("*", F.pmod(F.xxhash64("doc_id"), F.lit(bd)).cast("int").alias("db"),
                  F.explode(F.sequence(F.lit(0), F.lit(bq - 1))).alias("qb"))
     Q = Q.select("*", F.pmod(F.xxhash64("query_id"), F.lit(bq)).cast("int").alias("qb"),

@@ -29,14 +29,17 @@ _RESCORE_EPS = 1e-7
 
 
 def _block_counts(n_vec: int, n_q: int, block_rows: int, parallelism: int) -> tuple[int, int]:
+    """(vector blocks, query blocks).  Every vector row is copied once per
+    query block and every query row once per vector block, so extra blocks
+    for parallelism go to the side whose split copies fewer rows."""
     bv = max(1, math.ceil(n_vec / block_rows))
     bq = max(1, math.ceil(n_q / block_rows))
-    # Enough block pairs to keep every core busy on small inputs.
     while bv * bq < parallelism and (bq < n_q or bv < n_vec):
-        if bq < n_q and (bq <= bv or bv >= n_vec):
-            bq += 1
+        split_vectors = bv < n_vec and (n_q <= n_vec or bq >= n_q)
+        if split_vectors:
+            bv += 1      # costs one more copy of the query side
         else:
-            bv += 1
+            bq += 1      # costs one more copy of the vector side
     return bv, bq
 
 

@@ -147,16 +147,17 @@ def _sql_query_topk(k: int) -> str:
       SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(sim, 9) DESC, doc_id) AS rnk FROM s) WHERE rnk <= {k}"""
 
 
-def query_hits(spark, sf_dir, k: int):
+def query_hits(spark, sf_dir, k: int, with_idf: bool = False):
     """Benchmark items as text queries against documents (TF-IDF cosine)."""
     d = t(spark, sf_dir, "documents", ["doc_id", "text"])
     b = t(spark, sf_dir, "benchmark", ["item_id", "text"])
-    n_docs = d.count()
+    n_docs, n_q = d.count(), b.count()   # parquet metadata counts
     tc = FE.term_counts(d, "doc_id", "text")
     idf = FE.idf_table(tc, "doc_id", n_docs)
-    dv = FE.tfidf(d, "doc_id", "text", fit=idf)
+    dv = FE.tfidf(d, "doc_id", "text", fit=idf, counts=tc)
     qv = FE.tfidf(b, "item_id", "text", fit=idf).withColumnRenamed("item_id", "query_id")
-    return FE.topk_sparse(dv, qv, k=k)
+    hits = FE.topk_sparse(dv, qv, k=k, n_docs=n_docs, n_queries=n_q)
+    return (hits, idf) if with_idf else hits
 
 
 @register("text_query_top5", sql=f"""
@@ -200,8 +201,8 @@ def best_snippet(spark, sf_dir):
     from ..operators.snippets import best_snippet as snip
     d = t(spark, sf_dir, "documents", ["doc_id", "text"])
     b = t(spark, sf_dir, "benchmark", ["item_id", "text"]).withColumnRenamed("item_id", "query_id")
-    hits = query_hits(spark, sf_dir, 2)
-    out = snip(hits, d, b, doc_id="doc_id")
+    hits, idf = query_hits(spark, sf_dir, 2, with_idf=True)
+    out = snip(hits, d, b, doc_id="doc_id", idf=idf)
     return out.select("query_id", "source_doc", "sent_no", r6(F.col("score")).alias("score"), "snippet")
 
 
