@@ -319,5 +319,7 @@ def template_weights(selections: DataFrame, n_templates: int, key: str | None =
     else:
         base = selections.sparkSession.range(n_templates).select(F.col("id").cast("int").alias(choice))
     allw = base.join(folded, keys, "left").withColumn("weight", F.coalesce("weight", F.lit(1.0)))
-    part = Window.partitionBy(key) if key else Window.partitionBy()
-    return allw.withColumn("share", F.col("weight") / F.sum("weight").over(part))
+    if key:
+        return allw.withColumn("share", F.col("weight") / F.sum("weight").over(Window.partitionBy(key)))
+    total = allw.agg(F.sum("weight")).collect()[0][0]  # n_templates numbers summed: one scalar
+    return allw.withColumn("share", F.col("weight") / F.lit(float(total)))

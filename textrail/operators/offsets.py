@@ -3,8 +3,8 @@
 ``row_number() over (order by k)`` with no partition key pulls every row
 into one task.  Instead the small per-key count table is range-partitioned,
 checkpointed (so both passes see identical partitions, even after an
-executor loss), totalled per partition, and the partition bases - one row
-per partition, a proven-small table - are broadcast back.
+executor loss) and totalled per partition; the partition bases - one number
+per partition - enter the plan as a literal array.
 """
 
 from __future__ import annotations
@@ -32,26 +32,16 @@ def global_offsets(counts: DataFrame, key: str, count_col: str,
     # Reliable checkpoint in the session's shared checkpoint folder: fixes
     # the partition membership used by both passes below.
     ranged = ranged.checkpoint(eager=True)
-    totals = ranged.groupBy("_pid").agg(F.sum(count_col).alias("_ptot"))
-    # At most `partitions` rows: a single-partition window here is bounded.
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    bases = totals.select("_pid", F.coalesce(F.sum("_ptot").over(before), F.lit(0)).alias("_base"))
+    # One total per range partition: at most `partitions` numbers.  They are
+    # read back as a literal array (a bounded action, like a count) so the
+    # plan needs neither a single-partition window nor a broadcast join.
+    totals = dict(ranged.groupBy("_pid").agg(F.sum(count_col).alias("_t")).collect())
+    bases, acc = [], 0
+    for pid in range(partitions):
+        bases.append(acc)
+        acc += int(totals.get(pid) or 0)
+    base = F.element_at(F.array(*[F.lit(b).cast("bigint") for b in bases]), F.col("_pid") + 1)
     local = Window.partitionBy("_pid").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
-    return (ranged.join(F.broadcast(bases), "_pid")
-            .withColumn(out_col, (F.col("_base") + F.coalesce(F.sum(count_col).over(local), F.lit(0))).cast("bigint"))
-            .drop("_pid", "_base"))
-
-
-def number_rows(df: DataFrame, group_key: str, order_cols: list[str], out_col: str = "row_no",
-                partitions: int | None = None) -> DataFrame:
-    """Global 0-based row number ordered by ``(group_key, *order_cols)``.
-
-    Rows are numbered inside their group with a partitioned window; groups
-    get their base from :func:`global_offsets` over the per-group counts.
-    """
-    counts = df.groupBy(group_key).agg(F.count(F.lit(1)).alias("_n"))
-    offs = global_offsets(counts, group_key, "_n", "_base_off", partitions).drop("_n")
-    w = Window.partitionBy(group_key).orderBy(*order_cols)
-    return (df.join(offs, group_key)
-            .withColumn(out_col, F.col("_base_off") + F.row_number().over(w) - 1)
-            .drop("_base_off"))
+    return (ranged
+            .withColumn(out_col, (base + F.coalesce(F.sum(count_col).over(local), F.lit(0))).cast("bigint"))
+            .drop("_pid"))
