@@ -34,8 +34,14 @@ def tokens(c) -> F.Column:
 
 
 def term_counts(df: DataFrame, id_col: str, text_col: str, stop_words=None) -> DataFrame:
-    """``(id, term, tf)`` raw term counts."""
-    ex = df.select(F.col(id_col), F.explode(tokens(text_col)).alias("term"))
+    """``(id, term, tf)`` raw term counts.
+
+    The texts are hash-partitioned by id first: one shuffle of raw text
+    (about 6 bytes per token) after which the ``(id, term)`` aggregation and
+    every later per-id window need no exchange, instead of two shuffles of
+    term rows (about 28 bytes per token)."""
+    ex = (df.select(id_col, text_col).repartition(id_col)
+          .select(F.col(id_col), F.explode(tokens(text_col)).alias("term")))
     if stop_words:
         ex = ex.where(~F.col("term").isin(list(stop_words)))
     return ex.groupBy(id_col, "term").agg(F.count(F.lit(1)).cast("bigint").alias("tf"))

@@ -37,8 +37,10 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    if checkpoint_dir and not _conf(spark, "spark.checkpoint.dir"):
-        spark.conf.set("spark.checkpoint.dir", checkpoint_dir)
+    if checkpoint_dir and not _conf(spark, "spark.checkpoint.dir") and not spark.sparkContext.getCheckpointDir():
+        # spark.checkpoint.dir is a core setting that cannot be changed at
+        # runtime; register the folder with the context instead
+        spark.sparkContext.setCheckpointDir(checkpoint_dir)
     ensure_checkpoint_dir(spark)
     return spark
 
