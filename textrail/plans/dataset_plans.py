@@ -272,4 +272,4 @@ def query_log(spark, sf_dir):
                .withColumn("answer", F.coalesce("a1", F.lit("I'm sorry, I could not find an answer.")))
                .withColumn("model_used", F.when(F.col("a1").isNull(), F.lit("fallback")).otherwise(F.lit("extractive")))
                .drop("a1"))
-    return D.query_log(qs, hits, answers, ts=F.lit(LOG_TS).cast("timestamp"))
+    return D.query_log(qs, hits, answers, ts=F.lit(LOG_TS).cast("timestamp_ntz"))

@@ -41,14 +41,16 @@ FROM fold f JOIN win w ON w.key = f.key AND w.i = f.i WHERE f.reason IS NOT NULL
 def retrain_trigger_fold(spark, sf_dir):
     """G3 batch twin: trigger decisions per user over the ordered events."""
     e = t(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type"])
-    return TR.retrain_trigger_batch(e, "user_id", "ts", "event_id", F.col("event_type") == "error")
+    out = TR.retrain_trigger_batch(e, "user_id", "ts", "event_id", F.col("event_type") == "error")
+    return out.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
 @register("retrain_trigger_strict", sql=_sql_trigger(True))
 def retrain_trigger_strict(spark, sf_dir):
     """G3 with the reference's ``timedelta.seconds`` interval quirk."""
     e = t(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type"])
-    return TR.retrain_trigger_batch(e, "user_id", "ts", "event_id", F.col("event_type") == "error", strict_reference=True)
+    out = TR.retrain_trigger_batch(e, "user_id", "ts", "event_id", F.col("event_type") == "error", strict_reference=True)
+    return out.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
 @register("periodic_changes", sql="""
