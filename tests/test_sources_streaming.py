@@ -201,3 +201,29 @@ def test_entry_and_contract(spark):
     assert set(sql) <= set(qs) and len(qs) >= 100
     for name in ("clean_ocr_docs", "topk_l2_all", "preference_pairs", "retrain_trigger_fold"):
         assert qs[name](spark, SF001).count() > 0
+
+
+def test_stream_cache_split_and_periodic_counts(spark, tmpdir_run):
+    reqs = spark.createDataFrame([(dt.datetime(2024, 1, 1, 0, 0), "k1"), (dt.datetime(2024, 1, 1, 0, 1), "k2"),
+                                  (dt.datetime(2024, 1, 1, 0, 2), "k2"), (dt.datetime(2024, 1, 1, 7, 0), "k3")],
+                                 "timestamp timestamp, cache_key string")
+    src = os.path.join(tmpdir_run, "reqs")
+    reqs.coalesce(1).write.parquet(src)
+    cache = spark.createDataFrame([("k1", "cached answer")], "cache_key string, answer string")
+    sdf = spark.readStream.schema(reqs.schema).parquet(src)
+    hits, misses = G.stream_cache_split(sdf, cache)
+    q1 = (hits.writeStream.format("memory").queryName("hits_out").outputMode("append")
+          .option("checkpointLocation", os.path.join(tmpdir_run, "c1")).trigger(availableNow=True).start())
+    q2 = (misses.writeStream.format("memory").queryName("miss_out").outputMode("append")
+          .option("checkpointLocation", os.path.join(tmpdir_run, "c2")).trigger(availableNow=True).start())
+    q1.awaitTermination(120)
+    q2.awaitTermination(120)
+    assert [r["cache_key"] for r in spark.sql("SELECT * FROM hits_out").collect()] == ["k1"]
+    assert sorted(r["cache_key"] for r in spark.sql("SELECT * FROM miss_out").collect()) == ["k2", "k3"]
+    counts = G.periodic_changes(sdf, "timestamp", "6 hours", watermark="1 minute")
+    q3 = (counts.writeStream.format("memory").queryName("period_out").outputMode("complete")
+          .option("checkpointLocation", os.path.join(tmpdir_run, "c3")).trigger(availableNow=True).start())
+    q3.awaitTermination(120)
+    got = sorted((r["period_start"].hour, r["n_changes"]) for r in spark.sql("SELECT * FROM period_out").collect())
+    batch = sorted((r["period_start"].hour, r["n_changes"]) for r in G.periodic_changes(reqs, "timestamp", "6 hours").collect())
+    assert got == batch == [(0, 3), (6, 1)]
