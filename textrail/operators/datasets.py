@@ -173,7 +173,8 @@ def prompt_variants(prompts: DataFrame, prompt_col: str = "prompt", templates=VA
                     F.concat(F.col("_v.tpl"), F.lit("\n\n"), F.col(prompt_col)).alias("variant_prompt")))
 
 
-def synthetic_feedback(chunks: DataFrame, id_col: str, text_col: str, n: int = 200, seed: int = 42) -> DataFrame:
+def synthetic_feedback(chunks: DataFrame, id_col: str, text_col: str, n: int = 200, seed: int = 42,
+                       n_rows: int | None = None) -> DataFrame:
     """``n`` draws with replacement from the chunk table; entity =
     capitalised first word, a question verb, a grade drawn with weights
     .5/.2/.2/.1 and an answer built for the grade; texts under 10 words
@@ -182,7 +183,7 @@ def synthetic_feedback(chunks: DataFrame, id_col: str, text_col: str, n: int = 2
     spark = chunks.sparkSession
     counts = chunks.select(id_col, F.lit(1).alias("_one"))
     pos = global_offsets(counts, id_col, "_one", "_pos").drop("_one")
-    total = chunks.count()
+    total = n_rows if n_rows is not None else chunks.count()
     draws = spark.range(n).select(F.col("id").alias("draw"))
     u_row = uniform_hash(F.col("draw"), F.lit("row"), seed=seed)
     u_verb = uniform_hash(F.col("draw"), F.lit("verb"), seed=seed)

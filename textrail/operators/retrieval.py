@@ -98,7 +98,8 @@ def _score_block(metric: str, k: int, exclude_self: bool, query_chunk: int = 512
 
 def topk(vectors: DataFrame, queries: DataFrame, k: int = 5, metric: str = "l2sq",
          vec_id: str = "vec_id", vec_col: str = "embedding", query_id: str = "query_id",
-         query_col: str = "qvec", exclude_self: bool = False, block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+         query_col: str = "qvec", exclude_self: bool = False, block_rows: int = DEFAULT_BLOCK_ROWS,
+         n_vectors: int | None = None, n_queries: int | None = None) -> DataFrame:
     """Exact top-``k`` per query.
 
     ``metric="l2sq"`` ranks by squared L2 distance ascending (reported as
@@ -109,7 +110,10 @@ def topk(vectors: DataFrame, queries: DataFrame, k: int = 5, metric: str = "l2sq
     spark = vectors.sparkSession
     V = vectors.select(F.col(vec_id).cast("bigint").alias("vec_id"), F.col(vec_col).alias("embedding"))
     Qs = queries.select(F.col(query_id).cast("bigint").alias("query_id"), F.col(query_col).alias("qvec"))
-    n_vec, n_q = V.count(), Qs.count()
+    # block sizing needs the side sizes; pass them when known (source-table
+    # counts are metadata reads) to avoid a job over the inputs' lineage
+    n_vec = n_vectors if n_vectors is not None else V.count()
+    n_q = n_queries if n_queries is not None else Qs.count()
     bv, bq = _block_counts(n_vec, n_q, block_rows, spark.sparkContext.defaultParallelism)
     V = V.select("*", F.pmod(F.xxhash64("vec_id"), F.lit(bv)).cast("int").alias("vb"),
                  F.explode(F.sequence(F.lit(0), F.lit(bq - 1))).alias("qb"))
@@ -130,6 +134,8 @@ def pairwise_topk(vectors: DataFrame, k: int = 5, min_score: float | None = None
     """V9 re-aimed: the n x n cosine matrix becomes each row's top-``k``
     most similar other rows (optionally above ``min_score``)."""
     q = vectors.select(F.col(kw.get("vec_id", "vec_id")).alias("query_id"), F.col(kw.get("vec_col", "embedding")).alias("qvec"))
+    if "n_vectors" in kw and "n_queries" not in kw:
+        kw["n_queries"] = kw["n_vectors"]
     out = topk(vectors, q, k=k, metric="cosine", exclude_self=True, **kw)
     return out if min_score is None else out.where(F.col("similarity") >= min_score)
 

@@ -165,7 +165,8 @@ def _sql_synth(n: int, seed: int) -> str:
 def synthetic_feedback(spark, sf_dir):
     """200 seeded draws with replacement over the documents."""
     d = t(spark, sf_dir, "documents", ["doc_id", "text"])
-    return D.synthetic_feedback(d, "doc_id", "text", n=200, seed=42)
+    n_rows = t(spark, sf_dir, "documents", ["doc_id"], spread_rows=False).count()
+    return D.synthetic_feedback(d, "doc_id", "text", n=200, seed=42, n_rows=n_rows)
 
 
 def _sql_synth_templates() -> str:

@@ -31,6 +31,11 @@ def _sql_tfidf(src: str, id_col: str) -> str:
     SELECT id, term, raw / sqrt(sum(raw * raw) OVER (PARTITION BY id)) AS weight FROM raw)"""
 
 
+def _n(spark, sf_dir, name, col):
+    """Row count of a raw table scan (parquet metadata)."""
+    return t(spark, sf_dir, name, [col], spread_rows=False).count()
+
+
 def _query_vectors(spark, sf_dir):
     e = t(spark, sf_dir, "embeddings", ["vec_id", "embedding"])
     return e.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("qvec"))
@@ -48,7 +53,8 @@ SELECT query_id, vec_id, CAST(rnk AS BIGINT) AS rank, round(d, 6) AS distance FR
 def topk_l2_all(spark, sf_dir):
     """Every vector as a query, exact top-5 by squared L2."""
     e = t(spark, sf_dir, "embeddings", ["vec_id", "embedding"])
-    out = R.topk(e, _query_vectors(spark, sf_dir), k=5, metric="l2sq")
+    n = _n(spark, sf_dir, "embeddings", "vec_id")
+    out = R.topk(e, _query_vectors(spark, sf_dir), k=5, metric="l2sq", n_vectors=n, n_queries=n)
     return out.select("query_id", "vec_id", "rank", r6(F.col("distance")).alias("distance"))
 
 
@@ -64,7 +70,8 @@ def rerank_top2(spark, sf_dir):
     """V4 -> V6 -> V7: top-5 by L2, re-scored by cosine, keep 2."""
     e = t(spark, sf_dir, "embeddings", ["vec_id", "embedding"])
     q = _query_vectors(spark, sf_dir)
-    hits = R.topk(e, q, k=5).join(e, "vec_id")
+    n = _n(spark, sf_dir, "embeddings", "vec_id")
+    hits = R.topk(e, q, k=5, n_vectors=n, n_queries=n).join(e, "vec_id")
     out = R.rerank(hits, q, keep=2)
     return out.select("query_id", "vec_id", F.col("rerank").cast("bigint").alias("rerank"), r6(F.col("cos")).alias("cos"))
 
@@ -78,7 +85,7 @@ SELECT query_id, vec_id, CAST(rnk AS BIGINT) AS rank, round(s, 6) AS similarity
 def pairwise_cosine_top5(spark, sf_dir):
     """V9 re-aimed: each vector's 5 most similar other vectors."""
     e = t(spark, sf_dir, "embeddings", ["vec_id", "embedding"])
-    out = R.pairwise_topk(e, k=5)
+    out = R.pairwise_topk(e, k=5, n_vectors=_n(spark, sf_dir, "embeddings", "vec_id"))
     return out.select("query_id", "vec_id", "rank", r6(F.col("similarity")).alias("similarity"))
 
 
@@ -127,7 +134,7 @@ SELECT id AS doc_id, term, round(weight, 6) AS weight FROM {_sql_tfidf('SELECT d
 def tfidf_docs(spark, sf_dir):
     """V1: TF-IDF (smooth idf, L2 rows) of every document."""
     d = t(spark, sf_dir, "documents", ["doc_id", "text"])
-    out = FE.tfidf(d, "doc_id", "text")
+    out = FE.tfidf(d, "doc_id", "text", n_docs=_n(spark, sf_dir, "documents", "doc_id"))
     return out.select("doc_id", "term", r6(F.col("weight")).alias("weight"))
 
 
@@ -151,7 +158,9 @@ def query_hits(spark, sf_dir, k: int, with_idf: bool = False):
     """Benchmark items as text queries against documents (TF-IDF cosine)."""
     d = t(spark, sf_dir, "documents", ["doc_id", "text"])
     b = t(spark, sf_dir, "benchmark", ["item_id", "text"])
-    n_docs, n_q = d.count(), b.count()   # parquet metadata counts
+    # row counts of the raw scans: answered from parquet metadata
+    n_docs = t(spark, sf_dir, "documents", ["doc_id"], spread_rows=False).count()
+    n_q = t(spark, sf_dir, "benchmark", ["item_id"], spread_rows=False).count()
     tc = FE.term_counts(d, "doc_id", "text")
     idf = FE.idf_table(tc, "doc_id", n_docs)
     dv = FE.tfidf(d, "doc_id", "text", fit=idf, counts=tc)
@@ -169,7 +178,7 @@ def text_query_top5(spark, sf_dir):
     return out.select("query_id", "doc_id", "rank", r6(F.col("similarity")).alias("similarity"))
 
 
-@register("best_snippet", sql=f"""
+BEST_SNIPPET_SQL = f"""
 WITH hits AS ({_sql_query_topk(2)}),
 sents AS (
   SELECT h.query_id, h.rank, h.doc_id, unnest(string_split(regexp_replace(d.text, '([.!?]) +', '\\1' || chr(1), 'g'), chr(1))) AS sentence,
@@ -193,7 +202,10 @@ best AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score
 SELECT query_id, doc_id AS source_doc, CAST(sent_no - 1 AS BIGINT) AS sent_no, round(score, 6) AS score,
        CASE WHEN length(sentence) > 250 THEN concat(substr(sentence, 1, 250), '...') ELSE sentence END AS snippet
 FROM best WHERE r = 1
-""")
+"""
+
+
+@register("best_snippet", sql=BEST_SNIPPET_SQL)
 def best_snippet(spark, sf_dir):
     """V8: retrieve 2 documents per query, split into sentences, the best
     sentence by TF-IDF cosine wins (earlier hit / sentence on ties),
