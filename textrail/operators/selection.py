@@ -100,8 +100,12 @@ def add_snippet_candidate(cands: DataFrame, snippets: DataFrame, key: str = "que
 
 
 def softmax_by(df: DataFrame, key: str, score: str, out: str = "prob") -> DataFrame:
-    """``exp(x - max) / sum(exp(x - max))`` per key (two window
-    aggregates over the same partitioning: one shuffle)."""
-    w = Window.partitionBy(key)
-    e = F.exp(F.col(score) - F.max(score).over(w))
-    return df.withColumn("_e", e).withColumn(out, F.col("_e") / F.sum("_e").over(w)).drop("_e")
+    """``exp(x - max) / sum(exp(x - max))`` per key.
+
+    Both statistics are partial (map-side combined) aggregates joined back
+    on the key, so a key holding a large share of the rows is never
+    buffered in one task the way an unordered window partition would be."""
+    mx = df.groupBy(key).agg(F.max(score).alias("_mx"))
+    e = df.join(mx, key).withColumn("_e", F.exp(F.col(score) - F.col("_mx")))
+    tot = e.groupBy(key).agg(F.sum("_e").alias("_z"))
+    return e.join(tot, key).withColumn(out, F.col("_e") / F.col("_z")).drop("_mx", "_e", "_z")
