@@ -71,7 +71,9 @@ def token_window(df: DataFrame, id_col: str, text_col: str, size: int = 500, ove
                 .select(id_col, *k, "_name", F.col("chunk_no").cast("bigint").alias("chunk_no"),
                         F.array_join("_toks", " ").alias("chunk_text"),
                         F.size("_toks").cast("bigint").alias("n_tokens"))
-                .where(strip(F.col("chunk_text")) != ""))
+                # white-space tokens are never blank, so a window is blank
+                # exactly when it has no token (no regex over every chunk)
+                .where(F.col("n_tokens") > 0))
     if not global_ids:
         return exploded.select(id_col, *k, "chunk_no",
                                F.concat_ws("_", "_name", F.col("chunk_no").cast("string")).alias("chunk_id"),
@@ -136,12 +138,13 @@ def sweep(df: DataFrame, id_col: str, text_col: str, thresholds=SWEEP_THRESHOLDS
     Thresholds come from a literal array that is exploded per row - no join.
     """
     pairs = F.array(*[F.struct(F.lit(t).alias("t"), F.lit(int(t * ratio)).alias("o")) for t in thresholds])
-    src = (df.select(id_col, text_col, F.explode(pairs).alias("_p"))
-           .select(id_col, text_col, F.col("_p.t").alias("threshold"), F.col("_p.o").alias("_ov")))
-    return _section_chunks(src, id_col, text_col, keep_threshold=True)
+    return _section_chunks(df.select(id_col, text_col), id_col, text_col, keep_threshold=True, thresholds=pairs)
 
 
-def _section_chunks(src: DataFrame, id_col: str, text_col: str, keep_threshold: bool) -> DataFrame:
+def _section_chunks(src: DataFrame, id_col: str, text_col: str, keep_threshold: bool,
+                    thresholds: Column | None = None) -> DataFrame:
+    """Sections are cut once per document; with ``thresholds`` (an array of
+    (t, o) structs) each section's words are then windowed per threshold."""
     text = F.col(text_col)
     titles = F.regexp_extract_all(text, F.lit(HEADING), 1)
     bodies = F.split(text, HEADING)
@@ -149,9 +152,14 @@ def _section_chunks(src: DataFrame, id_col: str, text_col: str, keep_threshold:
                   F.array(F.struct(F.lit("FullText").alias("title"), text.alias("body"))))
     secs = secs.otherwise(F.arrays_zip(F.transform(titles, lambda t: strip(t)).alias("title"),
                                        F.slice(bodies, 2, 1 << 30).alias("body")))
-    sec = (src.select(id_col, "threshold", "_ov", F.posexplode(secs).alias("section_no", "_s"))
-           .select(id_col, "threshold", "_ov", "section_no", F.col("_s.title").alias("section"),
+    keys = [id_col] if thresholds is not None else [id_col, "threshold", "_ov"]
+    sec = (src.select(*keys, F.posexplode(secs).alias("section_no", "_s"))
+           .select(*keys, "section_no", F.col("_s.title").alias("section"),
                    words(strip(F.col("_s.body"))).alias("_words")))
+    if thresholds is not None:
+        sec = (sec.select("*", F.explode(thresholds).alias("_p"))
+               .select(id_col, F.col("_p.t").alias("threshold"), F.col("_p.o").alias("_ov"),
+                       "section_no", "section", "_words"))
     n = F.size("_words")
     step = F.col("threshold") - F.col("_ov")
     k = F.when(n <= F.col("threshold"), F.lit(1)).otherwise(
