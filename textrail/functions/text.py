@@ -345,7 +345,8 @@ def is_useful(c: ColumnOrName, version: int = 1) -> Column:
                    [F.regexp_count(x, F.lit(_re_lit(p))) for p in USEFUL_V2_PUNCT])
     low = F.lower(x)
     bad = reduce(lambda a, b: a | b, [low.contains(w) for w in USEFUL_V2_BAD_WORDS])
-    return (n >= 40) & (punct.cast("double") / n.cast("double") <= 0.1) & ~bad & (digit_count(x) <= 5)
+    share = F.when(n > 0, punct.cast("double") / n.cast("double"))
+    return (n >= 40) & (share <= 0.1) & ~bad & (digit_count(x) <= 5)
 
 
 def _re_lit(ch: str) -> str:

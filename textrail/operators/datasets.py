@@ -74,7 +74,7 @@ def gather_context(hits: DataFrame, key: str = "query_id", rank: str = "rank", t
     (gathers at most the ``k`` retrieved rows of each query)."""
     ordered = F.array_sort(F.collect_list(F.struct(F.col(rank).alias("r"), F.col(text).alias("t"))))
     return hits.groupBy(key).agg(F.array_join(F.transform(ordered, lambda s: s["t"]), sep).alias("context"),
-                                 F.element_at(F.transform(ordered, lambda s: s["t"]), 1).alias("first_chunk"))
+                                 F.try_element_at(F.transform(ordered, lambda s: s["t"]), F.lit(1)).alias("first_chunk"))
 
 
 def history_text(history: DataFrame, key: str = "query_id", order: str = "turn", q: str = "question",
@@ -192,7 +192,7 @@ def synthetic_feedback(chunks: DataFrame, id_col: str, text_col: str, n: int = 2
                          F.floor(u_verb * len(SYNTH_VERBS)).cast("int").alias("_verb"), u_grade.alias("_g"))
     picked = draws.join(pos, "_pos").join(chunks.select(id_col, text_col), id_col)
     w = words(F.col(text_col))
-    first = F.element_at(w, 1)
+    first = F.try_element_at(w, F.lit(1))
     entity = F.concat(F.upper(F.substring(first, 1, 1)), F.lower(F.substring(first, 2, 1 << 30)))
     verb = F.element_at(F.array(*[F.lit(v) for v in SYNTH_VERBS]), F.col("_verb") + 1)
     grade = None

@@ -148,10 +148,11 @@ def performance_report(fb: DataFrame, label: str = "feedback", rt: str = "respon
     time (0 if none) and last event time, as one row."""
     good = F.count_if(F.lower(F.col(label)) == "good")
     total = F.count(F.lit(1))
+    mean_rt = F.coalesce(F.avg(rt), F.lit(0.0)) if rt in fb.columns else F.lit(0.0)  # no times: 0
     aggs = [total.cast("bigint").alias("total"), good.cast("bigint").alias("good"),
             (total - good).cast("bigint").alias("bad"),
             (good / F.greatest(total, F.lit(1))).alias("success_rate"),
-            F.coalesce(F.avg(rt), F.lit(0.0)).alias("avg_response_time")]
+            mean_rt.alias("avg_response_time")]
     if ts:
         aggs.append(F.max(ts).alias("last_event"))
     return fb.agg(*aggs)
@@ -168,8 +169,8 @@ def category_report(fb: DataFrame, query: str = "query", label: str = "feedback"
 def problem_categories(fb: DataFrame, limit: float = PROBLEM_RATIO, **kw) -> DataFrame:
     """Categories whose bad share exceeds ``limit``."""
     rep = category_report(fb, **kw)
-    return rep.where((F.col("total") > 0) & (F.col("bad") / F.col("total") > limit)).withColumn(
-        "bad_ratio", F.col("bad") / F.col("total"))
+    ratio = F.when(F.col("total") > 0, F.col("bad") / F.col("total"))
+    return rep.withColumn("bad_ratio", ratio).where(F.col("bad_ratio") > limit)
 
 
 def binary_metrics(df: DataFrame, label: str = "label", pred: str = "prediction") -> DataFrame:
@@ -181,7 +182,8 @@ def binary_metrics(df: DataFrame, label: str = "label", pred: str = "prediction"
                  tp.alias("tp"), fp.alias("fp"), fn.alias("fn"))
     prec = F.when(F.col("tp") + F.col("fp") > 0, F.col("tp") / (F.col("tp") + F.col("fp"))).otherwise(F.lit(0.0))
     rec = F.when(F.col("tp") + F.col("fn") > 0, F.col("tp") / (F.col("tp") + F.col("fn"))).otherwise(F.lit(0.0))
-    return agg.select((F.col("correct") / F.col("n")).alias("accuracy"), prec.alias("precision"), rec.alias("recall"),
+    return agg.select(F.when(F.col("n") > 0, F.col("correct") / F.col("n")).alias("accuracy"), prec.alias("precision"),
+                      rec.alias("recall"),
                       F.when(prec + rec > 0, 2 * prec * rec / (prec + rec)).otherwise(F.lit(0.0)).alias("f1"))
 
 

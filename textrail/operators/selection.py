@@ -25,7 +25,7 @@ def parse_choices(df: DataFrame, responses_col: str, selected_col: str, keys=CHO
     allowed = [k.lower() for k in keys]
     parsed = df.select(*keep, m.alias("_m"), sel.alias("label")).where(F.col("_m").isNotNull() & F.col("label").isin(allowed))
     combined = F.concat_ws("\n", *[F.concat(F.lit(k + ": "), F.coalesce(F.col("_m")[k], F.lit(""))) for k in keys])
-    chosen = F.element_at(F.map_values(F.map_filter(F.col("_m"), lambda k, v: F.lower(k) == F.col("label"))), 1)
+    chosen = F.try_element_at(F.map_values(F.map_filter(F.col("_m"), lambda k, v: F.lower(k) == F.col("label"))), F.lit(1))
     return parsed.select(*keep, "label", combined.alias("combined_text"), chosen.alias("chosen_text"))
 
 
