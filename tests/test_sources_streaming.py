@@ -227,3 +227,17 @@ def test_stream_cache_split_and_periodic_counts(spark, tmpdir_run):
     got = sorted((r["period_start"].hour, r["n_changes"]) for r in spark.sql("SELECT * FROM period_out").collect())
     batch = sorted((r["period_start"].hour, r["n_changes"]) for r in G.periodic_changes(reqs, "timestamp", "6 hours").collect())
     assert got == batch == [(0, 3), (6, 1)]
+
+
+def test_reference_log_layouts(spark, tmpdir_run):
+    p1 = os.path.join(tmpdir_run, "feedback_log.csv")
+    with open(p1, "w") as f:
+        f.write('query,answer,source,feedback\nWho is X?,"X is a singer.\nShe has albums, ""Y"" and Z.",0_0.txt,good\n'
+                'Where is R?,"R is in Bavaria.",0_17.txt,bad\n')
+    rows = SF.read_feedback_csv(spark, p1).collect()
+    assert len(rows) == 2 and rows[0]["answer"] == 'X is a singer.\nShe has albums, "Y" and Z.' and rows[1]["source"] == "0_17.txt"
+    p2 = os.path.join(tmpdir_run, "timed.csv")
+    with open(p2, "w") as f:
+        f.write("timestamp,query,answer,feedback\n2025-07-23 10:35:20,q,a,good\n")
+    r = SF.read_feedback_csv(spark, p2, SF.TIMED_FEEDBACK_SCHEMA).collect()[0]
+    assert r["timestamp"] == dt.datetime(2025, 7, 23, 10, 35, 20)

@@ -23,6 +23,10 @@ DELIMITER = "\n---\n"
 PNG_SIGNATURE = "89504E470D0A1A0A"
 JPEG_SIGNATURE = "FFD8FF"
 SNAPSHOT_FORMAT = "%Y%m%d_%H%M%S"
+LOG_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
+# feedback log layouts: the answer log, and the timed log of the adaptive manager
+FEEDBACK_LOG_SCHEMA = T.StructType([T.StructField(n, T.StringType()) for n in ("query", "answer", "source", "feedback")])
+TIMED_FEEDBACK_SCHEMA = T.StructType([T.StructField(n, T.StringType()) for n in ("timestamp", "query", "answer", "feedback")])
 # ---------------------------------------------------------------------------
 
 
@@ -95,10 +99,15 @@ def read_text_dir(spark: SparkSession, path: str) -> DataFrame:
             .where(F.col("text") != ""))
 
 
-def read_feedback_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """CSV log with header and quoted multi-line fields."""
+def read_feedback_csv(spark: SparkSession, path: str, schema: T.StructType | None = FEEDBACK_LOG_SCHEMA) -> DataFrame:
+    """CSV log with header and quoted multi-line fields (explicit
+    schema, no inference pass); a ``timestamp`` column in the log's
+    ``yyyy-MM-dd HH:mm:ss`` text form is parsed to a timestamp."""
     r = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
-    return (r.schema(schema) if schema else r).csv(path)
+    df = (r.schema(schema) if schema else r).csv(path)
+    if "timestamp" in df.columns and dict(df.dtypes)["timestamp"] == "string":
+        df = df.withColumn("timestamp", F.to_timestamp("timestamp", LOG_TIME_FORMAT))
+    return df
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType | str, columns: list[str] | None = None) -> DataFrame:
