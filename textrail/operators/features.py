@@ -145,15 +145,19 @@ def fit_word2vec(df: DataFrame, text_col: str, dim: int = 100, window: int = 5,
 
     from ..functions.text import words
     toks = df.select("*", words(F.col(text_col)).alias("_tokens"))
+    # Spark ML trains on `numPartitions` partitions (default 1: every
+    # sentence through one task); use the session's parallelism instead
+    parts = df.sparkSession.sparkContext.defaultParallelism
     w2v = Word2Vec(vectorSize=dim, windowSize=window, minCount=min_count, seed=seed, maxIter=max_iter,
-                   inputCol="_tokens", outputCol="w2v")
+                   numPartitions=parts, inputCol="_tokens", outputCol="w2v")
     return w2v.fit(toks), toks
 
 
-def word2vec_chunks(df: DataFrame, id_col: str, text_col: str, dim: int = 100, seed: int = 42) -> DataFrame:
+def word2vec_chunks(df: DataFrame, id_col: str, text_col: str, dim: int = 100, seed: int = 42,
+                    max_iter: int = 5) -> DataFrame:
     """V2: ``(id, vector)`` mean Word2Vec vector per chunk."""
     from pyspark.ml.functions import vector_to_array
-    model, toks = fit_word2vec(df, text_col, dim=dim, seed=seed)
+    model, toks = fit_word2vec(df, text_col, dim=dim, seed=seed, max_iter=max_iter)
     return model.transform(toks).select(id_col, vector_to_array("w2v").alias("vector"))
 
 

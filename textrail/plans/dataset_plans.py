@@ -211,20 +211,20 @@ def instruction_texts(spark, sf_dir):
 WITH toks AS (SELECT conv_id, turn, {S.words('text')} AS w FROM conversations),
 vocab AS (SELECT token, CAST(row_number() OVER (ORDER BY token) + 1 AS INTEGER) AS token_id
           FROM (SELECT DISTINCT unnest(w) AS token FROM toks)),
-ex AS (SELECT conv_id, turn, unnest(w[1:16]) AS token, generate_subscripts(w[1:16], 1) AS pos FROM toks),
+ex AS (SELECT conv_id, turn, unnest(w[1:128]) AS token, generate_subscripts(w[1:128], 1) AS pos FROM toks),
 ids AS (SELECT conv_id, turn, list(coalesce(v.token_id, 1) ORDER BY pos) AS arr FROM ex LEFT JOIN vocab v USING (token) GROUP BY ALL),
 b AS (SELECT t.conv_id, t.turn, coalesce(ids.arr, CAST([] AS INTEGER[])) AS arr FROM toks t LEFT JOIN ids USING (conv_id, turn))
-SELECT conv_id, turn, list_concat(arr, list_transform(range(16 - len(arr)), lambda x: 0)) AS input_ids,
-       list_concat(list_transform(range(len(arr)), lambda x: 1), list_transform(range(16 - len(arr)), lambda x: 0)) AS attention_mask,
-       list_concat(arr, list_transform(range(16 - len(arr)), lambda x: 0)) AS labels
+SELECT conv_id, turn, list_concat(arr, list_transform(range(128 - len(arr)), lambda x: 0)) AS input_ids,
+       list_concat(list_transform(range(len(arr)), lambda x: 1), list_transform(range(128 - len(arr)), lambda x: 0)) AS attention_mask,
+       list_concat(arr, list_transform(range(128 - len(arr)), lambda x: 0)) AS labels
 FROM b
 """)
 def encode_turns(spark, sf_dir):
-    """Vocabulary ids, truncation/padding to 16, mask, labels."""
+    """Vocabulary ids, truncation/padding to 128, mask, labels."""
     c = t(spark, sf_dir, "conversations")
     keyed = c.select((F.col("conv_id") * 1000 + F.col("turn")).alias("rid"), "conv_id", "turn", "text")
     vocab = D.build_vocab(keyed, "text")
-    enc = D.encode(keyed, "rid", "text", vocab, max_len=16)
+    enc = D.encode(keyed, "rid", "text", vocab, max_len=128)
     return keyed.select("rid", "conv_id", "turn").join(enc, "rid").drop("rid")
 
 
