@@ -15,7 +15,6 @@ Stand-ins from the driver tables (the same mapping in the SQL twins):
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
