@@ -241,3 +241,14 @@ def test_reference_log_layouts(spark, tmpdir_run):
         f.write("timestamp,query,answer,feedback\n2025-07-23 10:35:20,q,a,good\n")
     r = SF.read_feedback_csv(spark, p2, SF.TIMED_FEEDBACK_SCHEMA).collect()[0]
     assert r["timestamp"] == dt.datetime(2025, 7, 23, 10, 35, 20)
+
+
+def test_trigger_ignored_while_training():
+    st = TR.TriggerState()
+    fires = [st.step(float(i), True, training_seconds=10.0) for i in range(26)]
+    assert fires[19] == ("threshold", 20)
+    assert all(f is None for f in fires[20:26])       # 20..25 s: training runs 19..29 s, triggers ignored
+    st2 = TR.TriggerState()
+    out = [st2.step(float(i), True, training_seconds=10.0) for i in range(20)]
+    out += [st2.step(29.0, True, training_seconds=10.0)]   # training over at 29: counter reset, this is bad #1
+    assert out[-1] is None and st2.bad == 1 and st2.last_train == 29.0

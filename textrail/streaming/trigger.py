@@ -11,7 +11,11 @@ checked in order; the first that holds fires a (re)training:
    buffer is never cleared, so the first 10 stay fixed).
 
 On a fire the bad counter resets to 0 and the training time becomes the
-event time (training is treated as instantaneous).  Event time comes from
+event time (training is treated as instantaneous).  With
+``training_seconds > 0`` a training instead runs for that long: triggers
+during it are ignored, and at its end the bad counter resets (dropping the
+bad feedback counted meanwhile) and the training time becomes the end
+time, as in the reference's background training.  Event time comes from
 the rows, never from the wall clock.  ``strict_reference=True`` measures
 the interval like ``timedelta.seconds`` (whole days dropped).
 
@@ -56,6 +60,7 @@ STATE_SCHEMA = T.StructType([
     T.StructField("n", T.LongType()),
     T.StructField("first", T.StringType()),
     T.StructField("recent", T.StringType()),
+    T.StructField("busy_until", T.DoubleType()),
 ])
 
 
@@ -66,10 +71,16 @@ class TriggerState:
     n: int = 0
     first: list = field(default_factory=list)
     recent: list = field(default_factory=list)
+    busy_until: float | None = None      # end of a running training
 
-    def step(self, ts: float, is_bad: bool, strict_reference: bool = False) -> tuple[str, int] | None:
+    def step(self, ts: float, is_bad: bool, strict_reference: bool = False,
+             training_seconds: float = 0.0) -> tuple[str, int] | None:
         if self.last_train is None:
             self.last_train = ts
+        if self.busy_until is not None and ts >= self.busy_until:
+            self.bad = 0                       # the running training completed
+            self.last_train = self.busy_until
+            self.busy_until = None
         self.n += 1
         if is_bad:
             self.bad += 1
@@ -88,21 +99,25 @@ class TriggerState:
             reason = "interval"
         elif self.n > 2 * WINDOW and (sum(self.recent) / len(self.recent)) > (sum(self.first) / len(self.first)) * DEGRADATION_FACTOR:
             reason = "degradation"
-        if reason is None:
-            return None
+        if reason is None or self.busy_until is not None:
+            return None                        # nothing fired, or ignored while training
         fired_bad = self.bad
-        self.bad = 0
-        self.last_train = ts
+        if training_seconds > 0:
+            self.busy_until = ts + training_seconds
+        else:
+            self.bad = 0
+            self.last_train = ts
         return reason, fired_bad
 
     def to_row(self) -> tuple:
-        return (self.bad, self.last_train, self.n, ",".join(map(str, self.first)), ",".join(map(str, self.recent)))
+        return (self.bad, self.last_train, self.n, ",".join(map(str, self.first)), ",".join(map(str, self.recent)),
+                self.busy_until)
 
     @classmethod
     def from_row(cls, row) -> "TriggerState":
         def ints(s):
             return [int(x) for x in s.split(",")] if s else []
-        return cls(int(row[0]), row[1], int(row[2]), ints(row[3]), ints(row[4]))
+        return cls(int(row[0]), row[1], int(row[2]), ints(row[3]), ints(row[4]), row[5])
 
 
 def _out_row(key, eid, ts, reason, bad):
@@ -116,7 +131,8 @@ def _prepare(df: DataFrame, key: str, ts: str, event_id: str, bad: F.Column) ->
 
 
 def retrain_trigger_batch(df: DataFrame, key: str, ts: str, event_id: str, bad: F.Column,
-                          strict_reference: bool = False, partitions: int | None = None) -> DataFrame:
+                          strict_reference: bool = False, partitions: int | None = None,
+                          training_seconds: float = 0.0) -> DataFrame:
     """Batch twin of the trigger: one row per fired training.
 
     Rows are hash-partitioned by key and sorted within partitions by
@@ -135,7 +151,7 @@ def retrain_trigger_batch(df: DataFrame, key: str, ts: str, event_id: str, bad:
             for k, eid, t, b in zip(pdf["key"], pdf["event_id"], pdf["ts"], pdf["is_bad"]):
                 if k != cur_key:
                     cur_key, state = k, TriggerState()
-                fired = state.step(pd.Timestamp(t).timestamp(), bool(b), strict_reference)
+                fired = state.step(pd.Timestamp(t).timestamp(), bool(b), strict_reference, training_seconds)
                 if fired:
                     out.append(_out_row(k, int(eid), t, fired[0], fired[1]))
             yield pd.DataFrame(out, columns=OUTPUT_SCHEMA.fieldNames())
@@ -144,7 +160,8 @@ def retrain_trigger_batch(df: DataFrame, key: str, ts: str, event_id: str, bad:
 
 
 def retrain_trigger_stream(sdf: DataFrame, key: str, ts: str, event_id: str, bad: F.Column,
-                           strict_reference: bool = False, watermark: str = "1 hour") -> DataFrame:
+                           strict_reference: bool = False, watermark: str = "1 hour",
+                           training_seconds: float = 0.0) -> DataFrame:
     """Streaming trigger with ``applyInPandasWithState`` (append mode).
 
     Rows of a key inside one micro-batch are processed in (ts, event_id)
@@ -159,7 +176,7 @@ def retrain_trigger_stream(sdf: DataFrame, key: str, ts: str, event_id: str, bad
         if frames:
             pdf = pd.concat(frames).sort_values(["ts", "event_id"])
             for eid, t, b in zip(pdf["event_id"], pdf["ts"], pdf["is_bad"]):
-                fired = st.step(pd.Timestamp(t).timestamp(), bool(b), strict_reference)
+                fired = st.step(pd.Timestamp(t).timestamp(), bool(b), strict_reference, training_seconds)
                 if fired:
                     out.append(_out_row(k[0], int(eid), t, fired[0], fired[1]))
         state.update(st.to_row())
