@@ -1,0 +1,52 @@
+"""Property tests: Spark column functions vs Python's str semantics on
+random Unicode text (one Spark job per batch of generated strings)."""
+
+import re
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from textrail.functions import text as T
+from textrail.operators import features as FE
+
+ALPHABET = st.sampled_from(list("abcXYZ éüß09_.,!?-'\"[]()") + ["\n", "\t", "\r", "\xa0", "　", " ",
+                                                               "\x0b", "\x1c", "�", "\U0001F600"])
+TEXTS = st.lists(st.text(alphabet=ALPHABET, max_size=60), min_size=30, max_size=60)
+CFG = settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+
+
+def _run(spark, texts, fn):
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, x string")
+    return [r[1] for r in df.select("i", fn("x").alias("y")).orderBy("i").collect()]
+
+
+@CFG
+@given(TEXTS)
+def test_words_and_strip(spark, texts):
+    assert [list(w) for w in _run(spark, texts, T.words)] == [t.split() for t in texts]
+    assert _run(spark, texts, T.strip) == [t.strip() for t in texts]
+
+
+@CFG
+@given(TEXTS)
+def test_tfidf_tokens(spark, texts):
+    assert [list(w) for w in _run(spark, texts, FE.tokens)] == [re.findall(r"(?u)\b\w\w+\b", t.lower()) for t in texts]
+
+
+@CFG
+@given(TEXTS)
+def test_clean_ascii(spark, texts):
+    def py(text):
+        text = str(text).strip()
+        text = re.sub(r"\s+", " ", text)
+        return re.sub(r"[^\x00-\x7F]+", "", text)
+    assert _run(spark, texts, T.clean_ascii) == [py(t) for t in texts]
+
+
+@CFG
+@given(TEXTS)
+def test_clean_rule_sets(spark, texts):
+    from test_text import py_clean_ocr, py_clean_scan
+    texts = [t + " page 4 of 9 https://x.y/z source tail" if i % 3 == 0 else t for i, t in enumerate(texts)]
+    assert _run(spark, texts, T.clean_scan) == [py_clean_scan(t) for t in texts]
+    assert _run(spark, texts, T.clean_ocr) == [py_clean_ocr(t) for t in texts]
