@@ -84,22 +84,60 @@ def sparse_cosine(a: DataFrame, b: DataFrame, a_id: str, b_id: str, pairs: DataF
             .select(F.col("_a").alias(a_id), F.col("_b").alias(b_id), F.coalesce("cosine", F.lit(0.0)).alias("cosine")))
 
 
-def _sparse_block(k: int):
+def _sparse_block(k: int, query_chunk: int = 64):
+    """Score one (query block, document block) pair exactly.
+
+    The document block becomes an inverted index (term -> postings); queries
+    are scored ``query_chunk`` at a time into a dense ``chunk x docs``
+    accumulator by adding, for every query term, the outer product of the
+    query weights and that term's postings.  Memory is bounded by the chunk
+    size times the block's documents, however common a term is."""
+    empty = {"query_id": pd.Series([], dtype="int64"), "doc_id": pd.Series([], dtype="int64"),
+             "score": pd.Series([], dtype="float64")}
+
     def fn(docs: pd.DataFrame, qs: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"query_id": pd.Series([], dtype="int64"), "doc_id": pd.Series([], dtype="int64"),
-                              "score": pd.Series([], dtype="float64")})
         if len(docs) == 0 or len(qs) == 0:
-            return empty
-        m = qs.merge(docs, on="term")
-        if m.empty:
-            return empty
-        m["p"] = m["qw"] * m["dw"]
-        s = m.groupby(["query_id", "doc_id"], sort=False)["p"].sum().reset_index()
-        s["key"] = s["p"].round(9)   # float summation order must not decide ties
-        s = s.sort_values(["query_id", "key", "doc_id"], ascending=[True, False, True])
-        s = s.groupby("query_id", sort=False).head(k)
-        return pd.DataFrame({"query_id": s["query_id"].astype("int64"), "doc_id": s["doc_id"].astype("int64"),
-                             "score": s["p"].astype("float64")})
+            return pd.DataFrame(empty)
+        doc_ids, d_idx = np.unique(docs["doc_id"].to_numpy(dtype=np.int64), return_inverse=True)
+        order = np.argsort(docs["term"].to_numpy(dtype=object), kind="stable")
+        terms_sorted = docs["term"].to_numpy(dtype=object)[order]
+        d_sorted = d_idx[order]
+        w_sorted = docs["dw"].to_numpy(dtype=np.float64)[order]
+        uniq, starts = np.unique(terms_sorted, return_index=True)
+        ends = np.append(starts[1:], len(terms_sorted))
+        postings = {t: (st_, en) for t, st_, en in zip(uniq, starts, ends)}
+        q_ids, q_idx = np.unique(qs["query_id"].to_numpy(dtype=np.int64), return_inverse=True)
+        q_terms = qs["term"].to_numpy(dtype=object)
+        q_w = qs["qw"].to_numpy(dtype=np.float64)
+        kk = min(k, len(doc_ids))
+        out_q, out_d, out_s = [], [], []
+        for lo in range(0, len(q_ids), query_chunk):
+            hi = min(lo + query_chunk, len(q_ids))
+            rows = np.nonzero((q_idx >= lo) & (q_idx < hi))[0]
+            scores = np.zeros((hi - lo, len(doc_ids)))
+            by_term: dict = {}
+            for r in rows:
+                by_term.setdefault(q_terms[r], []).append(r)
+            for term, rs in by_term.items():
+                span = postings.get(term)
+                if span is None:
+                    continue
+                st_, en = span
+                rs = np.asarray(rs)
+                scores[np.ix_(q_idx[rs] - lo, d_sorted[st_:en])] += np.outer(q_w[rs], w_sorted[st_:en])
+            key = np.round(scores, 9)          # summation order must not decide ties
+            for i in range(hi - lo):
+                pos = np.nonzero(scores[i] > 0)[0]   # only documents sharing a term
+                if pos.size == 0:
+                    continue
+                best = pos[np.lexsort((doc_ids[pos], -key[i, pos]))][:kk]
+                out_q.append(np.full(best.size, q_ids[lo + i], dtype=np.int64))
+                out_d.append(doc_ids[best])
+                out_s.append(scores[i, best])
+        if not out_q:
+            return pd.DataFrame(empty)
+        return pd.DataFrame({"query_id": np.concatenate(out_q), "doc_id": np.concatenate(out_d),
+                             "score": np.concatenate(out_s)})
     return fn
 
 
