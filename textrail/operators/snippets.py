@@ -35,12 +35,12 @@ def best_snippet(hits: DataFrame, docs: DataFrame, queries: DataFrame, doc_id: s
              .select("query_id", "rank", doc_id, F.posexplode(F.split(F.col(text_col), SENTENCE_END)).alias("sent_no", "sentence")))
     if min_len > 0:
         sents = sents.withColumn("sentence", strip(F.col("sentence"))).where(F.length("sentence") >= min_len)
-    sents = sents.withColumn("_sid", F.concat_ws(":", F.col("query_id").cast("string"), F.col("rank").cast("string"),
-                                                  F.col("sent_no").cast("string")))
+    # a struct key carries the query id, so no join is needed to get it back
+    sents = sents.withColumn("_sid", F.struct("query_id", "rank", "sent_no"))
     sv = FE.tfidf(sents.select("_sid", "sentence"), "_sid", "sentence", fit=idf)
     qv = FE.tfidf(queries, "query_id", text_col, fit=idf).select("query_id", "term", F.col("weight").alias("_qw"))
-    sv = sv.join(sents.select("_sid", "query_id"), "_sid")
-    sc = (sv.join(qv, ["query_id", "term"]).groupBy("_sid").agg(F.sum(F.col("weight") * F.col("_qw")).alias("_score")))
+    sc = (sv.withColumn("query_id", F.col("_sid.query_id")).join(qv, ["query_id", "term"])
+          .groupBy("_sid").agg(F.sum(F.col("weight") * F.col("_qw")).alias("_score")))
     scored = sents.join(sc, "_sid", "left").withColumn("score", F.coalesce("_score", F.lit(0.0)))
     w = Window.partitionBy("query_id").orderBy(F.round("score", 9).desc(), F.col("rank").asc(), F.col("sent_no").asc())
     best = (scored.withColumn("_r", F.row_number().over(w)).where(F.col("_r") == 1)
