@@ -231,22 +231,91 @@ def chunk_counts_docs(spark, sf_dir):
     return C.chunk_counts(chunk_fixed100(spark, sf_dir), "doc_id")
 
 
-# ---------------------------------------------------------------- folds (rows-only)
+# ---------------------------------------------------------------- folds (recursive SQL twins)
 
 
-@register("chunk_sentence_pack")
+def _sql_sentences(src: str) -> str:
+    """Sentences (split after . ! ? plus spaces) with 1-based index."""
+    return f"""SELECT doc_id, unnest(sp) AS sentence, generate_subscripts(sp, 1) AS i FROM (
+        SELECT doc_id, string_split(regexp_replace(text, '([.!?]) +', '\\1' || chr(1), 'g'), chr(1)) AS sp FROM ({src}))"""
+
+
+def _sql_fold_chunks(steps: str, final: str) -> str:
+    """Emitted chunks of a recursive fold ``r(doc_id, i, ..., emitted)`` plus
+    the final carried chunk, numbered per document."""
+    return f"""
+    em AS (SELECT doc_id, i AS pos, emitted AS chunk_text FROM r WHERE emitted IS NOT NULL
+           UNION ALL
+           SELECT doc_id, i + 1 AS pos, {final} AS chunk_text FROM r
+           WHERE (doc_id, i) IN (SELECT doc_id, max(i) FROM r GROUP BY doc_id) AND {steps})
+    SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY pos) - 1 AS BIGINT) AS chunk_no, chunk_text,
+           CAST(len({S.words('chunk_text')}) AS BIGINT) AS n_tokens FROM em"""
+
+
+def _sql_sentence_pack(src: str, size: int, overlap: int) -> str:
+    return f"""
+    WITH RECURSIVE s AS (SELECT doc_id, i, {S.words('sentence')} AS toks FROM ({_sql_sentences(src)})),
+    r AS (
+      SELECT DISTINCT doc_id, 0 AS i, CAST([] AS VARCHAR[]) AS cur, CAST(NULL AS VARCHAR) AS emitted FROM s
+      UNION ALL
+      SELECT r.doc_id, s.i,
+        CASE WHEN len(r.cur) + len(s.toks) <= {size} THEN list_concat(r.cur, s.toks)
+             ELSE list_concat(CASE WHEN {overlap} < len(r.cur) THEN r.cur[-{overlap}:] ELSE r.cur END, s.toks) END,
+        CASE WHEN len(r.cur) + len(s.toks) <= {size} THEN NULL ELSE array_to_string(r.cur, ' ') END
+      FROM r JOIN s ON s.doc_id = r.doc_id AND s.i = r.i + 1),
+    {_sql_fold_chunks("len(cur) > 0", "array_to_string(cur, ' ')")}"""
+
+
+def _sql_dynamic_pack(src: str, size: int) -> str:
+    return f"""
+    WITH RECURSIVE s AS (SELECT doc_id, i, {S.words('sentence')} AS toks FROM ({_sql_sentences(src)})),
+    r AS (
+      SELECT DISTINCT doc_id, 0 AS i, CAST([] AS VARCHAR[]) AS cur, CAST(NULL AS VARCHAR) AS emitted FROM s
+      UNION ALL
+      SELECT r.doc_id, s.i,
+        CASE WHEN len(r.cur) + len(s.toks) > {size} THEN s.toks ELSE list_concat(r.cur, s.toks) END,
+        CASE WHEN len(r.cur) + len(s.toks) > {size} AND len(r.cur) > 0 THEN array_to_string(r.cur, ' ') END
+      FROM r JOIN s ON s.doc_id = r.doc_id AND s.i = r.i + 1),
+    {_sql_fold_chunks("len(cur) > 0", "array_to_string(cur, ' ')")}"""
+
+
+def _sql_sentence_overlap(src: str, max_words: int, overlap: int) -> str:
+    nw = f"len({S.words('x')})"
+    return f"""
+    WITH RECURSIVE s AS (SELECT doc_id, i, {S.strip('sentence')} AS sent FROM ({_sql_sentences(src)})),
+    s2 AS (SELECT doc_id, i, sent, len({S.words('sent')}) AS w FROM s),
+    r AS (
+      SELECT DISTINCT doc_id, 0 AS i, CAST([] AS VARCHAR[]) AS cur, CAST(0 AS BIGINT) AS ln, CAST(NULL AS VARCHAR) AS emitted FROM s2
+      UNION ALL
+      SELECT r.doc_id, s2.i,
+        CASE WHEN r.ln + s2.w > {max_words}
+             THEN list_append(CASE WHEN len(r.cur) > {overlap} THEN r.cur[-{overlap}:] ELSE r.cur END, s2.sent)
+             ELSE list_append(r.cur, s2.sent) END,
+        CASE WHEN r.ln + s2.w > {max_words}
+             THEN CAST(coalesce(list_sum(list_transform(CASE WHEN len(r.cur) > {overlap} THEN r.cur[-{overlap}:] ELSE r.cur END,
+                                                        lambda x: {nw})), 0) AS BIGINT) + s2.w
+             ELSE r.ln + s2.w END,
+        CASE WHEN r.ln + s2.w > {max_words} THEN array_to_string(r.cur, ' ') END
+      FROM r JOIN s2 ON s2.doc_id = r.doc_id AND s2.i = r.i + 1),
+    {_sql_fold_chunks("len(cur) > 0", "array_to_string(cur, ' ')")}"""
+
+
+_CLEANED_SRC = f"SELECT doc_id, text FROM ({_sql_ocr_clean_docs()}) WHERE text <> ''"
+
+
+@register("chunk_sentence_pack", sql=_sql_sentence_pack(_CLEANED_SRC, 500, 50))
 def chunk_sentence_pack(spark, sf_dir):
     """Sentence packing to 500 tokens with 50-token carry-over."""
     return C.sentence_pack(cleaned_docs(spark, sf_dir), "doc_id", "text", 500, 50)
 
 
-@register("chunk_dynamic_pack")
+@register("chunk_dynamic_pack", sql=_sql_dynamic_pack("SELECT doc_id, text FROM documents", 512))
 def chunk_dynamic_pack(spark, sf_dir):
     """Sentence packing to 512 tokens, no overlap."""
     return C.dynamic_pack(t(spark, sf_dir, "documents", ["doc_id", "text"]), "doc_id", "text", 512)
 
 
-@register("chunk_sentence_overlap")
+@register("chunk_sentence_overlap", sql=_sql_sentence_overlap("SELECT doc_id, text FROM documents", 120, 20))
 def chunk_sentence_overlap(spark, sf_dir):
     """C4: 120-word chunks carrying the last 20 sentences."""
     return C.sentence_overlap(t(spark, sf_dir, "documents", ["doc_id", "text"]), "doc_id", "text", 120, 20)
