@@ -321,7 +321,41 @@ def chunk_sentence_overlap(spark, sf_dir):
     return C.sentence_overlap(t(spark, sf_dir, "documents", ["doc_id", "text"]), "doc_id", "text", 120, 20)
 
 
-@register("chunk_recursive_chars")
+def _sql_recursive_chars(src: str, size: int, overlap: int) -> str:
+    """C8 fold: per step, emit the carried pieces when the next piece does
+    not fit, then keep the shortest-popped suffix that satisfies the carry
+    rule (the rule is monotone in the number of popped pieces)."""
+    # total characters of cur[j+1:] joined by the separator (0 when empty)
+    suf = ("(CASE WHEN len(cur) - j >= 1 THEN coalesce(list_sum(list_transform(cur[j + 1:], lambda x: length(x))), 0)"
+           " + slen * (len(cur) - j - 1) ELSE 0 END)")
+    keep_j = (f"list_min(list_filter(range(0, len(cur) + 1), lambda j: NOT ({suf} > {overlap} OR "
+              f"({suf} + plen + CASE WHEN len(cur) - j > 0 THEN slen ELSE 0 END > {size} AND {suf} > 0))))")
+    tot = "(CASE WHEN len(cur) >= 1 THEN coalesce(list_sum(list_transform(cur, lambda x: length(x))), 0) + slen * (len(cur) - 1) ELSE 0 END)"
+    return f"""
+    WITH RECURSIVE d AS (
+      SELECT doc_id, text, CASE WHEN contains(text, chr(10) || chr(10)) THEN chr(10) || chr(10)
+                                WHEN contains(text, chr(10)) THEN chr(10) WHEN contains(text, ' ') THEN ' ' ELSE '' END AS sep
+      FROM ({src}) WHERE text IS NOT NULL),
+    p AS (SELECT doc_id, sep, length(sep) AS slen, unnest(pc) AS piece, generate_subscripts(pc, 1) AS i FROM (
+            SELECT doc_id, sep, list_filter(string_split(text, sep), lambda x: x <> '') AS pc FROM d)),
+    r AS (
+      SELECT DISTINCT doc_id, sep, slen, 0 AS i, CAST([] AS VARCHAR[]) AS cur, CAST(NULL AS VARCHAR) AS emitted FROM p
+      UNION ALL
+      SELECT doc_id, sep, slen, i, CASE WHEN emit THEN list_append(cur[kj + 1:], piece) ELSE list_append(cur, piece) END,
+             CASE WHEN emit AND {S.strip("(CASE WHEN len(cur) = 0 THEN '' ELSE list_reduce(cur, lambda a, b: a || sep || b) END)")} <> '' THEN {S.strip("(CASE WHEN len(cur) = 0 THEN '' ELSE list_reduce(cur, lambda a, b: a || sep || b) END)")} END
+      FROM (SELECT r.doc_id, r.sep, r.slen, p.i, r.cur, p.piece, length(p.piece) AS plen,
+                   (len(r.cur) > 0 AND {tot.replace('cur', 'r.cur').replace('slen', 'r.slen')} + length(p.piece) + r.slen > {size}) AS emit
+            FROM r JOIN p ON p.doc_id = r.doc_id AND p.i = r.i + 1) x,
+      LATERAL (SELECT {keep_j} AS kj))
+    , em AS (SELECT doc_id, i AS pos, emitted AS chunk_text FROM r WHERE emitted IS NOT NULL
+             UNION ALL
+             SELECT doc_id, i + 1, {S.strip("(CASE WHEN len(cur) = 0 THEN '' ELSE list_reduce(cur, lambda a, b: a || sep || b) END)")} FROM r
+             WHERE (doc_id, i) IN (SELECT doc_id, max(i) FROM r GROUP BY doc_id) AND {S.strip("(CASE WHEN len(cur) = 0 THEN '' ELSE list_reduce(cur, lambda a, b: a || sep || b) END)")} <> '')
+    SELECT doc_id, CAST(rn - 1 AS BIGINT) AS chunk_no, concat('chunk_', CAST(rn AS VARCHAR)) AS chunk_id, chunk_text FROM (
+      SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS rn FROM em)"""
+
+
+@register("chunk_recursive_chars", sql=_sql_recursive_chars("SELECT doc_id, text FROM documents", 1000, 100))
 def chunk_recursive_chars(spark, sf_dir):
     """Separator-aware 1000-char chunks with 100-char overlap."""
     return C.recursive_chars(t(spark, sf_dir, "documents", ["doc_id", "text"]), "doc_id", "text", 1000, 100)
