@@ -41,16 +41,14 @@ FROM fold f JOIN win w ON w.key = f.key AND w.i = f.i WHERE f.reason IS NOT NULL
 def retrain_trigger_fold(spark, sf_dir):
     """G3 batch twin: trigger decisions per user over the ordered events."""
     e = t(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type"])
-    out = TR.retrain_trigger_batch(e, "user_id", "ts", "event_id", F.col("event_type") == "error")
-    return out.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    return TR.retrain_trigger_batch(e, "user_id", "ts", "event_id", F.col("event_type") == "error")
 
 
 @register("retrain_trigger_strict", sql=_sql_trigger(True))
 def retrain_trigger_strict(spark, sf_dir):
     """G3 with the reference's ``timedelta.seconds`` interval quirk."""
     e = t(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type"])
-    out = TR.retrain_trigger_batch(e, "user_id", "ts", "event_id", F.col("event_type") == "error", strict_reference=True)
-    return out.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    return TR.retrain_trigger_batch(e, "user_id", "ts", "event_id", F.col("event_type") == "error", strict_reference=True)
 
 
 @register("periodic_changes", sql="""
@@ -59,10 +57,10 @@ SELECT time_bucket(INTERVAL '6 hours', ts) AS period_start, time_bucket(INTERVAL
 """)
 def periodic_changes(spark, sf_dir):
     """G4 batch twin: change counts per 6-hour period and change kind."""
+    # event time stays timestamp_ntz: windows are cut on the wall-clock
+    # value, independent of the session time zone
     e = t(spark, sf_dir, "events", ["ts", "event_type"])
-    return G.periodic_changes(e.withColumn("ts", F.col("ts").cast("timestamp")), "ts", "6 hours", kind="event_type").select(
-        F.col("period_start").cast("timestamp_ntz").alias("period_start"), F.col("period_end").cast("timestamp_ntz").alias("period_end"),
-        "event_type", "n_changes")
+    return G.periodic_changes(e, "ts", "6 hours", kind="event_type")
 
 
 @register("job_counters", sql="""

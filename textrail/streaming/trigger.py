@@ -47,7 +47,7 @@ TRAINING_PARAMS = {"degradation": (2e-5, 5), "other": (1e-5, 3)}
 OUTPUT_SCHEMA = T.StructType([
     T.StructField("key", T.StringType()),
     T.StructField("event_id", T.LongType()),
-    T.StructField("ts", T.TimestampType()),
+    T.StructField("ts", T.TimestampNTZType()),
     T.StructField("reason", T.StringType()),
     T.StructField("bad_count", T.LongType()),
     T.StructField("learning_rate", T.DoubleType()),
@@ -126,8 +126,10 @@ def _out_row(key, eid, ts, reason, bad):
 
 
 def _prepare(df: DataFrame, key: str, ts: str, event_id: str, bad: F.Column) -> DataFrame:
+    # event time as timestamp_ntz: the rules see wall-clock seconds, whatever
+    # the session time zone (no daylight-saving jumps in the differences)
     return df.select(F.col(key).cast("string").alias("key"), F.col(event_id).cast("long").alias("event_id"),
-                     F.col(ts).cast("timestamp").alias("ts"), bad.cast("boolean").alias("is_bad"))
+                     F.col(ts).cast("timestamp_ntz").alias("ts"), bad.cast("boolean").alias("is_bad"))
 
 
 def retrain_trigger_batch(df: DataFrame, key: str, ts: str, event_id: str, bad: F.Column,
@@ -167,7 +169,10 @@ def retrain_trigger_stream(sdf: DataFrame, key: str, ts: str, event_id: str, bad
     Rows of a key inside one micro-batch are processed in (ts, event_id)
     order; the watermark bounds how late an event may arrive.
     """
-    prepared = _prepare(sdf, key, ts, event_id, bad).withWatermark("ts", watermark)
+    # watermarks need a zoned timestamp: a separate column bounds lateness
+    # while the rules keep reading the wall-clock value
+    prepared = (_prepare(sdf, key, ts, event_id, bad)
+                .withColumn("_wm", F.col("ts").cast("timestamp")).withWatermark("_wm", watermark))
 
     def fn(k, pdfs, state):
         st = TriggerState.from_row(state.get) if state.exists else TriggerState()
