@@ -182,10 +182,10 @@ def _sql_synth_templates() -> str:
 
 @register("adaptive_training_set", sql=f"""
 WITH pc AS (SELECT category FROM {_CAT_SQL} WHERE total > 0 AND bad / total > 0.18)
-SELECT tpl.query, tpl.answer, 1.0 AS reward, concat('synthetic_', pc.category) AS category
+SELECT tpl.query, tpl.answer, CAST(1.0 AS DOUBLE) AS reward, concat('synthetic_', pc.category) AS category
 FROM pc JOIN {_sql_synth_templates()} ON tpl.cat = pc.category
 UNION ALL
-SELECT query, answer, CASE WHEN lower({S.strip('feedback')}) = 'good' THEN 1.0 ELSE 0.0 END, 'real_feedback' FROM {FB_SQL}
+SELECT query, answer, CAST(CASE WHEN lower({S.strip('feedback')}) = 'good' THEN 1.0 ELSE 0.0 END AS DOUBLE), 'real_feedback' FROM {FB_SQL}
 """)
 def adaptive_training_set(spark, sf_dir):
     """B5 + B11 (+A6, T23): synthetic template data for problem categories
@@ -214,9 +214,9 @@ vocab AS (SELECT token, CAST(row_number() OVER (ORDER BY token) + 1 AS INTEGER)
 ex AS (SELECT conv_id, turn, unnest(w[1:128]) AS token, generate_subscripts(w[1:128], 1) AS pos FROM toks),
 ids AS (SELECT conv_id, turn, list(coalesce(v.token_id, 1) ORDER BY pos) AS arr FROM ex LEFT JOIN vocab v USING (token) GROUP BY ALL),
 b AS (SELECT t.conv_id, t.turn, coalesce(ids.arr, CAST([] AS INTEGER[])) AS arr FROM toks t LEFT JOIN ids USING (conv_id, turn))
-SELECT conv_id, turn, list_concat(arr, list_transform(range(128 - len(arr)), lambda x: 0)) AS input_ids,
-       list_concat(list_transform(range(len(arr)), lambda x: 1), list_transform(range(128 - len(arr)), lambda x: 0)) AS attention_mask,
-       list_concat(arr, list_transform(range(128 - len(arr)), lambda x: 0)) AS labels
+SELECT conv_id, turn, array_to_string(list_concat(arr, list_transform(range(128 - len(arr)), lambda x: 0)), ' ') AS input_ids,
+       array_to_string(list_concat(list_transform(range(len(arr)), lambda x: 1), list_transform(range(128 - len(arr)), lambda x: 0)), ' ') AS attention_mask,
+       array_to_string(list_concat(arr, list_transform(range(128 - len(arr)), lambda x: 0)), ' ') AS labels
 FROM b
 """)
 def encode_turns(spark, sf_dir):
@@ -225,7 +225,9 @@ def encode_turns(spark, sf_dir):
     keyed = c.select((F.col("conv_id") * 1000 + F.col("turn")).alias("rid"), "conv_id", "turn", "text")
     vocab = D.build_vocab(keyed, "text")
     enc = D.encode(keyed, "rid", "text", vocab, max_len=128)
-    return keyed.select("rid", "conv_id", "turn").join(enc, "rid").drop("rid")
+    # arrays rendered as space-joined ids for the comparison with SQL
+    as_text = [F.array_join(F.col(c).cast("array<string>"), " ").alias(c) for c in ("input_ids", "attention_mask", "labels")]
+    return keyed.select("rid", "conv_id", "turn").join(enc, "rid").select("conv_id", "turn", *as_text)
 
 
 @register("pack_blocks", sql=f"""
@@ -233,12 +235,13 @@ WITH toks AS (SELECT doc_id, {S.words('text')} AS w FROM documents),
 off AS (SELECT doc_id, w, coalesce(sum(len(w)) OVER (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS o FROM toks),
 ex AS (SELECT o + generate_subscripts(w, 1) - 1 AS gpos, unnest(w) AS tok FROM off),
 bl AS (SELECT CAST(floor(gpos / 128) AS BIGINT) AS block_no, list(tok ORDER BY gpos) AS tokens FROM ex GROUP BY 1)
-SELECT block_no, tokens FROM bl WHERE len(tokens) = 128
+SELECT block_no, array_to_string(tokens, ' ') AS tokens FROM bl WHERE len(tokens) = 128
 """)
 def pack_blocks(spark, sf_dir):
     """All document token streams packed into 128-token blocks."""
     d = t(spark, sf_dir, "documents", ["doc_id", "text"])
-    return D.pack(d.select("doc_id", T.words("text").alias("toks")), "doc_id", "toks", 128)
+    blocks = D.pack(d.select("doc_id", T.words("text").alias("toks")), "doc_id", "toks", 128)
+    return blocks.select("block_no", F.array_join("tokens", " ").alias("tokens"))  # tokens hold no spaces
 
 
 @register("prompt_variants", sql=_CTX_SQL + f"""
@@ -255,7 +258,7 @@ def prompt_variants(spark, sf_dir):
 WITH h AS ({_sql_query_topk(2)}),
 hits AS (SELECT h.query_id, h.rank, d.text AS chunk_text FROM h JOIN documents d USING (doc_id)),
 rc AS (SELECT query_id, list(chunk_text ORDER BY rank) AS retrieved_chunks FROM hits GROUP BY query_id)
-SELECT b.item_id AS query_id, b.text AS query, rc.retrieved_chunks,
+SELECT b.item_id AS query_id, b.text AS query, array_to_string(rc.retrieved_chunks, chr(30)) AS retrieved_chunks,
        CASE WHEN rc.retrieved_chunks IS NULL THEN 'I''m sorry, I could not find an answer.'
             ELSE concat(split_part(rc.retrieved_chunks[1], '. ', 1), '.') END AS answer,
        CASE WHEN rc.retrieved_chunks IS NULL THEN 'fallback' ELSE 'extractive' END AS model_used,
@@ -273,4 +276,6 @@ def query_log(spark, sf_dir):
                .withColumn("answer", F.coalesce("a1", F.lit("I'm sorry, I could not find an answer.")))
                .withColumn("model_used", F.when(F.col("a1").isNull(), F.lit("fallback")).otherwise(F.lit("extractive")))
                .drop("a1"))
-    return D.query_log(qs, hits, answers, ts=F.lit(LOG_TS).cast("timestamp_ntz"))
+    log = D.query_log(qs, hits, answers, ts=F.lit(LOG_TS).cast("timestamp_ntz"))
+    # chunk list rendered with a record separator for the comparison with SQL
+    return log.withColumn("retrieved_chunks", F.array_join("retrieved_chunks", "\x1e"))

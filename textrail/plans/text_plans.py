@@ -323,7 +323,7 @@ def parse_choices_events(spark, sf_dir):
 SELECT event_id,
   CASE fb WHEN 'good' THEN 1 WHEN 'bad' THEN 0 END AS label_good_bad,
   CASE WHEN contains(fb2, 'Yes') THEN 1 ELSE 0 END AS label_yes,
-  CASE WHEN lower(regexp_replace(fb3, '^\\s+|\\s+$', '', 'g')) = 'good' THEN 1.0 ELSE 0.0 END AS reward
+  CAST(CASE WHEN lower(regexp_replace(fb3, '^\\s+|\\s+$', '', 'g')) = 'good' THEN 1.0 ELSE 0.0 END AS DOUBLE) AS reward
 FROM (SELECT event_id,
         CASE event_type WHEN 'purchase' THEN 'good' WHEN 'error' THEN 'bad' ELSE event_type END AS fb,
         CASE WHEN event_type IN ('purchase', 'signup') THEN 'Yes, great' ELSE 'No' END AS fb2,
