@@ -3,15 +3,22 @@ fallback chains, candidate sets and vote parsing (J9-J14, W6)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import strip
+from ..functions.text import strip, uniform_hash
 
 # --- fixed values ----------------------------------------------------------
 CHOICE_KEYS = ("TinyLLaMA", "Direct", "Variant")
 SNIPPET_ANSWER_PREFIX = "Based on the documents, here is some info:\n"
 NO_ANSWER = "No answer found."
+APOLOGIES = (
+    "I'm sorry, I couldn't find a helpful answer. Could you rephrase your question?",
+    "Hmm... I didn’t quite get that. Can you ask it in a different way?",
+    "I’m still learning! Can you try asking it another way?",
+    "Apologies, I’m unable to help with that one. Could you provide more context?",
+)
+FALLBACK_TIP = "\nTip: Try being more specific, like mentioning a topic or keyword."
 # ---------------------------------------------------------------------------
 
 
@@ -109,3 +116,20 @@ def softmax_by(df: DataFrame, key: str, score: str, out: str = "prob") -> DataFr
     e = df.join(mx, key).withColumn("_e", F.exp(F.col(score) - F.col("_mx")))
     tot = e.groupBy(key).agg(F.sum("_e").alias("_z"))
     return e.join(tot, key).withColumn(out, F.col("_e") / F.col("_z")).drop("_mx", "_e", "_z")
+
+
+def apology(key, seed: int = 42, apologies=APOLOGIES, tip: str = FALLBACK_TIP) -> Column:
+    """J12 apology variant: one of the apology texts, drawn by an
+    md5-seeded uniform of ``key`` (reproducible), followed by the tip."""
+    k = F.col(key) if isinstance(key, str) else key
+    idx = F.floor(uniform_hash(k, seed=seed) * len(apologies)).cast("int")
+    return F.concat(F.element_at(F.array(*[F.lit(a) for a in apologies]), idx + 1), F.lit(tip))
+
+
+def weak_answer_fallback(df: DataFrame, answer: str, key, gate, seed: int = 42, out: str = "final_answer",
+                         flag: str = "fallback") -> DataFrame:
+    """Keep the answer unless ``gate`` flags it (e.g. P6 weak / P5
+    gibberish); then answer with an apology plus the tip."""
+    bad = gate(F.col(answer))
+    return (df.withColumn(flag, bad)
+            .withColumn(out, F.when(bad, apology(key, seed)).otherwise(F.col(answer))))

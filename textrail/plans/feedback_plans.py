@@ -504,3 +504,27 @@ def degradation_users(spark, sf_dir):
     out = FB.degradation(e, "user_id", "ts", F.col("event_type") == "error")
     return out.select("user_id", F.col("n_rows").cast("bigint").alias("n_rows"), r6(F.col("old_bad_ratio")).alias("old_bad_ratio"),
                       r6(F.col("recent_bad_ratio")).alias("recent_bad_ratio"), "degraded")
+
+
+def _sql_weak(x: str) -> str:
+    phrases = " OR ".join(f"contains(lower({x}), {S.q(ph)})" for ph in T.GENERIC_PHRASES)
+    return f"({S.strip(x)} = '' OR {phrases})"
+
+
+@register("weak_answer_fallback", sql=f"""
+SELECT conv_id, turn, w AS fallback,
+       CASE WHEN w THEN concat([{", ".join(S.q(a) for a in SEL.APOLOGIES)}][
+                CAST(floor({S.uniform_hash("concat(CAST(conv_id AS VARCHAR), ':', CAST(turn AS VARCHAR))", 42)} * {len(SEL.APOLOGIES)}) AS INTEGER) + 1],
+                {S.q(SEL.FALLBACK_TIP)})
+            ELSE ans END AS final_answer
+FROM (SELECT conv_id, turn, ans, {_sql_weak('ans')} AS w FROM (
+        SELECT conv_id, turn, CASE WHEN role = 'assistant' THEN text ELSE concat('I''m sorry: ', text) END AS ans FROM conversations))
+""")
+def weak_answer_fallback(spark, sf_dir):
+    """J12 apology variant (+P6): weak answers (non-assistant turns are
+    prefixed with a generic apology phrase) become a drawn apology + tip."""
+    c = t(spark, sf_dir, "conversations")
+    ans = F.when(F.col("role") == "assistant", F.col("text")).otherwise(F.concat(F.lit("I'm sorry: "), F.col("text")))
+    key = F.concat(F.col("conv_id").cast("string"), F.lit(":"), F.col("turn").cast("string"))
+    out = SEL.weak_answer_fallback(c.select("conv_id", "turn", ans.alias("ans"), key.alias("_k")), "ans", "_k", T.is_weak)
+    return out.select("conv_id", "turn", "fallback", "final_answer")
