@@ -74,3 +74,18 @@ def test_answer_flow_prefers_summary_answers(spark):
     hits = spark.createDataFrame([(0, 1, 1), (0, 2, 2)], "query_id long, doc_id long, rank long")
     r = answer_queries(hits, docs, qs).collect()[0]
     assert r["answer"] == "A summary of things." and math.isclose(r["reward"], 1.5) and r["source"] == "2.txt"
+
+
+def test_punct_tokenizer_and_shuffle(spark):
+    import re
+    from textrail.operators.chunking import token_window
+    texts = ["Hello, world! It's 3.5 euros.", "Ça va? — oui…", "", "a_b c-d"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i long, t string")
+    got = [list(r[0]) for r in df.orderBy("i").select(T.punct_tokens("t")).collect()]
+    assert got == [re.findall(r"\w+|[^\w\s]", t) for t in texts]
+    ch = token_window(df, "i", "t", size=3, overlap=1, global_ids=False, tokenizer="punct").where(F.col("i") == 0)
+    assert [r["chunk_text"] for r in ch.orderBy("chunk_no").collect()] == ["Hello , world", "world ! It", "It ' s", "s 3 .", ". 5 euros", "euros ."]
+    rows = spark.range(50).withColumnRenamed("id", "k")
+    a = [r["k"] for r in FB.hash_shuffle(rows, "k", seed=1).collect()]
+    b = [r["k"] for r in FB.hash_shuffle(rows, "k", seed=1).collect()]
+    assert a == b and sorted(a) == list(range(50)) and a != list(range(50))

@@ -86,6 +86,12 @@ def words(c: ColumnOrName) -> Column:
     return F.filter(F.split(_c(c), WS + "+"), lambda w: w != "")
 
 
+def punct_tokens(c: ColumnOrName) -> Column:
+    """Word runs and single punctuation marks as separate tokens (Python
+    ``re.findall(r"\\w+|[^\\w\\s]", s)``): the ``tokenizer="punct"`` option."""
+    return F.regexp_extract_all(_c(c), F.lit(WORD + "+|[^\\pL\\pN_" + WS_CHARS + "]"), 0)
+
+
 def _footer_rule(to_end_of_text: bool) -> str:
     alt = "|".join(FOOTER_WORDS)
     tail = "(?s).*" if to_end_of_text else ".*"

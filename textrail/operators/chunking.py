@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.patterns import WS, WS_CHARS
-from ..functions.text import strip, words
+from ..functions.text import punct_tokens, strip, words
 from .offsets import global_offsets
 
 # --- fixed values ----------------------------------------------------------
@@ -47,18 +47,21 @@ def _windows(tokens: Column, size: int, step: int, full_only: bool, early_stop:
 
 
 def token_window(df: DataFrame, id_col: str, text_col: str, size: int = 500, overlap: int = 50,
-                 name_col: Column | None = None, global_ids: bool = True, keep: tuple[str, ...] = ()) -> DataFrame:
+                 name_col: Column | None = None, global_ids: bool = True, keep: tuple[str, ...] = (),
+                 tokenizer: str = "ws") -> DataFrame:
     """Fixed token windows with overlap; blank chunks dropped.
 
     ``chunk_id`` is ``<name>_<counter>`` with one counter running over all
     documents in ``id_col`` order (0-based), or per document when
-    ``global_ids=False``.
+    ``global_ids=False``.  ``tokenizer``: ``"ws"`` (white-space tokens) or
+    ``"punct"`` (word runs and single punctuation marks).
     """
     if size <= overlap:
         raise ValueError("size must exceed overlap")
     name = name_col if name_col is not None else F.col(id_col).cast("string")
     k = list(keep)
-    toks = df.select(F.col(id_col), *k, name.alias("_name"), words(F.col(text_col)).alias("_all"))
+    tok_fn = {"ws": words, "punct": punct_tokens}[tokenizer]
+    toks = df.select(F.col(id_col), *k, name.alias("_name"), tok_fn(F.col(text_col)).alias("_all"))
     if global_ids:
         # the window counts and the windows both come from these tokens:
         # materialise them once (reliable checkpoint in the shared folder)

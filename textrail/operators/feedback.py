@@ -246,6 +246,13 @@ def hash_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
     return df.withColumn("_h", h).orderBy("_h", key).limit(n).drop("_h")
 
 
+def hash_shuffle(df: DataFrame, key: str, seed: int = 42) -> DataFrame:
+    """W2 shuffle: a reproducible permutation - rows sorted by md5(seed,
+    key) with a distributed (range-partitioned) sort."""
+    h = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(key).cast("string")))
+    return df.withColumn("_h", h).orderBy("_h", key).drop("_h")
+
+
 def hash_split(df: DataFrame, key: str, weights=(0.8, 0.2), seed: int = 42, out: str = "split") -> DataFrame:
     """Deterministic train/test split by md5 bucket of the key."""
     from ..functions.text import uniform_hash
