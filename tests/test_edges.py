@@ -89,3 +89,19 @@ def test_punct_tokenizer_and_shuffle(spark):
     a = [r["k"] for r in FB.hash_shuffle(rows, "k", seed=1).collect()]
     b = [r["k"] for r in FB.hash_shuffle(rows, "k", seed=1).collect()]
     assert a == b and sorted(a) == list(range(50)) and a != list(range(50))
+
+
+def test_adjacency_variants_and_context_replace(spark):
+    from textrail.operators.metrics import adjacent_pairs
+    from textrail.operators.retrieval import add_context
+    ch = spark.createDataFrame([(1, 0, "a"), (1, 1, "b"), (2, 0, "c"), (2, 1, "d"), (3, 0, "e")],
+                               "doc long, n long, t string")
+    per_doc = sorted((r["text_a"], r["text_b"]) for r in adjacent_pairs(ch, "doc", "n", "t").collect())
+    whole = sorted((r["text_a"], r["text_b"]) for r in adjacent_pairs(ch, "doc", "n", "t", by_document=False).collect())
+    assert per_doc == [("a", "b"), ("c", "d")]
+    assert whole == [("a", "b"), ("b", "c"), ("c", "d"), ("d", "e")]
+    hits = spark.createDataFrame([(0, "h1", 1), (0, "h2", 2)], "query_id long, chunk_id string, rank long")
+    extra = spark.createDataFrame([(0, "ocr_chunk")], "query_id long, chunk_id string")
+    assert [(r["chunk_id"], r["rank"]) for r in add_context(hits, extra, replace=True).collect()] == [("ocr_chunk", 1)]
+    appended = sorted((r["rank"], r["chunk_id"]) for r in add_context(hits, extra).collect())
+    assert appended == [(1, "h1"), (2, "h2"), (3, "ocr_chunk")]

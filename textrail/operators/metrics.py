@@ -140,12 +140,26 @@ def text_pair_metrics(pairs: DataFrame, reference: str, candidate: str, out: str
     return pairs.withColumn(out, fn(F.col(reference), F.col(candidate)))
 
 
-def adjacent_pairs(chunks: DataFrame, id_col: str, order_col: str, text_col: str) -> DataFrame:
-    """Consecutive chunks of the same document as ``(id, order,
-    text_a, text_b)`` (chunk ``order`` and ``order + 1``)."""
-    a = chunks.select(id_col, order_col, F.col(text_col).alias("text_a"))
-    b = chunks.select(id_col, (F.col(order_col) - 1).alias(order_col), F.col(text_col).alias("text_b"))
-    return a.join(b, [id_col, order_col])
+def adjacent_pairs(chunks: DataFrame, id_col: str, order_col: str, text_col: str,
+                   by_document: bool = True) -> DataFrame:
+    """Consecutive chunks as ``(id, order, text_a, text_b)``.
+
+    ``by_document``: chunk ``order`` and ``order + 1`` of the same document
+    (an equi-join, no per-document window).  Otherwise consecutive over the
+    whole sequence ordered by ``(id, order)``: positions come from
+    distributed running numbers, so no single-partition window is used."""
+    if by_document:
+        a = chunks.select(id_col, order_col, F.col(text_col).alias("text_a"))
+        b = chunks.select(id_col, (F.col(order_col) - 1).alias(order_col), F.col(text_col).alias("text_b"))
+        return a.join(b, [id_col, order_col])
+    from .offsets import global_offsets
+    keyed = chunks.select(F.struct(id_col, order_col).alias("_k"), F.col(text_col).alias("_t"))
+    pos = global_offsets(keyed.select("_k", F.lit(1).alias("_one")), "_k", "_one", "_pos").drop("_one")
+    seq = keyed.join(pos, "_k")
+    a = seq.select("_pos", F.col("_k").alias("_ka"), F.col("_t").alias("text_a"))
+    b = seq.select((F.col("_pos") - 1).alias("_pos"), F.col("_t").alias("text_b"))
+    return (a.join(b, "_pos").select(F.col(f"_ka.{id_col}").alias(id_col), F.col(f"_ka.{order_col}").alias(order_col),
+                                     "text_a", "text_b"))
 
 
 def overlap_report(scored: DataFrame, cols=("cosine", "bleu", "rouge1", "rouge2", "rougeL")) -> DataFrame:
