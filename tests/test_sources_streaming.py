@@ -252,3 +252,15 @@ def test_trigger_ignored_while_training():
     out = [st2.step(float(i), True, training_seconds=10.0) for i in range(20)]
     out += [st2.step(29.0, True, training_seconds=10.0)]   # training over at 29: counter reset, this is bad #1
     assert out[-1] is None and st2.bad == 1 and st2.last_train == 29.0
+
+
+def test_extract_images_from_parquet(spark, tmpdir_run):
+    png = _png(32, 16)
+    df = spark.createDataFrame([((png, b"a.png"), 1), ((None, b"b.png"), 0), ((png, b"c.png"), 2)],
+                               "image struct<bytes:binary,path:binary>, label int")
+    p = os.path.join(tmpdir_run, "imgs")
+    df.coalesce(1).write.parquet(p)
+    src = spark.read.parquet(p).select("image", "label", F.col("image.path").alias("path"))
+    out = sorted((r["image_name"], r["format"], r["size"], r["path"]) for r in
+                 SF.extract_images(src, "image", "label", path_col="path").collect())
+    assert out == [("1_0.png", "PNG", "32 x 16 px", "a.png"), ("2_2.png", "PNG", "32 x 16 px", "c.png")]

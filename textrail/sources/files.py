@@ -230,3 +230,26 @@ def batch_ids(df: DataFrame, order_by: str, size: int, out: str = "batch_id") ->
     ones = df.select(order_by, F.lit(1).alias("_one"))
     offs = global_offsets(ones, order_by, "_one", "_pos").drop("_one")
     return df.join(offs, order_by).withColumn(out, F.floor(F.col("_pos") / size).cast("bigint")).drop("_pos")
+
+
+def extract_images(df: DataFrame, image_col: str, label_col: str | None = "label", style: str = "label_row",
+                   path_col: str | None = None) -> DataFrame:
+    """S13-S15 as one table step: image bytes from any supported encoding
+    (rows with none are dropped), format and ``W x H px`` from the header,
+    a derived file name per row (row number within the source file from
+    ``_metadata.row_index`` when the frame comes from a file scan, else
+    ``row_in_file`` must exist), and the stored path decoded to text when it
+    was kept as bytes."""
+    cols = df.columns
+    out = df.withColumn("_img", image_bytes(df, image_col))
+    if path_col and isinstance(df.schema[path_col].dataType, T.BinaryType):
+        out = out.withColumn(path_col, F.decode(F.col(path_col), "UTF-8"))
+    out = out.where(F.col("_img").isNotNull())
+    fmt, size = image_header(F.col("_img"))
+    out = out.withColumn("format", fmt).withColumn("size", size)
+    if "row_in_file" not in cols:
+        out = out.withColumn("row_in_file", F.col("_metadata.row_index"))
+    if "file_name" not in cols and style == "file_row":
+        out = out.withColumn("file_name", F.col("_metadata.file_name"))
+    out = image_manifest(out, style=style, label=label_col or "label")
+    return out.withColumnRenamed("_img", "image_bytes")
