@@ -2,7 +2,7 @@
 
 The reference fine-tunes transformer classifiers on one machine; the
 operator kept here is "train on a labelled table, score a table": a Spark
-ML pipeline of token features (hashed term counts + IDF: no vocabulary is
+ML chain of token features (hashed term counts + IDF: no vocabulary is
 gathered on the driver) and logistic regression, trained and applied in
 parallel.  Scores are a column, not a service.
 """
