@@ -131,3 +131,15 @@ def test_softmax_and_loss(spark):
     assert math.isclose(hinge, (0.0 + 2.0) / 2)
     lg = FB.pairwise_loss(pairs, "c", "r", "logistic", preferred="p").collect()[0]["loss"]
     assert math.isclose(lg, math.log1p(math.exp(-1.0)))
+
+
+def test_template_weights_deep_tree(spark):
+    rnd = random.Random(9)
+    rows = [(rnd.randrange(2), float(t), rnd.choice([-2.0, -0.5, 0.3, 1.0])) for t in range(0, 3000, 7)]
+    df = spark.createDataFrame(rows, "template int, ts double, reward double")
+    got = {r["template"]: r["weight"] for r in
+           FB.template_weights(df, 2, order="ts", bucket_seconds=5, fanout=2, levels=4).collect()}
+    w = [1.0, 1.0]
+    for tpl, _, rw in sorted(rows, key=lambda r: r[1]):
+        w[tpl] = max(0.1, w[tpl] + rw)
+    assert all(math.isclose(got[i], w[i], abs_tol=1e-9) for i in range(2))

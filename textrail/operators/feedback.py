@@ -292,35 +292,44 @@ def degradation(fb: DataFrame, by: str, order: str, bad: Column, n: int = 10, fa
 
 def template_weights(selections: DataFrame, n_templates: int, key: str | None = None, order: str = "ts",
                      choice: str = "template", reward: str = "reward", floor: float = TEMPLATE_FLOOR,
-                     bucket_seconds: float = 3600.0) -> DataFrame:
+                     bucket_seconds: float = 60.0, fanout: int = 1024, levels: int = 3) -> DataFrame:
     """Weights start at 1.0, each selection adds its reward to the chosen
     template, a weight never drops below ``floor``; shares are normalised
     by the sum.
 
     The clamped update ``w = max(floor, w + r)`` has the closed form
     ``w_T = S_T + max(0, floor - min_j S_j)`` with ``S_j = 1 + r_1 + .. + r_j``.
-    ``(sum, min prefix)`` pairs combine associatively, so selections are cut
-    into time buckets of ``bucket_seconds`` (``order`` is a timestamp or a
-    number), each bucket is folded in its own task and the few bucket
-    summaries per template are folded in order: no template's history is
-    ever gathered in one place.
+    ``(sum, min prefix)`` pairs combine associatively, so the history is
+    reduced as a tree: leaves are ``bucket_seconds`` time buckets (each
+    folded in its own group), and each level merges at most ``fanout``
+    consecutive summaries.  No template's history meets in one task.
     """
     keys = ([key] if key else []) + [choice]
     o = F.col(order)
     num = F.unix_micros(o.cast("timestamp")).cast("double") / 1e6 if dict(selections.dtypes)[order].startswith("timestamp") else o.cast("double")
     b = selections.select(*keys, num.alias("_o"), F.col(reward).cast("double").alias("_r"))
-    b = b.withColumn("_b", F.floor(F.col("_o") / F.lit(bucket_seconds)))
+    b = b.withColumn("_b", F.floor(F.col("_o") / F.lit(bucket_seconds)).cast("long"))
     inf = F.lit(float("inf"))
-    per_bucket = (b.groupBy(*keys, "_b")
-                  .agg(F.array_sort(F.collect_list(F.struct("_o", "_r"))).alias("_s"))
-                  .select(*keys, "_b", F.aggregate("_s", F.struct(F.lit(0.0).alias("s"), inf.alias("m")),
-                                                   lambda acc, x: F.struct((acc["s"] + x["_r"]).alias("s"),
-                                                                           F.least(acc["m"], acc["s"] + x["_r"]).alias("m"))).alias("_st")))
-    folded = (per_bucket.groupBy(*keys)
-              .agg(F.array_sort(F.collect_list(F.struct("_b", F.col("_st.s").alias("s"), F.col("_st.m").alias("m")))).alias("_l"))
-              .select(*keys, F.aggregate("_l", F.struct(F.lit(1.0).alias("s"), inf.alias("m")),
-                                         lambda acc, x: F.struct((acc["s"] + x["s"]).alias("s"),
-                                                                 F.least(acc["m"], acc["s"] + x["m"]).alias("m"))).alias("_t"))
+
+    def combine(items, s0):
+        return F.aggregate(items, F.struct(F.lit(s0).alias("s"), inf.alias("m")),
+                           lambda acc, x: F.struct((acc["s"] + x["s"]).alias("s"),
+                                                   F.least(acc["m"], acc["s"] + x["m"]).alias("m")))
+
+    # leaves: one summary per (key, time bucket), from the raw rewards in order
+    level = (b.groupBy(*keys, "_b")
+             .agg(F.array_sort(F.collect_list(F.struct("_o", F.col("_r").alias("s"), F.col("_r").alias("m")))).alias("_items"))
+             .select(*keys, "_b", combine("_items", 0.0).alias("_st")))
+    # inner levels: merge up to `fanout` consecutive summaries per node
+    for _ in range(levels):
+        level = (level.withColumn("_parent", F.floor(F.col("_b") / F.lit(fanout)).cast("long"))
+                 .groupBy(*keys, "_parent")
+                 .agg(F.array_sort(F.collect_list(F.struct(F.col("_b").alias("_pos"), "_st.s", "_st.m"))).alias("_items"))
+                 .select(*keys, F.col("_parent").alias("_b"), combine("_items", 0.0).alias("_st")))
+    # root: the few remaining summaries per key, prefixed by the start weight 1.0
+    folded = (level.groupBy(*keys)
+              .agg(F.array_sort(F.collect_list(F.struct(F.col("_b").alias("_pos"), "_st.s", "_st.m"))).alias("_items"))
+              .select(*keys, combine("_items", 1.0).alias("_t"))
               .select(*keys, (F.col("_t.s") + F.greatest(F.lit(0.0), F.lit(floor) - F.col("_t.m"))).alias("weight")))
     grid = F.explode(F.sequence(F.lit(0), F.lit(n_templates - 1)))
     if key:
