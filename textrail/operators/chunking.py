@@ -70,7 +70,8 @@ def token_window(df: DataFrame, id_col: str, text_col: str, size: int = 500, ove
         ensure_checkpoint_dir(df.sparkSession)
         toks = toks.checkpoint(eager=True)
     exploded = (toks.select(id_col, *k, "_name", _windows(F.col("_all"), size, size - overlap, False, False).alias("_w"))
-                .select(id_col, *k, "_name", F.posexplode("_w").alias("chunk_no", "_toks"))
+                .select(id_col, *k, "_name", F.posexplode_outer("_w").alias("chunk_no", "_toks"))
+                .where(F.col("chunk_no").isNotNull())
                 .select(id_col, *k, "_name", F.col("chunk_no").cast("bigint").alias("chunk_no"),
                         F.array_join("_toks", " ").alias("chunk_text"),
                         F.size("_toks").cast("bigint").alias("n_tokens"))
@@ -97,7 +98,8 @@ def sliding(df: DataFrame, id_col: str, text_col: str, window: int = 50, step: i
     name = name_col if name_col is not None else F.col(id_col).cast("string")
     return (df.select(F.col(id_col), name.alias("_name"), words(F.col(text_col)).alias("_all"))
             .select(id_col, "_name", _windows(F.col("_all"), window, step, True, False).alias("_w"))
-            .select(id_col, "_name", F.posexplode("_w").alias("chunk_no", "_toks"))
+            .select(id_col, "_name", F.posexplode_outer("_w").alias("chunk_no", "_toks"))
+            .where(F.col("chunk_no").isNotNull())
             .select(id_col, F.col("chunk_no").cast("bigint").alias("chunk_no"),
                     F.concat_ws("_", "_name", F.col("chunk_no").cast("string")).alias("chunk_id"),
                     F.array_join("_toks", " ").alias("chunk_text"),
@@ -156,7 +158,7 @@ def _section_chunks(src: DataFrame, id_col: str, text_col: str, keep_threshold:
     secs = secs.otherwise(F.arrays_zip(F.transform(titles, lambda t: strip(t)).alias("title"),
                                        F.slice(bodies, 2, 1 << 30).alias("body")))
     keys = [id_col] if thresholds is not None else [id_col, "threshold", "_ov"]
-    sec = (src.select(*keys, F.posexplode(secs).alias("section_no", "_s"))
+    sec = (src.select(*keys, F.posexplode_outer(secs).alias("section_no", "_s")).where(F.col("section_no").isNotNull())
            .select(*keys, "section_no", F.col("_s.title").alias("section"),
                    words(strip(F.col("_s.body"))).alias("_words")))
     if thresholds is not None:
@@ -170,7 +172,8 @@ def _section_chunks(src: DataFrame, id_col: str, text_col: str, keep_threshold:
     starts = F.sequence(F.lit(0), (k - 1) * step, F.when(step > 0, step).otherwise(F.lit(1)))
     wins = F.transform(starts, lambda s: F.slice(F.col("_words"), s + 1, F.col("threshold")))
     wins = F.when(n <= F.col("threshold"), F.array(F.col("_words"))).otherwise(wins)
-    out = (sec.select(id_col, "threshold", "section_no", "section", F.posexplode(wins).alias("_i", "_toks"))
+    out = (sec.select(id_col, "threshold", "section_no", "section", F.posexplode_outer(wins).alias("_i", "_toks"))
+           .where(F.col("_i").isNotNull())
            .select(id_col, *(["threshold"] if keep_threshold else []),
                    F.col("section_no").cast("bigint").alias("section_no"), "section",
                    (F.col("_i") + 1).cast("bigint").alias("chunk_no"),
@@ -198,7 +201,8 @@ def sentences(c: Column | str, style: str = "punct", min_len: int = 20) -> Colum
 
 
 def explode_sentences(df: DataFrame, id_col: str, text_col: str, style: str = "punct") -> DataFrame:
-    return (df.select(id_col, F.posexplode(sentences(text_col, style)).alias("sent_no", "sentence"))
+    return (df.select(id_col, F.posexplode_outer(sentences(text_col, style)).alias("sent_no", "sentence"))
+            .where(F.col("sent_no").isNotNull())
             .select(id_col, F.col("sent_no").cast("bigint").alias("sent_no"), "sentence"))
 
 
@@ -290,7 +294,8 @@ def sentence_overlap(df: DataFrame, id_col: str, text_col: str, max_words: int =
 
 
 def _explode_chunks(df: DataFrame, id_col: str, chunks: Column) -> DataFrame:
-    return (df.select(id_col, F.posexplode(chunks).alias("chunk_no", "chunk_text"))
+    return (df.select(id_col, F.posexplode_outer(chunks).alias("chunk_no", "chunk_text"))
+            .where(F.col("chunk_no").isNotNull())
             .select(id_col, F.col("chunk_no").cast("bigint").alias("chunk_no"), "chunk_text",
                     F.size(words(F.col("chunk_text"))).cast("bigint").alias("n_tokens")))
 
@@ -340,7 +345,8 @@ def recursive_chars(df: DataFrame, id_col: str, text_col: str, size: int = 1000,
     def _split(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: _merge_words(t, size, overlap))
 
-    return (df.select(id_col, F.posexplode(_split(F.col(text_col))).alias("chunk_no", "chunk_text"))
+    return (df.select(id_col, F.posexplode_outer(_split(F.col(text_col))).alias("chunk_no", "chunk_text"))
+            .where(F.col("chunk_no").isNotNull())
             .select(id_col, F.col("chunk_no").cast("bigint").alias("chunk_no"),
                     F.concat(F.lit("chunk_"), (F.col("chunk_no") + 1).cast("string")).alias("chunk_id"),
                     "chunk_text"))

@@ -235,7 +235,7 @@ def synthetic_templates(categories: DataFrame, category_col: str = "category") -
 def build_vocab(texts: DataFrame, text_col: str) -> DataFrame:
     """B7 vocabulary: distinct white-space tokens numbered in token order
     from 2 (0 = padding, 1 = unknown), with distributed running numbers."""
-    toks = texts.select(F.explode(words(F.col(text_col))).alias("token")).distinct()
+    toks = texts.select(F.explode_outer(words(F.col(text_col))).alias("token")).where(F.col("token").isNotNull()).distinct()
     return (global_offsets(toks.select("token", F.lit(1).alias("_one")), "token", "_one", "_off")
             .select("token", (F.col("_off") + 2).cast("int").alias("token_id")))
 
@@ -245,7 +245,8 @@ def encode(df: DataFrame, id_col: str, text_col: str, vocab: DataFrame, max_len:
     copy as labels.  Tokens are joined to the vocabulary (a shuffle join;
     the planner broadcasts a small vocabulary) and gathered back per row
     (bounded by ``max_len``)."""
-    ex = df.select(id_col, F.posexplode(F.slice(words(F.col(text_col)), 1, max_len)).alias("pos", "token"))
+    ex = (df.select(id_col, F.posexplode_outer(F.slice(words(F.col(text_col)), 1, max_len)).alias("pos", "token"))
+          .where(F.col("pos").isNotNull()))
     ids = ex.join(vocab, "token", "left").select(id_col, "pos", F.coalesce("token_id", F.lit(UNK_ID)).alias("tid"))
     gathered = ids.groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct("pos", "tid"))).alias("_s"))
     base = df.select(id_col).join(gathered, id_col, "left")
@@ -265,7 +266,7 @@ def pack(df: DataFrame, id_col: str, tokens_col: str, block: int = 128) -> DataF
     block (bounded size) is the largest unit that meets in one task."""
     lens = df.select(id_col, F.size(tokens_col).alias("_n"))
     offs = global_offsets(lens, id_col, "_n", "_off").drop("_n")
-    ex = (df.join(offs, id_col).select(F.posexplode(tokens_col).alias("i", "tok"), "_off")
+    ex = (df.join(offs, id_col).select(F.posexplode_outer(tokens_col).alias("i", "tok"), "_off").where(F.col("i").isNotNull())
           .select((F.col("_off") + F.col("i")).alias("gpos"), "tok"))
     blocks = (ex.withColumn("block_no", F.floor(F.col("gpos") / block))
               .groupBy("block_no").agg(F.array_sort(F.collect_list(F.struct("gpos", "tok"))).alias("_s"))

@@ -41,7 +41,8 @@ def term_counts(df: DataFrame, id_col: str, text_col: str, stop_words=None) -> D
     every later per-id window need no exchange, instead of two shuffles of
     term rows (about 28 bytes per token)."""
     ex = (df.select(id_col, text_col).repartition(id_col)
-          .select(F.col(id_col), F.explode(tokens(text_col)).alias("term")))
+          .select(F.col(id_col), F.explode_outer(tokens(text_col)).alias("term"))
+          .where(F.col("term").isNotNull()))
     if stop_words:
         ex = ex.where(~F.col("term").isin(list(stop_words)))
     return ex.groupBy(id_col, "term").agg(F.count(F.lit(1)).cast("bigint").alias("tf"))

@@ -32,7 +32,8 @@ def best_snippet(hits: DataFrame, docs: DataFrame, queries: DataFrame, doc_id: s
         tc = FE.term_counts(docs, doc_id, text_col)
         idf = FE.idf_table(tc, doc_id, docs.count())
     sents = (hits.join(docs.select(doc_id, text_col), doc_id)
-             .select("query_id", "rank", doc_id, F.posexplode(F.split(F.col(text_col), SENTENCE_END)).alias("sent_no", "sentence")))
+             .select("query_id", "rank", doc_id, F.posexplode_outer(F.split(F.col(text_col), SENTENCE_END)).alias("sent_no", "sentence"))
+             .where(F.col("sent_no").isNotNull()))
     if min_len > 0:
         sents = sents.withColumn("sentence", strip(F.col("sentence"))).where(F.length("sentence") >= min_len)
     # a struct key carries the query id, so no join is needed to get it back

@@ -99,7 +99,7 @@ SELECT vec_id, label, round(d / sqrt(a2 * b2), 6) AS cos_to_centroid FROM dots
 def centroid_cosine(spark, sf_dir):
     """V6: cosine of every vector to the mean vector of its label."""
     e = t(spark, sf_dir, "embeddings", ["vec_id", "embedding", "label"])
-    ex = e.select("label", F.posexplode(VF.as_double("embedding")).alias("i", "x"))
+    ex = e.select("label", F.posexplode_outer(VF.as_double("embedding")).alias("i", "x")).where(F.col("i").isNotNull())
     cen = (ex.groupBy("label", "i").agg(F.avg("x").alias("m"))
            .groupBy("label").agg(F.array_sort(F.collect_list(F.struct("i", "m"))).alias("_c"))
            .select("label", F.transform("_c", lambda s: s["m"]).alias("centroid")))

@@ -23,7 +23,7 @@ def parse_ocr_lines(df: DataFrame, id_col: str, raw_col: str) -> DataFrame:
     """One row per non-blank, non-header line:
     ``(id, source_image, line_no, text, confidence, status)``."""
     lines = (df.select(id_col, F.nullif(F.regexp_extract(raw_col, HEADER, 1), F.lit("")).alias("source_image"),
-                       F.posexplode(F.split(F.col(raw_col), "\n")).alias("line_no", "line"))
+                       F.posexplode_outer(F.split(F.col(raw_col), "\n")).alias("line_no", "line"))
              .where((F.col("line") != "") & ~F.col("line").startswith("[Source image:")))
     conf = F.regexp_extract("line", r" \(Confidence: ([0-9.]+)\)$", 1)
     return lines.select(
