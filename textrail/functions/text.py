@@ -159,10 +159,15 @@ def clean_for_embedding(c: ColumnOrName, min_sentence: int = 20) -> Column:
     t = F.regexp_replace(t, r"\[" + WORD + r"+\]", "")
     t = F.regexp_replace(t, r"\{[^}]*\}", "")
     t = F.lower(t)
-    t = F.regexp_replace(t, "(?d)http" + NON_WS + "+|" + NON_WS + "+@" + NON_WS + "+", "")
+    # same matches as `http\S+|\S+@\S+`: an address match can only start at
+    # the beginning of a non-space run (any later start implies that one),
+    # so the look-behind keeps the engine from re-scanning every run suffix
+    t = F.regexp_replace(t, "(?d)(?<!" + NON_WS + ")" + NON_WS + "+@" + NON_WS + "+|http" + NON_WS + "+", "")
     t = F.regexp_replace(t, r"[^\pL\pN_" + WS_CHARS + r".,]", " ")
     t = strip(collapse_ws(t))
-    parts = F.transform(F.split(t, r"\."), lambda s: strip(s))
+    # after collapsing, a single space is the only white space left, so the
+    # space-only trim equals str.strip() here (and avoids a regex per piece)
+    parts = F.transform(F.split(t, r"\."), lambda s: F.trim(s))
     kept = F.filter(parts, lambda s: F.length(s) > min_sentence)
     return F.array_join(kept, ". ")
 
