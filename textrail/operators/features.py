@@ -71,16 +71,18 @@ def idf_table(term_counts_df: DataFrame, id_col: str, n_docs: int) -> DataFrame:
     return dfreq.select("term", (F.log((F.lit(1.0) + F.lit(float(n_docs))) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)).alias("idf"))
 
 
-def sparse_cosine(a: DataFrame, b: DataFrame, a_id: str, b_id: str, pairs: DataFrame) -> DataFrame:
+def sparse_cosine(a: DataFrame, b: DataFrame, a_id: str, b_id: str, pairs: DataFrame,
+                  expand: str = "a") -> DataFrame:
     """Cosine of given ``(a_id, b_id)`` pairs of L2-normalised
     sparse rows (``(id, term, weight)`` tables).  Pairs without a shared
-    term score 0.  Work is proportional to the shared terms of the listed
-    pairs only."""
+    term score 0.  The pairs are first expanded by the terms of side
+    ``expand`` (pick the side with fewer terms per row) and then matched
+    on ``(other id, term)``, so the work is bounded by the listed pairs."""
     aa = a.select(F.col(a_id).alias("_a"), "term", F.col("weight").alias("_wa"))
     bb = b.select(F.col(b_id).alias("_b"), "term", F.col("weight").alias("_wb"))
     p = pairs.select(F.col(a_id).alias("_a"), F.col(b_id).alias("_b")).distinct()
-    shared = (p.join(aa, "_a").join(bb, ["_b", "term"])
-              .groupBy("_a", "_b").agg(F.sum(F.col("_wa") * F.col("_wb")).alias("cosine")))
+    joined = p.join(aa, "_a").join(bb, ["_b", "term"]) if expand == "a" else p.join(bb, "_b").join(aa, ["_a", "term"])
+    shared = joined.groupBy("_a", "_b").agg(F.sum(F.col("_wa") * F.col("_wb")).alias("cosine"))
     return (p.join(shared, ["_a", "_b"], "left")
             .select(F.col("_a").alias(a_id), F.col("_b").alias(b_id), F.coalesce("cosine", F.lit(0.0)).alias("cosine")))
 

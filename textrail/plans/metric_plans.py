@@ -131,5 +131,7 @@ def doc_chunk_tfidf_cosine(spark, sf_dir):
     tv = FE.tfidf(both, "id", "text")
     pairs = chunks.select("doc_id", "chunk_no", (F.col("doc_id") * _KEY + 99999).alias("ida"),
                           (F.col("doc_id") * _KEY + F.col("chunk_no")).alias("idb"))
-    cos = FE.sparse_cosine(tv.withColumnRenamed("id", "ida"), tv.withColumnRenamed("id", "idb"), "ida", "idb", pairs)
+    # chunks (side b) carry far fewer terms than whole documents: expand by them
+    cos = FE.sparse_cosine(tv.withColumnRenamed("id", "ida"), tv.withColumnRenamed("id", "idb"), "ida", "idb", pairs,
+                           expand="b")
     return pairs.join(cos, ["ida", "idb"]).select("doc_id", "chunk_no", r6(F.col("cosine")).alias("cosine"))
