@@ -190,8 +190,10 @@ def synthetic_feedback(chunks: DataFrame, id_col: str, text_col: str, n: int = 2
     u_grade = uniform_hash(F.col("draw"), F.lit("grade"), seed=seed)
     draws = draws.select("draw", F.floor(u_row * total).cast("bigint").alias("_pos"),
                          F.floor(u_verb * len(SYNTH_VERBS)).cast("int").alias("_verb"), u_grade.alias("_g"))
-    picked = draws.join(pos, "_pos").join(chunks.select(id_col, text_col), id_col)
-    w = words(F.col(text_col))
+    from ..session import compute_once
+    picked = compute_once(draws.join(pos, "_pos").join(chunks.select(id_col, text_col), id_col), "_words",
+                          words(F.col(text_col)))
+    w = F.col("_words")
     first = F.try_element_at(w, F.lit(1))
     entity = F.concat(F.upper(F.substring(first, 1, 1)), F.lower(F.substring(first, 2, 1 << 30)))
     verb = F.element_at(F.array(*[F.lit(v) for v in SYNTH_VERBS]), F.col("_verb") + 1)

@@ -27,10 +27,15 @@ def parse_choices(df: DataFrame, responses_col: str, selected_col: str, keys=CHO
     """T22 + J14: parse the JSON map of candidate answers; rows with a
     malformed map or a vote outside ``keys`` are skipped.  Returns the
     vote as the label, the labelled concatenation and the voted text."""
+    from ..session import compute_once
     m = F.from_json(F.col(responses_col), "map<string,string>")
     sel = F.lower(strip(F.col(selected_col)))
     allowed = [k.lower() for k in keys]
-    parsed = df.select(*keep, m.alias("_m"), sel.alias("label")).where(F.col("_m").isNotNull() & F.col("label").isin(allowed))
+    # parse once: the filter would otherwise be pushed below and re-parse
+    parsed = compute_once(df.select(*keep, F.col(responses_col), F.col(selected_col)), "_p",
+                          F.struct(m.alias("m"), sel.alias("label")))
+    parsed = (parsed.select(*keep, F.col("_p.m").alias("_m"), F.col("_p.label").alias("label"))
+              .where(F.col("_m").isNotNull() & F.col("label").isin(allowed)))
     combined = F.concat_ws("\n", *[F.concat(F.lit(k + ": "), F.coalesce(F.col("_m")[k], F.lit(""))) for k in keys])
     chosen = F.try_element_at(F.map_values(F.map_filter(F.col("_m"), lambda k, v: F.lower(k) == F.col("label"))), F.lit(1))
     return parsed.select(*keep, "label", combined.alias("combined_text"), chosen.alias("chosen_text"))

@@ -21,6 +21,7 @@ from ..functions import text as T
 from ..operators import feedback as FB
 from ..operators import selection as SEL
 from . import sqlfrag as S
+from ..session import compute_once
 from .common import r6, register, t
 
 # --- fixed values ----------------------------------------------------------
@@ -262,7 +263,8 @@ def cache_aside(spark, sf_dir):
              .select(T.cache_key(F.col("text")).alias("cache_key"),
                      F.concat(F.lit("cached: "), F.col("conv_id").cast("string")).alias("answer")).distinct())
     _, misses = FB.cache_split(req, cache)
-    fresh = misses.select("cache_key", T.after_marker(F.concat(F.lit("Answer: "), F.col("text")), "Answer:").alias("answer"))
+    fresh = compute_once(misses, "answer", T.after_marker(F.concat(F.lit("Answer: "), F.col("text")), "Answer:")).select(
+        "cache_key", "answer")
     merged = FB.cache_merge(cache.withColumn("origin", F.lit("cache")), fresh.withColumn("origin", F.lit("fresh")))
     return merged
 
