@@ -65,3 +65,38 @@ def upload_batches(spark, sf_dir):
     """100-row upload batches in key order (last batch short)."""
     d = t(spark, sf_dir, "documents", ["doc_id"], spread_rows=False)
     return SF.batch_ids(d, "doc_id", 100)
+
+
+def _scratch(spark, name: str) -> str:
+    """A fresh folder under the session's shared checkpoint folder."""
+    import uuid
+    from ..session import ensure_checkpoint_dir
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/textrail-io/{name}-{uuid.uuid4().hex}"
+
+
+@register("delimited_roundtrip", sql=f"""
+SELECT {S.strip('text')} AS text FROM documents WHERE {S.strip('text')} <> ''
+""")
+def delimited_roundtrip(spark, sf_dir):
+    """Every document written as a ``---``-delimited text corpus (in the
+    shared checkpoint folder) and split back into records."""
+    d = t(spark, sf_dir, "documents", ["doc_id", "text"])
+    path = _scratch(spark, "delimited")
+    SF.write_delimited(d, path, "text")
+    return SF.read_delimited(spark, path)
+
+
+@register("csv_append_roundtrip", sql="""
+SELECT CAST(doc_id AS VARCHAR) AS query, text AS answer, source, lang AS feedback FROM documents
+""")
+def csv_append_roundtrip(spark, sf_dir):
+    """S6 + S9 + S11: documents logged as a CSV feedback log in two appends
+    (multi-line quoted texts) and read back with the log schema."""
+    d = t(spark, sf_dir, "documents", ["doc_id", "text", "source", "lang"])
+    rows = d.select(F.col("doc_id").cast("string").alias("query"), F.col("text").alias("answer"), "source",
+                    F.col("lang").alias("feedback"))
+    path = _scratch(spark, "feedback-log")
+    SF.append_rows(rows.where(F.col("feedback").isin("en", "de")), path)
+    SF.append_rows(rows.where(~F.col("feedback").isin("en", "de")), path)
+    return SF.read_feedback_csv(spark, path)

@@ -133,7 +133,9 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: li
     ``partition_by`` gives one folder per value (e.g. per threshold)."""
     w = df.write.mode(mode).format(fmt)
     if fmt == "csv":
-        w = w.option("header", header)
+        # RFC 4180 quoting (quotes doubled), as Python's csv module writes
+        # and as read_feedback_csv reads; multi-line values stay quoted
+        w = w.option("header", header).option("escape", '"')
     if partition_by:
         w = w.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
     w.save(path)
