@@ -93,10 +93,10 @@ def read_text_dir(spark: SparkSession, path: str) -> DataFrame:
     """A folder of ``.txt`` files -> ``(filename, text)``; text
     stripped, empty files dropped.  Bytes that are not UTF-8 decode to
     U+FFFD, which is removed (the reference ignores undecodable bytes)."""
-    df = spark.read.text(path, wholetext=True)
-    return (df.select(F.col("_metadata.file_name").alias("filename"),
-                      strip(F.regexp_replace("value", "\ufffd", "")).alias("text"))
-            .where(F.col("text") != ""))
+    from ..session import compute_once
+    df = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("filename"), "value")
+    df = compute_once(df, "text", strip(F.regexp_replace("value", "\ufffd", "")))   # strip once, filter after
+    return df.where(F.col("text") != "").select("filename", "text")
 
 
 def read_feedback_csv(spark: SparkSession, path: str, schema: T.StructType | None = FEEDBACK_LOG_SCHEMA) -> DataFrame:
@@ -123,8 +123,9 @@ def write_delimited(df: DataFrame, path: str, col: str, sep: str = DELIMITER, mo
 
 def read_delimited(spark: SparkSession, path: str, sep: str = DELIMITER) -> DataFrame:
     """Split a delimited corpus back into records; blank parts dropped."""
-    df = spark.read.option("lineSep", sep).text(path)
-    return df.select(strip("value").alias("text")).where(F.col("text") != "")
+    from ..session import compute_once
+    df = compute_once(spark.read.option("lineSep", sep).text(path), "text", strip("value"))
+    return df.where(F.col("text") != "").select("text")
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | str | None = None,
