@@ -100,3 +100,32 @@ def csv_append_roundtrip(spark, sf_dir):
     SF.append_rows(rows.where(F.col("feedback").isin("en", "de")), path)
     SF.append_rows(rows.where(~F.col("feedback").isin("en", "de")), path)
     return SF.read_feedback_csv(spark, path)
+
+
+@register("jsonl_roundtrip", sql="SELECT doc_id, text FROM documents")
+def jsonl_roundtrip(spark, sf_dir):
+    """Documents written as JSON lines and read back with an explicit
+    schema and a projection."""
+    d = t(spark, sf_dir, "documents", ["doc_id", "text", "lang", "source"])
+    path = _scratch(spark, "jsonl")
+    SF.write_table(d, path, fmt="json")
+    return SF.read_jsonl(spark, path, "doc_id long, text string, lang string, source string", ["doc_id", "text"])
+
+
+def _sweep_sql_150() -> str:
+    from .chunk_plans import _HEAD_SRC_SQL, _sql_sections
+    from ..operators import chunking as C
+    inner = _sql_sections(f"SELECT doc_id, {_HEAD_SRC_SQL} AS text FROM documents",
+                          [(t_, int(t_ * 0.15)) for t_ in C.SWEEP_THRESHOLDS], None)
+    return f"SELECT doc_id, section_no, section, chunk_no, chunk_id, chunk_text, n_tokens FROM ({inner}) WHERE threshold = 150"
+
+
+@register("sweep_partitioned_read", sql=_sweep_sql_150())
+def sweep_partitioned_read(spark, sf_dir):
+    """The threshold sweep written with one folder per threshold, then
+    one threshold read back (partition pruning: only that folder is read)."""
+    from .chunk_plans import chunk_sweep
+    path = _scratch(spark, "sweep")
+    SF.write_table(chunk_sweep(spark, sf_dir), path, partition_by="threshold")
+    back = spark.read.parquet(path).where(F.col("threshold") == 150)
+    return back.select("doc_id", "section_no", "section", "chunk_no", "chunk_id", "chunk_text", "n_tokens")
