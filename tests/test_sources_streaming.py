@@ -264,3 +264,10 @@ def test_extract_images_from_parquet(spark, tmpdir_run):
     out = sorted((r["image_name"], r["format"], r["size"], r["path"]) for r in
                  SF.extract_images(src, "image", "label", path_col="path").collect())
     assert out == [("1_0.png", "PNG", "32 x 16 px", "a.png"), ("2_2.png", "PNG", "32 x 16 px", "c.png")]
+
+
+def test_describe_with_quartiles(spark):
+    df = spark.createDataFrame([(float(i),) for i in range(1, 101)], "x double")
+    r = SF.describe_numeric(df, ["x"], quartiles=True).collect()[0]
+    assert (r["count"], r["min"], r["max"]) == (100, 1.0, 100.0) and r["mean"] == 50.5
+    assert (r["q25"], r["q50"], r["q75"]) == (25.0, 50.0, 75.0)
