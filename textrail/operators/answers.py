@@ -26,13 +26,13 @@ def extractive_candidates(hits: DataFrame, docs: DataFrame, doc_id: str = "doc_i
 
 def answer_queries(hits: DataFrame, docs: DataFrame, queries: DataFrame, idf: DataFrame | None = None,
                    candidates: DataFrame | None = None, score=heuristic_reward, doc_id: str = "doc_id",
-                   text_col: str = "text") -> DataFrame:
+                   text_col: str = "text", query_vectors: DataFrame | None = None) -> DataFrame:
     """``hits(query_id, doc_id, rank)``, ``docs(doc_id, text)``,
     ``queries(query_id, text)`` -> ``(query_id, answer, reward, source, snippet)``.
 
     ``score``: ``Column -> Column`` reward of an answer (default: the
     heuristic reward); ties go to the earlier candidate."""
-    snip = best_snippet(hits, docs, queries, doc_id=doc_id, text_col=text_col, idf=idf)
+    snip = best_snippet(hits, docs, queries, doc_id=doc_id, text_col=text_col, idf=idf, query_vectors=query_vectors)
     cands = candidates if candidates is not None else extractive_candidates(hits, docs, doc_id, text_col)
     allc = add_snippet_candidate(cands.withColumnRenamed("query_id", "query"),
                                  snip.select(F.col("query_id").alias("query"), "snippet"))

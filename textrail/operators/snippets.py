@@ -20,7 +20,7 @@ from .chunking import SENTENCE_END
 
 def best_snippet(hits: DataFrame, docs: DataFrame, queries: DataFrame, doc_id: str = "doc_id",
                  text_col: str = "text", idf: DataFrame | None = None, max_length: int = 250,
-                 min_len: int = 0, fallback: bool = False) -> DataFrame:
+                 min_len: int = 0, fallback: bool = False, query_vectors: DataFrame | None = None) -> DataFrame:
     """``hits(query_id, doc_id, rank)``, ``docs(doc_id, text)``,
     ``queries(query_id, text)`` -> ``(query_id, source_doc, sent_no, score, snippet)``.
 
@@ -39,7 +39,9 @@ def best_snippet(hits: DataFrame, docs: DataFrame, queries: DataFrame, doc_id: s
     # a struct key carries the query id, so no join is needed to get it back
     sents = sents.withColumn("_sid", F.struct("query_id", "rank", "sent_no"))
     sv = FE.tfidf(sents.select("_sid", "sentence"), "_sid", "sentence", fit=idf)
-    qv = FE.tfidf(queries, "query_id", text_col, fit=idf).select("query_id", "term", F.col("weight").alias("_qw"))
+    # the questions' TF-IDF rows, unless retrieval already built them
+    qv = (query_vectors if query_vectors is not None else FE.tfidf(queries, "query_id", text_col, fit=idf)).select(
+        "query_id", "term", F.col("weight").alias("_qw"))
     sc = (sv.withColumn("query_id", F.col("_sid.query_id")).join(qv, ["query_id", "term"])
           .groupBy("_sid").agg(F.sum(F.col("weight") * F.col("_qw")).alias("_score")))
     scored = sents.join(sc, "_sid", "left").withColumn("score", F.coalesce("_score", F.lit(0.0)))

@@ -36,6 +36,6 @@ def answer_table(spark, sf_dir):
     snippet answer) by heuristic reward, with source file and snippet."""
     d = t(spark, sf_dir, "documents", ["doc_id", "text"])
     b = t(spark, sf_dir, "benchmark", ["item_id", "text"]).withColumnRenamed("item_id", "query_id")
-    hits, idf = query_hits(spark, sf_dir, 2, with_idf=True)
-    out = AN.answer_queries(hits, d, b, idf=idf)
+    hits, idf, qv = query_hits(spark, sf_dir, 2, with_idf=True)
+    out = AN.answer_queries(hits, d, b, idf=idf, query_vectors=qv)
     return out.select("query_id", "answer", r6(F.col("reward")).alias("reward"), "source", "snippet")

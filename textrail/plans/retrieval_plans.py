@@ -165,7 +165,7 @@ def query_hits(spark, sf_dir, k: int, with_idf: bool = False):
     dv = FE.tfidf(d, "doc_id", "text", fit=idf, counts=tc)
     qv = FE.tfidf(b, "item_id", "text", fit=idf).withColumnRenamed("item_id", "query_id")
     hits = FE.topk_sparse(dv, qv, k=k, n_docs=n_docs, n_queries=n_q)
-    return (hits, idf) if with_idf else hits
+    return (hits, idf, qv) if with_idf else hits
 
 
 @register("text_query_top5", sql=f"""
@@ -212,8 +212,8 @@ def best_snippet(spark, sf_dir):
     from ..operators.snippets import best_snippet as snip
     d = t(spark, sf_dir, "documents", ["doc_id", "text"])
     b = t(spark, sf_dir, "benchmark", ["item_id", "text"]).withColumnRenamed("item_id", "query_id")
-    hits, idf = query_hits(spark, sf_dir, 2, with_idf=True)
-    out = snip(hits, d, b, doc_id="doc_id", idf=idf)
+    hits, idf, qv = query_hits(spark, sf_dir, 2, with_idf=True)
+    out = snip(hits, d, b, doc_id="doc_id", idf=idf, query_vectors=qv)
     return out.select("query_id", "source_doc", "sent_no", r6(F.col("score")).alias("score"), "snippet")
 
 
