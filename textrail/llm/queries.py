@@ -9,14 +9,24 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact, langid, packing
-from .common import crc_fold, documents
+from . import bpe, cotrain, exact, langid, minhash, packing
+from .common import crc_fold, documents, table
+
+
+def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_groups(documents(spark, sf_dir)).drop("_row")
 
 
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = cotrain.fit(docs, table(spark, sf_dir, "labels"))
+    return cotrain.score(docs, model, keep=[F.col("doc_id")])
+
+
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).withColumn("held_out", crc_fold("doc_id", 5) == 0)
     model = langid.fit(docs.where("not coalesce(held_out, false)").select("lang", "text"))
@@ -43,5 +53,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
-QUERIES = {f.__name__: f for f in (op4_bpe, op7_language, op9_exact_dedup, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op4_bpe, op6_quality, op7_language, op9_exact_dedup, op10_packing)}
 ORACLES = {"op9_exact_dedup": OP9_SQL}
