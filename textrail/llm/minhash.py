@@ -8,11 +8,11 @@ is later than the slowest register.  Two documents agree in a register with
 the probability Jaccard similarity of their weights.
 
 Banding: documents that agree in all registers of a band share a bucket.
-Verification: pairs of a bucket are compared by their signatures in blocks,
-and pairs that may be linked by their exact similarity.  As only classes are
-wanted, a document first proposes its most similar partner of another class,
-and in the following rounds four times as many among those that are still in
-another class, until no bucket has an untested pair between two classes.
+Buckets of equal members are taken once, and a large bucket is cut into blocks
+whose pairs are pieces of their own.  Verification: a piece compares all its
+documents exactly, the shared mass of each pair coming from a product of
+matrices, and gives the links of a spanning forest, which keep the classes
+that all its links make.
 
 Equal texts are one node throughout.
 """
@@ -22,7 +22,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,8 +33,6 @@ from .words import parts, shingles, weighted, word_hashes
 BANDS, ROWS = 24, 6
 WORDS = 5
 SIMILAR = 0.8
-#: Estimates below this are not verified: more than four standard errors below SIMILAR.
-PLAUSIBLE = 0.65
 #: Documents of a bucket that are compared with one another in one piece.
 BLOCK = 512
 
@@ -77,12 +74,12 @@ def probability_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, n
 
 
 def _sign(src: DataFrame) -> DataFrame:
-    """(_row, _id, _key, _bands, _marks) of (_row, _id, _key, _text)."""
-    schema = f"_row bigint, _id {src.schema['_id'].dataType.simpleString()}, _key binary, _bands array<bigint>, _marks binary"
+    """(_row, _id, _key, _bands) of (_row, _id, _key, _text)."""
+    schema = f"_row bigint, _id {src.schema['_id'].dataType.simpleString()}, _key binary, _bands array<bigint>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bands, marks = [], []
+            bands = []
             for first, last, raw, at in parts(batch.column("_text")):
                 n = last - first
                 key, doc, count = weighted(*shingles(*word_hashes(raw, at), WORDS))
@@ -91,72 +88,101 @@ def _sign(src: DataFrame) -> DataFrame:
                 band = np.zeros((n, BANDS), np.uint64) + np.arange(BANDS, dtype=np.uint64)
                 for j in range(ROWS):
                     band = mix64(band + won.reshape(n, BANDS, ROWS)[:, :, j])
-                mark = (mix64(won) >> np.uint64(56)).astype(np.uint8)
                 bands += [b.view(np.int64).tolist() if s else [] for b, s in zip(band, some, strict=True)]
-                marks += [m.tobytes() for m in mark]
             yield pa.RecordBatch.from_arrays([batch.column("_row"), batch.column("_id"), batch.column("_key"),
-                                              pa.array(bands, pa.list_(pa.int64())), pa.array(marks, pa.binary())],
-                                             names=["_row", "_id", "_key", "_bands", "_marks"])
+                                              pa.array(bands, pa.list_(pa.int64()))],
+                                             names=["_row", "_id", "_key", "_bands"])
 
     return small_batches(src).mapInArrow(run, schema)
 
 
-def _estimates(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Estimated similarity between the rows of two arrays of marks; one of
-    256 different shingles has the same mark by chance."""
-    same = np.zeros((len(a), len(b)), np.int32)
-    for j in range(a.shape[1]):
-        same += a[:, j][:, None] == b[:, j][None, :]
-    return (same / a.shape[1] - 1 / 256) / (1 - 1 / 256)
-
-
-def _proposals(entries: DataFrame, most: int) -> DataFrame:
-    """(a, b, more): in each piece of a bucket, every node's ``most`` best
-    partners of other classes; ``more``: it had more of them."""
-    def run(piece: pd.DataFrame) -> pd.DataFrame:
-        piece = piece.drop_duplicates("node").sort_values("node")
-        left = piece[piece.block == piece.i.iloc[0]]
-        right = left if piece.i.iloc[0] == piece.j.iloc[0] else piece[piece.block == piece.j.iloc[0]]
-        out, more = [], False
-        if len(left) and len(right):
-            marks = [np.frombuffer(b"".join(x.marks), np.uint8).reshape(len(x), -1) for x in (left, right)]
-            score = _estimates(*marks)
-            score[left.comp.to_numpy()[:, None] == right.comp.to_numpy()[None, :]] = -1
-            for s, mine, theirs in ((score, left, right), (score.T, right, left)):
-                take = min(most, s.shape[1])
-                more |= bool(((s >= PLAUSIBLE).sum(axis=1) > take).any())
-                best = np.argsort(-s, axis=1, kind="stable")[:, :take]
-                row, col = np.nonzero(np.take_along_axis(s, best, axis=1) >= PLAUSIBLE)
-                out.append(np.column_stack([mine.node.to_numpy()[row], theirs.node.to_numpy()[best[row, col]]]))
-                if left is right:
-                    break
-        pairs = np.concatenate(out) if out else np.zeros((0, 2), np.int64)
-        pairs = np.unique(np.sort(pairs, axis=1), axis=0)
-        return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1], "more": np.full(len(pairs), more)})
-
-    return entries.groupBy("band", "i", "j").applyInPandas(run, "a bigint, b bigint, more boolean")
-
-
-def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose exact similarity is SIMILAR or more."""
-    left = texts.select(F.col("node").alias("a"), F.col("text").alias("ta"))
-    right = texts.select(F.col("node").alias("b"), F.col("text").alias("tb"))
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb")
-
-    def bags(column: pa.Array) -> list:
-        out: list = []
-        for first, last, raw, at in parts(column):
-            key, doc, count = weighted(*shingles(*word_hashes(raw, at), WORDS))
-            cuts = np.searchsorted(doc, np.arange(last - first + 1))
-            out += [(key[i:j], count[i:j]) for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
-        return out
+def forest(key: np.ndarray, doc: np.ndarray, count: np.ndarray, side: np.ndarray, crossing: bool) -> list[tuple[int, int]]:
+    """Links of a spanning forest of the texts (by number) whose similarity is
+    SIMILAR or more; ``crossing``: only pairs of different ``side`` count."""
+    n = len(side)
+    total = np.maximum(np.bincount(doc, weights=count, minlength=n), 1)
+    plain = np.bincount(doc, weights=count > 1, minlength=n) == 0
+    column, of = np.unique(key, return_inverse=True)
+    often = np.bincount(of, minlength=len(column)) > 1
+    place = np.cumsum(often) - 1
+    use = often[of]
+    row, col, value = doc[use], place[of[use]], count[use].astype(np.float32)
+    mass = np.zeros((n, n))  # of the first text, in shingles of the second
+    order = np.argsort(col, kind="stable")
+    row, col, value = row[order], col[order], value[order]
+    for lo in range(0, int(often.sum()), 4096):
+        i, j = np.searchsorted(col, (lo, lo + 4096))
+        x = np.zeros((n, 4096), np.float32)
+        x[row[i:j], col[i:j] - lo] = value[i:j]
+        mass += x @ (x > 0).T.astype(np.float32)
+    # neither text can have a smaller part in common than their similarity
+    bound = np.minimum(mass / total[:, None], mass.T / total[None, :])
+    exact = np.where(plain[:, None] & plain[None, :], mass / (total[:, None] + total[None, :] - mass), bound)
+    allowed = np.triu(exact >= SIMILAR - 1e-9, 1)
+    if crossing:
+        allowed &= side[:, None] != side[None, :]
+    a, b = np.nonzero(allowed)
+    best = np.argsort(-exact[a, b], kind="stable")
+    cuts = np.searchsorted(doc, np.arange(n + 1))
+    root = list(range(n))
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    out = []
+    for x, y in zip(a[best].tolist(), b[best].tolist(), strict=True):
+        p, q = find(x), find(y)
+        if p == q:
+            continue
+        if not (plain[x] and plain[y]):
+            bags = [(key[cuts[t]:cuts[t + 1]], count[cuts[t]:cuts[t + 1]]) for t in (x, y)]
+            if probability_jaccard(*bags) < SIMILAR - 1e-9:
+                continue
+        root[p] = q
+        out.append((x, y))
+    return out
+
+
+def _links(entries: DataFrame) -> DataFrame:
+    """(a, b): the forest's links of every piece (g, i, j) of (node, block, text)."""
+    dealt = entries.repartition("g", "i", "j").sortWithinPartitions("g", "i", "j", "node")
+
+    def solve(piece: pa.Table) -> Iterator[tuple[int, int]]:
+        node = piece.column("node").to_numpy()
+        bags, at = [], 0
+        for first, last, raw, offsets in parts(pa.concat_arrays(piece.column("text").chunks)):
+            key, doc, count = weighted(*shingles(*word_hashes(raw, offsets), WORDS))
+            bags.append((key, doc + at, count))
+            at += last - first
+        i, j = piece.column("i")[0].as_py(), piece.column("j")[0].as_py()
+        for x, y in forest(*(np.concatenate(c) for c in zip(*bags, strict=True)), piece.column("block").to_numpy(), i != j):
+            yield int(node[x]), int(node[y])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
         for batch in batches:
-            ok = [probability_jaccard(x, y) >= SIMILAR - 1e-9 for x, y in zip(bags(batch.column("ta")), bags(batch.column("tb")), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(ok, pa.bool_())], names=["a", "b", "ok"])
+            rows = pa.Table.from_batches([batch])
+            rows = pa.concat_tables([held, rows]) if held is not None else rows
+            g, i, j = (rows.column(c).to_numpy() for c in ("g", "i", "j"))
+            cuts = np.flatnonzero((g[1:] != g[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
+            begin, out = 0, []
+            for end in cuts.tolist():
+                out += solve(rows.slice(begin, end - begin))
+                begin = end
+            held = rows.slice(begin)
+            yield _pairs(out)
+        if held is not None and held.num_rows:
+            yield _pairs(list(solve(held)))
 
-    return small_batches(both).mapInArrow(run, "a bigint, b bigint, ok boolean")
+    return small_batches(dealt).mapInArrow(run, "a bigint, b bigint")
+
+
+def _pairs(out: list[tuple[int, int]]) -> pa.RecordBatch:
+    a = np.array(out, np.int64).reshape(-1, 2)
+    return pa.RecordBatch.from_arrays([pa.array(a[:, 0]), pa.array(a[:, 1])], names=["a", "b"])
 
 
 def near_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -174,14 +200,22 @@ def near_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     src = df.select(F.monotonically_increasing_id().alias("_row"), F.col(f"`{id_col}`").alias("_id"), F.unhex(F.md5(text)).alias("_key"), text.alias("_text"))
     rows = cut(_sign(src))
-    nodes = cut(rows.groupBy("_key").agg(F.first("_bands").alias("_bands"), F.first("_marks").alias("marks"), F.min("_row").alias("_first")))
+    nodes = cut(rows.groupBy("_key").agg(F.first("_bands").alias("_bands"), F.min("_row").alias("_first")))
     nodes = nodes.withColumn("node", F.monotonically_increasing_id())
     banded = nodes.select("node", F.explode("_bands").alias("band"))
     shared = banded.groupBy("band").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     shared = cut(banded.join(shared, "band"))
     wanted = nodes.join(shared.select("node").distinct(), "node", "left_semi").select("node", "_first")
     texts = cut(src.select(F.col("_row").alias("_first"), F.col("_text").alias("text")).join(wanted, "_first").select("node", "text"))
-    comp = _link(shared, nodes.select("node", "marks"), texts)
+    few = (shared.where(F.col("size") <= BLOCK).groupBy("band").agg(F.sort_array(F.collect_list("node")).alias("members"))
+           .groupBy("members").agg(F.min("band").alias("g"))
+           .select("g", F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit(0).alias("block"), F.explode("members").alias("node")))
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    many = (shared.where(F.col("size") > BLOCK).withColumn("blocks", blocks)
+            .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .select(F.col("band").alias("g"), F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node"))
+    comp = components(_links(few.unionByName(many).join(texts, "node")))
     member = rows.select("_row", "_id", "_key").join(nodes.select("_key", "node"), "_key")
     member = cut(member.join(comp, "node", "left").select("_row", "_id", F.coalesce("comp", "node").alias("_comp")))
     first = F.struct(F.isnull("_id").alias("x"), F.col("_id").alias("id"), F.col("_row").alias("r"))
@@ -190,33 +224,6 @@ def near_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
                                                 F.col("_size").alias("class_size"), (F.col("_row") == F.col("_least.r")).alias("kept"))
 
 
-def _link(shared: DataFrame, marks: DataFrame, texts: DataFrame) -> DataFrame:
-    """(node, comp) of all linked nodes."""
-    spark = shared.sparkSession
-    comp = spark.createDataFrame([], "node bigint, comp bigint")
-    links = spark.createDataFrame([], "a bigint, b bigint")
-    tested, most = links, 1
-    while True:
-        labelled = shared.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-        open_bands = labelled.groupBy("band").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("band")
-        blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-        entries = (labelled.join(open_bands, "band").join(marks, "node")
-                   .withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-                   .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-                   .select("band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "comp", "marks"))
-        found = cut(_proposals(entries, most).groupBy("a", "b").agg(F.max("more").alias("more")))
-        fresh = cut(_verified(found.select("a", "b").join(tested, ["a", "b"], "left_anti"), texts))
-        if not fresh.isEmpty():
-            tested = cut(tested.unionByName(fresh.select("a", "b")))
-            won = fresh.where("ok").select("a", "b")
-            if not won.isEmpty():
-                links = cut(links.unionByName(won))
-                comp = components(links)
-        elif found.where("more").isEmpty():
-            return comp
-        most *= 4
-
-
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each class of near copies, all columns kept."""
     docs = docs.withColumn("_row", F.monotonically_increasing_id())
