@@ -1,8 +1,64 @@
-"""Corpus pipeline: language, quality, exact and near copies, packing."""
+"""Corpus pipeline: language, quality, exact and near copies, packing.
 
-STAGES = []
+Each stage is a function of (spark, docs, sf_dir).  Its result is written as
+Parquet and read again as the next one's docs, so every stage starts from a
+table and nothing is computed twice.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from textrail.llm import cotrain, exact, langid, minhash, packing
+from textrail.llm.common import documents, table
+from textrail.session import ensure_checkpoint_dir, ship_package
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is told; no letters or two close languages: rejected."""
+    model = langid.fit(docs.select("lang", "text"))
+    told = langid.predict(docs, model).where((F.col("lang_pred") != langid.UNKNOWN) & ~F.col("ambiguous"))
+    return told.select(docs.columns)
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of good quality."""
+    model = cotrain.fit(docs, table(spark, sf_dir, "labels"))
+    return cotrain.score(docs, model).where("keep").select(docs.columns)
+
+
+def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of equal texts."""
+    return exact.drop_copies(docs)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near copies."""
+    return minhash.drop_near_copies(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the packed training sequences."""
+    pieces = packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+STAGES = [("language", language), ("quality", quality), ("exact_dedup", exact_dedup), ("near_dedup", near_dedup), ("packing", pack)]
+
+#: Trained models and MinHash have no SQL form; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages over ``documents``; their tables lie in the shared checkpoint folder."""
+    ship_package(spark)
+    folder = f"{ensure_checkpoint_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    docs = documents(spark, sf_dir)
+    for name, stage in STAGES:
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+        docs = spark.read.parquet(f"{folder}/{name}")
+    return docs

@@ -109,6 +109,10 @@ def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     their names cannot clash.  ``bits`` (the buckets' width) changes the
     work, never the result.
     """
+    return _grouped(df, id_col, text_col, block, bits).drop("_row")
+
+
+def _grouped(df: DataFrame, id_col: str, text_col: str, block: int = BLOCK, bits: int = 64) -> DataFrame:
     text = squeeze(F.col(f"`{text_col}`"))
     src = df.select(F.col(f"`{id_col}`").alias("_id"), F.coalesce(F.char_length(F.col(f"`{text_col}`")), F.lit(0)).alias("_len"),
                     text.alias("_t"))
@@ -126,27 +130,15 @@ def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     first = F.struct((-F.col("_len")).alias("l"), F.isnull("_id").alias("x"), F.col("_id").alias("id"), F.col("_row").alias("r"))
     groups = rows.groupBy("_n", "_name").agg(F.min(first).alias("_first"), F.count(F.lit(1)).alias("_size"))
     return rows.join(groups, ["_n", "_name"]).select(
-        F.col("_id").alias("doc_id"), F.col("_first.id").alias("keep_id"), F.col("_size").alias("group_size"),
+        "_row", F.col("_id").alias("doc_id"), F.col("_first.id").alias("keep_id"), F.col("_size").alias("group_size"),
         (F.col("_row") == F.col("_first.r")).alias("kept"), F.col("_sha").alias("text_sha256"))
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that exact_groups keeps, with all columns.
+    """``docs`` with the row of each group that stays, all columns kept.
 
-    ``id_col`` need not be unique: a kept row is found again by its id and
-    text digest, and of rows repeated whole one is left.
-    """
-    kept = (exact_groups(docs, id_col, text_col).where("kept")
-            .select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")))
-    digest = F.sha2(squeeze(F.col(f"`{text_col}`")), 256)
-    same = docs.withColumn("_sha", digest).withColumn("_len", F.coalesce(F.char_length(F.col(f"`{text_col}`")), F.lit(0)))
-    hit = same.join(kept, (same["_sha"] == kept["_sha"]) & same[id_col].eqNullSafe(kept["_id"]), "left_semi")
-    # a digest that is kept once leaves one row, also if its id is repeated
-    dup = cut(hit.groupBy("_sha", id_col).agg(F.count(F.lit(1)).alias("_k")).where("_k > 1"))
-    if dup.isEmpty():
-        return hit.drop("_sha", "_len")
-    plain = hit.join(dup.select(F.col("_sha").alias("_s")), hit["_sha"] == F.col("_s"), "left_anti")
-    again = hit.join(dup.select(F.col("_sha").alias("_s")), hit["_sha"] == F.col("_s"), "left_semi")
-    w = W.partitionBy("_sha").orderBy(F.desc("_len"))
-    again = again.withColumn("_k", F.row_number().over(w)).where("_k = 1").drop("_k")
-    return plain.unionByName(again).drop("_sha", "_len")
+    Rows are told apart by their place in ``docs``, which must be the same
+    each time it is read, as a table's is."""
+    docs = docs.withColumn("_row", F.monotonically_increasing_id())
+    gone = _grouped(docs.select(f"`{id_col}`", f"`{text_col}`"), id_col, text_col).where("not kept").select("_row")
+    return docs.join(gone, "_row", "left_anti").drop("_row")

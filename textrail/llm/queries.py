@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, cotrain, exact, langid, minhash, packing
+from . import ann, bpe, cotrain, exact, langid, minhash, packing
 from .common import crc_fold, documents, table
 
 
@@ -33,6 +33,10 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, model, keep=[F.col("doc_id"), F.coalesce("held_out", F.lit(False)).alias("held_out")])
 
 
+def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(documents(spark, sf_dir))
 
@@ -53,5 +57,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op4_bpe, op6_quality, op7_language, op9_exact_dedup, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op4_bpe, op6_quality, op7_language, op8_neighbours, op9_exact_dedup, op10_packing)}
 ORACLES = {"op9_exact_dedup": OP9_SQL}
