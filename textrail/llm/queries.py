@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, cotrain, exact, langid, minhash, packing
+from . import ann, bpe, cotrain, exact, langid, licenses, linededup, minhash, packing
 from .common import crc_fold, documents, table
 
 
@@ -17,10 +17,20 @@ def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_groups(documents(spark, sf_dir)).drop("_row")
 
 
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # the table has no paths: a file of its source's folder, a hundred to a folder
+    path = F.concat_ws("/", F.coalesce("source", F.lit("none")), F.floor(F.col("doc_id") / 100).cast("string"), F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+    return licenses.scan(documents(spark, sf_dir), path)
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.drop_repeats(documents(spark, sf_dir))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     model = cotrain.fit(docs, table(spark, sf_dir, "labels"))
@@ -57,5 +67,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op4_bpe, op6_quality, op7_language, op8_neighbours, op9_exact_dedup, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op2_licenses, op4_bpe, op5_line_dedup, op6_quality, op7_language, op8_neighbours, op9_exact_dedup, op10_packing)}
 ORACLES = {"op9_exact_dedup": OP9_SQL}

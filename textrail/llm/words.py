@@ -29,6 +29,12 @@ def parts(column: pa.Array, most: int = 1 << 22, rows: int = 1000) -> Iterator[t
 
 def word_hashes(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """A hash of each white-space word, A-Z lowered, and its text's number."""
+    word, begin = word_spans(raw, at)
+    return word, np.searchsorted(at, begin, "right") - 1
+
+
+def word_spans(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A hash of each white-space word, A-Z lowered, and the place where it begins."""
     inside = ~_SPACE[raw]
     first = inside.copy()
     first[1:] &= ~inside[:-1]
@@ -45,7 +51,7 @@ def word_hashes(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray
     powers = np.multiply.accumulate(powers)
     values = _BYTE[_LOWER[raw[here]]] * powers[place]
     begins = np.flatnonzero(first[here])
-    return mix64(np.add.reduceat(values, begins)), np.searchsorted(at, starts, "right") - 1
+    return mix64(np.add.reduceat(values, begins)), starts
 
 
 def shingles(words: np.ndarray, doc: np.ndarray, size: int = 5) -> tuple[np.ndarray, np.ndarray]:
