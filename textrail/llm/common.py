@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -69,3 +71,14 @@ def mix64(x: np.ndarray) -> np.ndarray:
 def crc_fold(column, folds: int):
     """crc32(column as text) mod folds."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % F.lit(folds)
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a Parquet table in the shared folder, for tables
+    that columns compress well; it is deleted when the session ends."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return spark.read.schema(df.schema).parquet(path)

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, cotrain, exact, langid, licenses, linededup, minhash, packing
+from . import ann, bpe, cotrain, exact, langid, licenses, linededup, minhash, packing, ppm
 from .common import crc_fold, documents, table
 
 
@@ -23,6 +23,12 @@ def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(documents(spark, sf_dir), path)
 
 
+def op3_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(crc_fold("doc_id", 5) == 1, F.lit(False))
+    scored = ppm.score(documents(spark, sf_dir), ~held_out)
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -67,5 +73,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op2_licenses, op4_bpe, op5_line_dedup, op6_quality, op7_language, op8_neighbours, op9_exact_dedup, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op2_licenses, op3_ppm, op4_bpe, op5_line_dedup, op6_quality, op7_language, op8_neighbours, op9_exact_dedup, op10_packing)}
 ORACLES = {"op9_exact_dedup": OP9_SQL}

@@ -9,9 +9,9 @@ import pyarrow as pa
 
 from .common import byte_view, mix64
 
-_SPACE = np.zeros(256, bool)
-_SPACE[[9, 10, 11, 12, 13, 32]] = True
-_LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
+SPACE = np.zeros(256, bool)
+SPACE[[9, 10, 11, 12, 13, 32]] = True
+LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
 _BYTE = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _FACTOR = np.uint64(0xD6E8FEB86659FD93)
 
@@ -35,7 +35,7 @@ def word_hashes(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 def word_spans(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """A hash of each white-space word, A-Z lowered, and the place where it begins."""
-    inside = ~_SPACE[raw]
+    inside = ~SPACE[raw]
     first = inside.copy()
     first[1:] &= ~inside[:-1]
     edges = at[:-1][np.diff(at) > 0]
@@ -49,7 +49,7 @@ def word_spans(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     powers = np.ones(int(place.max()) + 1, np.uint64)
     powers[1:] = _FACTOR
     powers = np.multiply.accumulate(powers)
-    values = _BYTE[_LOWER[raw[here]]] * powers[place]
+    values = _BYTE[LOWER[raw[here]]] * powers[place]
     begins = np.flatnonzero(first[here])
     return mix64(np.add.reduceat(values, begins)), starts
 
