@@ -3,8 +3,8 @@
 The model is a trie of byte contexts up to ORDER bytes, held as one table per
 order: a row for each context and next byte with its count in the training
 texts.  A byte is coded in its longest known context; a byte that is new there
-escapes to the next shorter one with the probability d / (n + d) (d different
-bytes among n, method C), and the bytes of the longer context are excluded
+escapes to the next shorter one with the probability d / 2n (d different
+bytes among n, method D), and the bytes of the longer context are excluded
 below it.  Under order 0 all 256 symbols are alike.  As a context's bytes are
 a part of those of its suffix, what is left after an exclusion is known for
 each context, so the code length of every (context, byte) is worked out once,
@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from .common import small_batches, stored
 from .words import LOWER, SPACE, parts
 
-ORDER = 4
+ORDER = 5
 END, START = 0xFE, 0xFF
 #: Bytes of text, about, in a block.
 BLOCK_BYTES = 24_000_000
@@ -151,11 +151,11 @@ def code_lengths(counts: DataFrame, order: int = ORDER) -> DataFrame:
             # of the shorter context, what the exclusion of this one's bytes leaves
             rows = joined.select("key", "c", "lc", "la", "llp", "ln", "ld", *own, F.sum(F.when(F.col("c") > 0, F.col("lc"))).over(context).alias("x"))
             t, d = F.col("ln") - F.coalesce("x", F.lit(0)), F.col("ld") - F.col("d")
-            after = F.when(t + d <= 0, F.col("la")).when(F.col("lc") > 0, F.log10(F.col("lc") / (t + d))).otherwise(F.log10(d / (t + d)) + F.col("la"))
+            after = F.when(t <= 0, F.col("la")).when(F.col("lc") > 0, F.log10((2 * F.col("lc") - 1) / (2 * t))).otherwise(F.log10(d / (2 * t)) + F.col("la"))
             shorter = F.col("llp")
         rows = rows.withColumn("after", after)
-        lp = (F.when(F.col("c") > 0, F.log10(F.col("c") / (F.col("n") + F.col("d"))))
-              .when(F.col("n") > 0, F.log10(F.col("d") / (F.col("n") + F.col("d"))) + F.col("after")).otherwise(shorter))
+        lp = (F.when(F.col("c") > 0, F.log10((2 * F.col("c") - 1) / (2 * F.col("n"))))
+              .when(F.col("n") > 0, F.log10(F.col("d") / (2 * F.col("n"))) + F.col("after")).otherwise(shorter))
         below = rows.withColumn("lp", lp).select("key", "c", "n", "d", "after", "lp")
     return below.select("key", "lp")
 
