@@ -7,14 +7,15 @@ words.  Winnowing: of the grams that fit into GUARANTEE words from a line (at
 least the first), the one with the least hash is a fingerprint.  Two texts
 that share a run of GUARANTEE words or more share a fingerprint in it.
 
-Each fingerprint's later places are joined to its first place (documents by
-id), the match is extended both ways while the lines agree, and the later run
+Each fingerprint's first place in a text is joined to its first place of all
+(documents by id), and its later places in the text to the ones before them; the match is extended both ways while the lines agree, and the later run
 is deleted.  What is deleted always has an equal line earlier on, so the first
 copy of everything stays.
 """
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -97,8 +98,10 @@ def _lists(values: np.ndarray, doc: np.ndarray, n: int) -> pa.ListArray:
 
 
 def _prints(src: DataFrame) -> DataFrame:
-    """(row, id, lines, places, prints) of (row, id, text)."""
-    schema = f"row bigint, id {src.schema['id'].dataType.simpleString()}, lines binary, places array<bigint>, prints array<bigint>"
+    """(row, id, lines, places, prints, own) of (row, id, text): the lines'
+    hashes, the first place of each fingerprint, and the runs of lines that
+    repeat earlier ones of the same text."""
+    schema = f"row bigint, id {src.schema['id'].dataType.simpleString()}, lines binary, places array<bigint>, prints array<bigint>, own array<bigint>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -107,27 +110,43 @@ def _prints(src: DataFrame) -> DataFrame:
                 line_doc, line_hash, doc, place, h = fingerprints(raw, at)
                 cuts = np.searchsorted(line_doc, np.arange(n + 1))
                 lines = [line_hash[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+                order = np.lexsort((place, h, doc))
+                doc, place, h = doc[order], place[order], h[order]
+                again = np.r_[False, (doc[1:] == doc[:-1]) & (h[1:] == h[:-1])] if len(doc) else np.zeros(0, bool)
+                own: list[list[int]] = [[] for _ in range(n)]
+                # a repeat is compared with the place before it, so a line that recurs all along has one shift
+                shifts: dict[tuple[int, int], list[int]] = defaultdict(list)
+                for k in np.flatnonzero(again).tolist():
+                    shifts[int(doc[k]), int(place[k] - place[k - 1])].append(int(place[k]))
+                for (d, shift), places in shifts.items():
+                    mine = line_hash[cuts[d]:cuts[d + 1]]
+                    own[d] += agreeing(mine, mine, shift, places)
+                doc, place, h = doc[~again], place[~again], h[~again]
                 yield pa.RecordBatch.from_arrays([batch.column("row").slice(first, n), batch.column("id").slice(first, n), pa.array(lines, pa.binary()),
-                                                  _lists(place.astype(np.int64), doc, n), _lists(h.view(np.int64), doc, n)],
-                                                 names=["row", "id", "lines", "places", "prints"])
+                                                  _lists(place.astype(np.int64), doc, n), _lists(h.view(np.int64), doc, n),
+                                                  pa.array(own, pa.list_(pa.int64()))], names=["row", "id", "lines", "places", "prints", "own"])
 
     return small_batches(src).mapInArrow(run, schema)
 
 
+def agreeing(mine: np.ndarray, theirs: np.ndarray, shift: int, places: list[int]) -> list[int]:
+    """Runs (first, last + 1, ...) of ``mine`` around the places that equal
+    ``theirs`` that many lines earlier."""
+    lo, hi = max(0, shift), min(len(mine), len(theirs) + shift)
+    same = np.r_[False, mine[lo:hi] == theirs[lo - shift:hi - shift], False]
+    edges = np.flatnonzero(same[1:] != same[:-1]) + lo
+    begins, ends = edges[::2], edges[1::2]
+    hit = np.unique(np.searchsorted(begins, np.array(places), "right") - 1)
+    return np.column_stack([begins[hit], ends[hit]]).ravel().tolist()
+
+
 def _extended(pairs: DataFrame) -> DataFrame:
     """(row, runs): runs of lines (first, last + 1) of the later text that
     agree with the earlier one around the matched places."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for a, b, shift, places in zip(*(batch.column(c).to_pylist() for c in ("lines", "earlier", "shift", "places")), strict=True):
-                mine, theirs = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
-                lo, hi = max(0, shift), min(len(mine), len(theirs) + shift)
-                same = np.r_[False, mine[lo:hi] == theirs[lo - shift:hi - shift], False]
-                edges = np.flatnonzero(same[1:] != same[:-1]) + lo
-                begins, ends = edges[::2], edges[1::2]
-                hit = np.unique(np.searchsorted(begins, np.array(places), "right") - 1)
-                out.append(np.column_stack([begins[hit], ends[hit]]).ravel().tolist())
+            rows = zip(*(batch.column(c).to_pylist() for c in ("lines", "earlier", "shift", "places")), strict=True)
+            out = [agreeing(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64), shift, places) for a, b, shift, places in rows]
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(out, pa.list_(pa.int64()))], names=["row", "runs"])
 
     return small_batches(pairs).mapInArrow(run, "row bigint, runs array<bigint>")
@@ -179,10 +198,11 @@ def drop_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     order = F.struct(F.isnull("id").alias("x"), "id", "row", "place")
     places = printed.select("row", "id", F.explode(F.arrays_zip("places", "prints")).alias("p")).select("row", "id", F.col("p.places").alias("place"), F.col("p.prints").alias("print"))
     first = cut(places.groupBy("print").agg(F.min(order).alias("f"), F.count(F.lit(1)).alias("n")).where("n > 1").select("print", F.col("f.row").alias("from"), F.col("f.place").alias("at")))
-    later = (places.select("row", "place", "print").join(first, "print").where("row <> from or place <> at")
+    later = (places.select("row", "place", "print").join(first, "print").where("row <> from")
              .groupBy("row", "from", (F.col("place") - F.col("at")).alias("shift")).agg(F.collect_list("place").alias("places")))
     lines = printed.select("row", "lines")
     pairs = later.join(lines, "row").join(lines.select(F.col("row").alias("from"), F.col("lines").alias("earlier")), "from")
-    runs = _extended(pairs.select("row", "lines", "earlier", "shift", "places")).groupBy("row").agg(F.flatten(F.collect_list("runs")).alias("_runs"))
+    runs = _extended(pairs.select("row", "lines", "earlier", "shift", "places"))
+    runs = runs.unionByName(printed.where(F.size("own") > 0).select("row", F.col("own").alias("runs"))).groupBy("row").agg(F.flatten(F.collect_list("runs")).alias("_runs"))
     rows = src.join(cut(runs), "row", "left").select(F.col("id").alias("doc_id"), F.col("text").alias("_text"), "_runs")
     return _deleted(rows, [f for f in rows.schema.fields if f.name == "doc_id"])
