@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 import numpy as np
@@ -33,6 +34,12 @@ def small_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+def narrow_batches(df: DataFrame, rows: int = 50_000) -> DataFrame:
+    """A larger Arrow batch for rows of a few numbers, until the next small_batches."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    return df
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint in the shared folder."""
     ensure_checkpoint_dir(df.sparkSession)
@@ -79,6 +86,11 @@ def stored(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    schema = df.schema
+    # the shuffle files of a finished step go when the driver finds its plan unused
+    del df
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(schema).parquet(path)

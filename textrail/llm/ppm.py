@@ -32,13 +32,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import small_batches, stored
+from .common import narrow_batches, small_batches, stored
 from .words import LOWER, SPACE, parts
 
 ORDER = 5
 END, START = 0xFE, 0xFF
 #: Bytes of text, about, in a block.
-BLOCK_BYTES = 24_000_000
+BLOCK_BYTES = 48_000_000
+#: Answers that a task gathers before it hands them out by block.
+GATHER = 2_000_000
 _TABLE = bytes(LOWER.tolist())
 
 
@@ -181,7 +183,7 @@ def score(df: DataFrame, train: Column, id_col: str = "doc_id", text_col: str =
     src = src.withColumn("block", F.shiftright("row", shift))
     asked = stored(_features(src, order))
     sums = asked.where("key is not null").groupBy("key").agg(F.sum("n").alias("c"))
-    lengths = code_lengths(stored(sums), order)
+    lengths = stored(code_lengths(stored(sums), order))
     vocabulary = stored(asked.where("word is not null").groupBy("word").agg(F.sum("n").alias("c")))
     known = vocabulary.agg(F.sum("c").alias("n"), F.sum((F.col("c") > 0).cast("long")).alias("v")).first()
     ends = about["ends"] or 0
@@ -189,14 +191,14 @@ def score(df: DataFrame, train: Column, id_col: str = "doc_id", text_col: str =
     schema = f"doc_id {src.schema['doc_id'].dataType.simpleString()}, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
 
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
-        grams_ = answers.filter(pc.is_valid(answers.column("key")))
-        keys, lp = grams_.column("key").to_numpy(), grams_.column("lp").to_numpy()
+        keys, lp = (np.concatenate([np.frombuffer(x.as_py(), t) for x in answers.column(c)]) if answers.num_rows else np.zeros(0, t)
+                    for c, t in (("keys", np.int64), ("lps", np.float64)))
         by = np.argsort(keys)
         keys, lp = keys[by], lp[by]
-        words = answers.filter(pc.is_valid(answers.column("word")))
-        counts = words.column("c").to_numpy()
+        words = [w for x in answers.column("words") for w in x.as_py().split()]
+        counts = np.frombuffer(b"".join(x.as_py() for x in answers.column("counts")), np.int64)
         value = np.log10((counts + 0.5) / (total + 0.5 * (kinds + 1)))
-        base = dict(zip((w.encode() for w in words.column("word").to_pylist()), value.tolist(), strict=True))
+        base = dict(zip(words, value.tolist(), strict=True))
         fresh = float(np.log10(0.5 / (total + 0.5 * (kinds + 1))))
         end = float(np.log10((ends + 0.5) / (total + 0.5 * (kinds + 1))))
         out: list[tuple] = []
@@ -212,6 +214,41 @@ def score(df: DataFrame, train: Column, id_col: str = "doc_id", text_col: str =
         kinds_ = [pa.int64()] * 3 + [pa.float64()] * 2
         return pa.table([docs.column("doc_id"), *(pa.array(list(c), t) for c, t in zip(cols, kinds_, strict=True))], names=[c.split()[0] for c in schema.split(", ")])
 
-    gram_answers = asked.where("key is not null").select("block", "key").join(lengths, "key").select("block", "key", "lp", F.lit(None).cast("string").alias("word"), F.lit(None).cast("long").alias("c"))
-    word_answers = asked.where("word is not null").select("block", "word").join(vocabulary, "word").select("block", F.lit(None).cast("long").alias("key"), F.lit(None).cast("double").alias("lp"), "word", "c")
-    return (src.select("block", "doc_id", "text").groupBy("block").cogroup(gram_answers.unionByName(word_answers).groupBy("block")).applyInArrow(run, schema))
+    grams_ = asked.where("key is not null").select("block", "key").join(lengths, "key").select("block", "key", "lp", F.lit(None).cast("string").alias("word"), F.lit(None).cast("long").alias("c"))
+    words = asked.where("word is not null").select("block", "word").join(vocabulary, "word").select("block", F.lit(None).cast("long").alias("key"), F.lit(None).cast("double").alias("lp"), "word", "c")
+    answers = stored(_packed(grams_.unionByName(words)))
+    return small_batches(src.select("block", "doc_id", "text")).groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, schema)
+
+
+def _packed(answers: DataFrame) -> DataFrame:
+    """The answers that a task holds for a block in one row: keys and their
+    code lengths, words (joined by spaces) and their counts."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def flush() -> pa.RecordBatch:
+            rows = pa.Table.from_batches(held)
+            block = rows.column("block").to_numpy()
+            order = np.argsort(block, kind="stable")
+            block, rows = block[order], rows.take(pa.array(order))
+            out = []
+            for a, b in _runs(block):
+                part = rows.slice(a, b - a)
+                g, w = part.filter(pc.is_valid(part.column("key"))), part.filter(pc.is_valid(part.column("word")))
+                out.append((int(block[a]), g.column("key").to_numpy().tobytes(), g.column("lp").to_numpy().tobytes(),
+                            " ".join(w.column("word").to_pylist()).encode(), w.column("c").to_numpy().astype(np.int64).tobytes()))
+            cols = zip(*out, strict=True)
+            return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, [pa.int64(), *[pa.binary()] * 4], strict=True)],
+                                              names=["block", "keys", "lps", "words", "counts"])
+
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+                size += batch.num_rows
+            if size >= GATHER:
+                yield flush()
+                held, size = [], 0
+        if held:
+            yield flush()
+
+    return narrow_batches(answers).mapInArrow(run, "block bigint, keys binary, lps binary, words binary, counts binary")
