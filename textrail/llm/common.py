@@ -91,6 +91,24 @@ def stored(df: DataFrame) -> DataFrame:
     del df
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+    place, files = _place(spark, path)
+    files.deleteOnExit(place)
+    table = spark.read.schema(schema).parquet(path)
+    _STORED[id(table)] = path
+    return table
+
+
+def release(table: DataFrame) -> None:
+    """Delete a stored table that no later step reads."""
+    path = _STORED.pop(id(table), None)
+    if path:
+        place, files = _place(table.sparkSession, path)
+        files.delete(place, True)
+
+
+_STORED: dict[int, str] = {}
+
+
+def _place(spark: SparkSession, path: str):
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
-    return spark.read.schema(schema).parquet(path)
+    return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())

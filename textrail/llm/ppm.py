@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import narrow_batches, small_batches, stored
+from .common import narrow_batches, release, small_batches, stored
 from .words import LOWER, SPACE, parts
 
 ORDER = 5
@@ -54,13 +54,14 @@ def grams(raw: np.ndarray, at: np.ndarray, order: int = ORDER) -> tuple[np.ndarr
     edges = at[:-1][np.diff(at) > 0]
     first[edges] = inside[edges]
     starts = np.flatnonzero(first)
-    doc = np.searchsorted(at, starts, "right") - 1
+    text = np.repeat(np.arange(n, dtype=np.int32), np.diff(at))
+    doc = text[starts]
     keep = inside.copy()
     keep[starts[1:][doc[1:] == doc[:-1]] - 1] = True  # one space before every word but a text's first
     here = np.flatnonzero(keep)
-    of = np.searchsorted(at, here, "right") - 1
+    of = text[here]
     symbols = np.full(len(here) + n * (order + 1), START, np.uint8)
-    symbols[np.arange(len(here)) + of * (order + 1) + order] = np.where(inside[here], LOWER[raw[here]], 32)
+    symbols[np.arange(len(here)) + of.astype(np.int64) * (order + 1) + order] = np.where(inside[here], LOWER[raw[here]], 32)
     size = np.bincount(of, minlength=n)
     ends = np.cumsum(size + order + 1) - 1
     symbols[ends] = END
@@ -90,11 +91,8 @@ def _features(src: DataFrame, order: int) -> DataFrame:
         now, keys, counts, words = None, [], [], Counter()
 
         def flush() -> Iterator[pa.RecordBatch]:
-            both = np.concatenate(keys) if keys else np.zeros(0, np.int64)
-            code, key = pd.factorize(both)
-            n = np.bincount(code, weights=np.concatenate(counts), minlength=len(key)).astype(np.int64) if len(key) else np.zeros(0, np.int64)
-            by = np.argsort(key)
-            for k, w, c in ((key[by], None, n[by]), (None, sorted(words), None)):
+            key, n = _summed(np.concatenate(keys), np.concatenate(counts)) if keys else (np.zeros(0, np.int64),) * 2
+            for k, w, c in ((key, None, n), (None, sorted(words), None)):
                 size = len(k) if w is None else len(w)
                 for lo in range(0, size, 100_000):
                     m = min(100_000, size - lo)
@@ -114,9 +112,11 @@ def _features(src: DataFrame, order: int) -> DataFrame:
                 train = part.column("train").to_numpy(zero_copy_only=False).astype(bool)
                 for first, last, raw, at in parts(part.column("text")):
                     key, doc = grams(raw, at, order)
-                    code, key = pd.factorize(key)
-                    keys.append(key)
-                    counts.append(np.bincount(code, weights=train[first:last][doc], minlength=len(key)))
+                    learned = train[first:last][doc]
+                    for some, one in ((key[learned], 1), (key[~learned], 0)):
+                        some, n = _counted(np.sort(some))
+                        keys.append(some)
+                        counts.append(n * one)
                     for t, found in zip(train[first:last], _words(raw, at), strict=True):
                         if t:
                             words.update(found)
@@ -128,6 +128,21 @@ def _features(src: DataFrame, order: int) -> DataFrame:
     return small_batches(src.select("block", "train", "text")).mapInArrow(run, "block bigint, key bigint, word string, n bigint")
 
 
+def _counted(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Different values of a sorted array and how often each stands in it."""
+    first = np.flatnonzero(np.r_[True, values[1:] != values[:-1]]) if len(values) else np.zeros(0, np.int64)
+    return values[first], np.diff(np.r_[first, len(values)])
+
+
+def _summed(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    if not len(key):
+        return key, n
+    order = np.argsort(key)
+    key, n = key[order], n[order]
+    first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+    return key[first], np.add.reduceat(n, first)
+
+
 def _runs(values: np.ndarray) -> list[tuple[int, int]]:
     cuts = [0, *(np.flatnonzero(values[1:] != values[:-1]) + 1).tolist(), len(values)]
     return [(a, b) for a, b in zip(cuts[:-1], cuts[1:], strict=True) if b > a]
@@ -183,7 +198,9 @@ def score(df: DataFrame, train: Column, id_col: str = "doc_id", text_col: str =
     src = src.withColumn("block", F.shiftright("row", shift))
     asked = stored(_features(src, order))
     sums = asked.where("key is not null").groupBy("key").agg(F.sum("n").alias("c"))
-    lengths = stored(code_lengths(stored(sums), order))
+    learned = stored(sums)
+    lengths = stored(code_lengths(learned, order))
+    release(learned)
     vocabulary = stored(asked.where("word is not null").groupBy("word").agg(F.sum("n").alias("c")))
     known = vocabulary.agg(F.sum("c").alias("n"), F.sum((F.col("c") > 0).cast("long")).alias("v")).first()
     ends = about["ends"] or 0
@@ -217,6 +234,9 @@ def score(df: DataFrame, train: Column, id_col: str = "doc_id", text_col: str =
     grams_ = asked.where("key is not null").select("block", "key").join(lengths, "key").select("block", "key", "lp", F.lit(None).cast("string").alias("word"), F.lit(None).cast("long").alias("c"))
     words = asked.where("word is not null").select("block", "word").join(vocabulary, "word").select("block", F.lit(None).cast("long").alias("key"), F.lit(None).cast("double").alias("lp"), "word", "c")
     answers = stored(_packed(grams_.unionByName(words)))
+    del grams_, words, sums
+    for done in (asked, lengths, vocabulary):
+        release(done)
     return small_batches(src.select("block", "doc_id", "text")).groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, schema)
 
 
