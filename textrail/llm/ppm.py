@@ -41,6 +41,8 @@ END, START = 0xFE, 0xFF
 BLOCK_BYTES = 48_000_000
 #: Answers that a task gathers before it hands them out by block.
 GATHER = 2_000_000
+#: Bytes of text whose grams are held at once.
+PART = 1 << 21
 _TABLE = bytes(LOWER.tolist())
 
 
@@ -110,7 +112,7 @@ def _features(src: DataFrame, order: int) -> DataFrame:
                     now, keys, counts, words = int(block[a]), [], [], Counter()
                 part = batch.slice(a, b - a)
                 train = part.column("train").to_numpy(zero_copy_only=False).astype(bool)
-                for first, last, raw, at in parts(part.column("text")):
+                for first, last, raw, at in parts(part.column("text"), PART):
                     key, doc = grams(raw, at, order)
                     learned = train[first:last][doc]
                     for some, one in ((key[learned], 1), (key[~learned], 0)):
@@ -209,9 +211,9 @@ def score(df: DataFrame, train: Column, id_col: str = "doc_id", text_col: str =
 
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
         keys, lp = (np.concatenate([np.frombuffer(x.as_py(), t) for x in answers.column(c)]) if answers.num_rows else np.zeros(0, t)
-                    for c, t in (("keys", np.int64), ("lps", np.float64)))
+                    for c, t in (("keys", np.int64), ("lps", np.float32)))
         by = np.argsort(keys)
-        keys, lp = keys[by], lp[by]
+        keys, lp = keys[by], lp[by].astype(float)
         words = [w for x in answers.column("words") for w in x.as_py().split()]
         counts = np.frombuffer(b"".join(x.as_py() for x in answers.column("counts")), np.int64)
         value = np.log10((counts + 0.5) / (total + 0.5 * (kinds + 1)))
@@ -220,7 +222,7 @@ def score(df: DataFrame, train: Column, id_col: str = "doc_id", text_col: str =
         end = float(np.log10((ends + 0.5) / (total + 0.5 * (kinds + 1))))
         out: list[tuple] = []
         text = pa.concat_arrays(docs.column("text").chunks)
-        for first, last, raw, at in parts(text):
+        for first, last, raw, at in parts(text, PART):
             key, doc = grams(raw, at, order)
             code, key = pd.factorize(key)
             model = np.bincount(doc, weights=lp[np.searchsorted(keys, key)][code], minlength=last - first)
@@ -242,7 +244,8 @@ def score(df: DataFrame, train: Column, id_col: str = "doc_id", text_col: str =
 
 def _packed(answers: DataFrame) -> DataFrame:
     """The answers that a task holds for a block in one row: keys and their
-    code lengths, words (joined by spaces) and their counts."""
+    code lengths (in single precision: seven digits of each; the sums are
+    double), words (joined by spaces) and their counts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
 
@@ -255,7 +258,7 @@ def _packed(answers: DataFrame) -> DataFrame:
             for a, b in _runs(block):
                 part = rows.slice(a, b - a)
                 g, w = part.filter(pc.is_valid(part.column("key"))), part.filter(pc.is_valid(part.column("word")))
-                out.append((int(block[a]), g.column("key").to_numpy().tobytes(), g.column("lp").to_numpy().tobytes(),
+                out.append((int(block[a]), g.column("key").to_numpy().tobytes(), g.column("lp").to_numpy().astype(np.float32).tobytes(),
                             " ".join(w.column("word").to_pylist()).encode(), w.column("c").to_numpy().astype(np.int64).tobytes()))
             cols = zip(*out, strict=True)
             return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, [pa.int64(), *[pa.binary()] * 4], strict=True)],
