@@ -17,11 +17,16 @@ from textrail.llm import cotrain, exact, langid, minhash, packing
 from textrail.llm.common import documents, table
 from textrail.session import ensure_checkpoint_dir, ship_package
 
+#: Code points from which an ambiguous language speaks against a text.
+TOLD = 200
+
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is told; no letters or two close languages: rejected."""
+    """Documents whose language is told.  Texts without letters are rejected,
+    and ambiguous ones that are long enough (TOLD code points) to be told."""
     model = langid.fit(docs.select("lang", "text"))
-    told = langid.predict(docs, model).where((F.col("lang_pred") != langid.UNKNOWN) & ~F.col("ambiguous"))
+    clear = ~F.col("ambiguous") | (F.char_length("text") < TOLD)
+    told = langid.predict(docs, model).where((F.col("lang_pred") != langid.UNKNOWN) & clear)
     return told.select(docs.columns)
 
 
