@@ -5,8 +5,7 @@ W2-W4, W7, W8).
 Scale notes.  Every per-key result here is an aggregate with map-side
 partial combination (``count_if``, ``max_by``, ``sum``) or a top-k window
 that Spark plans as ``WindowGroupLimit`` (partial limit before the
-shuffle).  Where a per-group *numbering* is unavoidable (pairing answers),
-:func:`group_ranks` salts large groups so no group is sorted in one task.
+shuffle).  Answer pairs are plain equi-joins whose skewed keys AQE splits.
 """
 
 from __future__ import annotations
@@ -49,70 +48,26 @@ def md5_bucket(cols: list[Column], buckets: Column | int) -> Column:
     return F.pmod(h, b.cast("bigint"))
 
 
-def group_ranks(df: DataFrame, key: str, order_cols: list[str], out_col: str = "grp_rank",
-                target_rows: int = 1_000_000) -> DataFrame:
-    """0-based rank inside each ``key`` group without sorting a group in one
-    task.  A group of ``n`` rows is split into ``ceil(n / target_rows)``
-    md5 salts; salts are numbered in parallel and shifted by the sizes of
-    the lower salts of the same group (a table of groups x salts).
-
-    The rank order is ``(salt, order_cols)``; for groups under
-    ``target_rows`` there is one salt, i.e. plain ``order_cols`` order.
-    """
-    sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    salts = sizes.select(key, F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(target_rows))).cast("bigint").alias("_s"))
-    salted = df.join(salts, key).withColumn("_salt", md5_bucket([F.col(c) for c in order_cols], F.col("_s")))
-    per_salt = salted.groupBy(key, "_salt").agg(F.count(F.lit(1)).alias("_c"))
-    before = Window.partitionBy(key).orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
-    offs = per_salt.select(key, "_salt", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"))
-    w = Window.partitionBy(key, "_salt").orderBy(*order_cols)
-    return (salted.join(offs, [key, "_salt"])
-            .withColumn(out_col, (F.col("_off") + F.row_number().over(w) - 1).cast("bigint"))
-            .drop("_s", "_salt", "_off"))
-
-
-def cycle_pairs(left: DataFrame, right: DataFrame, key: str, left_val: str, right_val: str,
-                target_rows: int = 1_000_000) -> DataFrame:
-    """Pair two sides per ``key`` without the all-pairs product: side values
-    are de-duplicated, ranked (:func:`group_ranks`), and the i-th item of
-    the larger side meets item ``i mod n_small`` of the smaller side.
-    Every distinct value of both sides appears in at least one pair; a key
-    yields ``max(n_left, n_right)`` pairs."""
-    L = group_ranks(left.select(key, left_val).distinct(), key, [left_val], "_li", target_rows)
-    Rt = group_ranks(right.select(key, right_val).distinct(), key, [right_val], "_ri", target_rows)
-    nl = L.groupBy(key).agg(F.count(F.lit(1)).alias("_nl"))
-    nr = Rt.groupBy(key).agg(F.count(F.lit(1)).alias("_nr"))
-    n = nl.join(nr, key)  # keys present on both sides only
-    Ln = L.join(n, key)
-    Rn = Rt.join(n, key)
-    # drive from the larger side; the smaller side is matched by index
-    left_big = (Ln.where(F.col("_nl") >= F.col("_nr"))
-                .select(key, left_val, F.pmod(F.col("_li"), F.col("_nr")).alias("_ri"))
-                .join(Rn.select(key, "_ri", right_val), [key, "_ri"]))
-    right_big = (Rn.where(F.col("_nr") > F.col("_nl"))
-                 .select(key, right_val, F.pmod(F.col("_ri"), F.col("_nl")).alias("_li"))
-                 .join(Ln.select(key, "_li", left_val), [key, "_li"]))
-    return left_big.select(key, left_val, right_val).unionByName(right_big.select(key, left_val, right_val))
-
-
 def preference_pairs(fb: DataFrame, key: str = "query", answer: str = "answer", label: str = "label",
-                     good=1, bad=0, target_rows: int = 1_000_000) -> DataFrame:
-    """J1 (re-aimed): good x bad answers of the same query as
-    ``(query, answer_preferred, answer_dispreferred)`` by cyclic pairing
-    (see :func:`cycle_pairs`), duplicates removed."""
-    g = fb.where(F.col(label) == F.lit(good)).select(key, F.col(answer).alias("answer_preferred"))
-    b = fb.where(F.col(label) == F.lit(bad)).select(key, F.col(answer).alias("answer_dispreferred"))
-    return cycle_pairs(g, b, key, "answer_preferred", "answer_dispreferred", target_rows)
+                     good=1, bad=0) -> DataFrame:
+    """Every good x bad answer pair of the same query as
+    ``(query, answer_preferred, answer_dispreferred)``, duplicates removed.
+
+    Answers repeated within a side are dropped before the join, so the pairs
+    need no second de-duplication.  The equi-join is left to AQE, which splits
+    a hot query on either side."""
+    g = fb.where(F.col(label) == F.lit(good)).select(key, F.col(answer).alias("answer_preferred")).distinct()
+    b = fb.where(F.col(label) == F.lit(bad)).select(key, F.col(answer).alias("answer_dispreferred")).distinct()
+    return g.join(b, key)
 
 
 def graded_pairs(fb: DataFrame, key: str = "query", answer: str = "answer", grade: str = "feedback",
-                 chosen: str = "good", rejected=("partially correct", "hallucinated", "incorrect"),
-                 target_rows: int = 1_000_000) -> DataFrame:
-    """J2 (re-aimed like J1): ``(query, chosen_answer, rejected_answer)``
-    with the rejected side drawn from the listed lower grades."""
+                 chosen: str = "good", rejected=("partially correct", "hallucinated", "incorrect")) -> DataFrame:
+    """Every ``(query, chosen_answer, rejected_answer)`` of a query's good
+    and lower-graded answers; repeated answers give repeated pairs."""
     g = fb.where(F.col(grade) == chosen).select(key, F.col(answer).alias("chosen_answer"))
     b = fb.where(F.col(grade).isin(list(rejected))).select(key, F.col(answer).alias("rejected_answer"))
-    return cycle_pairs(g, b, key, "chosen_answer", "rejected_answer", target_rows)
+    return g.join(b, key)
 
 
 # --- aggregates --------------------------------------------------------------

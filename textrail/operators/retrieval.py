@@ -23,9 +23,11 @@ from pyspark.sql import functions as F
 from ..functions.vectors import cosine
 
 DEFAULT_BLOCK_ROWS = 16384
-# Candidates whose approximate distance is within this of the k-th best are
-# rescored exactly, so float error in the fast formula cannot change ranks.
+# Candidates whose approximate distance is within a tolerance of the k-th best
+# are rescored exactly, so float error in the fast formula cannot change ranks.
+# The error of |q|^2 + |v|^2 - 2qv grows with the norms and the dimension.
 _RESCORE_EPS = 1e-7
+_ROUNDING = 8 * np.finfo(np.float64).eps
 
 
 def _block_counts(n_vec: int, n_q: int, block_rows: int, parallelism: int) -> tuple[int, int]:
@@ -60,6 +62,7 @@ def _score_block(metric: str, k: int, exclude_self: bool, query_chunk: int = 512
         vv = (V * V).sum(1)
         vn = np.sqrt(vv)
         kk = min(k, V.shape[0])
+        widest = float(vv.max(initial=0.0)) if metric == "l2sq" else 1.0
         out_q, out_v, out_s = [], [], []
         for lo in range(0, Q_all.shape[0], query_chunk):
             Q = Q_all[lo:lo + query_chunk]
@@ -75,8 +78,9 @@ def _score_block(metric: str, k: int, exclude_self: bool, query_chunk: int = 512
                 approx = np.where(qid[:, None] == vid[None, :], np.inf, approx)
             for i in range(Q.shape[0]):
                 row = approx[i]
+                slack = _RESCORE_EPS + _ROUNDING * V.shape[1] * ((float(Q[i] @ Q[i]) if metric == "l2sq" else 1.0) + widest)
                 kth = np.partition(row, kk - 1)[kk - 1] if kk < row.shape[0] else row.max()
-                cand = np.nonzero(np.isfinite(row))[0] if not np.isfinite(kth) else np.nonzero(row <= kth + _RESCORE_EPS)[0]
+                cand = np.nonzero(np.isfinite(row))[0] if not np.isfinite(kth) else np.nonzero(row <= kth + slack)[0]
                 cand = cand[np.isfinite(row[cand])]
                 if cand.size == 0:
                     continue

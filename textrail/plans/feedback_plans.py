@@ -180,31 +180,27 @@ def ranking_loss(spark, sf_dir):
     return out.select(r6(F.col("hinge_loss")).alias("hinge_loss"), r6(F.col("logistic_loss")).alias("logistic_loss"))
 
 
-# ------------------------------------------------------------------ J1 / J2 (cyclic pairing)
+# ------------------------------------------------------------------ J1 / J2
+# the stand-in questions cover a bounded span (200 documents; a user's day), so that pairs grow with the rows
 
 
-def _sql_cycle_pairs(left: str, right: str, key: str, lv: str, rv: str) -> str:
+def _sql_pairs(distinct: str, rows: str, label: str, good: str, bad: str, left: str, right: str) -> str:
     return f"""
-    WITH L AS (SELECT {key}, {lv}, row_number() OVER (PARTITION BY {key} ORDER BY {lv}) - 1 AS li FROM (SELECT DISTINCT {key}, {lv} FROM {left})),
-    R AS (SELECT {key}, {rv}, row_number() OVER (PARTITION BY {key} ORDER BY {rv}) - 1 AS ri FROM (SELECT DISTINCT {key}, {rv} FROM {right})),
-    n AS (SELECT {key}, nl, nr FROM (SELECT {key}, count(*) AS nl FROM L GROUP BY {key}) JOIN (SELECT {key}, count(*) AS nr FROM R GROUP BY {key}) USING ({key}))
-    SELECT L.{key}, L.{lv}, R.{rv} FROM L JOIN n USING ({key}) JOIN R ON R.{key} = L.{key} AND R.ri = L.li % n.nr WHERE n.nl >= n.nr
-    UNION ALL
-    SELECT R.{key}, L.{lv}, R.{rv} FROM R JOIN n USING ({key}) JOIN L ON L.{key} = R.{key} AND L.li = R.ri % n.nl WHERE n.nr > n.nl"""
+    WITH fb AS {rows}
+    SELECT g.query, g.answer AS {left}, b.answer AS {right}
+    FROM (SELECT {distinct} query, answer FROM fb WHERE {label} {good}) g
+    JOIN (SELECT {distinct} query, answer FROM fb WHERE {label} {bad}) b USING (query)"""
 
 
-_LABELLED_SQL = "(SELECT concat(d.source, '|', d.lang) AS query, concat('doc_', CAST(d.doc_id AS VARCHAR)) AS answer, l.quality AS label FROM documents d JOIN labels l USING (doc_id))"
+_LABELLED_SQL = "(SELECT concat(d.lang, '|', CAST(d.doc_id // 200 AS VARCHAR)) AS query, concat('doc_', CAST(d.doc_id AS VARCHAR)) AS answer, l.quality AS label FROM documents d JOIN labels l USING (doc_id))"
 
 
-@register("preference_pairs", sql=_sql_cycle_pairs(
-    f"(SELECT query, answer AS answer_preferred FROM {_LABELLED_SQL} WHERE label = 1)",
-    f"(SELECT query, answer AS answer_dispreferred FROM {_LABELLED_SQL} WHERE label = 0)",
-    "query", "answer_preferred", "answer_dispreferred"))
+@register("preference_pairs", sql=_sql_pairs("DISTINCT", _LABELLED_SQL, "label", "= 1", "= 0", "answer_preferred", "answer_dispreferred"))
 def preference_pairs(spark, sf_dir):
-    """J1 (re-aimed, cyclic): preferred/dispreferred answers per query."""
-    d = t(spark, sf_dir, "documents", ["doc_id", "source", "lang"], spread_rows=False)
+    """Preferred x dispreferred answers per query."""
+    d = t(spark, sf_dir, "documents", ["doc_id", "lang"], spread_rows=False)
     lab = t(spark, sf_dir, "labels", ["doc_id", "quality"], spread_rows=False)
-    fb = d.join(lab, "doc_id").select(F.concat_ws("|", "source", "lang").alias("query"),
+    fb = d.join(lab, "doc_id").select(F.concat_ws("|", "lang", F.floor(F.col("doc_id") / 200).cast("string")).alias("query"),
                                       F.concat(F.lit("doc_"), F.col("doc_id").cast("string")).alias("answer"),
                                       F.col("quality").alias("label"))
     return FB.preference_pairs(fb)
@@ -214,19 +210,18 @@ def _grade_sql() -> str:
     return "CASE event_type " + " ".join(f"WHEN {S.q(a)} THEN {S.q(b)}" for a, b in GRADES) + " END"
 
 
-_GRADED_SQL = f"(SELECT {_query_sql()} AS query, concat(event_type, ' answer ', CAST(CAST(floor(value / 10) AS BIGINT) AS VARCHAR)) AS answer, {_grade_sql()} AS grade FROM events)"
+_GRADED_SQL = f"(SELECT concat({_query_sql()}, ' on ', strftime(ts, '%Y-%m-%d')) AS query, concat(event_type, ' answer ', CAST(CAST(floor(value / 10) AS BIGINT) AS VARCHAR)) AS answer, {_grade_sql()} AS grade FROM events)"
 
 
-@register("graded_pairs", sql=_sql_cycle_pairs(
-    f"(SELECT query, answer AS chosen_answer FROM {_GRADED_SQL} WHERE grade = 'good')",
-    f"(SELECT query, answer AS rejected_answer FROM {_GRADED_SQL} WHERE grade IN ('partially correct', 'hallucinated', 'incorrect'))",
-    "query", "chosen_answer", "rejected_answer"))
+@register("graded_pairs", sql=_sql_pairs("ALL", _GRADED_SQL, "grade", "= 'good'", "IN ('partially correct', 'hallucinated', 'incorrect')",
+                                          "chosen_answer", "rejected_answer"))
 def graded_pairs(spark, sf_dir):
-    """J2 (re-aimed, cyclic): good vs lower-graded answers per query."""
+    """Good x lower-graded answers per query and day."""
     fb = feedback_log(spark, sf_dir)
     grade = F.lit(None).cast("string")
     for a, b in reversed(GRADES):
         grade = F.when(F.col("event_type") == a, F.lit(b)).otherwise(grade)
+    fb = fb.withColumn("query", F.concat(F.col("query"), F.lit(" on "), F.date_format("ts", "yyyy-MM-dd")))
     return FB.graded_pairs(fb.withColumn("grade", grade), grade="grade")
 
 
