@@ -62,21 +62,27 @@ def grams(raw: np.ndarray, at: np.ndarray, order: int = ORDER) -> tuple[np.ndarr
     keep[starts[1:][doc[1:] == doc[:-1]] - 1] = True  # one space before every word but a text's first
     here = np.flatnonzero(keep)
     of = text[here]
-    symbols = np.full(len(here) + n * (order + 1), START, np.uint8)
-    symbols[np.arange(len(here)) + of.astype(np.int64) * (order + 1) + order] = np.where(inside[here], LOWER[raw[here]], 32)
     size = np.bincount(of, minlength=n)
     ends = np.cumsum(size + order + 1) - 1
+    symbols = np.full(len(here) + n * (order + 1), START, np.uint8)
     symbols[ends] = END
-    coded = symbols != START
-    return _keys(symbols, order)[coded], np.repeat(np.arange(n), size + 1)
+    plain = np.ones(len(symbols), bool)
+    plain[ends] = False
+    plain[(np.r_[0, ends[:-1] + 1][:, None] + np.arange(order)).ravel()] = False
+    symbols[plain] = np.where(inside[here], LOWER[raw[here]], 32)
+    plain[ends] = True
+    return _keys(symbols, order)[plain], np.repeat(np.arange(n), size + 1)
 
 
 def _keys(symbols: np.ndarray, order: int) -> np.ndarray:
     """For each place the last order + 1 symbols, the latest in the low byte."""
-    wide = symbols.astype(np.int64)
-    key = wide.copy()
-    for j in range(1, order + 1):
-        key[j:] |= wide[:-j] << (8 * j)
+    key, have = symbols.astype(np.int64), 1
+    while have <= order:  # twice as many symbols in each step
+        more = min(have, order + 1 - have)
+        earlier = key[:-have] if more == have else key[:-have] & ((1 << 8 * more) - 1)
+        longer = key.copy()
+        longer[have:] |= earlier << (8 * have)
+        key, have = longer, have + more
     return key
 
 
@@ -227,7 +233,7 @@ def score(df: DataFrame, train: Column, id_col: str = "doc_id", text_col: str =
             code, key = pd.factorize(key)
             model = np.bincount(doc, weights=lp[np.searchsorted(keys, key)][code], minlength=last - first)
             for s, found in zip(model.tolist(), _words(raw, at), strict=True):
-                parts_ = [base[w] for w in found]
+                parts_ = list(map(base.__getitem__, found))
                 out.append((len(found) + 1, len(found) - parts_.count(fresh) + (ends > 0), total, sum(parts_) + end, s))
         cols = list(zip(*out, strict=True)) if out else [()] * 5
         kinds_ = [pa.int64()] * 3 + [pa.float64()] * 2
