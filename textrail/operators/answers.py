@@ -2,7 +2,7 @@
 plan): retrieve -> candidate answers (+ the snippet answer) -> score ->
 best of n -> best snippet and its source document.
 
-Answers are extractive here (the first sentence of each retrieved text):
+Answers are extractive here (each retrieved text as a whole):
 text generation is a model runtime, not a data operator, and any model
 output table can be fed in as ``candidates`` instead.
 """
@@ -18,9 +18,9 @@ from .snippets import best_snippet
 
 
 def extractive_candidates(hits: DataFrame, docs: DataFrame, doc_id: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One candidate per retrieved text: its first sentence (rank order)."""
+    """One candidate per retrieved text: the text itself (rank order)."""
     return (hits.join(docs.select(doc_id, text_col), doc_id)
-            .select("query_id", F.concat(F.substring_index(text_col, ". ", 1), F.lit(".")).alias("answer"),
+            .select("query_id", F.col(text_col).alias("answer"),
                     F.col("rank").alias("ord")))
 
 

@@ -15,7 +15,7 @@ _SNIP = BEST_SNIPPET_SQL.strip()
 @register("answer_table", sql=f"""
 WITH h AS ({_sql_query_topk(2)}),
 snip AS ({_SNIP}),
-c AS (SELECT h.query_id, concat(split_part(d.text, '. ', 1), '.') AS answer, h.rank AS ord
+c AS (SELECT h.query_id, d.text AS answer, h.rank AS ord
       FROM h JOIN documents d USING (doc_id)),
 mx AS (SELECT query_id, max(ord) AS m FROM c GROUP BY query_id),
 allc AS (SELECT * FROM c

@@ -322,40 +322,50 @@ def chunk_sentence_overlap(spark, sf_dir):
 
 
 def _sql_recursive_chars(src: str, size: int, overlap: int) -> str:
-    """C8 fold: per step, emit the carried pieces when the next piece does
-    not fit, then keep the shortest-popped suffix that satisfies the carry
-    rule (the rule is monotone in the number of popped pieces)."""
-    # total characters of cur[j+1:] joined by the separator (0 when empty)
-    suf = ("(CASE WHEN len(cur) - j >= 1 THEN coalesce(list_sum(list_transform(cur[j + 1:], lambda x: length(x))), 0)"
-           " + slen * (len(cur) - j - 1) ELSE 0 END)")
-    keep_j = (f"list_min(list_filter(range(0, len(cur) + 1), lambda j: NOT ({suf} > {overlap} OR "
-              f"({suf} + plen + CASE WHEN len(cur) - j > 0 THEN slen ELSE 0 END > {size} AND {suf} > 0))))")
-    tot = "(CASE WHEN len(cur) >= 1 THEN coalesce(list_sum(list_transform(cur, lambda x: length(x))), 0) + slen * (len(cur) - 1) ELSE 0 END)"
+    """Per separator, the segments that hold it are cut before each of its
+    places; runs of small pieces are kept as lists of cuts, long pieces and
+    segments without it go on to the next separator.  Spans of a run follow
+    by recursion over chunks."""
+    ctes, runs = [f"g0 AS (SELECT doc_id, 0 AS pos, text AS seg FROM ({src}) WHERE text <> '')"], []
+    for k, sep in enumerate(C.SEPARATORS):
+        q = " || ".join(f"chr({ord(c)})" for c in sep)
+        ctes.append(f"""c{k} AS (
+      SELECT doc_id, pos AS gpos, piece, i, pos + CAST(coalesce(sum(length(piece)) OVER (PARTITION BY doc_id, pos ORDER BY i
+               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS pos
+      FROM (SELECT doc_id, pos, i, CASE WHEN i = 1 THEN p ELSE {q} || p END AS piece FROM (
+        SELECT doc_id, pos, unnest(string_split(seg, {q})) AS p, generate_subscripts(string_split(seg, {q}), 1) AS i
+        FROM g{k} WHERE contains(seg, {q}))))""")
+        ctes.append(f"""n{k} AS (SELECT *, count_if(length(piece) >= {size}) OVER (PARTITION BY doc_id, gpos ORDER BY i) AS run
+      FROM c{k} WHERE piece <> '')""")
+        ctes.append(f"""g{k + 1} AS (SELECT doc_id, pos, piece AS seg FROM n{k} WHERE length(piece) >= {size}
+      UNION ALL SELECT doc_id, pos, seg FROM g{k} WHERE NOT contains(seg, {q}))""")
+        runs.append(f"""SELECT doc_id, min(pos) AS rs, list_append(list(pos ORDER BY pos), max(pos + length(piece))) AS cuts
+      FROM n{k} WHERE length(piece) < {size} GROUP BY doc_id, gpos, run""")
+    runs.append(f"SELECT doc_id, pos, range(pos, pos + length(seg) + 1) FROM g{len(C.SEPARATORS)}")
     return f"""
-    WITH RECURSIVE d AS (
-      SELECT doc_id, text, CASE WHEN contains(text, chr(10) || chr(10)) THEN chr(10) || chr(10)
-                                WHEN contains(text, chr(10)) THEN chr(10) WHEN contains(text, ' ') THEN ' ' ELSE '' END AS sep
-      FROM ({src}) WHERE text IS NOT NULL),
-    p AS (SELECT doc_id, sep, length(sep) AS slen, unnest(pc) AS piece, generate_subscripts(pc, 1) AS i FROM (
-            SELECT doc_id, sep, list_filter(string_split(text, sep), lambda x: x <> '') AS pc FROM d)),
+    WITH RECURSIVE {", ".join(ctes)},
+    runs AS ({" UNION ALL ".join(runs)}),
     r AS (
-      SELECT DISTINCT doc_id, sep, slen, 0 AS i, CAST([] AS VARCHAR[]) AS cur, CAST(NULL AS VARCHAR) AS emitted FROM p
+      SELECT doc_id, rs, cuts, rs AS a, list_max(list_filter(cuts, lambda x: x <= rs + {size})) AS b FROM runs
       UNION ALL
-      SELECT doc_id, sep, slen, i, CASE WHEN emit THEN list_append(cur[kj + 1:], piece) ELSE list_append(cur, piece) END,
-             CASE WHEN emit AND {S.strip("(CASE WHEN len(cur) = 0 THEN '' ELSE list_reduce(cur, lambda a, b: a || sep || b) END)")} <> '' THEN {S.strip("(CASE WHEN len(cur) = 0 THEN '' ELSE list_reduce(cur, lambda a, b: a || sep || b) END)")} END
-      FROM (SELECT r.doc_id, r.sep, r.slen, p.i, r.cur, p.piece, length(p.piece) AS plen,
-                   (len(r.cur) > 0 AND {tot.replace('cur', 'r.cur').replace('slen', 'r.slen')} + length(p.piece) + r.slen > {size}) AS emit
-            FROM r JOIN p ON p.doc_id = r.doc_id AND p.i = r.i + 1) x,
-      LATERAL (SELECT {keep_j} AS kj))
-    , em AS (SELECT doc_id, i AS pos, emitted AS chunk_text FROM r WHERE emitted IS NOT NULL
-             UNION ALL
-             SELECT doc_id, i + 1, {S.strip("(CASE WHEN len(cur) = 0 THEN '' ELSE list_reduce(cur, lambda a, b: a || sep || b) END)")} FROM r
-             WHERE (doc_id, i) IN (SELECT doc_id, max(i) FROM r GROUP BY doc_id) AND {S.strip("(CASE WHEN len(cur) = 0 THEN '' ELSE list_reduce(cur, lambda a, b: a || sep || b) END)")} <> '')
+      SELECT doc_id, rs, cuts, a2, list_max(list_filter(cuts, lambda x: x <= a2 + {size})) FROM (
+        SELECT doc_id, rs, cuts, list_min(list_filter(cuts, lambda x: x >= b - {overlap} AND x >= nxt - {size})) AS a2 FROM (
+          SELECT doc_id, rs, cuts, b, list_min(list_filter(cuts, lambda x: x > b)) AS nxt FROM r WHERE b < list_max(cuts)))),
+    em AS (SELECT r.doc_id, rs, a, {S.strip("substr(s.text, CAST(a + 1 AS BIGINT), CAST(b - a AS BIGINT))")} AS chunk_text
+           FROM r JOIN ({src}) s ON s.doc_id = r.doc_id)
     SELECT doc_id, CAST(rn - 1 AS BIGINT) AS chunk_no, concat('chunk_', CAST(rn AS VARCHAR)) AS chunk_id, chunk_text FROM (
-      SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS rn FROM em)"""
+      SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY rs, a) AS rn FROM em WHERE chunk_text <> '')"""
 
 
-@register("chunk_recursive_chars", sql=_sql_recursive_chars("SELECT doc_id, text FROM documents", 1000, 100))
+@register("chunk_recursive_chars", sql=_sql_recursive_chars(f"SELECT doc_id, {S.clean_ascii('text')} AS text FROM documents", 1000, 100))
 def chunk_recursive_chars(spark, sf_dir):
-    """Separator-aware 1000-char chunks with 100-char overlap."""
-    return C.recursive_chars(t(spark, sf_dir, "documents", ["doc_id", "text"]), "doc_id", "text", 1000, 100)
+    """T6 + C8: cleaned documents in 1000-char chunks with 100-char overlap."""
+    d = t(spark, sf_dir, "documents", ["doc_id", "text"])
+    return C.recursive_chars(d.select("doc_id", T.clean_ascii("text").alias("text")), "doc_id", "text", 1000, 100)
+
+
+@register("chunk_recursive_lines", sql=_sql_recursive_chars("SELECT doc_id, text FROM documents", 120, 30))
+def chunk_recursive_lines(spark, sf_dir):
+    """C8 on texts with their lines: 120-char chunks cut at blank lines, new
+    lines and spaces, coarse before fine."""
+    return C.recursive_chars(t(spark, sf_dir, "documents", ["doc_id", "text"]), "doc_id", "text", 120, 30)

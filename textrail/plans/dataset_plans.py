@@ -94,7 +94,7 @@ def prompt_templates(spark, sf_dir):
 WITH h AS ({_sql_query_topk(2)}),
 hits AS (SELECT h.query_id, h.rank, d.text AS chunk_text FROM h JOIN documents d USING (doc_id)),
 m AS (SELECT hits.*, concat(chunk_text, chr(10), chr(10), 'Question: ', b.text) AS map_prompt,
-             concat(split_part(chunk_text, '. ', 1), '.') AS answer
+             chunk_text AS answer
       FROM hits JOIN benchmark b ON b.item_id = hits.query_id)
 SELECT query_id,
   concat({S.q(D.MAP_PROMPT_HEADER)}, string_agg(map_prompt, {S.q(D.MAP_PROMPT_SEP)} ORDER BY rank)) AS mapped_prompt,
@@ -103,10 +103,10 @@ FROM m GROUP BY query_id
 """)
 def map_reduce_prompts(spark, sf_dir):
     """B2: per-chunk map prompts joined with ``---`` and the reduce prompt
-    over per-chunk answers (first sentence of each chunk stands in)."""
+    over per-chunk answers (the chunk itself stands in)."""
     hits, qs = _hits(spark, sf_dir), _queries(spark, sf_dir)
     mp = D.mapped_prompt(hits, qs).withColumnRenamed("prompt", "mapped_prompt")
-    answers = hits.select("query_id", "rank", F.concat(F.substring_index("chunk_text", ". ", 1), F.lit(".")).alias("answer"))
+    answers = hits.select("query_id", "rank", F.col("chunk_text").alias("answer"))
     return mp.join(D.reduce_prompts(answers), "query_id")
 
 
@@ -222,12 +222,12 @@ FROM b
 def encode_turns(spark, sf_dir):
     """Vocabulary ids, truncation/padding to 128, mask, labels."""
     c = t(spark, sf_dir, "conversations")
-    keyed = c.select((F.col("conv_id") * 1000 + F.col("turn")).alias("rid"), "conv_id", "turn", "text")
+    keyed = c.select(F.struct("conv_id", "turn").alias("rid"), "text")
     vocab = D.build_vocab(keyed, "text")
     enc = D.encode(keyed, "rid", "text", vocab, max_len=128)
     # arrays rendered as space-joined ids for the comparison with SQL
     as_text = [F.array_join(F.col(c).cast("array<string>"), " ").alias(c) for c in ("input_ids", "attention_mask", "labels")]
-    return keyed.select("rid", "conv_id", "turn").join(enc, "rid").select("conv_id", "turn", *as_text)
+    return enc.select("rid.conv_id", "rid.turn", *as_text)
 
 
 @register("pack_blocks", sql=f"""
@@ -260,18 +260,18 @@ hits AS (SELECT h.query_id, h.rank, d.text AS chunk_text FROM h JOIN documents d
 rc AS (SELECT query_id, list(chunk_text ORDER BY rank) AS retrieved_chunks FROM hits GROUP BY query_id)
 SELECT b.item_id AS query_id, b.text AS query, array_to_string(rc.retrieved_chunks, chr(30)) AS retrieved_chunks,
        CASE WHEN rc.retrieved_chunks IS NULL THEN 'I''m sorry, I could not find an answer.'
-            ELSE concat(split_part(rc.retrieved_chunks[1], '. ', 1), '.') END AS answer,
+            ELSE rc.retrieved_chunks[1] END AS answer,
        CASE WHEN rc.retrieved_chunks IS NULL THEN 'fallback' ELSE 'extractive' END AS model_used,
        TIMESTAMP '{LOG_TS}' AS timestamp, CAST(NULL AS VARCHAR) AS user_feedback
 FROM benchmark b LEFT JOIN rc ON rc.query_id = b.item_id
 """)
 def query_log(spark, sf_dir):
     """B9 (+J12): one log record per query with its retrieved chunks, an
-    extractive answer (first sentence of the best chunk) or the fallback."""
+    extractive answer (the best chunk) or the fallback."""
     hits = _hits(spark, sf_dir)
     qs = t(spark, sf_dir, "benchmark", ["item_id", "text"], spread_rows=False).select(
         F.col("item_id").alias("query_id"), F.col("text").alias("query"))
-    first = hits.where(F.col("rank") == 1).select("query_id", F.concat(F.substring_index("chunk_text", ". ", 1), F.lit(".")).alias("a1"))
+    first = hits.where(F.col("rank") == 1).select("query_id", F.col("chunk_text").alias("a1"))
     answers = (qs.select("query_id").join(first, "query_id", "left")
                .withColumn("answer", F.coalesce("a1", F.lit("I'm sorry, I could not find an answer.")))
                .withColumn("model_used", F.when(F.col("a1").isNull(), F.lit("fallback")).otherwise(F.lit("extractive")))

@@ -373,13 +373,13 @@ SELECT conv_id, turn,
        THEN 'local'
        ELSE 'fallback' END AS model_used
 FROM (SELECT conv_id, turn, CASE WHEN role = 'assistant' THEN text END AS primary_a,
-             CASE WHEN role <> 'system' THEN split_part(text, '.', 1) END AS secondary_a FROM conversations)
+             CASE WHEN role <> 'system' THEN text END AS secondary_a FROM conversations)
 """)
 def fallback_answers(spark, sf_dir):
     """J12 (+P5): primary -> secondary -> fixed message, with provenance."""
     c = t(spark, sf_dir, "conversations")
     x = c.select("conv_id", "turn", F.when(F.col("role") == "assistant", F.col("text")).alias("primary_a"),
-                 F.when(F.col("role") != "system", F.substring_index("text", ".", 1)).alias("secondary_a"))
+                 F.when(F.col("role") != "system", F.col("text")).alias("secondary_a"))
     out = SEL.fallback_chain(x, ["primary_a", "secondary_a"], gate=T.is_gibberish, names=["api", "local"])
     return out.select("conv_id", "turn", "answer", "model_used")
 

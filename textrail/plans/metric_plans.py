@@ -12,7 +12,16 @@ from .chunk_plans import _sql_windows
 from .common import r6, register, t
 from .retrieval_plans import _sql_tfidf
 
-_KEY = 100000  # chunk key = doc_id * 100000 + chunk_no
+_WHOLE = -1  # chunk number of a whole document
+
+
+def _key(chunk_no) -> "F.Column":
+    """Key of a chunk: (document, chunk number)."""
+    return F.struct("doc_id", (F.lit(chunk_no) if isinstance(chunk_no, int) else chunk_no).cast("bigint").alias("chunk_no"))
+
+
+def _sql_key(doc_id: str, chunk_no) -> str:
+    return f"struct_pack(doc_id := {doc_id}, chunk_no := CAST({chunk_no} AS BIGINT))"
 
 
 def _sql_pairs() -> str:
@@ -35,7 +44,7 @@ def _sql_metrics() -> str:
     words_a, words_b = S.words("text_a"), S.words("text_b")
     rt = ("list_filter(string_split(regexp_replace(lower({x}), '[^a-z0-9]+', ' ', 'g'), ' '), lambda s: s <> '')")
     ra, rb = rt.format(x="text_a"), rt.format(x="text_b")
-    cos_src = f"(SELECT doc_id * {_KEY} + chunk_no AS cid, chunk_text AS text FROM w)"
+    cos_src = f"(SELECT {_sql_key('doc_id', 'chunk_no')} AS cid, chunk_text AS text FROM w)"
     return f"""{_sql_pairs()},
     P AS (SELECT doc_id, chunk_no, len({words_a}) AS rl, len({words_b}) AS hl FROM pairs),
     nn AS (SELECT P.*, n FROM P CROSS JOIN (SELECT unnest([1, 2, 3, 4]) AS n)),
@@ -69,7 +78,7 @@ def _sql_metrics() -> str:
              (SELECT f FROM rs WHERE rs.doc_id = pairs.doc_id AND rs.chunk_no = pairs.chunk_no AND rs.n = 2) AS rouge2,
              coalesce(cs.cos, 0.0) AS cosine
       FROM pairs JOIN bleu USING (doc_id, chunk_no)
-      LEFT JOIN cs ON cs.ida = pairs.doc_id * {_KEY} + pairs.chunk_no AND cs.idb = pairs.doc_id * {_KEY} + pairs.chunk_no + 1)"""
+      LEFT JOIN cs ON cs.ida = {_sql_key('pairs.doc_id', 'pairs.chunk_no')} AND cs.idb = {_sql_key('pairs.doc_id', 'pairs.chunk_no + 1')})"""
 
 
 def _scored(spark, sf_dir, with_lcs: bool = False):
@@ -77,10 +86,10 @@ def _scored(spark, sf_dir, with_lcs: bool = False):
     chunks = C.token_window(d, "doc_id", "text", 500, 50, global_ids=False)
     pairs = M.adjacent_pairs(chunks, "doc_id", "chunk_no", "chunk_text")
     scored = M.text_pair_metrics(pairs, "text_a", "text_b", with_lcs=with_lcs).select("doc_id", "chunk_no", "m.*")
-    ids = chunks.select((F.col("doc_id") * _KEY + F.col("chunk_no")).alias("cid"), F.col("chunk_text").alias("text"))
+    ids = chunks.select(_key(F.col("chunk_no")).alias("cid"), F.col("chunk_text").alias("text"))
     tv = FE.tfidf(ids, "cid", "text")
-    keyed = pairs.select("doc_id", "chunk_no", (F.col("doc_id") * _KEY + F.col("chunk_no")).alias("ida"),
-                         (F.col("doc_id") * _KEY + F.col("chunk_no") + 1).alias("idb"))
+    keyed = pairs.select("doc_id", "chunk_no", _key(F.col("chunk_no")).alias("ida"),
+                         _key(F.col("chunk_no") + 1).alias("idb"))
     cos = FE.sparse_cosine(tv.withColumnRenamed("cid", "ida"), tv.withColumnRenamed("cid", "idb"), "ida", "idb", keyed)
     return scored.join(keyed, ["doc_id", "chunk_no"]).join(cos, ["ida", "idb"]).drop("ida", "idb")
 
@@ -114,23 +123,23 @@ def chunk_rouge_l(spark, sf_dir):
 
 @register("doc_chunk_tfidf_cosine", sql=f"""
 WITH w AS ({_sql_windows("SELECT doc_id, text FROM documents", 100, 100)}),
-u AS (SELECT doc_id * {_KEY} + 99999 AS id, text FROM documents
-      UNION ALL SELECT doc_id * {_KEY} + chunk_no AS id, chunk_text AS text FROM w),
+u AS (SELECT {_sql_key('doc_id', _WHOLE)} AS id, text FROM documents
+      UNION ALL SELECT {_sql_key('doc_id', 'chunk_no')} AS id, chunk_text AS text FROM w),
 tv AS {_sql_tfidf("SELECT id, text FROM u", "id")},
 cs AS (SELECT a.id AS ida, b.id AS idb, sum(a.weight * b.weight) AS cos FROM tv a JOIN tv b USING (term)
-       WHERE a.id % {_KEY} = 99999 AND b.id % {_KEY} <> 99999 AND a.id // {_KEY} = b.id // {_KEY} GROUP BY 1, 2)
+       WHERE a.id.chunk_no = {_WHOLE} AND b.id.chunk_no <> {_WHOLE} AND a.id.doc_id = b.id.doc_id GROUP BY 1, 2)
 SELECT w.doc_id, w.chunk_no, round(coalesce(cs.cos, 0.0), 6) AS cosine
-FROM w LEFT JOIN cs ON cs.ida = w.doc_id * {_KEY} + 99999 AND cs.idb = w.doc_id * {_KEY} + w.chunk_no
+FROM w LEFT JOIN cs ON cs.ida = {_sql_key('w.doc_id', _WHOLE)} AND cs.idb = {_sql_key('w.doc_id', 'w.chunk_no')}
 """)
 def doc_chunk_tfidf_cosine(spark, sf_dir):
     """M5: document-vs-chunk TF-IDF cosine, vocabulary fitted on both sides."""
     d = t(spark, sf_dir, "documents", ["doc_id", "text"])
     chunks = C.fixed_words(d, "doc_id", "text", 100)
-    both = (d.select((F.col("doc_id") * _KEY + 99999).alias("id"), "text")
-            .unionByName(chunks.select((F.col("doc_id") * _KEY + F.col("chunk_no")).alias("id"), F.col("chunk_text").alias("text"))))
+    both = (d.select(_key(_WHOLE).alias("id"), "text")
+            .unionByName(chunks.select(_key(F.col("chunk_no")).alias("id"), F.col("chunk_text").alias("text"))))
     tv = FE.tfidf(both, "id", "text")
-    pairs = chunks.select("doc_id", "chunk_no", (F.col("doc_id") * _KEY + 99999).alias("ida"),
-                          (F.col("doc_id") * _KEY + F.col("chunk_no")).alias("idb"))
+    pairs = chunks.select("doc_id", "chunk_no", _key(_WHOLE).alias("ida"),
+                          _key(F.col("chunk_no")).alias("idb"))
     # chunks (side b) carry far fewer terms than whole documents: expand by them
     cos = FE.sparse_cosine(tv.withColumnRenamed("id", "ida"), tv.withColumnRenamed("id", "idb"), "ida", "idb", pairs,
                            expand="b")

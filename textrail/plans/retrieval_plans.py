@@ -224,9 +224,9 @@ def best_snippet(spark, sf_dir):
 WITH ch AS (
   SELECT doc_id, 'delete' AS op, NULL AS text, 1 AS seq FROM labels WHERE toxic = 1
   UNION ALL SELECT doc_id, 'update', concat(d.text, ' [edited]'), 2 FROM labels JOIN documents d USING (doc_id) WHERE quality = 0 AND toxic = 0
-  UNION ALL SELECT 1000000 + item_id, 'add', text, 3 FROM benchmark
-  UNION ALL SELECT 2000000 + item_id, 'update', text, 4 FROM benchmark
-  UNION ALL SELECT 3000000 + item_id, 'delete', NULL, 5 FROM benchmark),
+  UNION ALL SELECT -3 * item_id - 1, 'add', text, 3 FROM benchmark
+  UNION ALL SELECT -3 * item_id - 2, 'update', text, 4 FROM benchmark
+  UNION ALL SELECT -3 * item_id - 3, 'delete', NULL, 5 FROM benchmark),
 last AS (SELECT * FROM ch QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY seq DESC) = 1),
 eff AS (SELECT * FROM last WHERE op = 'add' OR (op IN ('update', 'delete') AND doc_id IN (SELECT doc_id FROM documents)))
 SELECT doc_id, text FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM eff)
@@ -241,9 +241,9 @@ def index_crud(spark, sf_dir):
                                                  F.lit(1).alias("seq"))
     upd = (lab.where((F.col("quality") == 0) & (F.col("toxic") == 0)).join(d, "doc_id")
            .select("doc_id", F.lit("update").alias("op"), F.concat("text", F.lit(" [edited]")).alias("text"), F.lit(2).alias("seq")))
-    adds = b.select((F.col("item_id") + 1000000).alias("doc_id"), F.lit("add").alias("op"), "text", F.lit(3).alias("seq"))
-    upd_missing = b.select((F.col("item_id") + 2000000).alias("doc_id"), F.lit("update").alias("op"), "text", F.lit(4).alias("seq"))
-    del_missing = b.select((F.col("item_id") + 3000000).alias("doc_id"), F.lit("delete").alias("op"),
+    adds = b.select((F.col("item_id") * -3 - 1).alias("doc_id"), F.lit("add").alias("op"), "text", F.lit(3).alias("seq"))
+    upd_missing = b.select((F.col("item_id") * -3 - 2).alias("doc_id"), F.lit("update").alias("op"), "text", F.lit(4).alias("seq"))
+    del_missing = b.select((F.col("item_id") * -3 - 3).alias("doc_id"), F.lit("delete").alias("op"),
                            F.lit(None).cast("string").alias("text"), F.lit(5).alias("seq"))
     changes = dels.unionByName(upd).unionByName(adds).unionByName(upd_missing).unionByName(del_missing)
     return R.index_apply(d, changes, key="doc_id")

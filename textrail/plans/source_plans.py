@@ -112,20 +112,20 @@ def jsonl_roundtrip(spark, sf_dir):
     return SF.read_jsonl(spark, path, "doc_id long, text string, lang string, source string", ["doc_id", "text"])
 
 
-def _sweep_sql_150() -> str:
+def _sweep_sql() -> str:
     from .chunk_plans import _HEAD_SRC_SQL, _sql_sections
     from ..operators import chunking as C
     inner = _sql_sections(f"SELECT doc_id, {_HEAD_SRC_SQL} AS text FROM documents",
                           [(t_, int(t_ * 0.15)) for t_ in C.SWEEP_THRESHOLDS], None)
-    return f"SELECT doc_id, section_no, section, chunk_no, chunk_id, chunk_text, n_tokens FROM ({inner}) WHERE threshold = 150"
+    return f"SELECT CAST(threshold AS INTEGER) AS threshold, doc_id, section_no, section, chunk_no, chunk_id, chunk_text, n_tokens FROM ({inner})"
 
 
-@register("sweep_partitioned_read", sql=_sweep_sql_150())
+@register("sweep_partitioned_read", sql=_sweep_sql())
 def sweep_partitioned_read(spark, sf_dir):
-    """The threshold sweep written with one folder per threshold, then
-    one threshold read back (partition pruning: only that folder is read)."""
+    """The threshold sweep written with one folder per threshold and
+    every folder read back (a filter on the threshold reads its folder only)."""
     from .chunk_plans import chunk_sweep
     path = _scratch(spark, "sweep")
     SF.write_table(chunk_sweep(spark, sf_dir), path, partition_by="threshold")
-    back = spark.read.parquet(path).where(F.col("threshold") == 150)
-    return back.select("doc_id", "section_no", "section", "chunk_no", "chunk_id", "chunk_text", "n_tokens")
+    back = spark.read.parquet(path)
+    return back.select(F.col("threshold").cast("int").alias("threshold"), "doc_id", "section_no", "section", "chunk_no", "chunk_id", "chunk_text", "n_tokens")
