@@ -192,6 +192,64 @@ def test_stream_history_counters_index(spark, tmpdir_run):
     assert chunks.select("doc_id").distinct().collect()[0][0] == 1 and chunks.count() == 4
 
 
+def _append(spark, rows, schema, path):
+    spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)
+
+
+def test_trigger_stream_drops_late_rows_and_ends_idle_state(spark, tmpdir_run):
+    schema = "event_id long, ts timestamp, user_id string, event_type string"
+    src, day = os.path.join(tmpdir_run, "ev"), dt.datetime(2024, 1, 20)
+
+    def bad(first, n, start, user="u"):
+        return [(first + i, start + dt.timedelta(seconds=i), user, "error") for i in range(n)]
+
+    def run():
+        sdf = spark.readStream.schema(schema).parquet(src)
+        out = TR.retrain_trigger_stream(sdf, "user_id", "ts", "event_id", F.col("event_type") == "error",
+                                        watermark="1 hour", idle_seconds=86400)
+        q = (out.writeStream.format("parquet").option("checkpointLocation", os.path.join(tmpdir_run, "ck"))
+             .trigger(availableNow=True).start(os.path.join(tmpdir_run, "fired")))
+        assert q.awaitTermination(90)
+        return [r["event_id"] for r in spark.read.parquet(os.path.join(tmpdir_run, "fired")).collect()]
+
+    _append(spark, bad(0, 19, day), schema, src)
+    assert run() == []
+    _append(spark, bad(100, 1, day - dt.timedelta(days=9)), schema, src)    # would be the 20th bad event
+    assert run() == []
+    _append(spark, bad(200, 1, day + dt.timedelta(days=5), user="v"), schema, src)   # ends the state of u
+    assert run() == []
+    _append(spark, bad(300, 2, day + dt.timedelta(days=5)), schema, src)
+    assert run() == []
+    _append(spark, bad(400, 18, day + dt.timedelta(days=5, seconds=60)), schema, src)
+    assert run() == [417]
+
+
+def test_index_keeps_one_copy_of_repeated_batches_and_the_last_of_changed_documents(spark, tmpdir_run):
+    schema = "doc_id long, text string"
+    src, target = os.path.join(tmpdir_run, "docs"), os.path.join(tmpdir_run, "chunks")
+
+    def run(ck):
+        G.incremental_index(spark.readStream.schema(schema).parquet(src), target, os.path.join(tmpdir_run, ck),
+                            size=3, overlap=0).awaitTermination(90)
+        return sorted((r["doc_id"], r["chunk_no"], r["chunk_text"]) for r in G.latest_chunks(spark, target).collect())
+
+    _append(spark, [(1, "one two three four"), (2, "kept"), (3, "gone soon")], schema, src)
+    first = [(1, 0, "one two three"), (1, 1, "four"), (2, 0, "kept"), (3, 0, "gone soon")]
+    assert run("a") == first
+    assert run("b") == first                                  # the same batch once more, as after a lost commit
+    _append(spark, [(1, "changed"), (3, None)], schema, src)
+    assert run("a") == [(1, 0, "changed"), (2, 0, "kept")]
+
+
+def test_jpeg_size(spark):
+    jpeg = (b"\xff\xd8" + b"\xff\xe0" + struct.pack(">H", 4) + b"ab" + b"\xff\xff\xc4" + struct.pack(">H", 3) + b"x"
+            + b"\xff\xc2" + struct.pack(">HBHH", 11, 8, 480, 640) + b"\x01")
+    df = spark.createDataFrame([(0, jpeg), (1, jpeg[:12]), (2, None)], "i int, raw binary")
+    fmt, size = SF.image_header(F.col("raw"))
+    rows = df.select(fmt.alias("f"), size.alias("s")).orderBy("i").collect()
+    assert [tuple(r) for r in rows] == [("JPEG", "640 x 480 px"), ("JPEG", None), (None, None)]
+
+
 def test_entry_and_contract(spark):
     import __spark_entry__ as E
     df = E.entry(spark)

@@ -222,15 +222,15 @@ def embed(df: DataFrame, text_col: str, fn, dim: int, out_col: str = "embedding"
 def hashing_embedder(dim: int = 64):
     """A deterministic stand-in embedder for tests and local runs: hashed
     bag of lower-cased tokens, L2-normalised.  Not a language model."""
+    import hashlib
     import re
-    import zlib
     tok = re.compile(r"\w\w+")
 
     def fn(texts):
         out = np.zeros((len(texts), dim), dtype=np.float64)
         for i, t in enumerate(texts):
             for w in tok.findall(t.lower()):
-                out[i, zlib.crc32(w.encode()) % dim] += 1.0
+                out[i, int(hashlib.md5(w.encode()).hexdigest()[:8], 16) % dim] += 1.0
         n = np.linalg.norm(out, axis=1)
         n[n == 0] = 1.0
         return out / n[:, None]

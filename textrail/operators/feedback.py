@@ -40,6 +40,11 @@ def require_rows(df: DataFrame, n: int = 5) -> bool:
     return df.limit(n).count() >= n
 
 
+def rows_guard(df: DataFrame, key: str, n: int = 5) -> DataFrame:
+    """P12 per key: ``(key, enough)``, whether the key has ``n`` rows."""
+    return df.groupBy(key).agg((F.count(F.lit(1)) >= n).alias("enough"))
+
+
 def md5_bucket(cols: list[Column], buckets: Column | int) -> Column:
     """Deterministic bucket in ``[0, buckets)`` from md5 of the columns
     (the same number in Spark and in SQL engines that have ``md5``)."""

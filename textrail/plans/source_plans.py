@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import feedback as FB
 from ..sources import files as SF
 from ..sources import html as H
 from . import sqlfrag as S
@@ -129,3 +130,61 @@ def sweep_partitioned_read(spark, sf_dir):
     SF.write_table(chunk_sweep(spark, sf_dir), path, partition_by="threshold")
     back = spark.read.parquet(path)
     return back.select(F.col("threshold").cast("int").alias("threshold"), "doc_id", "section_no", "section", "chunk_no", "chunk_id", "chunk_text", "n_tokens")
+
+
+@register("tolerant_read", sql="""
+SELECT doc_id, n_chars FROM documents WHERE lang = 'en' AND n_chars IS NOT NULL
+""")
+def tolerant_read(spark, sf_dir):
+    """Documents written in two layouts, one without ``n_chars``; the
+    tolerant read merges them and drops the files that lack the column."""
+    d = t(spark, sf_dir, "documents", ["doc_id", "lang", "n_chars"])
+    path = _scratch(spark, "layouts")
+    SF.write_table(d.where("lang = 'en' AND n_chars IS NOT NULL"), f"{path}/full")
+    SF.write_table(d.where("NOT (lang <=> 'en')").drop("n_chars"), f"{path}/short")
+    return SF.read_corpus(spark, f"{path}/*", columns=["doc_id", "n_chars"], tolerant=True,
+                          require="n_chars").select("doc_id", "n_chars")
+
+
+@register("text_dir_roundtrip", sql=f"""
+SELECT text FROM (SELECT {S.strip("replace(html, chr(65533), '')")} AS text FROM pages) WHERE text <> ''
+""")
+def text_dir_roundtrip(spark, sf_dir):
+    """Every page written as a text file of its own and the folders read back."""
+    p = t(spark, sf_dir, "pages", ["page_id", "html"])
+    path = _scratch(spark, "texts")
+    (p.withColumn("value", F.coalesce("html", F.lit(""))).select("page_id", "value")
+     .write.partitionBy("page_id").text(path))
+    return SF.read_text_dir(spark, path).select("text")
+
+
+@register("snapshot_roundtrip", sql="SELECT event_id, user_id, event_type, value FROM events")
+def snapshot_roundtrip(spark, sf_dir):
+    """A time-stamped CSV copy of the events, read back."""
+    e = t(spark, sf_dir, "events", ["event_id", "user_id", "event_type", "value"])
+    path = SF.export_snapshot(e, _scratch(spark, "snapshot"))
+    return spark.read.schema(e.schema).option("header", True).option("escape", '"').csv(path)
+
+
+@register("image_manifest_docs", sql="""
+SELECT concat(lang, '_', CAST(doc_id AS VARCHAR), '.png') AS image_name, 'PNG' AS format,
+       concat(CAST(n_chars AS VARCHAR), ' x ', CAST(doc_id + 1 AS VARCHAR), ' px') AS size FROM documents
+""")
+def image_manifest_docs(spark, sf_dir):
+    """S13 + S14 + S15: images stored as base64 text (headers made of the
+    documents' numbers): bytes, format, size and file name."""
+    d = t(spark, sf_dir, "documents", ["doc_id", "lang", "n_chars"])
+    head = F.concat(F.lit(SF.PNG_SIGNATURE + "0000000D49484452"), F.lpad(F.hex("n_chars"), 8, "0"),
+                    F.lpad(F.hex(F.col("doc_id") + 1), 8, "0"), F.lit("0802000000"))
+    rows = d.select(F.base64(F.unhex(head)).alias("image"), "lang", F.col("doc_id").alias("row_in_file"))
+    return SF.extract_images(rows, "image", label_col="lang").select("image_name", "format", "size")
+
+
+@register("row_guards", sql="""
+SELECT lang, count(*) >= 5 AS enough FROM documents WHERE lang IS NOT NULL GROUP BY lang
+""")
+def row_guards(spark, sf_dir):
+    """For each language, whether there are five documents (rows beyond
+    the fifth change nothing, so the count is the guard)."""
+    d = t(spark, sf_dir, "documents", ["lang"], spread_rows=False)
+    return FB.rows_guard(d.where("lang IS NOT NULL"), "lang", 5)

@@ -1,12 +1,17 @@
-"""Registered plans: batch twins of the streaming operators."""
+"""Registered plans: batch twins of the streaming operators."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..sources import files as SF
 from ..streaming import feeds as G
 from ..streaming import trigger as TR
-from .common import register, t
+from . import sqlfrag as S
+from .chunk_plans import _sql_windows
+from .common import r6, register, t
+from .feedback_plans import _topic_sql
+from .source_plans import _scratch
 
 
 def _sql_trigger(strict: bool) -> str:
@@ -74,3 +79,88 @@ def job_counters(spark, sf_dir):
     jobs = e.select(F.when(F.col("event_type").isin("view", "click"), "reindex").otherwise("retrain").alias("job_name"),
                     F.when(F.col("event_type") == "error", "failed").otherwise("ok").alias("status"))
     return G.job_counters(jobs)
+
+
+# --- streams over the tables, run to their end; the batch results are the oracles
+
+def _stream(spark, sf_dir, name, cols):
+    # a glob, as a stream's plain path has to be a folder and a table may be one file
+    path = f"{sf_dir.rstrip('/')}/{name}.parque[t]"
+    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path).select(*cols)
+
+
+def _run(stream, spark, name, mode="append"):
+    """Run a stream over what is there; each batch replaces its own folder
+    (``append``) or the whole result (``complete``)."""
+    path = _scratch(spark, name)
+
+    def write(batch, batch_id):
+        batch.write.mode("overwrite").parquet(f"{path}/out/batch={batch_id if mode == 'append' else 0}")
+
+    q = (stream.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", f"{path}/state")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(f"{path}/out").drop("batch")
+
+
+@register("stream_retrain_trigger", sql=_sql_trigger(False))
+def stream_retrain_trigger(spark, sf_dir):
+    """The trigger as a stream over the events."""
+    e = _stream(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type"])
+    return _run(TR.retrain_trigger_stream(e, "user_id", "ts", "event_id", F.col("event_type") == "error"), spark, "trigger")
+
+
+@register("stream_live_counters", sql=f"""
+SELECT {_topic_sql("text")} AS category, CAST(count(*) FILTER (WHERE role = 'user') AS BIGINT) AS good,
+       CAST(count(*) FILTER (WHERE role <> 'user') AS BIGINT) AS bad, CAST(count(*) AS BIGINT) AS total,
+       round(avg(CAST(turn AS DOUBLE)), 6) AS avg_response_time
+FROM conversations GROUP BY 1
+""")
+def stream_live_counters(spark, sf_dir):
+    """G1 + G2: the turns as a CSV feedback log (user turns good), streamed
+    into running counters per topic."""
+    c = t(spark, sf_dir, "conversations")
+    path = _scratch(spark, "live-log")
+    SF.append_rows(c.select(F.lit("2024-01-01 00:00:00").cast("timestamp").alias("timestamp"), F.col("text").alias("query"),
+                            F.col("text").alias("answer"), F.lit("log").alias("source"),
+                            F.when(F.col("role") == "user", "good").otherwise("bad").alias("feedback"),
+                            F.col("turn").cast("double").alias("response_time")), path)
+    out = _run(G.live_counters(G.stream_feedback(spark, path)), spark, "live", "complete")
+    return out.withColumn("avg_response_time", r6(F.col("avg_response_time")))
+
+
+@register("stream_cache_split", sql="""
+SELECT CASE WHEN l.doc_id IS NULL THEN 'miss' ELSE 'hit' END AS kind, e.user_id AS cache_key,
+       CAST(CASE WHEN bool_or(l.doc_id IS NULL) THEN 1 ELSE count(*) END AS BIGINT) AS n
+FROM events e LEFT JOIN (SELECT DISTINCT doc_id FROM labels) l ON l.doc_id = e.user_id
+WHERE e.user_id IS NOT NULL GROUP BY 1, 2
+""")
+def stream_cache_split(spark, sf_dir):
+    """Events against a cache of the labelled ids: hits, and each missing
+    key once."""
+    e = _stream(spark, sf_dir, "events", ["ts", "user_id"]).where("user_id IS NOT NULL").select(
+        F.col("ts").cast("timestamp").alias("timestamp"), F.col("user_id").alias("cache_key"))
+    cache = t(spark, sf_dir, "labels", ["doc_id"], spread_rows=False).select(F.col("doc_id").alias("cache_key")).distinct()
+    hits, misses = G.stream_cache_split(e, cache, watermark="3650 days")
+    both = [_run(x.select("cache_key"), spark, "cache").groupBy("cache_key").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+            .select(F.lit(kind).alias("kind"), "cache_key", "n") for x, kind in ((hits, "hit"), (misses, "miss"))]
+    return both[0].unionByName(both[1])
+
+
+@register("stream_rolling_history", sql="""
+SELECT conv_id, CAST(turn AS BIGINT) AS turn, coalesce(string_agg(text, chr(10)) OVER (PARTITION BY conv_id ORDER BY turn
+       ROWS BETWEEN 2 PRECEDING AND 1 PRECEDING), '') AS context FROM conversations
+""")
+def stream_rolling_history(spark, sf_dir):
+    """The two turns before each turn, as a stream."""
+    return _run(G.rolling_history(_stream(spark, sf_dir, "conversations", ["conv_id", "turn", "text"]), 2), spark, "history")
+
+
+@register("stream_index", sql=f"""
+SELECT * FROM ({_sql_windows("SELECT doc_id, " + S.clean_ocr("text") + " AS text FROM documents", 500, 450)})
+""")
+def stream_index(spark, sf_dir):
+    """Documents streamed through cleaning and windows into an index table."""
+    path = _scratch(spark, "index")
+    G.incremental_index(_stream(spark, sf_dir, "documents", ["doc_id", "text"]), f"{path}/chunks", f"{path}/state").awaitTermination()
+    return G.latest_chunks(spark, f"{path}/chunks").select("doc_id", "chunk_no", "chunk_text", "n_tokens")

@@ -166,27 +166,37 @@ def export_snapshot(df: DataFrame, prefix: str, ts: _dt.datetime | None = None,
 # --- images -------------------------------------------------------------------
 
 @F.pandas_udf(T.BinaryType())
-def _bytes_from_text(s: pd.Series) -> pd.Series:
-    """Stringified dict ``{'bytes': b'...', 'path': ...}`` or base64 text."""
+def _bytes_from_dict(s: pd.Series) -> pd.Series:
+    """Stringified dict ``{'bytes': b'...', 'path': ...}``."""
     import ast
-    import base64
-    import binascii
 
     def one(v):
-        if v is None:
-            return None
-        t = v.strip()
-        if t.startswith("{"):
-            try:
-                d = ast.literal_eval(t)
-                b = d.get("bytes") if isinstance(d, dict) else None
-                return bytes(b) if isinstance(b, (bytes, bytearray)) else None
-            except (ValueError, SyntaxError):
-                return None
         try:
-            return base64.b64decode(t, validate=True)
-        except (binascii.Error, ValueError):
+            d = ast.literal_eval(v) if v is not None else None
+        except (ValueError, SyntaxError):
             return None
+        b = d.get("bytes") if isinstance(d, dict) else None
+        return bytes(b) if isinstance(b, (bytes, bytearray)) else None
+    return s.map(one)
+
+
+@F.pandas_udf(T.StringType())
+def _jpeg_size(s: pd.Series) -> pd.Series:
+    """``"W x H px"`` from a JPEG's frame header, found by the lengths of the
+    segments before it; null if there is none."""
+    def one(b):
+        at = 2
+        while b is not None and at + 9 <= len(b) and b[at] == 0xFF:
+            kind = b[at + 1]
+            if 0xC0 <= kind <= 0xCF and kind not in (0xC4, 0xC8, 0xCC):
+                return f"{int.from_bytes(b[at + 7:at + 9], 'big')} x {int.from_bytes(b[at + 5:at + 7], 'big')} px"
+            if kind == 0xFF:                             # fill byte
+                at += 1
+            elif kind == 0x01 or 0xD0 <= kind <= 0xD9:   # no length
+                at += 2
+            else:
+                at += 2 + int.from_bytes(b[at + 2:at + 4], "big")
+        return None
     return s.map(one)
 
 
@@ -199,20 +209,23 @@ def image_bytes(df: DataFrame, col: str) -> Column:
     if isinstance(dt, T.StructType):
         return F.col(f"{col}.bytes")
     if isinstance(dt, T.StringType):
-        return _bytes_from_text(F.col(col))
+        text = strip(F.col(col))
+        is_dict = text.startswith("{")
+        return F.when(is_dict, _bytes_from_dict(F.when(is_dict, text))).otherwise(
+            F.try_to_binary(F.when(~is_dict, text), F.lit("base64")))
     return F.lit(None).cast("binary")
 
 
 def image_header(b: Column) -> tuple[Column, Column]:
     """(format, ``"W x H px"``) from the PNG header (IHDR width and
-    height, big-endian); JPEG is recognised without a size; else null."""
+    height, big-endian) or the JPEG frame header; else null."""
     sig = F.hex(F.substring(b, 1, 8))
     is_png = sig == F.lit(PNG_SIGNATURE)
     is_jpeg = F.substring(sig, 1, 6) == F.lit(JPEG_SIGNATURE)
     w = F.conv(F.hex(F.substring(b, 17, 4)), 16, 10)
     h = F.conv(F.hex(F.substring(b, 21, 4)), 16, 10)
     fmt = F.when(is_png, F.lit("PNG")).when(is_jpeg, F.lit("JPEG"))
-    size = F.when(is_png, F.concat(w, F.lit(" x "), h, F.lit(" px")))
+    size = F.when(is_png, F.concat(w, F.lit(" x "), h, F.lit(" px"))).when(is_jpeg, _jpeg_size(F.when(is_jpeg, b)))
     return fmt, size
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from ..functions.text import clean_ocr, topic
 from ..operators.chunking import token_window
+from ..session import compute_once
 
 FEEDBACK_SCHEMA = T.StructType([
     T.StructField("timestamp", T.TimestampType()),
@@ -79,40 +80,68 @@ HISTORY_SCHEMA = T.StructType([
 ])
 
 
-def rolling_history(sdf: DataFrame, n: int = 2, key: str = "conv_id", order: str = "turn",
-                    text: str = "text") -> DataFrame:
+def rolling_history(sdf: DataFrame, n: int = 2, key: str = "conv_id", order: str = "turn", text: str = "text",
+                    ts: str | None = None, watermark: str = "1 hour", idle_seconds: float = 30 * 86400.0) -> DataFrame:
     """For every incoming turn, the text of the previous ``n`` turns of
-    its conversation (list state of ``n`` entries per key)."""
+    its conversation (list state of ``n`` entries per key; null texts are
+    left out).
+
+    With ``ts``, turns older than the watermark are dropped and a
+    conversation's state ends once the watermark is ``idle_seconds`` past its
+    last turn.  Without it the state stays, as there is no time to end it by."""
     src = sdf.select(F.col(key).cast("long").alias("conv_id"), F.col(order).cast("long").alias("turn"),
-                     F.col(text).alias("text"))
+                     F.col(text).alias("text"), *([F.col(ts).cast("timestamp").alias("_wm")] if ts else []))
+    if ts:
+        src = src.withColumn("_ms", F.unix_millis("_wm")).withWatermark("_wm", watermark)
 
     def fn(k, pdfs, state):
+        if state.hasTimedOut:
+            state.remove()
+            return
         prev = list(state.get[0]) if state.exists else []
         rows = []
         frames = [p for p in pdfs]
         if frames:
             pdf = pd.concat(frames).sort_values("turn")
             for tn, tx in zip(pdf["turn"], pdf["text"]):
-                rows.append((k[0], int(tn), "\n".join(prev[-n:])))
+                rows.append((k[0], int(tn), "\n".join(x for x in prev if x is not None)))
                 prev = (prev + [tx])[-n:]
+            if ts:
+                state.setTimeoutTimestamp(max(int(pdf["_ms"].max()), state.getCurrentWatermarkMs()) + int(idle_seconds * 1000))
         state.update((prev,))
         yield pd.DataFrame(rows, columns=["conv_id", "turn", "context"])
 
     state_schema = T.StructType([T.StructField("last", T.ArrayType(T.StringType()))])
-    return src.groupBy("conv_id").applyInPandasWithState(fn, HISTORY_SCHEMA, state_schema, "append", "NoTimeout")
+    return src.groupBy("conv_id").applyInPandasWithState(fn, HISTORY_SCHEMA, state_schema, "append",
+                                                         "EventTimeTimeout" if ts else "NoTimeout")
 
 
 def incremental_index(sdf: DataFrame, target: str, checkpoint: str, id_col: str = "doc_id", text_col: str = "text",
                       size: int = 500, overlap: int = 50, trigger_once: bool = True):
-    """New documents -> layout-OCR cleaning -> token windows, appended to
-    a parquet chunk table by ``foreachBatch`` (exactly-once per batch id
-    through the checkpoint)."""
+    """New and changed documents -> layout-OCR cleaning -> token windows in
+    a parquet table with one ``batch_id`` folder per micro-batch.
+
+    A batch that is run again replaces its own folder, so a failure between
+    write and commit leaves no second copy.  The ids of documents without text
+    go to the table ``<target>.blank``.  :func:`latest_chunks` gives each
+    document's chunks from its last batch."""
+    target = target.rstrip("/")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        docs = batch.select(id_col, clean_ocr(text_col).alias("_t")).where(F.col("_t") != "")
-        chunks = token_window(docs, id_col, "_t", size, overlap, global_ids=False)
-        chunks.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(target)
+        docs = compute_once(batch.select(id_col, text_col), "_t", F.coalesce(clean_ocr(text_col), F.lit("")))
+        chunks = token_window(docs.where(F.col("_t") != ""), id_col, "_t", size, overlap, global_ids=False)
+        chunks.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
+        docs.where(F.col("_t") == "").select(id_col).write.mode("overwrite").parquet(f"{target}.blank/batch_id={batch_id}")
 
     w = sdf.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if trigger_once else w
     return w.start()
+
+
+def latest_chunks(spark: SparkSession, target: str, id_col: str = "doc_id") -> DataFrame:
+    """The current chunks of a table kept by :func:`incremental_index`: those
+    of each document's last batch (none if it has become empty)."""
+    table, blank = spark.read.parquet(target), spark.read.parquet(f"{target.rstrip('/')}.blank")
+    last = (table.select(id_col, "batch_id").union(blank.select(id_col, "batch_id"))
+            .groupBy(id_col).agg(F.max("batch_id").alias("batch_id")))
+    return table.join(last, [id_col, "batch_id"])

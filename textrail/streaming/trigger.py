@@ -163,18 +163,24 @@ def retrain_trigger_batch(df: DataFrame, key: str, ts: str, event_id: str, bad:
 
 def retrain_trigger_stream(sdf: DataFrame, key: str, ts: str, event_id: str, bad: F.Column,
                            strict_reference: bool = False, watermark: str = "1 hour",
-                           training_seconds: float = 0.0) -> DataFrame:
+                           training_seconds: float = 0.0, idle_seconds: float = 30 * 86400.0) -> DataFrame:
     """Streaming trigger with ``applyInPandasWithState`` (append mode).
 
     Rows of a key inside one micro-batch are processed in (ts, event_id)
-    order; the watermark bounds how late an event may arrive.
+    order.  Rows older than the watermark are dropped.  A key's state ends
+    once the watermark is ``idle_seconds`` past its last event; a later event
+    starts it anew.
     """
     # watermarks need a zoned timestamp: a separate column bounds lateness
     # while the rules keep reading the wall-clock value
     prepared = (_prepare(sdf, key, ts, event_id, bad)
-                .withColumn("_wm", F.col("ts").cast("timestamp")).withWatermark("_wm", watermark))
+                .withColumn("_wm", F.col("ts").cast("timestamp"))
+                .withColumn("_ms", F.unix_millis("_wm")).withWatermark("_wm", watermark))
 
     def fn(k, pdfs, state):
+        if state.hasTimedOut:
+            state.remove()
+            return
         st = TriggerState.from_row(state.get) if state.exists else TriggerState()
         frames = [p for p in pdfs]
         out = []
@@ -184,8 +190,9 @@ def retrain_trigger_stream(sdf: DataFrame, key: str, ts: str, event_id: str, bad
                 fired = st.step(pd.Timestamp(t).timestamp(), bool(b), strict_reference, training_seconds)
                 if fired:
                     out.append(_out_row(k[0], int(eid), t, fired[0], fired[1]))
+            state.setTimeoutTimestamp(max(int(pdf["_ms"].max()), state.getCurrentWatermarkMs()) + int(idle_seconds * 1000))
         state.update(st.to_row())
         yield pd.DataFrame(out, columns=OUTPUT_SCHEMA.fieldNames())
 
     return prepared.groupBy("key").applyInPandasWithState(
-        fn, OUTPUT_SCHEMA, STATE_SCHEMA, "append", "NoTimeout")
+        fn, OUTPUT_SCHEMA, STATE_SCHEMA, "append", "EventTimeTimeout")
