@@ -73,7 +73,7 @@ def test_answer_flow_prefers_summary_answers(spark):
     qs = spark.createDataFrame([(0, "things summary")], "query_id long, text string")
     hits = spark.createDataFrame([(0, 1, 1), (0, 2, 2)], "query_id long, doc_id long, rank long")
     r = answer_queries(hits, docs, qs).collect()[0]
-    assert r["answer"] == "A summary of things." and math.isclose(r["reward"], 1.5) and r["source"] == "2.txt"
+    assert r["answer"] == "A summary of things. Tail." and math.isclose(r["reward"], 1.5) and r["source"] == "2.txt"
 
 
 def test_punct_tokenizer_and_shuffle(spark):
