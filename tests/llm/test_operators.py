@@ -190,6 +190,16 @@ def test_line_dedup(spark, docs, none):
     assert linededup.drop_repeats(docs).count() == len(ROWS) and linededup.drop_repeats(none).count() == 0
 
 
+def test_line_dedup_other_line_breaks(spark):
+    words = [f"p{i}" for i in range(45)]
+    title, wrapped = "A short title.", " ".join(words[:20]) + "\n" + " ".join(words[20:])
+    rows = [(1, " ".join(words)), (2, wrapped), (3, f"{' '.join(words)}\n{title}"), (4, f"{wrapped}\n{title}")]
+    got = {r.doc_id: r.clean_text for r in linededup.drop_repeats(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got[1] == rows[0][1]
+    # the title is too short to count as a repeat
+    assert all(got[k].endswith(title) for k in (3, 4))
+
+
 def test_licenses(spark, docs, none):
     rows = [(1, "a/LICENSE", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software under the MIT License"),
             (2, "a/b/x.txt", "nothing here"), (3, "a/b/y.txt", "Some text.\nLicensed under the Apache License, Version 2.0.\nMore."),

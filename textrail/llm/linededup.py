@@ -136,7 +136,10 @@ def agreeing(mine: np.ndarray, theirs: np.ndarray, shift: int, places: list[int]
     same = np.r_[False, mine[lo:hi] == theirs[lo - shift:hi - shift], False]
     edges = np.flatnonzero(same[1:] != same[:-1]) + lo
     begins, ends = edges[::2], edges[1::2]
-    hit = np.unique(np.searchsorted(begins, np.array(places), "right") - 1)
+    at = np.array(places)
+    hit = np.searchsorted(begins, at, "right") - 1
+    # a matched place need not agree: equal words can have other line breaks
+    hit = np.unique(hit[(hit >= 0) & (at < np.r_[ends, 0][hit])])
     return np.column_stack([begins[hit], ends[hit]]).ravel().tolist()
 
 
