@@ -200,6 +200,60 @@ def test_line_dedup_other_line_breaks(spark):
     assert all(got[k].endswith(title) for k in (3, 4))
 
 
+def test_line_dedup_by_words(spark):
+    rng = random.Random(5)
+    passage = [f"q{i}" for i in range(51)]
+    fresh = (f"u{i}" for i in range(100_000))
+    rows = [(0, " ".join([*(next(fresh) for _ in range(7)), *passage, *(next(fresh) for _ in range(7))]))]
+    for k in range(1, 20):
+        mid = "".join(w + rng.choice([" ", " ", "\n", "  "]) for w in passage).strip()
+        # amid a sentence, hard-wrapped, beside full stops that are not ASCII
+        rows.append((k, f"{next(fresh)} {next(fresh)}。 {mid} {next(fresh)}"))
+    rows += [(30, " ".join(f"p{i}" for i in range(45))), (31, "\n".join([" ".join(f"p{i}" for i in range(20)), " ".join(f"p{i}" for i in range(20, 45))]))]
+    twice = [next(fresh) for _ in range(60)]
+    rows.append((40, " ".join([*twice, next(fresh), *twice, next(fresh), *twice])))
+    got = {r.doc_id: r for r in linededup.drop_repeats(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got[0].clean_text == rows[0][1] and got[30].clean_text == rows[20][1] and got[31].clean_text == ""
+    for k in range(1, 20):
+        w = rows[k][1].split()
+        assert got[k].clean_text.split() == [*w[:2], w[-1]] and got[k].removed_words == 51
+    assert got[40].clean_text.split() == [w for i, w in enumerate(rows[-1][1].split()) if i < 61 or i == 121]
+
+
+def test_line_dedup_against_brute_force(spark):
+    rng = random.Random(6)
+    pieces = [[f"w{rng.randrange(300)}" for _ in range(rng.randint(42, 90))] for _ in range(8)]
+    rows = []
+    for k in range(40):
+        words = []
+        for _ in range(3):
+            p = rng.choice(pieces)
+            a = rng.randrange(20)
+            words += [*p[a:len(p) - rng.randrange(20)], *(f"x{rng.randrange(10 ** 9)}" for _ in range(rng.randint(0, 30)))]
+        rows.append((k, "".join(w + rng.choice([" ", "\n", ". "]) for w in words).replace(". ", " ")))
+    got = {r.doc_id: r for r in linededup.drop_repeats(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+
+    def covered(w, seen, size):
+        hit = set()
+        own = set()
+        for i in range(len(w) - size + 1):
+            g = tuple(w[i:i + size])
+            if g in seen or g in own:
+                hit |= set(range(i, i + size))
+            own.add(g)
+        return hit
+
+    long, short = set(), set()
+    for k, text in rows:
+        w = text.split()
+        must, may = covered(w, long, 50), covered(w, short, 40)
+        # of each run of 50 words and more all but REACH words at its ends
+        inner = {i for i in must if all(i + j in must for j in range(-linededup.REACH, linededup.REACH + 1))}
+        assert len(inner) <= got[k].removed_words <= len(may) and len(w) - got[k].removed_words == len(got[k].clean_text.split())
+        long |= {tuple(w[i:i + 50]) for i in range(len(w) - 49)}
+        short |= {tuple(w[i:i + 40]) for i in range(len(w) - 39)}
+
+
 def test_licenses(spark, docs, none):
     rows = [(1, "a/LICENSE", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software under the MIT License"),
             (2, "a/b/x.txt", "nothing here"), (3, "a/b/y.txt", "Some text.\nLicensed under the Apache License, Version 2.0.\nMore."),

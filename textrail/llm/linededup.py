@@ -1,16 +1,18 @@
-"""Removal of repeated runs of lines by winnowing.
-
-A text is a sequence of lines; a line is cut further after each sentence, so
-that a passage is found wherever it stands.  A gram is the shortest run of
-lines from a given line with at least GRAM words, known by a hash of its
-words.  Winnowing: of the grams that fit into GUARANTEE words from a line (at
-least the first), the one with the least hash is a fingerprint.  Two texts
-that share a run of GUARANTEE words or more share a fingerprint in it.
-
-Each fingerprint's first place in a text is joined to its first place of all
-(documents by id), and its later places in the text to the ones before them; the match is extended both ways while the lines agree, and the later run
-is deleted.  What is deleted always has an equal line earlier on, so the first
-copy of everything stays.
+"""Removal of repeated runs of words by winnowing.
+
+A text is a sequence of words; lines and sentences play no part, so a passage
+is found wherever it stands and however it is wrapped.  A gram is GRAM words
+from any word on, known by a hash.  Winnowing: of the grams in each window of
+GUARANTEE words (all of a text, if it has fewer), the one with the least hash
+is a fingerprint.  Two texts that share a run of GUARANTEE words or more share
+a fingerprint in it.
+
+Each fingerprint's first place in a text is matched with its first place of
+all (documents by id), and its later places in the text with the ones before
+them.  The matched grams are deleted, and up to REACH words more on both
+sides as far as the words agree: a run that goes on farther has another
+fingerprint there.  What is deleted always has equal words earlier on, so the
+first copy of everything stays.
 """
 
 from __future__ import annotations
@@ -20,164 +22,238 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, mix64, small_batches
-from .words import parts, word_spans
+from .common import mix64, release, small_batches, stored
+from .words import SPACE, parts, word_spans
 
 GRAM, GUARANTEE = 40, 50
+REACH = GUARANTEE - GRAM
+#: Groups of fingerprints for each shuffle partition.
+BUCKETS = 8
 _FACTOR = np.uint64(0xC2B2AE3D27D4EB4F)
 _INVERSE = np.uint64(pow(int(_FACTOR), -1, 1 << 64))
 
 
-def line_ends(raw: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Ends of the lines (of sentences, if a line has several) of all texts."""
-    stop = (raw == 46) | (raw == 33) | (raw == 63)
-    follows = np.zeros(len(raw), bool)
-    follows[:-1] = raw[1:] == 32
-    ends = np.flatnonzero((raw == 10) | stop & follows) + 1
-    return np.union1d(ends, at[1:][np.diff(at) > 0])
-
-
 def _powers(base: np.uint64, n: int) -> np.ndarray:
     p = np.full(n, base, np.uint64)
     p[:1] = 1
     return np.multiply.accumulate(p)
 
 
-def fingerprints(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Of many texts: each line's text and hash, and each fingerprint's text,
-    line (counted within its text) and hash."""
-    none = np.zeros(0, np.int64)
-    ends = line_ends(raw, at)
-    if not len(ends):
-        return none, none.view(np.uint64), none, none, none.view(np.uint64)
-    word, begin = word_spans(raw, at)
-    line_doc = np.searchsorted(at, ends - 1, "right") - 1
-    cum = np.searchsorted(begin, ends)          # words up to the end of each line
-    before = np.r_[0, cum[:-1]]                 # words before it
-    first_line = np.searchsorted(line_doc, np.arange(len(at)))   # of each text; the last is the end
+def fingerprints(word: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each fingerprint's text, place (word of its text) and hash, in the
+    order of the texts; ``first``: n+1 offsets of the texts' words."""
     n = len(word)
+    if n < GRAM:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
     prefix = np.zeros(n + 1, np.uint64)
     np.cumsum(word * _powers(_FACTOR, n), out=prefix[1:])
-    back = _powers(_INVERSE, n + 1)
-
-    def run_hash(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        return mix64((prefix[b] - prefix[a]) * back[a] + (b - a).astype(np.uint64))
-
-    line_hash = run_hash(before, cum)
-    # the line that completes the gram from each line, if it lies in the text
-    end = np.searchsorted(cum, before + GRAM)
-    whole = end < first_line[line_doc + 1]
-    # grams start at a line with words, so that one run has one gram
-    start = np.flatnonzero(whole & (cum > before))
-    if not len(start):
-        return line_doc, line_hash, none, none, none.view(np.uint64)
-    till = cum[end[start]]
-    h = run_hash(before[start], till)
-    room = np.maximum(before[start] + GUARANTEE, till)
-    best, here = h.copy(), np.arange(len(start))
-    k = 1
-    doc = line_doc[start]
-    while True:
-        nxt = np.minimum(np.arange(len(start)) + k, len(start) - 1)
-        fits = (np.arange(len(start)) + k < len(start)) & (doc[nxt] == doc) & (till[nxt] <= room)
-        if not fits.any():
-            break
-        less = fits & (h[nxt] < best)
-        best[less], here[less] = h[nxt][less], nxt[less]
-        k += 1
-    pick = np.unique(here)
-    return line_doc, line_hash, doc[pick], start[pick] - first_line[doc[pick]], h[pick]
-
-
-def _lists(values: np.ndarray, doc: np.ndarray, n: int) -> pa.ListArray:
-    cuts = np.searchsorted(doc, np.arange(n + 1)).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(cuts), pa.array(values))
-
-
-def _prints(src: DataFrame) -> DataFrame:
-    """(row, id, lines, places, prints, own) of (row, id, text): the lines'
-    hashes, the first place of each fingerprint, and the runs of lines that
-    repeat earlier ones of the same text."""
-    schema = f"row bigint, id {src.schema['id'].dataType.simpleString()}, lines binary, places array<bigint>, prints array<bigint>, own array<bigint>"
+    h = mix64((prefix[GRAM:] - prefix[:-GRAM]) * _powers(_INVERSE, n - GRAM + 1))
+    del prefix
+    # grams that go over a text's end are greater than all others
+    doc = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    left = first[doc + 1] - np.arange(n)      # words from here to the text's end
+    whole = left[:len(h)] >= GRAM
+    # the least of each window (the first, if several are), by doubling
+    best, here = h.copy(), np.arange(len(h))
+    best[~whole] = np.iinfo(np.uint64).max
+    size, width = 1, REACH + 1
+    while size < width:
+        step = min(size, width - size)
+        less = best[step:] < best[:-step]
+        best[:-step][less], here[:-step][less] = best[step:][less], here[step:][less]
+        size += step
+    # windows begin where GUARANTEE words are left, and at the start of shorter texts
+    window = left[:len(h)] >= GUARANTEE
+    starts = first[:-1][(np.diff(first) >= GRAM) & (np.diff(first) < GUARANTEE)]
+    window[starts] = True
+    pick = np.unique(here[window])
+    return doc[pick], pick - first[doc[pick]], h[pick]
+
+
+def _words(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes and begins of the words, and the n+1 offsets of the texts' words."""
+    word, begin = word_spans(raw, at)
+    return word, begin, np.searchsorted(begin, at)
+
+
+def clusters(places: np.ndarray) -> list[tuple[int, int]]:
+    """Runs of words (first, last + 1) that the grams at the sorted places cover."""
+    gap = np.flatnonzero(np.diff(places) > GRAM)
+    return list(zip(places[np.r_[0, gap + 1]].tolist(), (places[np.r_[gap, len(places) - 1]] + GRAM).tolist(), strict=True))
+
+
+def widened(a: int, b: int, mine: np.ndarray, before: np.ndarray, after: np.ndarray) -> tuple[int, int]:
+    """The run of ``mine`` with the words on both sides that agree with the
+    ones ``before`` and ``after`` its earlier copy."""
+    k = min(a, len(before))
+    same = mine[a - k:a] == before[len(before) - k:]
+    left = k if same.all() else int(np.argmin(same[::-1]))
+    k = min(len(mine) - b, len(after))
+    same = mine[b:b + k] == after[:k]
+    right = k if same.all() else int(np.argmin(same))
+    return a - left, b + right
+
+
+def _around(words: np.ndarray, a: int, b: int) -> tuple[np.ndarray, np.ndarray]:
+    return words[max(a - REACH, 0):a], words[b:b + REACH]
+
+
+def _prints(src: DataFrame, buckets: int) -> DataFrame:
+    """Of (row, id, text): the first place of each fingerprint of a text, many
+    together (bucket, prints, rows, ids, places), and (row, own) with bucket
+    null, the runs of words that repeat earlier ones of the same text."""
+    kind = src.schema["id"].dataType.simpleString()
+    schema = f"bucket int, prints array<bigint>, rows array<bigint>, ids array<{kind}>, places array<int>, row bigint, own array<bigint>"
+    names = ["bucket", "prints", "rows", "ids", "places", "row", "own"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, last, raw, at in parts(batch.column("text")):
-                n = last - first
-                line_doc, line_hash, doc, place, h = fingerprints(raw, at)
-                cuts = np.searchsorted(line_doc, np.arange(n + 1))
-                lines = [line_hash[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+            ids, rows = batch.column("id"), batch.column("row").to_numpy()
+            for begin, _, raw, at in parts(batch.column("text")):
+                word, _, first = _words(raw, at)
+                doc, place, h = fingerprints(word, first)
+                if not len(doc):
+                    continue
                 order = np.lexsort((place, h, doc))
                 doc, place, h = doc[order], place[order], h[order]
-                again = np.r_[False, (doc[1:] == doc[:-1]) & (h[1:] == h[:-1])] if len(doc) else np.zeros(0, bool)
-                own: list[list[int]] = [[] for _ in range(n)]
-                # a repeat is compared with the place before it, so a line that recurs all along has one shift
+                again = np.r_[False, (doc[1:] == doc[:-1]) & (h[1:] == h[:-1])]
+                # a repeat is compared with the place before it, so a run that recurs all along has one shift
                 shifts: dict[tuple[int, int], list[int]] = defaultdict(list)
                 for k in np.flatnonzero(again).tolist():
                     shifts[int(doc[k]), int(place[k] - place[k - 1])].append(int(place[k]))
+                own: dict[int, list[int]] = defaultdict(list)
                 for (d, shift), places in shifts.items():
-                    mine = line_hash[cuts[d]:cuts[d + 1]]
-                    own[d] += agreeing(mine, mine, shift, places)
+                    mine = word[first[d]:first[d + 1]]
+                    for a, b in clusters(np.array(sorted(places))):
+                        own[d] += widened(a, b, mine, *_around(mine, a - shift, b - shift))
                 doc, place, h = doc[~again], place[~again], h[~again]
-                yield pa.RecordBatch.from_arrays([batch.column("row").slice(first, n), batch.column("id").slice(first, n), pa.array(lines, pa.binary()),
-                                                  _lists(place.astype(np.int64), doc, n), _lists(h.view(np.int64), doc, n),
-                                                  pa.array(own, pa.list_(pa.int64()))], names=["row", "id", "lines", "places", "prints", "own"])
+                bucket = (h % np.uint64(buckets)).astype(np.int32)
+                order = np.argsort(bucket, kind="stable")
+                doc, place, h, bucket = doc[order] + begin, place[order], h[order], bucket[order]
+                edge = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
+                cuts = pa.array(np.r_[edge, len(bucket)].astype(np.int32))
+                n, m = len(edge), len(own)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(bucket[edge]), *(pa.ListArray.from_arrays(cuts, x) for x in (pa.array(h.view(np.int64)), pa.array(rows[doc]), ids.take(pa.array(doc)), pa.array(place.astype(np.int32)))),
+                     pa.nulls(n, pa.int64()), pa.nulls(n, pa.list_(pa.int64()))], names=names)
+                if m:
+                    mine = [pa.nulls(m, pa.int32()), *(pa.nulls(m, pa.list_(x)) for x in (pa.int64(), pa.int64(), ids.type, pa.int32()))]
+                    yield pa.RecordBatch.from_arrays([*mine, pa.array(rows[np.array(list(own)) + begin]), pa.array(list(own.values()), pa.list_(pa.int64()))], names=names)
 
     return small_batches(src).mapInArrow(run, schema)
 
 
-def agreeing(mine: np.ndarray, theirs: np.ndarray, shift: int, places: list[int]) -> list[int]:
-    """Runs (first, last + 1, ...) of ``mine`` around the places that equal
-    ``theirs`` that many lines earlier."""
-    lo, hi = max(0, shift), min(len(mine), len(theirs) + shift)
-    same = np.r_[False, mine[lo:hi] == theirs[lo - shift:hi - shift], False]
-    edges = np.flatnonzero(same[1:] != same[:-1]) + lo
-    begins, ends = edges[::2], edges[1::2]
-    at = np.array(places)
-    hit = np.searchsorted(begins, at, "right") - 1
-    # a matched place need not agree: equal words can have other line breaks
-    hit = np.unique(hit[(hit >= 0) & (at < np.r_[ends, 0][hit])])
-    return np.column_stack([begins[hit], ends[hit]]).ravel().tolist()
-
-
-def _extended(pairs: DataFrame) -> DataFrame:
-    """(row, runs): runs of lines (first, last + 1) of the later text that
-    agree with the earlier one around the matched places."""
+def _matched(table: pa.Table) -> pa.Table:
+    """(row, from, shift, place) of each fingerprint that has an earlier place
+    in another row: least id (nulls last), then row."""
+    prints, rows, ids, places = (pc.list_flatten(table.column(c)).combine_chunks() for c in ("prints", "rows", "ids", "places"))
+    h = prints.to_numpy()
+    order = np.argsort(h, kind="stable")
+    same = h[order][1:] == h[order][:-1]
+    order = order[np.r_[False, same] | np.r_[same, False]] if len(same) else order[:0]
+    h, row, place = h[order], rows.to_numpy()[order], places.to_numpy()[order].astype(np.int64)
+    rank = pc.rank(ids.take(pa.array(order)), "ascending", null_placement="at_end", tiebreaker="dense").to_numpy() if len(order) else order
+    order = np.lexsort((row, rank, h))
+    h, row, place = h[order], row[order], place[order]
+    starts = np.r_[True, h[1:] != h[:-1]] if len(h) else np.zeros(0, bool)
+    lead = np.flatnonzero(starts)[np.cumsum(starts) - 1]
+    rest = ~starts
+    return pa.table({"row": row[rest], "from": row[lead][rest], "shift": (place - place[lead])[rest], "place": place[rest]},
+                    schema=pa.schema([("row", pa.int64()), ("from", pa.int64()), ("shift", pa.int64()), ("place", pa.int64())]))
+
+
+def _asked(pairs: DataFrame) -> DataFrame:
+    """(row, runs, around) of (row, from, shift, places, text): the runs of
+    words of a row that the matched grams cover, and the hashes of the words
+    before and after each one's copy in the earlier text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = zip(*(batch.column(c).to_pylist() for c in ("lines", "earlier", "shift", "places")), strict=True)
-            out = [agreeing(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64), shift, places) for a, b, shift, places in rows]
-            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(out, pa.list_(pa.int64()))], names=["row", "runs"])
-
-    return small_batches(pairs).mapInArrow(run, "row bigint, runs array<bigint>")
+            if not batch.num_rows:
+                continue
+            source = batch.column("from").to_numpy()
+            # rows of the same earlier text mostly stand together: it is read once
+            lead = np.flatnonzero(np.r_[True, source[1:] != source[:-1]])
+            owner = np.cumsum(np.r_[True, source[1:] != source[:-1]]) - 1
+            words: list[np.ndarray] = []
+            for _, _, raw, at in parts(batch.column("text").take(pa.array(lead))):
+                word, _, first = _words(raw, at)
+                words += [word[a:b] for a, b in zip(first[:-1], first[1:], strict=True)]
+            runs, around = [], []
+            for k, shift, places in zip(owner.tolist(), batch.column("shift").to_pylist(), batch.column("places").to_pylist(), strict=True):
+                spans = clusters(np.array(sorted(places)))
+                runs.append([x for span in spans for x in span])
+                around.append([x.tobytes() for a, b in spans for x in _around(words[k], a - shift, b - shift)])
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(runs, pa.list_(pa.int64())), pa.array(around, pa.list_(pa.binary()))], names=["row", "runs", "around"])
+
+    return small_batches(pairs).mapInArrow(run, "row bigint, runs array<bigint>, around array<binary>")
+
+
+def _without(raw: np.ndarray, begin: np.ndarray, runs: list[tuple[int, int]]) -> tuple[bytes, int, int]:
+    """A text without the runs of its words, and how many of its lines (also
+    cut at sentence ends) that have words lost all of them, and words removed."""
+    text = raw.tobytes()
+    gone = np.zeros(len(begin) + 1, np.int64)
+    for a, b in runs:
+        gone[a] += 1
+        gone[b] -= 1
+    gone = np.cumsum(gone[:-1]) > 0
+    inside = ~SPACE[raw]
+    end = np.flatnonzero(inside & ~np.r_[inside[1:], False]) + 1
+    edges = np.flatnonzero(np.diff(np.r_[False, gone, False].astype(np.int8)))
+    left, at = [], 0
+    for a, b in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True):
+        # of the white space around, what keeps the words apart as lines
+        head, tail = int(end[a - 1]) if a else 0, int(begin[b]) if b < len(begin) else len(text)
+        front = text[head:int(begin[a])]
+        if a == 0 or b == len(begin) or b"\n" in front:
+            left.append(text[at:int(begin[a])])
+            at = tail
+        else:
+            left.append(text[at:head])
+            at = int(end[b - 1])
+    left.append(text[at:])
+    stops = line_ends(raw)
+    last = np.searchsorted(begin, stops)
+    total = np.r_[0, np.cumsum(gone)]
+    lost, size = np.diff(np.r_[0, total[last]]), np.diff(np.r_[0, last])
+    return b"".join(left).strip(b" \n"), int(((size > 0) & (lost == size)).sum()), int(gone.sum())
+
+
+def line_ends(raw: np.ndarray) -> np.ndarray:
+    """Ends of the lines (of sentences, if a line has several) of a text."""
+    stop = (raw == 46) | (raw == 33) | (raw == 63)
+    follows = np.r_[raw[1:] == 32, False]
+    return np.union1d(np.flatnonzero((raw == 10) | stop & follows) + 1, [len(raw)])
 
 
 def _deleted(rows: DataFrame, columns: list) -> DataFrame:
-    """(columns, text, removed_lines, removed_words) with the runs' lines deleted."""
+    """(columns, clean_text, removed_lines, removed_words) with the runs deleted."""
     head = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in columns)
     names = [f.name for f in columns]
 
-    def clean(text: bytes, runs: list[int]) -> tuple[bytes, int, int]:
-        raw = np.frombuffer(text, np.uint8)
-        ends = line_ends(raw, np.array([0, len(raw)]))
-        gone = np.zeros(len(ends), bool)
-        for a, b in zip(runs[::2], runs[1::2], strict=True):
-            gone[a:b] = True
-        begins = np.r_[0, ends[:-1]]
-        removed = b" ".join(text[a:b] for a, b in zip(begins[gone], ends[gone], strict=True))
-        left = b"".join(text[a:b] for a, b in zip(begins[~gone], ends[~gone], strict=True))
-        return left.strip(b" \n"), int(gone.sum()), len(removed.split())
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             text, lines, words = batch.column("_text").to_pylist(), [0] * batch.num_rows, [0] * batch.num_rows
-            for k, runs in enumerate(batch.column("_runs").to_pylist()):
-                if runs:
-                    left, lines[k], words[k] = clean((text[k] or "").encode(), runs)
-                    text[k] = left.decode()
+            hit = np.flatnonzero(batch.column("_runs").is_valid().to_numpy(zero_copy_only=False))
+            found = batch.column("_runs").take(pa.array(hit)).to_pylist()
+            for begin_row, _, raw, at in parts(batch.column("_text").take(pa.array(hit))):
+                word, begin, first = _words(raw, at)
+                for k in range(len(at) - 1):
+                    mine = word[first[k]:first[k + 1]]
+                    runs = []
+                    for one in found[begin_row + k]:
+                        spans = list(zip(one["runs"][::2], one["runs"][1::2], strict=True))
+                        if one["around"] is not None:
+                            near = [np.frombuffer(x, np.uint64) for x in one["around"]]
+                            spans = [widened(a, b, mine, x, y) for (a, b), x, y in zip(spans, near[::2], near[1::2], strict=True)]
+                        runs += spans
+                    row = int(hit[begin_row + k])
+                    left, lines[row], words[row] = _without(raw[at[k]:at[k + 1]], begin[first[k]:first[k + 1]] - at[k], runs)
+                    text[row] = left.decode()
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(text, pa.string()), pa.array(lines, pa.int64()), pa.array(words, pa.int64())],
                                              names=[*names, "clean_text", "removed_lines", "removed_words"])
 
@@ -187,25 +263,39 @@ def _deleted(rows: DataFrame, columns: list) -> DataFrame:
 def drop_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, clean_text, removed_lines, removed_words`` for every row.
 
-    A run of lines that repeats an earlier one (GUARANTEE words are always
-    enough, GRAM words needed) is deleted, also within one text.  Earlier
-    means a smaller id (null ids last), then an earlier row, then an earlier
-    line; rows repeated whole keep the text of the first.  Words are compared
-    without regard to A-Z's case and to white space.  A null text stays null,
-    an empty one empty; an empty table gives an empty result.  No other
-    column is read.  ``df`` must give the same rows in the same places each
-    time it is read, as a table does.
+    A run of words that repeats an earlier one (GUARANTEE words are always
+    found, GRAM words needed) is deleted, also within one text.  Earlier means
+    a smaller id (null ids last), then an earlier row, then an earlier place.
+    If parts of a run stand first in different texts, up to REACH words at
+    each of its ends can stay.  Rows repeated whole keep the text of the
+    first.  Words are compared without regard to A-Z's case and to white
+    space; ``removed_lines`` counts the lines (sentences, if a line has
+    several) that lost all their words.  A null text stays null, an empty one
+    empty; an empty table gives an empty result.  No other column is read.
+    ``df`` must give the same rows in the same places each time it is read,
+    as a table does.
     """
+    spark = df.sparkSession
     src = df.select(F.monotonically_increasing_id().alias("row"), F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    printed = cut(_prints(src))
-    order = F.struct(F.isnull("id").alias("x"), "id", "row", "place")
-    places = printed.select("row", "id", F.explode(F.arrays_zip("places", "prints")).alias("p")).select("row", "id", F.col("p.places").alias("place"), F.col("p.prints").alias("print"))
-    first = cut(places.groupBy("print").agg(F.min(order).alias("f"), F.count(F.lit(1)).alias("n")).where("n > 1").select("print", F.col("f.row").alias("from"), F.col("f.place").alias("at")))
-    later = (places.select("row", "place", "print").join(first, "print").where("row <> from")
-             .groupBy("row", "from", (F.col("place") - F.col("at")).alias("shift")).agg(F.collect_list("place").alias("places")))
-    lines = printed.select("row", "lines")
-    pairs = later.join(lines, "row").join(lines.select(F.col("row").alias("from"), F.col("lines").alias("earlier")), "from")
-    runs = _extended(pairs.select("row", "lines", "earlier", "shift", "places"))
-    runs = runs.unionByName(printed.where(F.size("own") > 0).select("row", F.col("own").alias("runs"))).groupBy("row").agg(F.flatten(F.collect_list("runs")).alias("_runs"))
-    rows = src.join(cut(runs), "row", "left").select(F.col("id").alias("doc_id"), F.col("text").alias("_text"), "_runs")
+    printed = _prints(src, BUCKETS * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    # own runs go with the matches, so that the texts are read once for both
+    schema = "row bigint, from bigint, shift bigint, place bigint, own array<bigint>"
+
+    def match(table: pa.Table) -> pa.Table:
+        if table.column("bucket").null_count:
+            n = len(table)
+            return pa.table([table.column("row"), *(pa.nulls(n, pa.int64()) for _ in range(3)), table.column("own")], names=["row", "from", "shift", "place", "own"])
+        got = _matched(table)
+        return got.append_column("own", pa.nulls(len(got), pa.list_(pa.int64())))
+
+    # rows with own runs are dealt by row among keys below zero
+    key = F.coalesce("bucket", -1 - F.pmod(F.xxhash64("row"), F.lit(4096))).cast("int")
+    found = stored(printed.groupBy(key.alias("key")).applyInArrow(match, schema))
+    pairs = found.where("from is not null").groupBy("row", "from", "shift").agg(F.collect_list("place").alias("places"))
+    earlier = src.where("text is not null").select(F.col("row").alias("from"), "text")
+    asked = _asked(pairs.join(earlier, "from").select("row", "from", "shift", "places", "text"))
+    own = found.where("own is not null").select("row", F.col("own").alias("runs"), F.lit(None).cast("array<binary>").alias("around"))
+    runs = stored(asked.unionByName(own).groupBy("row").agg(F.collect_list(F.struct("runs", "around")).alias("_runs")))
+    release(found)
+    rows = src.join(runs, "row", "left").select(F.col("id").alias("doc_id"), F.col("text").alias("_text"), "_runs")
     return _deleted(rows, [f for f in rows.schema.fields if f.name == "doc_id"])
