@@ -14,6 +14,7 @@ import public_tokenizers as P
 from pyspark.sql import functions as F
 
 from textrail.llm import ann, bpe, cotrain, exact, langid, licenses, linededup, minhash, packing, ppm
+from textrail.llm.queries import QUERIES
 
 # the rows of the fixture ``docs``
 from .conftest import ROWS
@@ -266,6 +267,19 @@ def test_licenses(spark, docs, none):
     assert licenses.scan(none, F.col("source")).count() == 0
 
 
+def test_licenses_query_inherits(spark, tmpdir_run):
+    mit, gpl = "Released under the MIT License.", "This work is licensed under the GNU General Public License, version 3."
+    # ids of which (id / 4) % 3 is 0, 1 and 2: licence files of the folders of 10,000, 1,000 and 100 ids
+    rows = [(12, f"Some words.\n{mit}"), (1012, f"{gpl}\nMore words."), (1100, mit), (1, "plain"), (1001, "plain"), (1101, "plain"), (1102, None),
+            (1103, f"Mine. {gpl}"), (20_001, "plain"), (None, "plain"), (4, "plain")]
+    spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id bigint, text string, lang string, source string, n_chars int").write.parquet(f"{tmpdir_run}/documents.parquet")
+    got = {r.doc_id: (r.license, r.via, r.origin) for r in QUERIES["op2_licenses"](spark, tmpdir_run).collect()}
+    top, mid, low = "s/0/LICENSE-12", "s/0/1/LICENSE-1012", "s/0/1/11/LICENSE-1100"
+    assert got == {12: ("MIT", "file", None), 1012: ("GPL-3.0", "file", None), 1100: ("MIT", "file", None), 1: ("MIT", "inherited", top), 4: ("MIT", "inherited", top),
+                   1001: ("GPL-3.0", "inherited", mid), 1101: ("MIT", "inherited", low), 1102: ("MIT", "inherited", low), 1103: ("GPL-3.0", "header", None),
+                   20_001: (None, None, None), None: (None, None, None)}
+
+
 def test_ppm_against_brute_force(docs, none):
     rows = [r for r in ROWS if r[0] != 10]
     train = [r for r in rows if (r[0] or 0) % 3 != 1]

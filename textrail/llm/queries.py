@@ -18,8 +18,14 @@ def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # the table has no paths: a file of its source's folder, a hundred to a folder
-    path = F.concat_ws("/", F.coalesce("source", F.lit("none")), F.floor(F.col("doc_id") / 100).cast("string"), F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+    # the table has no paths: a file in nested folders of 10,000, 1,000 and 100 ids of its source; of the rows
+    # that name a licence, those whose id four divides are licence files of one of their three folders
+    doc = F.col("doc_id")
+    folders = F.array(*(F.floor(doc / n).cast("string") for n in (10_000, 1_000, 100)))
+    is_file = F.coalesce(F.col("text").contains("icense") & (doc % 4 == 0), F.lit(False))
+    depth = F.when(is_file, F.pmod(F.floor(doc / 4), F.lit(3)).cast("int") + 1).otherwise(3)
+    name = F.concat(F.when(is_file, "LICENSE-").otherwise(""), doc.cast("string"), F.when(is_file, "").otherwise(".txt"))
+    path = F.concat_ws("/", F.coalesce("source", F.lit("none")), F.when(doc.isNotNull(), F.array_join(F.slice(folders, F.lit(1), depth), "/")), name)
     return licenses.scan(documents(spark, sf_dir), path)
 
 
