@@ -267,6 +267,17 @@ def test_licenses(spark, docs, none):
     assert licenses.scan(none, F.col("source")).count() == 0
 
 
+def test_licenses_in_long_lines(spark):
+    mit = ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), "
+           "to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, "
+           "and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:")
+    chaff = " ".join(f"chaff{i}" for i in range(200))
+    rows = [(1, mit), (2, f"{chaff} licensed under the apache license, version 2.0 {chaff}"), (3, f"{chaff} licensed {chaff}"), (4, f"note: this work is licensed under the gnu general public license, version 3, ok")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: (r.license, r.via) for r in licenses.scan(df, F.lit("a/b.txt")).collect()}
+    assert got == {1: ("MIT", "header"), 2: ("Apache-2.0", "header"), 3: (None, None), 4: ("GPL-3.0", "header")}
+
+
 def test_licenses_query_inherits(spark, tmpdir_run):
     mit, gpl = "Released under the MIT License.", "This work is licensed under the GNU General Public License, version 3."
     # ids of which (id / 4) % 3 is 0, 1 and 2: licence files of the folders of 10,000, 1,000 and 100 ids
