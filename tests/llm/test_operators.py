@@ -143,6 +143,49 @@ def test_quality(docs, none, spark):
     assert {r.keep for r in cotrain.score(docs, blank).collect()} == {True}
 
 
+def test_quality_is_a_probability():
+    rng = np.random.default_rng(8)
+    y = (rng.random(6000) < 0.85).astype(float)
+    views = tuple((y[:, None] + rng.normal(0, 1, (6000, 2))).astype(np.float32) for _ in range(2))
+    fold = np.arange(6000) % 5
+    for folds in (fold, np.where(fold == 0, 1, fold)):  # with and without rows to calibrate on
+        model = cotrain.co_train(views, np.where(fold == 1, np.nan, y) if folds is fold else y, folds)
+        for side, x in zip((model.content, model.metadata), views, strict=True):
+            p = 1 / (1 + np.exp(-side.log_odds(x)))
+            assert abs(p.mean() - 0.85) < 0.03
+            near = (p > 0.4) & (p < 0.6)
+            assert abs(y[near].mean() - 0.5) < 0.12
+
+
+def test_pipeline_stages(spark, tmpdir_run):
+    import corpus_pipeline
+
+    rng = random.Random(9)
+    lang = {"en": "the and of to with house green water light".split(), "fr": "le la et de avec maison verte eau lumière".split()}
+    rows = [(i, " ".join(rng.choices(lang[x], k=40)) + (" $$$ @@@ ###" * 10 if i % 10 < 2 else ""), x, f"s{i % 3}") for i, x in enumerate(["en", "fr"] * 100)]
+    rows += [(500, rows[3][1], "fr", "s0"), (501, "12 34 !!", "en", "s0"), (502, None, "en", "s0"),
+             (503, (base := " ".join(f"word{k} and" for k in range(200))), "en", "s1"), (504, base + " more", "en", "s1")]
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string").write.parquet(f"{tmpdir_run}/documents.parquet")
+    spark.createDataFrame([(i, 0 if i % 10 < 2 else 1) for i in range(150)], "doc_id bigint, quality int").write.parquet(f"{tmpdir_run}/labels.parquet")
+    docs, left = spark.read.parquet(f"{tmpdir_run}/documents.parquet"), {}
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, docs, tmpdir_run).write.parquet(f"{tmpdir_run}/{name}")
+        docs = spark.read.parquet(f"{tmpdir_run}/{name}")
+        left[name] = sorted(r.doc_id for r in docs.collect())
+    text, every = {r[0]: r[1] for r in rows}, {r[0] for r in rows}
+    assert {501, 502} <= every - set(left["language"]) and len(left["language"]) >= 200
+    good = {i for i in left["language"] if i < 200 and i % 10 >= 2}
+    bad = {i for i in left["language"] if i < 200 and i % 10 < 2}
+    assert len(good & set(left["quality"])) >= 0.97 * len(good) and len(bad & set(left["quality"])) <= 0.05 * len(bad)
+    firsts = {}
+    for i in left["quality"]:
+        firsts.setdefault("".join(text[i].split()), i)
+    assert left["exact_dedup"] == sorted(firsts.values())
+    alone = {i for i in left["exact_dedup"] if all(brute_similarity(bag(text[i]), bag(text[k])) < 0.8 for k in left["exact_dedup"] if k != i)}
+    assert alone <= set(left["near_dedup"]) <= set(left["exact_dedup"]) and len({503, 504} & set(left["near_dedup"])) == len({503, 504} & set(left["quality"])) // 2
+    assert set(left["packing"]) == set(left["near_dedup"])
+
+
 def bag(text):
     w = re.split(r"[\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or "").strip(" \t\n\x0b\x0c\r"))
     w = [x for x in w if x]

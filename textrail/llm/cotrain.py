@@ -4,8 +4,8 @@ Two classifiers see a document from two sides: its content (hashed byte 2-
 and 3-grams) and its page metadata (source, language, length, layout).  Both
 start from the labelled rows; in every round each labels the unlabelled rows
 it is most sure of for the other.  Each is then calibrated on labelled rows
-that neither was trained on, and the mean of the two calibrated log-odds
-scores every document.
+that neither was trained on, with the classes in the shares they have there,
+and the mean of the two calibrated log-odds scores every document.
 
 Fitting uses a bounded sample: at most LABELLED labelled and UNLABELLED other
 documents, chosen by a hash of their ids.  Scoring reads every whole text.
@@ -127,13 +127,23 @@ def logistic(x: np.ndarray, y: np.ndarray, steps: int = 100, l2: float = 1e-3) -
     return Side(mean, scale, w, float(b))
 
 
-def _platt(side: Side, x: np.ndarray, y: np.ndarray) -> None:
-    z = side.raw(x)[:, None]
-    if 0 < y.sum() < len(y):
-        fit = logistic(z, y, steps=200, l2=1e-2)
-        slope = fit.weights[0] / fit.scale[0]
-        if slope > 0:
-            side.slope, side.shift = float(slope), float(fit.bias - fit.mean[0] * slope)
+def _calibrate(side: Side, x: np.ndarray, y: np.ndarray, prior: float) -> None:
+    """Platt's log-odds of ``y`` by Newton's method, every row alike, with his
+    targets short of 0 and 1; without enough rows those of training, at ``prior``."""
+    side.shift = float(np.log(prior / (1 - prior)))
+    if len(y) < 10 or not 0 < y.sum() < len(y):
+        return
+    z, good = side.raw(x).astype(float), float(y.sum())
+    mean, scale = z.mean(), z.std() + 1e-9
+    z = np.column_stack([(z - mean) / scale, np.ones(len(y))])
+    target = np.where(y > 0, (good + 1) / (good + 2), 1 / (len(y) - good + 2))
+    w = np.zeros(2)
+    for _ in range(50):
+        p = _sigmoid(z @ w)
+        move = np.linalg.solve((z * (p * (1 - p))[:, None]).T @ z + 1e-6 * np.eye(2), z.T @ (p - target))
+        w -= move / max(1.0, np.abs(move).max())
+    if w[0] > 0:
+        side.slope, side.shift = float(w[0] / scale), float(w[1] - w[0] * mean / scale)
 
 
 def co_train(views: tuple[np.ndarray, np.ndarray], y: np.ndarray, fold: np.ndarray, rounds: int = ROUNDS) -> Model:
@@ -160,8 +170,7 @@ def co_train(views: tuple[np.ndarray, np.ndarray], y: np.ndarray, fold: np.ndarr
             known[other][low[p[low] <= 1 - SURE]] = 0
             known[other][high[p[high] >= SURE]] = 1
     for side, x in zip(sides, views, strict=True):
-        if held.sum() >= 10:
-            _platt(side, x[held], y[held])
+        _calibrate(side, x[held], y[held], prior)
     return Model(sides[0], sides[1], prior)
 
 
