@@ -98,6 +98,15 @@ def stored(df: DataFrame) -> DataFrame:
     return table
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """The path of a new folder in the shared one; it is deleted when the session ends."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    place, files = _place(spark, path)
+    files.mkdirs(place.getParent())
+    files.deleteOnExit(place)
+    return path
+
+
 def release(table: DataFrame) -> None:
     """Delete a stored table that no later step reads."""
     path = _STORED.pop(id(table), None)

@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, cotrain, exact, langid, licenses, linededup, minhash, negatives, packing, ppm
-from .common import crc_fold, documents, table
+from . import ann, bpe, cotrain, exact, langid, licenses, linededup, minhash, negatives, packing, ppm, warc
+from .common import crc_fold, documents, scratch, table
 
 
 def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,5 +102,23 @@ SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, posit
 """
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op2_licenses, op3_ppm, op4_bpe, op5_line_dedup, op6_quality, op7_language, op8_neighbours, op9_exact_dedup, op10_packing, op11_hard_negatives)}
-ORACLES = {"op9_exact_dedup": OP9_SQL, "op11_hard_negatives": OP11_SQL}
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), folder)
+    return warc.pages_of(warc.read_archives(spark, folder))
+
+
+OP12_SQL = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS h FROM pages
+), g AS (
+  SELECT page_id, h, strlen(h) AS n, row_number() OVER (PARTITION BY h ORDER BY page_id) AS place, min(page_id) OVER (PARTITION BY h) AS head FROM p
+)
+SELECT page_id, n AS payload_bytes, sha256(h) AS payload_digest, CASE WHEN n >= 100 AND place > 1 THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 100 AND place > 1 THEN head END AS refers_to
+FROM g
+"""
+
+
+QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op2_licenses, op3_ppm, op4_bpe, op5_line_dedup, op6_quality, op7_language, op8_neighbours, op9_exact_dedup, op10_packing, op11_hard_negatives, op12_warc)}
+ORACLES = {"op9_exact_dedup": OP9_SQL, "op11_hard_negatives": OP11_SQL, "op12_warc": OP12_SQL}
