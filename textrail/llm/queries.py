@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, cotrain, exact, langid, licenses, linededup, minhash, negatives, packing, ppm, warc
+from . import ann, bpe, cotrain, exact, langid, licenses, linededup, minhash, negatives, packing, ppm, variants, warc
 from .common import crc_fold, documents, scratch, table
 
 
@@ -120,5 +120,17 @@ FROM g
 """
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op2_licenses, op3_ppm, op4_bpe, op5_line_dedup, op6_quality, op7_language, op8_neighbours, op9_exact_dedup, op10_packing, op11_hard_negatives, op12_warc)}
+def op13_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # runs of fewer than seven code points cannot become words; deletions make runs shorter only
+    runs = documents(spark, sf_dir).select("doc_id", F.explode(F.regexp_extract_all("text", F.lit("([A-Za-z\u00C0-\u00FF]{7,})"), F.lit(1))).alias("run"))
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    runs = runs.select("doc_id", F.translate("run", upper, upper.lower()).alias("run"))
+    mark = F.crc32(F.concat(F.col("doc_id").cast("string"), F.lit(":"), "run").cast("binary"))
+    cut_at = (mark % F.char_length("run")).cast("int")
+    typo = F.concat(F.substring("run", F.lit(1), cut_at), F.substring("run", cut_at + 2, F.char_length("run")))
+    words = runs.select(F.when(mark % 31 == 0, typo).otherwise(F.col("run")).alias("word"))
+    return variants.group_variants(variants.count_words(words, least=7, often=2))
+
+
+QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op2_licenses, op3_ppm, op4_bpe, op5_line_dedup, op6_quality, op7_language, op8_neighbours, op9_exact_dedup, op10_packing, op11_hard_negatives, op12_warc, op13_variants)}
 ORACLES = {"op9_exact_dedup": OP9_SQL, "op11_hard_negatives": OP11_SQL, "op12_warc": OP12_SQL}
