@@ -55,10 +55,10 @@ def test_preference_pairs_are_all_pairs(spark):
 
 def test_topk_far_from_the_origin(spark):
     import numpy as np
-    from textrail.operators.retrieval import _score_block
-    import pandas as pd
+    from textrail.operators.retrieval import topk
     x = 1e5 + np.random.default_rng(1).normal(scale=0.01, size=(200, 16))
-    got = _score_block("l2sq", 5, False)(pd.DataFrame({"vec_id": range(200), "embedding": list(x)}), pd.DataFrame({"query_id": range(20), "qvec": list(x[:20])}))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = topk(df, df.where("vec_id < 20").toDF("query_id", "qvec"), k=5).toPandas()
     for q in range(20):
         want = np.lexsort((np.arange(200), ((x - x[q]) ** 2).sum(1)))[:5]
         assert sorted(got[got.query_id == q].vec_id) == sorted(want)

@@ -112,7 +112,7 @@ def test_sparse_topk_matches_bruteforce(spark):
     q = spark.createDataFrame(list(qs.items()), "query_id long, text string")
     idf = FE.idf_table(FE.term_counts(d, "doc_id", "text"), "doc_id", len(docs))
     dv, qv = FE.tfidf(d, "doc_id", "text", fit=idf), FE.tfidf(q, "query_id", "text", fit=idf)
-    got = FE.topk_sparse(dv, qv, k=3, block_docs=7).collect()
+    got = FE.topk_sparse(dv, qv, k=3, block=7).collect()
     D = {}
     for r in dv.collect():
         D.setdefault(r["doc_id"], {})[r["term"]] = r["weight"]

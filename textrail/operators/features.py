@@ -19,6 +19,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import compute_once
+from .postings import topk_text as topk_sparse  # noqa: F401  (V5 by query text)
+
 # --- fixed values ----------------------------------------------------------
 TOKEN = r"[\pL\pN_]{2,}"          # lower-cased runs of 2+ word characters
 NON_WORD_RUN = r"[^\pL\pN_]+"
@@ -33,19 +36,29 @@ def tokens(c) -> F.Column:
     return F.filter(F.split(F.lower(x), NON_WORD_RUN), lambda w: F.length(w) >= 2)
 
 
-def term_counts(df: DataFrame, id_col: str, text_col: str, stop_words=None) -> DataFrame:
-    """``(id, term, tf)`` raw term counts.
+def count_runs(sorted_terms: str) -> F.Column:
+    """``array<struct<term, tf>>`` of a column of sorted terms: each run's
+    term, and its last place less its first, plus one."""
+    s = F.col(sorted_terms)
+    n = F.size(s)
+    places = F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
+    first = F.filter(places, lambda i: (i == 1) | (F.get(s, i - 1) != F.get(s, i - 2)))
+    last = F.filter(places, lambda i: (i == n) | (F.get(s, i - 1) != F.get(s, i)))
+    return F.zip_with(first, last, lambda a, b: F.struct(F.get(s, a - 1).alias("term"), (b - a + 1).cast("bigint").alias("tf")))
+
 
-    The texts are hash-partitioned by id first: one shuffle of raw text
-    (about 6 bytes per token) after which the ``(id, term)`` aggregation and
-    every later per-id window need no exchange, instead of two shuffles of
-    term rows (about 28 bytes per token)."""
-    ex = (df.select(id_col, text_col).repartition(id_col)
-          .select(F.col(id_col), F.explode_outer(tokens(text_col)).alias("term"))
-          .where(F.col("term").isNotNull()))
+def term_counts(df: DataFrame, id_col: str, text_col: str, stop_words=None, unique_ids: bool = True) -> DataFrame:
+    """``(id, term, tf)`` raw term counts, made inside each row: its terms are
+    sorted and their runs counted, so nothing is exchanged.  Ids name one row
+    each; with ``unique_ids=False`` the counts of rows that share an id are
+    added up, which shuffles the counts."""
+    terms = F.sort_array(tokens(text_col))
     if stop_words:
-        ex = ex.where(~F.col("term").isin(list(stop_words)))
-    return ex.groupBy(id_col, "term").agg(F.count(F.lit(1)).cast("bigint").alias("tf"))
+        terms = F.filter(terms, lambda w: ~w.isin(list(stop_words)))
+    rows = compute_once(df.select(id_col, text_col), "_terms", terms)
+    ex = (rows.select(F.col(id_col), F.explode_outer(count_runs("_terms")).alias("_c"))
+          .where(F.col("_c").isNotNull()).select(id_col, "_c.term", "_c.tf"))
+    return ex if unique_ids else ex.groupBy(id_col, "term").agg(F.sum("tf").alias("tf"))
 
 
 def tfidf(df: DataFrame, id_col: str, text_col: str, stop_words=None, n_docs: int | None = None,
@@ -87,97 +100,6 @@ def sparse_cosine(a: DataFrame, b: DataFrame, a_id: str, b_id: str, pairs: DataF
             .select(F.col("_a").alias(a_id), F.col("_b").alias(b_id), F.coalesce("cosine", F.lit(0.0)).alias("cosine")))
 
 
-def _sparse_block(k: int, query_chunk: int = 64):
-    """Score one (query block, document block) pair exactly.
-
-    The document block becomes an inverted index (term -> postings); queries
-    are scored ``query_chunk`` at a time into a dense ``chunk x docs``
-    accumulator by adding, for every query term, the outer product of the
-    query weights and that term's postings.  Memory is bounded by the chunk
-    size times the block's documents, however common a term is."""
-    empty = {"query_id": pd.Series([], dtype="int64"), "doc_id": pd.Series([], dtype="int64"),
-             "score": pd.Series([], dtype="float64")}
-
-    def fn(docs: pd.DataFrame, qs: pd.DataFrame) -> pd.DataFrame:
-        if len(docs) == 0 or len(qs) == 0:
-            return pd.DataFrame(empty)
-        doc_ids, d_idx = np.unique(docs["doc_id"].to_numpy(dtype=np.int64), return_inverse=True)
-        order = np.argsort(docs["term"].to_numpy(dtype=object), kind="stable")
-        terms_sorted = docs["term"].to_numpy(dtype=object)[order]
-        d_sorted = d_idx[order]
-        w_sorted = docs["dw"].to_numpy(dtype=np.float64)[order]
-        uniq, starts = np.unique(terms_sorted, return_index=True)
-        ends = np.append(starts[1:], len(terms_sorted))
-        postings = {t: (st_, en) for t, st_, en in zip(uniq, starts, ends)}
-        q_ids, q_idx = np.unique(qs["query_id"].to_numpy(dtype=np.int64), return_inverse=True)
-        q_terms = qs["term"].to_numpy(dtype=object)
-        q_w = qs["qw"].to_numpy(dtype=np.float64)
-        kk = min(k, len(doc_ids))
-        out_q, out_d, out_s = [], [], []
-        for lo in range(0, len(q_ids), query_chunk):
-            hi = min(lo + query_chunk, len(q_ids))
-            rows = np.nonzero((q_idx >= lo) & (q_idx < hi))[0]
-            scores = np.zeros((hi - lo, len(doc_ids)))
-            by_term: dict = {}
-            for r in rows:
-                by_term.setdefault(q_terms[r], []).append(r)
-            for term, rs in by_term.items():
-                span = postings.get(term)
-                if span is None:
-                    continue
-                st_, en = span
-                rs = np.asarray(rs)
-                scores[np.ix_(q_idx[rs] - lo, d_sorted[st_:en])] += np.outer(q_w[rs], w_sorted[st_:en])
-            key = np.round(scores, 9)          # summation order must not decide ties
-            for i in range(hi - lo):
-                pos = np.nonzero(scores[i] > 0)[0]   # only documents sharing a term
-                if pos.size == 0:
-                    continue
-                best = pos[np.lexsort((doc_ids[pos], -key[i, pos]))][:kk]
-                out_q.append(np.full(best.size, q_ids[lo + i], dtype=np.int64))
-                out_d.append(doc_ids[best])
-                out_s.append(scores[i, best])
-        if not out_q:
-            return pd.DataFrame(empty)
-        return pd.DataFrame({"query_id": np.concatenate(out_q), "doc_id": np.concatenate(out_d),
-                             "score": np.concatenate(out_s)})
-    return fn
-
-
-def topk_sparse(doc_terms: DataFrame, query_terms: DataFrame, k: int = 5, doc_id: str = "doc_id",
-                query_id: str = "query_id", block_docs: int = 20_000, n_docs: int | None = None,
-                n_queries: int | None = None) -> DataFrame:
-    """V5 by query text: exact top-``k`` cosine over TF-IDF rows.
-
-    Same block scheme as :func:`textrail.operators.retrieval.topk`: term
-    rows of documents and queries are hashed into blocks (by their owner
-    id), block pairs meet in ``cogroup``, a pandas merge on ``term`` scores
-    the pair, and only ``k`` rows per query and block are emitted.  Only
-    documents sharing at least one term with the query can score.
-    Returns ``(query_id, doc_id, rank, similarity)``.
-    """
-    spark = doc_terms.sparkSession
-    D = doc_terms.select(F.col(doc_id).cast("bigint").alias("doc_id"), "term", F.col("weight").alias("dw"))
-    Q = query_terms.select(F.col(query_id).cast("bigint").alias("query_id"), "term", F.col("weight").alias("qw"))
-    # Block sizes come from document/query counts; pass them when known
-    # (source-table counts are metadata reads) to avoid counting derived
-    # term tables, which would recompute their whole lineage.
-    nd = n_docs if n_docs is not None else D.select("doc_id").distinct().count()
-    nq = n_queries if n_queries is not None else Q.select("query_id").distinct().count()
-    from .retrieval import _block_counts
-    bd, bq = _block_counts(nd, nq, block_docs, spark.sparkContext.defaultParallelism)
-    D = D.select("*", F.pmod(F.xxhash64("doc_id"), F.lit(bd)).cast("int").alias("db"),
-                 F.explode(F.sequence(F.lit(0), F.lit(bq - 1))).alias("qb"))
-    Q = Q.select("*", F.pmod(F.xxhash64("query_id"), F.lit(bq)).cast("int").alias("qb"),
-                 F.explode(F.sequence(F.lit(0), F.lit(bd - 1))).alias("db"))
-    part = (D.groupBy("qb", "db").cogroup(Q.groupBy("qb", "db"))
-            .applyInPandas(_sparse_block(k), "query_id long, doc_id long, score double"))
-    w = Window.partitionBy("query_id").orderBy(F.round("score", 9).desc(), F.col("doc_id").asc())
-    return (part.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-            .select(F.col("query_id").alias(query_id), F.col("doc_id").alias(doc_id),
-                    F.col("rank").cast("bigint").alias("rank"), F.col("score").alias("similarity")))
-
-
 def fit_word2vec(df: DataFrame, text_col: str, dim: int = 100, window: int = 5, min_count: int = 1,
                  seed: int = 42, max_iter: int = 1):
     """V2: Spark ML Word2Vec on white-space tokens; returns the model whose

@@ -1,109 +1,21 @@
 """Exact retrieval.
 
-Exact k-nearest-neighbour search is an all-pairs problem; the plan never
-materialises the pairs as rows.  Both sides are hashed into blocks, every
-vector block is paired with every query block by replicating block ids
-(``explode(sequence)``: a narrow, bounded fan-out, not a join), each block
-pair is scored with one NumPy product in ``cogroup().applyInPandas``, and
-only the best ``k`` per query and block leave the task.  A final
-``row_number() <= k`` per query (planned as ``WindowGroupLimit``) merges the
-``k * vector_blocks`` survivors.  Block counts come from the table counts
-so a task always sees at most ``block_rows`` rows of each side.
+The k nearest rows are found through pivot cells (``cells``): only blocks that
+a query's k-th distance can reach are compared with it.
 """
 
 from __future__ import annotations
 
-import math
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.vectors import cosine
-
-DEFAULT_BLOCK_ROWS = 16384
-# Candidates whose approximate distance is within a tolerance of the k-th best
-# are rescored exactly, so float error in the fast formula cannot change ranks.
-# The error of |q|^2 + |v|^2 - 2qv grows with the norms and the dimension.
-_RESCORE_EPS = 1e-7
-_ROUNDING = 8 * np.finfo(np.float64).eps
-
-
-def _block_counts(n_vec: int, n_q: int, block_rows: int, parallelism: int) -> tuple[int, int]:
-    """(vector blocks, query blocks).  Every vector row is copied once per
-    query block and every query row once per vector block, so extra blocks
-    for parallelism go to the side whose split copies fewer rows."""
-    bv = max(1, math.ceil(n_vec / block_rows))
-    bq = max(1, math.ceil(n_q / block_rows))
-    while bv * bq < parallelism and (bq < n_q or bv < n_vec):
-        split_vectors = bv < n_vec and (n_q <= n_vec or bq >= n_q)
-        if split_vectors:
-            bv += 1      # costs one more copy of the query side
-        else:
-            bq += 1      # costs one more copy of the vector side
-    return bv, bq
-
-
-def _score_block(metric: str, k: int, exclude_self: bool, query_chunk: int = 512):
-    """Score one (query block, vector block) pair; emit the best ``k`` per
-    query.  Distances are formed ``query_chunk`` queries at a time so the
-    working matrix stays at ``query_chunk x vector_block`` doubles."""
-    empty = {"query_id": pd.Series([], dtype="int64"), "vec_id": pd.Series([], dtype="int64"),
-             "score": pd.Series([], dtype="float64")}
-
-    def fn(vecs: pd.DataFrame, qs: pd.DataFrame) -> pd.DataFrame:
-        if len(vecs) == 0 or len(qs) == 0:
-            return pd.DataFrame(empty)
-        V = np.stack(vecs["embedding"].to_numpy()).astype(np.float64)
-        Q_all = np.stack(qs["qvec"].to_numpy()).astype(np.float64)
-        vid = vecs["vec_id"].to_numpy(dtype=np.int64)
-        qid_all = qs["query_id"].to_numpy(dtype=np.int64)
-        vv = (V * V).sum(1)
-        vn = np.sqrt(vv)
-        kk = min(k, V.shape[0])
-        widest = float(vv.max(initial=0.0)) if metric == "l2sq" else 1.0
-        out_q, out_v, out_s = [], [], []
-        for lo in range(0, Q_all.shape[0], query_chunk):
-            Q = Q_all[lo:lo + query_chunk]
-            qid = qid_all[lo:lo + query_chunk]
-            if metric == "l2sq":
-                approx = (Q * Q).sum(1)[:, None] + vv[None, :] - 2.0 * (Q @ V.T)
-            else:  # cosine distance = 1 - cos
-                qn = np.linalg.norm(Q, axis=1)
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    approx = 1.0 - (Q @ V.T) / (qn[:, None] * vn[None, :])
-                approx = np.where(np.isfinite(approx), approx, np.inf)
-            if exclude_self:
-                approx = np.where(qid[:, None] == vid[None, :], np.inf, approx)
-            for i in range(Q.shape[0]):
-                row = approx[i]
-                slack = _RESCORE_EPS + _ROUNDING * V.shape[1] * ((float(Q[i] @ Q[i]) if metric == "l2sq" else 1.0) + widest)
-                kth = np.partition(row, kk - 1)[kk - 1] if kk < row.shape[0] else row.max()
-                cand = np.nonzero(np.isfinite(row))[0] if not np.isfinite(kth) else np.nonzero(row <= kth + slack)[0]
-                cand = cand[np.isfinite(row[cand])]
-                if cand.size == 0:
-                    continue
-                if metric == "l2sq":
-                    diff = V[cand] - Q[i]
-                    exact = (diff * diff).sum(1)
-                else:
-                    exact = 1.0 - (V[cand] @ Q[i]) / (math.sqrt(float((Q[i] * Q[i]).sum())) * vn[cand])
-                order = np.lexsort((vid[cand], exact))[:kk]
-                out_q.append(np.full(order.size, qid[i], dtype=np.int64))
-                out_v.append(vid[cand][order])
-                out_s.append(exact[order])
-        if not out_q:
-            return pd.DataFrame(empty)
-        return pd.DataFrame({"query_id": np.concatenate(out_q), "vec_id": np.concatenate(out_v),
-                             "score": np.concatenate(out_s)})
-    return fn
+from . import cells
 
 
 def topk(vectors: DataFrame, queries: DataFrame, k: int = 5, metric: str = "l2sq",
          vec_id: str = "vec_id", vec_col: str = "embedding", query_id: str = "query_id",
-         query_col: str = "qvec", exclude_self: bool = False, block_rows: int = DEFAULT_BLOCK_ROWS,
-         n_vectors: int | None = None, n_queries: int | None = None) -> DataFrame:
+         query_col: str = "qvec", exclude_self: bool = False, block_rows: int = cells.BLOCK_ROWS) -> DataFrame:
     """Exact top-``k`` per query.
 
     ``metric="l2sq"`` ranks by squared L2 distance ascending (reported as
@@ -111,35 +23,17 @@ def topk(vectors: DataFrame, queries: DataFrame, k: int = 5, metric: str = "l2sq
     (reported as ``similarity``).  Ties go to the smaller ``vec_id``.
     Returns ``(query_id, vec_id, rank, distance|similarity)``.
     """
-    spark = vectors.sparkSession
-    V = vectors.select(F.col(vec_id).cast("bigint").alias("vec_id"), F.col(vec_col).alias("embedding"))
-    Qs = queries.select(F.col(query_id).cast("bigint").alias("query_id"), F.col(query_col).alias("qvec"))
-    # block sizing needs the side sizes; pass them when known (source-table
-    # counts are metadata reads) to avoid a job over the inputs' lineage
-    n_vec = n_vectors if n_vectors is not None else V.count()
-    n_q = n_queries if n_queries is not None else Qs.count()
-    bv, bq = _block_counts(n_vec, n_q, block_rows, spark.sparkContext.defaultParallelism)
-    V = V.select("*", F.pmod(F.xxhash64("vec_id"), F.lit(bv)).cast("int").alias("vb"),
-                 F.explode(F.sequence(F.lit(0), F.lit(bq - 1))).alias("qb"))
-    Qs = Qs.select("*", F.pmod(F.xxhash64("query_id"), F.lit(bq)).cast("int").alias("qb"),
-                   F.explode(F.sequence(F.lit(0), F.lit(bv - 1))).alias("vb"))
-    partial = (V.groupBy("qb", "vb").cogroup(Qs.groupBy("qb", "vb"))
-               .applyInPandas(_score_block(metric, k, exclude_self), "query_id long, vec_id long, score double"))
-    w = Window.partitionBy("query_id").orderBy(F.col("score").asc(), F.col("vec_id").asc())
-    ranked = partial.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-    if metric == "l2sq":
-        return ranked.select("query_id", "vec_id", F.col("rank").cast("bigint").alias("rank"),
-                             F.col("score").alias("distance"))
-    return ranked.select("query_id", "vec_id", F.col("rank").cast("bigint").alias("rank"),
-                         (F.lit(1.0) - F.col("score")).alias("similarity"))
+    rows = vectors.select(F.col(vec_id).alias("vec_id"), F.col(vec_col).alias("embedding"))
+    asks = queries.select(F.col(query_id).alias("query_id"), F.col(query_col).alias("qvec"))
+    ranked = cells.nearest(rows, asks, k, metric, exclude_self, block_rows)
+    score = F.col("score").alias("distance") if metric == "l2sq" else (F.lit(1.0) - F.col("score")).alias("similarity")
+    return ranked.select("query_id", "vec_id", "rank", score)
 
 
 def pairwise_topk(vectors: DataFrame, k: int = 5, min_score: float | None = None, **kw) -> DataFrame:
     """V9 re-aimed: the n x n cosine matrix becomes each row's top-``k``
     most similar other rows (optionally above ``min_score``)."""
     q = vectors.select(F.col(kw.get("vec_id", "vec_id")).alias("query_id"), F.col(kw.get("vec_col", "embedding")).alias("qvec"))
-    if "n_vectors" in kw and "n_queries" not in kw:
-        kw["n_queries"] = kw["n_vectors"]
     out = topk(vectors, q, k=k, metric="cosine", exclude_self=True, **kw)
     return out if min_score is None else out.where(F.col("similarity") >= min_score)
 

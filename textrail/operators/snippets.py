@@ -2,8 +2,8 @@
 similar to the question.
 
 The reference embeds every sentence of every hit in a double loop; here
-the hits are exploded into sentences once, vectorised with TF-IDF against
-the corpus statistics, scored by a join on ``term`` and the arg-max is a
+the hits are exploded into sentences and their terms once, weighed by a join
+on ``term`` with the corpus statistics and the question, and the arg-max is a
 ``row_number`` per query.  Ties go to the earlier hit, then the earlier
 sentence (the strict ``>`` of a left-to-right scan).
 """
@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import ellipsize, strip
+from ..session import compute_once
 from . import features as FE
 from .chunking import SENTENCE_END
 
@@ -36,15 +37,19 @@ def best_snippet(hits: DataFrame, docs: DataFrame, queries: DataFrame, doc_id: s
              .where(F.col("sent_no").isNotNull()))
     if min_len > 0:
         sents = sents.withColumn("sentence", strip(F.col("sentence"))).where(F.length("sentence") >= min_len)
-    # a struct key carries the query id, so no join is needed to get it back
-    sents = sents.withColumn("_sid", F.struct("query_id", "rank", "sent_no"))
-    sv = FE.tfidf(sents.select("_sid", "sentence"), "_sid", "sentence", fit=idf)
+    # one pass: a sentence's terms, its norm and its product with the question;
+    # the sentence itself rides on its first term's row
+    sents = compute_once(sents, "_terms", F.sort_array(FE.tokens("sentence")))
+    terms = sents.select("query_id", "rank", doc_id, "sent_no", "sentence", F.posexplode_outer(FE.count_runs("_terms")).alias("_at", "_c"))
+    terms = terms.select("query_id", "rank", doc_id, "sent_no", F.when(F.coalesce("_at", F.lit(0)) == 0, F.col("sentence")).alias("sentence"), "_c.term", "_c.tf")
     # the questions' TF-IDF rows, unless retrieval already built them
     qv = (query_vectors if query_vectors is not None else FE.tfidf(queries, "query_id", text_col, fit=idf)).select(
         "query_id", "term", F.col("weight").alias("_qw"))
-    sc = (sv.withColumn("query_id", F.col("_sid.query_id")).join(qv, ["query_id", "term"])
-          .groupBy("_sid").agg(F.sum(F.col("weight") * F.col("_qw")).alias("_score")))
-    scored = sents.join(sc, "_sid", "left").withColumn("score", F.coalesce("_score", F.lit(0.0)))
+    raw = F.col("tf") * F.col("idf")
+    weighed = terms.join(idf, "term", "left").join(qv, ["query_id", "term"], "left")
+    scored = (weighed.groupBy("query_id", "rank", doc_id, "sent_no")
+              .agg(F.max("sentence").alias("sentence"), F.sum(raw * F.col("_qw")).alias("_dot"), F.sqrt(F.sum(raw * raw)).alias("_norm"))
+              .withColumn("score", F.coalesce(F.col("_dot") / F.col("_norm"), F.lit(0.0))))
     w = Window.partitionBy("query_id").orderBy(F.round("score", 9).desc(), F.col("rank").asc(), F.col("sent_no").asc())
     best = (scored.withColumn("_r", F.row_number().over(w)).where(F.col("_r") == 1)
             .select("query_id", F.col(doc_id).alias("source_doc"), F.col("sent_no").cast("bigint").alias("sent_no"),

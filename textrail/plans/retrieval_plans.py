@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import vectors as VF
 from ..operators import features as FE
 from ..operators import retrieval as R
-from ..session import join_small
+from ..session import join_small, stored
 from .common import r6, register, t
 
 # ------------------------------------------------------------------ SQL pieces
@@ -52,8 +52,7 @@ SELECT query_id, vec_id, CAST(rnk AS BIGINT) AS rank, round(d, 6) AS distance FR
 def topk_l2_all(spark, sf_dir):
     """Every vector as a query, exact top-5 by squared L2."""
     e = t(spark, sf_dir, "embeddings", ["vec_id", "embedding"])
-    n = _n(spark, sf_dir, "embeddings", "vec_id")
-    out = R.topk(e, _query_vectors(spark, sf_dir), k=5, metric="l2sq", n_vectors=n, n_queries=n)
+    out = R.topk(e, _query_vectors(spark, sf_dir), k=5, metric="l2sq")
     return out.select("query_id", "vec_id", "rank", r6(F.col("distance")).alias("distance"))
 
 
@@ -69,8 +68,7 @@ def rerank_top2(spark, sf_dir):
     """V4 -> V6 -> V7: top-5 by L2, re-scored by cosine, keep 2."""
     e = t(spark, sf_dir, "embeddings", ["vec_id", "embedding"])
     q = _query_vectors(spark, sf_dir)
-    n = _n(spark, sf_dir, "embeddings", "vec_id")
-    hits = R.topk(e, q, k=5, n_vectors=n, n_queries=n).join(e, "vec_id")
+    hits = R.topk(e, q, k=5).join(e, "vec_id")
     out = R.rerank(hits, q, keep=2)
     return out.select("query_id", "vec_id", F.col("rerank").cast("bigint").alias("rerank"), r6(F.col("cos")).alias("cos"))
 
@@ -84,7 +82,7 @@ SELECT query_id, vec_id, CAST(rnk AS BIGINT) AS rank, round(s, 6) AS similarity
 def pairwise_cosine_top5(spark, sf_dir):
     """V9 re-aimed: each vector's 5 most similar other vectors."""
     e = t(spark, sf_dir, "embeddings", ["vec_id", "embedding"])
-    out = R.pairwise_topk(e, k=5, n_vectors=_n(spark, sf_dir, "embeddings", "vec_id"))
+    out = R.pairwise_topk(e, k=5)
     return out.select("query_id", "vec_id", "rank", r6(F.col("similarity")).alias("similarity"))
 
 
@@ -157,14 +155,13 @@ def query_hits(spark, sf_dir, k: int, with_idf: bool = False):
     """Benchmark items as text queries against documents (TF-IDF cosine)."""
     d = t(spark, sf_dir, "documents", ["doc_id", "text"])
     b = t(spark, sf_dir, "benchmark", ["item_id", "text"])
-    # row counts of the raw scans: answered from parquet metadata
+    # the row count of the raw scan: answered from parquet metadata
     n_docs = t(spark, sf_dir, "documents", ["doc_id"], spread_rows=False).count()
-    n_q = t(spark, sf_dir, "benchmark", ["item_id"], spread_rows=False).count()
     tc = FE.term_counts(d, "doc_id", "text")
     idf = FE.idf_table(tc, "doc_id", n_docs)
     dv = FE.tfidf(d, "doc_id", "text", fit=idf, counts=tc)
     qv = FE.tfidf(b, "item_id", "text", fit=idf).withColumnRenamed("item_id", "query_id")
-    hits = FE.topk_sparse(dv, qv, k=k, n_docs=n_docs, n_queries=n_q)
+    hits = stored(FE.topk_sparse(dv, qv, k=k))
     return (hits, idf, qv) if with_idf else hits
 
 
