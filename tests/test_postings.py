@@ -45,22 +45,22 @@ def corpus(n, seed, words=60, own=6):
 
 
 @pytest.mark.parametrize("block", [4, 1024])
-@pytest.mark.parametrize("k", [1, 5])
-def test_equals_brute_force(spark, monkeypatch, block, k):
+@pytest.mark.parametrize("k,norm", [(1, None), (5, None), (5, 1.0)])
+def test_equals_brute_force(spark, monkeypatch, block, k, norm):
     monkeypatch.setattr(P, "HEAD", 3 if block == 4 else 64)
     docs, queries = corpus(400, 1), {100 + i: ws for i, ws in corpus(30, 2, own=4).items()}
     queries[200] = {"w0": 1.0}  # a word of every document
     queries[201] = {"nowhere": 1.0}
     queries[202] = {"r1": 0.5, "nowhere": 0.5}  # fewer hits than asked for
     d, q = tables(spark, docs, queries)
-    assert found(P.topk_text(d, q, k=k, block=block)) == brute(docs, queries, k)
+    assert found(P.topk_text(d, q, k=k, block=block, norm=norm)) == brute(docs, queries, k)
 
 
 def test_common_words_are_looked_up_not_joined(spark):
     docs = corpus(3000, 3)
     queries = {i: docs[i * 7] for i in range(20)}  # near one of the documents each
     d, q = tables(spark, docs, queries)
-    hits, report = P.topk_text(d, q, k=3, block=64, report=True)
+    hits, report = P.topk_text(d, q, k=3, block=64, norm=1.0, report=True)
     assert found(hits) == brute(docs, queries, 3)
     rows = report.collect()
     assert len(rows) == 20 and all(r.joined <= r.postings for r in rows)

@@ -7,16 +7,18 @@ block carries its greatest weight, so whole blocks can be passed over; blocks
 and joins are bounded by postings, however common a term is.
 
 A query's threshold is the exact score of its k-th best document among those
-that head its terms' best levels.  No term can add more than its greatest
-weight allows, hence
+that head its terms' best levels.  What a set of terms can add is at most the
+sum of their greatest contributions and, where documents have a known norm, by
+the Cauchy-Schwarz inequality their norm in the query times it.  Hence
 
-* a document that beats the threshold holds a term whose removal, with all
-  weaker ones, leaves too little: only such *essential* terms propose documents;
+* the terms with the longest lists that together cannot reach the threshold
+  need not propose documents; a hit holds another, *essential* term;
 * in an essential term's lists only blocks, and in them postings, count that
   reach the threshold with the most that all other terms can add.
 
-What is proposed and can still reach the threshold is scored exactly.  Common
-words are hardly ever essential, so their lists are looked up, not joined.
+What was proposed has then a score in part, whose k-th best raises the
+threshold; what can still reach it is scored exactly, by looking up the rest.
+Common words are hardly ever essential, so their lists are not joined.
 Everything is joins and aggregates on built-in functions.
 """
 
@@ -46,8 +48,8 @@ def impact_lists(postings: DataFrame, block: int = BLOCK) -> DataFrame:
 
 def _scored(pairs: DataFrame, postings: DataFrame, asked: DataFrame) -> DataFrame:
     """(query, doc, score): the exact scores of ``pairs``."""
-    shared = pairs.join(postings, "doc").join(asked.select("query", "term", "qw"), ["query", "term"])
-    return shared.groupBy("query", "doc").agg(F.sum(F.col("qw") * F.col("w")).alias("score"))
+    looked = pairs.join(asked.select("query", "term", "qw"), "query").join(postings, ["doc", "term"])
+    return looked.groupBy("query", "doc").agg(F.sum(F.col("qw") * F.col("w")).alias("score"))
 
 
 def _first(scored: DataFrame, k: int) -> DataFrame:
@@ -55,52 +57,59 @@ def _first(scored: DataFrame, k: int) -> DataFrame:
     return scored.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
 
 
-def plan_queries(lists: DataFrame, postings: DataFrame, asked: DataFrame, k: int) -> DataFrame:
-    """``(query, term, qw, threshold, essential, least, rest)`` for every term
-    of ``asked`` (query, term, qw) that has postings: ``least`` is the smallest
-    weight that can still reach the threshold, ``rest`` the most that the
-    query's terms without proposals can add."""
-    tops = lists.groupBy("term").agg(F.max("top").alias("most"))
-    terms = asked.join(tops, "term").withColumn("c", F.col("qw") * F.col("most"))
-    best = lists.groupBy("term").agg(F.max_by(F.slice("entries", 1, HEAD), F.struct("top", F.negative("piece"))).alias("head"))
-    heads = terms.join(best, "term").select("query", "qw", F.explode("head").alias("e"))
+def _most(c, square, norm: float | None):
+    """The most that terms with these sums of contributions and of squared weights can add."""
+    return c if norm is None else F.least(c, F.sqrt(F.greatest(square, F.lit(0.0))) * norm)
+
+
+def plan_queries(lists: DataFrame, postings: DataFrame, asked: DataFrame, k: int, norm: float | None = None) -> DataFrame:
+    """``(query, term, qw, n, threshold, essential, least, rest)`` for every
+    term of ``asked`` (query, term, qw) that has postings (``n``): ``least`` is
+    the smallest weight that can still reach the threshold, ``rest`` the most
+    that the query's terms without proposals can add."""
+    head = F.max_by(F.slice("entries", 1, HEAD), F.struct("top", F.negative("piece"))).alias("head")
+    terms = asked.join(lists.groupBy("term").agg(F.max("top").alias("most"), F.sum(F.size("entries")).alias("n"), head), "term")
+    heads = terms.select("query", "qw", F.explode("head").alias("e"))
     partial = heads.groupBy("query", F.col("e.doc").alias("doc")).agg(F.sum(F.col("qw") * F.col("e.w")).alias("score"))
     exact = _scored(_first(partial, 2 * k).select("query", "doc"), postings, asked)
     threshold = _first(exact, k).groupBy("query").agg(F.when(F.max("rank") == k, F.min("score")).alias("threshold"))
-    up = Window.partitionBy("query").orderBy("c", "term")
-    whole = Window.partitionBy("query")
-    planned = terms.join(threshold, "query", "left").withColumn("threshold", F.coalesce("threshold", F.lit(0.0)) - MARGIN)
-    planned = planned.withColumn("upto", F.sum("c").over(up)).withColumn("all", F.sum("c").over(whole))
-    planned = planned.withColumn("essential", F.col("upto") >= F.col("threshold"))
-    least = (F.col("threshold") - (F.col("all") - F.col("c"))) / F.col("qw")
-    rest = F.sum(F.when(F.col("essential"), 0.0).otherwise(F.col("c"))).over(whole)
-    return planned.select("query", "term", "qw", "threshold", "essential", least.alias("least"), rest.alias("rest"))
+    longest, whole = Window.partitionBy("query").orderBy(F.desc("n"), "term"), Window.partitionBy("query")
+    planned = terms.drop("head").join(threshold, "query", "left").withColumn("threshold", F.coalesce("threshold", F.lit(0.0)) - MARGIN)
+    planned = planned.withColumn("c", F.col("qw") * F.col("most")).withColumn("square", F.col("qw") * F.col("qw"))
+    planned = planned.withColumn("essential", _most(F.sum("c").over(longest), F.sum("square").over(longest), norm) >= F.col("threshold"))
+    others = _most(F.sum("c").over(whole) - F.col("c"), F.sum("square").over(whole) - F.col("square"), norm)
+    idle = [F.sum(F.when(F.col("essential"), 0.0).otherwise(F.col(x))).over(whole) for x in ("c", "square")]
+    return planned.select("query", "term", "qw", "n", "threshold", "essential", ((F.col("threshold") - others) / F.col("qw")).alias("least"), _most(*idle, norm).alias("rest"))
 
 
 def topk_text(doc_terms: DataFrame, query_terms: DataFrame, k: int = 5, doc_id: str = "doc_id", query_id: str = "query_id",
-              block: int = BLOCK, report: bool = False) -> DataFrame | tuple[DataFrame, DataFrame]:
+              block: int = BLOCK, norm: float | None = None, report: bool = False) -> DataFrame | tuple[DataFrame, DataFrame]:
     """The exact ``k`` best documents of each query by the sum of products of
     the weights of their common terms: ``(query_id, doc_id, rank, similarity)``,
     ties (to nine digits) to the smaller id.  Both tables are (id, term,
     weight) with weights above 0 (others count as absent) and one row per id
-    and term.  Documents without a common term are no hits.
+    and term.  Documents without a common term are no hits.  ``norm``: no
+    document's weights have a greater Euclidean norm (TF-IDF rows: 1).
 
     With ``report`` also ``(query_id, postings, joined, scored)``: the postings
     of the query's terms, those that were joined, and the documents scored.
     """
+    bound = None if norm is None else norm * (1 + 1e-9)
     asked = stored(query_terms.select(F.col(query_id).cast("bigint").alias("query"), "term", F.col("weight").alias("qw")).where("qw > 0"))
     wanted = asked.select("term").distinct()
     postings = stored(doc_terms.select(F.col(doc_id).cast("bigint").alias("doc"), "term", F.col("weight").alias("w")).where("w > 0").join(wanted, "term", "left_semi"))
     lists = stored(impact_lists(postings, block))
-    plan = stored(plan_queries(lists, postings, asked, k))
+    plan = stored(plan_queries(lists, postings, asked, k, bound))
     reached = plan.where("essential").join(lists, "term").where("top >= least")
     joined = reached.select("query", "qw", "threshold", "rest", "least", F.explode("entries").alias("e")).where("e.w >= least")
-    proposed = joined.groupBy("query", F.col("e.doc").alias("doc")).agg(
-        F.sum(F.col("qw") * F.col("e.w")).alias("part"), F.first("threshold").alias("threshold"), F.first("rest").alias("rest"), F.count(F.lit(1)).alias("n"))
-    scored = _scored(proposed.where("part + rest >= threshold").select("query", "doc"), postings, asked)
-    hits = _first(scored, k).select(F.col("query").alias(query_id), F.col("doc").alias(doc_id), F.col("rank").cast("bigint").alias("rank"), F.col("score").alias("similarity"))
+    proposed = stored(joined.groupBy("query", F.col("e.doc").alias("doc")).agg(
+        F.sum(F.col("qw") * F.col("e.w")).alias("score"), F.first("threshold").alias("threshold"), F.first("rest").alias("rest"), F.count(F.lit(1)).alias("n")))
+    raised = _first(proposed, k).groupBy("query").agg(F.when(F.max("rank") == k, F.min("score")).alias("raised"))
+    alive = proposed.join(raised, "query").where(F.col("score") + F.col("rest") >= F.greatest("threshold", F.col("raised") - MARGIN))
+    hits = _first(_scored(alive.select("query", "doc"), postings, asked), k).select(
+        F.col("query").alias(query_id), F.col("doc").alias(doc_id), F.col("rank").cast("bigint").alias("rank"), F.col("score").alias("similarity"))
     if not report:
         return hits
-    total = plan.join(lists.groupBy("term").agg(F.sum(F.size("entries")).alias("n")), "term").groupBy("query").agg(F.sum("n").alias("postings"))
-    used = proposed.groupBy("query").agg(F.sum("n").alias("joined"), F.count_if(F.expr("part + rest >= threshold")).alias("scored"))
+    total = plan.groupBy("query").agg(F.sum("n").alias("postings"))
+    used = proposed.groupBy("query").agg(F.sum("n").alias("joined")).join(alive.groupBy("query").agg(F.count(F.lit(1)).alias("scored")), "query", "left")
     return hits, total.join(used, "query", "left").select(F.col("query").alias(query_id), "postings", F.coalesce("joined", F.lit(0)).alias("joined"), F.coalesce("scored", F.lit(0)).alias("scored"))

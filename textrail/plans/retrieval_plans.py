@@ -157,11 +157,12 @@ def query_hits(spark, sf_dir, k: int, with_idf: bool = False):
     b = t(spark, sf_dir, "benchmark", ["item_id", "text"])
     # the row count of the raw scan: answered from parquet metadata
     n_docs = t(spark, sf_dir, "documents", ["doc_id"], spread_rows=False).count()
-    tc = FE.term_counts(d, "doc_id", "text")
-    idf = FE.idf_table(tc, "doc_id", n_docs)
+    # every text is cut into terms once: statistics, rows and questions read the counts
+    tc = stored(FE.term_counts(d, "doc_id", "text"))
+    idf = stored(FE.idf_table(tc, "doc_id", n_docs))
     dv = FE.tfidf(d, "doc_id", "text", fit=idf, counts=tc)
     qv = FE.tfidf(b, "item_id", "text", fit=idf).withColumnRenamed("item_id", "query_id")
-    hits = stored(FE.topk_sparse(dv, qv, k=k))
+    hits = stored(FE.topk_sparse(dv, qv, k=k, norm=1.0))
     return (hits, idf, qv) if with_idf else hits
 
 
