@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import byte_view, mix64, small_batches
 from .ngrams import codes
@@ -240,7 +241,7 @@ def score(docs: DataFrame, model: Model, keep: list[Column] | None = None, thres
     made = ("p_content", "p_metadata", "quality_score", "keep")
     kept = _sources(docs, keep if keep is not None else [F.col(f"`{c}`") for c in docs.columns])
     out = [f for f in kept.schema.fields if f.name not in ("_text", "_source", "_lang", *made)]
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in out), "p_content double, p_metadata double, quality_score double, keep boolean"])
+    schema = T.StructType([*out, *(T.StructField(c, T.DoubleType()) for c in made[:3]), T.StructField("keep", T.BooleanType())])
     box = docs.sparkSession.sparkContext.broadcast(model)  # bounded: a weight per feature
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import byte_view, small_batches, texts_of
 from .ngrams import CODES, LETTERS, codes, mean_weights
@@ -169,7 +170,7 @@ def predict(df: DataFrame, model: Model, text_col: str = "text", keep: list[Colu
     """
     kept = df.select(*(keep if keep is not None else [F.col(f"`{c}`") for c in df.columns]), F.col(f"`{text_col}`").alias("_text"))
     out = [f for f in kept.schema.fields if f.name not in ("_text", "lang_pred", "score", "ambiguous")]
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in out), "lang_pred string, score double, ambiguous boolean"])
+    schema = T.StructType([*out, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("ambiguous", T.BooleanType())])
     box = df.sparkSession.sparkContext.broadcast(model)  # bounded: CODES x bits
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

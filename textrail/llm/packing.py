@@ -24,6 +24,7 @@ import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from .bpe import byte_chars
 from .common import small_batches, texts_of
@@ -38,6 +39,7 @@ PER_PARTITION = 1 << 33
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 _LOADED: dict[str, tiktoken.Encoding] = {}
+_LIBRARY: dict[str, Tokenizer] = {}
 
 
 def load(path: str) -> tiktoken.Encoding:
@@ -54,6 +56,19 @@ def load(path: str) -> tiktoken.Encoding:
     return _LOADED[path]
 
 
+def ids_of(path: str, text: str) -> list[int]:
+    """The library's ids of a text.  The fast encoder gives up on runs of some
+    hundred thousand spaces or line ends; such texts go to the library itself."""
+    try:
+        return load(path).encode(text, allowed_special="all")
+    except ValueError:
+        if path not in _LIBRARY:
+            _LIBRARY[path] = Tokenizer.from_file(path)
+            _LIBRARY[path].no_padding()
+            _LIBRARY[path].no_truncation()
+        return _LIBRARY[path].encode(text, add_special_tokens=False).ids
+
+
 def best_fill(counts: dict[int, int], capacity: int) -> dict[int, int]:
     """How many of each length to take so that their sum is at most
     ``capacity`` and as close to it as any choice comes."""
@@ -144,7 +159,6 @@ def pack_documents(df: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     names = [c.split()[0] for c in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = load(path)
         base, made = TaskContext.get().partitionId() * PER_PARTITION, 0
         held: list[tuple] = []  # (id, all its tokens, ids before, bytes of the rest)
         id_type = None
@@ -176,7 +190,7 @@ def pack_documents(df: DataFrame, path: str, id_col: str = "doc_id", text_col: s
             id_type = batch.column("doc_id").type
             out: list[tuple] = []
             for doc, text in zip(batch.column("doc_id").to_pylist(), texts_of(batch.column("text")), strict=True):
-                raw = np.asarray(enc.encode(text, allowed_special="all"), dtype="<u4").tobytes() + end
+                raw = np.asarray(ids_of(path, text), dtype="<u4").tobytes() + end
                 tokens, at = len(raw) // 4, 0
                 while tokens - at >= window:
                     out.append((doc, at, window, raw[4 * at:4 * (at + window)], tokens, base + made, 0))
