@@ -107,6 +107,14 @@ def scratch(spark: SparkSession, name: str) -> str:
     return path
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """``df`` with its rows in the same places each time it is read, so that
+    numbers given by place name the same rows in every join: a plan that deals
+    rows anew (its order may change with the columns read, or when a lost
+    task runs again) becomes a stored table; tables stay as they are."""
+    return stored(df) if "Exchange" in df._jdf.queryExecution().executedPlan().toString() else df
+
+
 def release(table: DataFrame) -> None:
     """Delete a stored table that no later step reads."""
     path = _STORED.pop(id(table), None)

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, settled
 
 #: Code points in a block.
 BLOCK = 2048
@@ -135,10 +135,8 @@ def _grouped(df: DataFrame, id_col: str, text_col: str, block: int = BLOCK, bits
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with the row of each group that stays, all columns kept.
-
-    Rows are told apart by their place in ``docs``, which must be the same
-    each time it is read, as a table's is."""
-    docs = docs.withColumn("_row", F.monotonically_increasing_id())
+    """``docs`` with the row of each group that stays (see exact_groups), all
+    columns but an own ``_row`` kept."""
+    docs = settled(docs).withColumn("_row", F.monotonically_increasing_id())
     gone = _grouped(docs.select(f"`{id_col}`", f"`{text_col}`"), id_col, text_col).where("not kept").select("_row")
     return docs.join(gone, "_row", "left_anti").drop("_row")

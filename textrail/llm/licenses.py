@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import cut, small_batches
+from .common import cut, settled, small_batches
 from .words import parts, word_hashes
 
 # fixed values: what licences say of themselves
@@ -84,6 +84,7 @@ def scan(df: DataFrame, path: Column, id_col: str = "doc_id", text_col: str = "t
     empty table gives an empty result.  Other columns are not read.
     """
     spark = df.sparkSession
+    df = settled(df)
     src = df.select(F.monotonically_increasing_id().alias("row"), F.col(f"`{id_col}`").alias("doc_id"), path.alias("path"), F.col(f"`{text_col}`").alias("text"))
     samples = spark.createDataFrame([(k, n, t) for k, v in TEMPLATES.items() for n, t in enumerate(v)], "license string, n int, text string")
     bags = samples.select("license", "n", F.explode(terms(F.col("text"))).alias("term")).groupBy("license", "n", "term").agg(F.count(F.lit(1)).alias("tf"))

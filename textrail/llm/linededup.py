@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix64, release, small_batches, stored
+from .common import mix64, release, settled, small_batches, stored
 from .words import SPACE, parts, word_spans
 
 GRAM, GUARANTEE = 40, 50
@@ -272,10 +272,9 @@ def drop_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     space; ``removed_lines`` counts the lines (sentences, if a line has
     several) that lost all their words.  A null text stays null, an empty one
     empty; an empty table gives an empty result.  No other column is read.
-    ``df`` must give the same rows in the same places each time it is read,
-    as a table does.
     """
     spark = df.sparkSession
+    df = settled(df)
     src = df.select(F.monotonically_increasing_id().alias("row"), F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
     printed = _prints(src, BUCKETS * int(spark.conf.get("spark.sql.shuffle.partitions")))
     # own runs go with the matches, so that the texts are read once for both

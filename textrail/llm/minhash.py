@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, mix64, small_batches
+from .common import cut, mix64, settled, small_batches
 from .graph import components
 from .words import parts, shingles, weighted, word_hashes
 
@@ -198,6 +198,7 @@ def near_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     columns are read.  ``_row`` numbers the rows of ``df`` as read.
     """
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    df = settled(df)
     src = df.select(F.monotonically_increasing_id().alias("_row"), F.col(f"`{id_col}`").alias("_id"), F.unhex(F.md5(text)).alias("_key"), text.alias("_text"))
     rows = cut(_sign(src))
     nodes = cut(rows.groupBy("_key").agg(F.first("_bands").alias("_bands"), F.min("_row").alias("_first")))
@@ -225,7 +226,8 @@ def near_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one row of each class of near copies, all columns kept."""
-    docs = docs.withColumn("_row", F.monotonically_increasing_id())
+    """``docs`` with one row of each class of near copies (see near_groups),
+    all columns but an own ``_row`` kept."""
+    docs = settled(docs).withColumn("_row", F.monotonically_increasing_id())
     gone = near_groups(docs.drop("_row"), id_col, text_col).where("not kept").select("_row")
     return docs.join(gone, "_row", "left_anti").drop("_row")

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import narrow_batches, release, small_batches, stored
+from .common import narrow_batches, release, settled, small_batches, stored
 from .words import LOWER, SPACE, parts
 
 ORDER = 5
@@ -194,9 +194,9 @@ def score(df: DataFrame, train: Column, id_col: str = "doc_id", text_col: str =
     add-half word counts.  A null text counts as empty: the end alone.  Without
     training rows all symbols are alike.  Repeated rows count and score as
     often as they stand; an empty table gives an empty result.  Other columns
-    are not read.  ``df`` must give the same rows in the same places each time
-    it is read, as a table does.
+    are not read.
     """
+    df = settled(df)
     src = df.select(F.monotonically_increasing_id().alias("row"), F.col(f"`{id_col}`").alias("doc_id"),
                     F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"), F.coalesce(train, F.lit(False)).alias("train"))
     about = src.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text")).alias("size"), F.sum(F.col("train").cast("long")).alias("ends")).first()
