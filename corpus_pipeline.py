@@ -10,7 +10,7 @@ from __future__ import annotations
 import uuid
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textrail.llm import cotrain, exact, langid, minhash, packing
@@ -21,33 +21,46 @@ from textrail.session import ensure_checkpoint_dir, ship_package
 TOLD = 200
 
 
+def carried(docs: DataFrame) -> Column:
+    """A document's columns in one, so that no stage can lose or replace one of them."""
+    return F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc")
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is told.  Texts without letters are rejected,
-    and ambiguous ones that are long enough (TOLD code points) to be told."""
+    """Documents whose language is told.  Texts that are null or without
+    letters are rejected, and ambiguous ones that are long enough (TOLD code
+    points) to be told.  Repeated rows have one fate; columns of any name stay
+    as they are; an empty table gives an empty one."""
     model = langid.fit(docs.select("lang", "text"))
-    clear = ~F.col("ambiguous") | (F.char_length("text") < TOLD)
-    told = langid.predict(docs, model).where((F.col("lang_pred") != langid.UNKNOWN) & clear)
-    return told.select(docs.columns)
+    told = langid.predict(docs, model, keep=[carried(docs)])
+    clear = ~F.col("ambiguous") | (F.char_length("doc.text") < TOLD)
+    return told.where((F.col("lang_pred") != langid.UNKNOWN) & clear).select("doc.*")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of good quality."""
+    """Documents of good quality.  A null text counts as empty; repeated rows
+    have one fate; columns of any name stay as they are; an empty table gives
+    an empty one."""
     model = cotrain.fit(docs, table(spark, sf_dir, "labels"))
-    return cotrain.score(docs, model).where("keep").select(docs.columns)
+    return cotrain.score(docs, model, keep=[carried(docs)]).where("keep").select("doc.*")
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts."""
-    return exact.drop_copies(docs)
+    """One document of each group of equal texts (null counts as empty): the
+    longest before white space is deleted, then the smallest id, null ids
+    last.  Columns of any name stay as they are."""
+    return exact.drop_copies(docs.select(carried(docs), "doc_id", "text")).select("doc.*")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near copies."""
-    return minhash.drop_near_copies(docs)
+    """One document of each class of near copies, that of the smallest id,
+    null ids last.  Columns of any name stay as they are."""
+    return minhash.drop_near_copies(docs.select(carried(docs), "doc_id", "text")).select("doc.*")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of the packed training sequences."""
+    """The pieces of the packed training sequences.  A null or empty text is
+    its end id alone; repeated rows are documents of their own."""
     pieces = packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
