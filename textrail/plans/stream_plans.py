@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..sources import files as SF
 from ..streaming import feeds as G
 from ..streaming import trigger as TR
+from ..streaming import upsert as U
 from . import sqlfrag as S
 from .chunk_plans import _sql_windows
 from .common import r6, register, t
@@ -164,3 +165,38 @@ def stream_index(spark, sf_dir):
     path = _scratch(spark, "index")
     G.incremental_index(_stream(spark, sf_dir, "documents", ["doc_id", "text"]), f"{path}/chunks", f"{path}/state").awaitTermination()
     return G.latest_chunks(spark, f"{path}/chunks").select("doc_id", "chunk_no", "chunk_text", "n_tokens")
+
+
+@register("reindex_upsert", sql="""
+WITH base AS (SELECT doc_id, max(text) AS text FROM documents GROUP BY doc_id),
+bad AS (SELECT doc_id FROM labels WHERE toxic = 1), poor AS (SELECT DISTINCT doc_id FROM labels WHERE quality = 0 AND toxic = 0),
+second AS (
+  SELECT doc_id, CASE WHEN doc_id IN (SELECT doc_id FROM poor) THEN concat(text, ' [edited]') ELSE text END AS text
+  FROM base WHERE doc_id NOT IN (SELECT doc_id FROM bad))
+SELECT doc_id, text FROM second WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE quality = 1 AND doc_id % 10 = 0)
+UNION ALL SELECT -item_id - 1, text FROM benchmark
+""")
+def reindex_upsert(spark, sf_dir):
+    """Three runs of the periodic re-index (the corpus; removals and edits;
+    removals and additions) merged into a keyed table."""
+    d = t(spark, sf_dir, "documents", ["doc_id", "text"])
+    lab = t(spark, sf_dir, "labels", ["doc_id", "quality", "toxic"], spread_rows=False)
+    b = t(spark, sf_dir, "benchmark", ["item_id", "text"], spread_rows=False)
+    none = F.lit(None).cast("string").alias("text")
+
+    def change(op, seq):
+        return [F.lit(seq).cast("bigint").alias("seq"), F.lit(op).alias("op")]
+
+    poor = lab.where("quality = 0 and toxic = 0").select("doc_id").distinct().join(d, "doc_id")
+    waves = [d.select("doc_id", "text", *change("upsert", 0)),
+             poor.select("doc_id", F.concat("text", F.lit(" [edited]")).alias("text"), *change("upsert", 1))
+             .unionByName(lab.where("toxic = 1").select("doc_id", none, *change("delete", 2))),
+             b.select((-F.col("item_id") - 1).alias("doc_id"), "text", *change("upsert", 3))
+             .unionByName(lab.where("quality = 1 and doc_id % 10 = 0").select("doc_id", none, *change("delete", 4)))]
+    path = _scratch(spark, "reindex")
+    schema = d.schema
+    for wave in waves:  # a scheduler's runs: changes arrive, then the stream catches up
+        wave.write.mode("append").parquet(f"{path}/changes")
+        changes = spark.readStream.schema(wave.schema).parquet(f"{path}/changes")
+        U.stream_upsert(changes, f"{path}/index", f"{path}/state", schema, buckets=16, compact_every=2).awaitTermination()
+    return U.read_index(spark, f"{path}/index", schema)
