@@ -30,6 +30,19 @@ def test_read_corpus_merges_and_indexes(spark, tmpdir_run):
     assert [r["id"] for r in tol] == [3]
 
 
+def test_read_corpus_tells_files_of_one_name_apart(spark, tmpdir_run):
+    for i, (folder, ddl, row) in enumerate((("p1", "id long, extra int", (1, 7)), ("p2", "id long", (2,)), ("p3", "id long, extra int", (3, 8)))):
+        spark.createDataFrame([row, row], ddl).coalesce(1).write.parquet(os.path.join(tmpdir_run, f"w{i}"))
+        os.makedirs(os.path.join(tmpdir_run, folder))
+        part = next(f for f in os.listdir(os.path.join(tmpdir_run, f"w{i}")) if f.endswith(".parquet"))
+        with open(os.path.join(tmpdir_run, f"w{i}", part), "rb") as a, open(os.path.join(tmpdir_run, folder, "data.parquet"), "wb") as b:
+            b.write(a.read())
+    rows = sorted((r["row_id"], r["id"], r["file_name"]) for r in SF.read_corpus(spark, os.path.join(tmpdir_run, "p*"), row_index=True).collect())
+    assert rows == [(i, i // 2 + 1, "data.parquet") for i in range(6)]
+    tol = SF.read_corpus(spark, os.path.join(tmpdir_run, "p*"), tolerant=True, require="extra").collect()
+    assert sorted(r["id"] for r in tol) == [1, 1, 3, 3]
+
+
 def test_text_dir_csv_jsonl_delimited(spark, tmpdir_run):
     d = os.path.join(tmpdir_run, "txt")
     os.makedirs(d)

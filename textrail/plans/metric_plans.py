@@ -114,7 +114,24 @@ def overlap_report(spark, sf_dir):
     return rep.select(*[r6(F.col(f"avg_{c}")).alias(f"avg_{c}") for c in ("cosine", "bleu", "rouge1", "rouge2")], "n_pairs")
 
 
-@register("chunk_rouge_l")
+# the subsequence's length by thresholds: t[k] is the least place of tb where a common
+# subsequence of k tokens can end; a token of ta moves each to its next place after t[k - 1]
+@register("chunk_rouge_l", sql=_sql_metrics().replace("WITH", "WITH RECURSIVE", 1) + """,
+places AS (SELECT doc_id, chunk_no, x, list(j ORDER BY j) AS p
+           FROM (SELECT doc_id, chunk_no, unnest(tb) AS x, generate_subscripts(tb, 1) AS j FROM RT) GROUP BY ALL),
+steps AS (SELECT doc_id, chunk_no, p, row_number() OVER (PARTITION BY doc_id, chunk_no ORDER BY i) AS i
+          FROM (SELECT doc_id, chunk_no, unnest(ta) AS x, generate_subscripts(ta, 1) AS i FROM RT) JOIN places USING (doc_id, chunk_no, x)),
+lcs AS (
+  SELECT doc_id, chunk_no, CAST(0 AS BIGINT) AS i, CAST([] AS BIGINT[]) AS t FROM RT
+  UNION ALL
+  SELECT l.doc_id, l.chunk_no, s.i,
+    list_filter(list_transform(range(1, len(l.t) + 2), lambda k:
+      least(coalesce(l.t[k], 1000000000), coalesce(list_min(list_filter(s.p, lambda j: j > coalesce(l.t[k - 1], 0))), 1000000000))), lambda v: v < 1000000000)
+  FROM lcs l JOIN steps s ON s.doc_id = l.doc_id AND s.chunk_no = l.chunk_no AND s.i = l.i + 1),
+length AS (SELECT doc_id, chunk_no, max(len(t)) AS c FROM lcs GROUP BY ALL)
+SELECT doc_id, chunk_no, round(CASE WHEN c = 0 THEN 0.0 ELSE 2 * (c / len(tb)) * (c / len(ta)) / (c / len(tb) + c / len(ta)) END, 6) AS "rougeL"
+FROM length JOIN RT USING (doc_id, chunk_no)
+""")
 def chunk_rouge_l(spark, sf_dir):
     """M3: ROUGE-L F1 (longest common subsequence) of adjacent chunks."""
     s = _scored(spark, sf_dir, with_lcs=True)

@@ -40,27 +40,30 @@ def read_corpus(spark: SparkSession, path: str, columns: list[str] | None = None
       (all null) are dropped;
     * ``columns``: projection pushed into the scan;
     * ``row_index``: a fresh 0-based index over all rows, ordered by
-      (file name, row in file), from per-file counts and offsets.
+      (file path, row in file), from per-file counts and offsets.
+
+    ``file_name`` is the base name; files are told apart by their whole path,
+    so folders may hold files of one name.
     """
     r = spark.read.format(fmt).option("mergeSchema", "true")
     if tolerant:
         r = r.option("ignoreCorruptFiles", "true")
     df = r.load(path)
-    meta = [F.col("_metadata.file_name").alias("file_name")]
+    meta = [F.col("_metadata.file_name").alias("file_name"), F.col("_metadata.file_path").alias("_path")]
     if row_index:
         meta.append(F.col("_metadata.row_index").alias("_row_in_file"))
     cols = columns or df.columns
     df = df.select(*cols, *meta)
     if tolerant and require:
-        present = df.groupBy("file_name").agg(F.count(require).alias("_n")).where(F.col("_n") > 0).select("file_name")
-        df = df.join(present, "file_name", "left_semi")
+        present = df.groupBy("_path").agg(F.count(require).alias("_n")).where(F.col("_n") > 0).select("_path")
+        df = df.join(present, "_path", "left_semi")
     if row_index:
-        per_file = df.groupBy("file_name").agg(F.count(F.lit(1)).alias("_n"))
-        offs = global_offsets(per_file, "file_name", "_n", "_off").drop("_n")
-        df = (df.join(offs, "file_name")
+        per_file = df.groupBy("_path").agg(F.count(F.lit(1)).alias("_n"))
+        offs = global_offsets(per_file, "_path", "_n", "_off").drop("_n")
+        df = (df.join(offs, "_path")
               .withColumn("row_id", (F.col("_off") + F.col("_row_in_file")).cast("bigint"))
               .drop("_off", "_row_in_file"))
-    return df
+    return df.drop("_path")
 
 
 def profile_files(df_with_file: DataFrame, file_col: str = "file_name") -> DataFrame:
