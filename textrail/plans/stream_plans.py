@@ -90,25 +90,53 @@ def _stream(spark, sf_dir, name, cols):
     return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path).select(*cols)
 
 
-def _run(stream, spark, name, mode="append"):
-    """Run a stream over what is there; each batch replaces its own folder
-    (``append``) or the whole result (``complete``)."""
+def _waves(df, order, n=3):
+    """``df`` in ``n`` parts of about equal size that follow one another by
+    ``order`` (nulls last), as the rows of a log arrive."""
+    kind = df.schema[order].dataType
+    bounds = df.agg(F.percentile_approx(order, [i / n for i in range(1, n)]).alias("b")).first()["b"] or []
+    part = F.lit(n - 1)
+    for i, bound in reversed(list(enumerate(bounds))):
+        part = F.when(F.col(order) <= F.lit(str(bound)).cast(kind), i).otherwise(part)
+    return [df.where(part == i) for i in range(n)]
+
+
+def _run_waves(waves, spark, name, build):
+    """Run the stream that ``build`` makes of the waves' folder each time a
+    wave has arrived, on one state: every wave is a micro-batch (or several)
+    of its own, and the query restarts from its checkpoint in between."""
     path = _scratch(spark, name)
 
     def write(batch, batch_id):
-        batch.write.mode("overwrite").parquet(f"{path}/out/batch={batch_id if mode == 'append' else 0}")
+        batch.write.mode("overwrite").parquet(f"{path}/out/batch={batch_id}")
 
-    q = (stream.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", f"{path}/state")
+    for wave in waves:
+        wave.write.mode("append").parquet(f"{path}/in")
+        stream = build(spark.readStream.schema(wave.schema).parquet(f"{path}/in"))
+        (stream.writeStream.outputMode("append").foreachBatch(write).option("checkpointLocation", f"{path}/state")
+         .trigger(availableNow=True).start().awaitTermination())
+    return spark.read.parquet(f"{path}/out").drop("batch")
+
+
+def _run(stream, spark, name):
+    """Run a stream over what is there; each batch replaces the whole result."""
+    path = _scratch(spark, name)
+
+    def write(batch, batch_id):
+        batch.write.mode("overwrite").parquet(f"{path}/out")
+
+    q = (stream.writeStream.outputMode("complete").foreachBatch(write).option("checkpointLocation", f"{path}/state")
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(f"{path}/out").drop("batch")
+    return spark.read.parquet(f"{path}/out")
 
 
 @register("stream_retrain_trigger", sql=_sql_trigger(False))
 def stream_retrain_trigger(spark, sf_dir):
-    """The trigger as a stream over the events."""
-    e = _stream(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type"])
-    return _run(TR.retrain_trigger_stream(e, "user_id", "ts", "event_id", F.col("event_type") == "error"), spark, "trigger")
+    """The trigger as a stream over the events, which arrive in three waves."""
+    e = t(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type"])
+    return _run_waves(_waves(e, "ts"), spark, "trigger", lambda s: TR.retrain_trigger_stream(
+        s, "user_id", "ts", "event_id", F.col("event_type") == "error", idle_seconds=3650 * 86400.0))
 
 
 @register("stream_live_counters", sql=f"""
@@ -126,7 +154,7 @@ def stream_live_counters(spark, sf_dir):
                             F.col("text").alias("answer"), F.lit("log").alias("source"),
                             F.when(F.col("role") == "user", "good").otherwise("bad").alias("feedback"),
                             F.col("turn").cast("double").alias("response_time")), path)
-    out = _run(G.live_counters(G.stream_feedback(spark, path)), spark, "live", "complete")
+    out = _run(G.live_counters(G.stream_feedback(spark, path, max_files_per_trigger=1)), spark, "live")
     return out.withColumn("avg_response_time", r6(F.col("avg_response_time")))
 
 
@@ -137,14 +165,15 @@ FROM events e LEFT JOIN (SELECT DISTINCT doc_id FROM labels) l ON l.doc_id = e.u
 WHERE e.user_id IS NOT NULL GROUP BY 1, 2
 """)
 def stream_cache_split(spark, sf_dir):
-    """Events against a cache of the labelled ids: hits, and each missing
-    key once."""
-    e = _stream(spark, sf_dir, "events", ["ts", "user_id"]).where("user_id IS NOT NULL").select(
+    """Events, arriving in three waves, against a cache of the labelled
+    ids: hits, and each missing key once."""
+    e = t(spark, sf_dir, "events", ["ts", "user_id"]).where("user_id IS NOT NULL").select(
         F.col("ts").cast("timestamp").alias("timestamp"), F.col("user_id").alias("cache_key"))
+    waves = _waves(e, "timestamp")
     cache = t(spark, sf_dir, "labels", ["doc_id"], spread_rows=False).select(F.col("doc_id").alias("cache_key")).distinct()
-    hits, misses = G.stream_cache_split(e, cache, watermark="3650 days")
-    both = [_run(x.select("cache_key"), spark, "cache").groupBy("cache_key").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
-            .select(F.lit(kind).alias("kind"), "cache_key", "n") for x, kind in ((hits, "hit"), (misses, "miss"))]
+    both = [_run_waves(waves, spark, "cache", lambda s, i=i: G.stream_cache_split(s, cache, watermark="3650 days")[i].select("cache_key"))
+            .groupBy("cache_key").agg(F.count(F.lit(1)).cast("bigint").alias("n")).select(F.lit(kind).alias("kind"), "cache_key", "n")
+            for i, kind in enumerate(("hit", "miss"))]
     return both[0].unionByName(both[1])
 
 
@@ -153,8 +182,9 @@ SELECT conv_id, CAST(turn AS BIGINT) AS turn, coalesce(string_agg(text, chr(10))
        ROWS BETWEEN 2 PRECEDING AND 1 PRECEDING), '') AS context FROM conversations
 """)
 def stream_rolling_history(spark, sf_dir):
-    """The two turns before each turn, as a stream."""
-    return _run(G.rolling_history(_stream(spark, sf_dir, "conversations", ["conv_id", "turn", "text"]), 2), spark, "history")
+    """The two turns before each turn, as a stream of three waves of turns."""
+    c = t(spark, sf_dir, "conversations", ["conv_id", "turn", "text"])
+    return _run_waves(_waves(c, "turn"), spark, "history", lambda s: G.rolling_history(s, 2))
 
 
 @register("stream_index", sql=f"""

@@ -125,6 +125,11 @@ def _out_row(key, eid, ts, reason, bad):
     return (key, eid, ts, reason, bad, lr, ep)
 
 
+def _seconds(ts: pd.Series) -> list[float]:
+    """Seconds of a column of wall-clock times, converted at once."""
+    return (ts.to_numpy("datetime64[us]").astype("int64") / 1e6).tolist()
+
+
 def _prepare(df: DataFrame, key: str, ts: str, event_id: str, bad: F.Column) -> DataFrame:
     # event time as timestamp_ntz: the rules see wall-clock seconds, whatever
     # the session time zone (no daylight-saving jumps in the differences)
@@ -150,10 +155,10 @@ def retrain_trigger_batch(df: DataFrame, key: str, ts: str, event_id: str, bad:
         cur_key, state = None, None
         for pdf in batches:
             out = []
-            for k, eid, t, b in zip(pdf["key"], pdf["event_id"], pdf["ts"], pdf["is_bad"]):
+            for k, eid, t, second, b in zip(pdf["key"], pdf["event_id"], pdf["ts"], _seconds(pdf["ts"]), pdf["is_bad"].tolist()):
                 if k != cur_key:
                     cur_key, state = k, TriggerState()
-                fired = state.step(pd.Timestamp(t).timestamp(), bool(b), strict_reference, training_seconds)
+                fired = state.step(second, bool(b), strict_reference, training_seconds)
                 if fired:
                     out.append(_out_row(k, int(eid), t, fired[0], fired[1]))
             yield pd.DataFrame(out, columns=OUTPUT_SCHEMA.fieldNames())
@@ -186,8 +191,8 @@ def retrain_trigger_stream(sdf: DataFrame, key: str, ts: str, event_id: str, bad
         out = []
         if frames:
             pdf = pd.concat(frames).sort_values(["ts", "event_id"])
-            for eid, t, b in zip(pdf["event_id"], pdf["ts"], pdf["is_bad"]):
-                fired = st.step(pd.Timestamp(t).timestamp(), bool(b), strict_reference, training_seconds)
+            for eid, t, second, b in zip(pdf["event_id"], pdf["ts"], _seconds(pdf["ts"]), pdf["is_bad"].tolist()):
+                fired = st.step(second, bool(b), strict_reference, training_seconds)
                 if fired:
                     out.append(_out_row(k[0], int(eid), t, fired[0], fired[1]))
             state.setTimeoutTimestamp(max(int(pdf["_ms"].max()), state.getCurrentWatermarkMs()) + int(idle_seconds * 1000))
