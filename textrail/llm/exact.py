@@ -1,28 +1,32 @@
 """Exact dedup by deterministic block naming.
 
-A text (white space deleted) is cut into fixed-size blocks.  Equal blocks get
-equal integer names and different blocks different ones; then adjacent names
-are paired and the pairs named in the same way, level by level, until one name
-is left for a document.  Two documents are equal exactly if they have the same
-number of blocks and the same last name.
-
-A name is a pair of integers: the bucket (a 64-bit hash of the block, or of
-the pair of names) and the number of the content among the *sorted* different
-contents of that bucket.  The contents of all buckets of all levels are
-compared in full, in one shuffle that combines equal contents before it.
-If no bucket holds two contents, every number is 1 and the bucket alone is
-the name, so nothing has to be joined back; otherwise the levels are named one
-after another with the sorted numbers.  Both ways give the same groups.
+A text (white space deleted) is cut into fixed-size blocks.  The different
+blocks of all texts are sorted and numbered from 1: a block's name is its
+number, so equal blocks get equal names and different blocks different ones.
+Then adjacent names are paired, the different pairs sorted and numbered in the
+same way, level by level, until one name is left for a document.  Two documents
+are equal exactly if they have the same number of blocks and the same last name.
+
+Blocks are sorted by a 64-bit hash (their bucket) and then by content, so only
+the first step shuffles contents: equal ones are combined before it, the others
+compared in full.  A bucket's first number is the count of different contents in
+all smaller buckets (range-partitioned running numbers).  Where a bucket holds
+one content, its occurrences get their names by the bucket alone; where it holds
+several, these are numbered in their order and joined by content.
 
 Only DataFrame functions are used.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from textrail.operators.offsets import global_offsets
+
 from .common import cut, settled
 
 #: Code points in a block.
@@ -44,56 +48,45 @@ def _bucket(content: Column, bits: int) -> Column:
     return h if bits >= 64 else F.shiftrightunsigned(h, 64 - bits)
 
 
-def _pairing(names: Column, bits: int) -> Column:
-    """Names a document's blocks upwards: struct(cur: names of the last level,
-    made: every pair named on the way with its level and bucket)."""
-    depth = F.ceil(F.log2(F.greatest(F.size(names), F.lit(1)))).cast("int")
-    levels = F.when(depth >= 1, F.sequence(F.lit(1), depth)).otherwise(F.array().cast("array<int>"))
-    start = F.struct(names.alias("cur"), F.array().cast("array<struct<level:int,bucket:bigint,content:string>>").alias("made"))
-
-    def step(acc: Column, level: Column) -> Column:
-        cur = acc["cur"]
-        pairs = F.transform(
-            F.sequence(F.lit(0), F.floor((F.size(cur) - 1) / 2).cast("int")),
-            lambda i: F.when(i * 2 + 1 < F.size(cur), F.concat_ws(",", F.get(cur, i * 2), F.get(cur, i * 2 + 1)))
-            .otherwise(F.get(cur, i * 2).cast("string")))
-        made = F.transform(F.filter(pairs, lambda p: F.contains(p, F.lit(","))),
-                           lambda p: F.struct(level.cast("int").alias("level"), _bucket(p, bits).alias("bucket"), p.alias("content")))
-        up = F.transform(pairs, lambda p: F.when(F.contains(p, F.lit(",")), _bucket(p, bits)).otherwise(p.cast("bigint")))
-        return F.struct(up.alias("cur"), F.concat(acc["made"], made).alias("made"))
-
-    return F.aggregate(levels, start, step)
-
-
-def _clash(blocks: DataFrame, bits: int) -> bool:
-    """Whether any bucket of any level holds two different contents."""
-    first = F.transform("_blocks", lambda b: F.struct(F.lit(0).alias("level"), _bucket(b, bits).alias("bucket"), b.alias("content")))
-    tree = _pairing(F.transform("_blocks", lambda b: _bucket(b, bits)), bits)["made"]
-    nodes = blocks.select(F.explode(F.when(F.size("_blocks") > 1, F.concat(first, tree)).otherwise(first)).alias("n")).select("n.*")
-    return not nodes.distinct().groupBy("level", "bucket").count().where("count > 1").isEmpty()
-
-
-def _sorted_names(blocks: DataFrame, bits: int) -> DataFrame:
-    """(_row, _n, _name): names with sorted numbers, one level after another."""
-    at = cut(blocks.select("_row", F.size("_blocks").cast("long").alias("_n"), F.posexplode("_blocks").alias("_pos", "_content"))
-             .withColumn("_bucket", _bucket(F.col("_content"), bits)))
-    done = None
-    while True:
+def _numbers(cutup: DataFrame, bits: int) -> DataFrame:
+    """(_bucket, _many, offset): the different contents of each bucket, and those of all smaller ones."""
+    parts = cutup.select(F.explode_outer("_blocks").alias("_content"))
+    different = parts.select(_bucket(F.col("_content"), bits).alias("_bucket"), "_content").distinct()
+    return global_offsets(different.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_many")), "_bucket", "_many")
+
+
+def _block_names(rows: DataFrame, numbers: DataFrame, shared: bool) -> DataFrame:
+    """(_row, _n, _pos, _name): every block's name."""
+    held = F.arrays_zip("_buckets", "_blocks") if shared else F.arrays_zip("_buckets")
+    parts = (rows.select("_row", "_n", F.posexplode(held).alias("_pos", "_part"))
+             .select("_row", "_n", "_pos", F.col("_part._buckets").alias("_bucket"), *([F.col("_part._blocks").alias("_content")] if shared else []))
+             .join(numbers, "_bucket"))
+    names = parts.where("_many = 1").select("_row", "_n", "_pos", (F.col("offset") + 1).alias("_name"))
+    if shared:
+        several = parts.where("_many > 1")
         order = W.partitionBy("_bucket").orderBy("_content")
-        numbered = at.select("_bucket", "_content").distinct().withColumn("_no", F.row_number().over(order))
-        named = cut(at.join(numbered, ["_bucket", "_content"])
-                    .select("_row", "_n", "_pos", F.concat_ws(":", "_bucket", "_no").alias("_name"),
-                            F.max("_pos").over(W.partitionBy("_row")).alias("_last")))
-        ready = named.where("_last = 0").select("_row", "_n", "_name")
-        done = ready if done is None else done.unionByName(ready)
-        more = named.where("_last > 0")
-        if more.isEmpty():
-            return done
-        # an odd last name is carried up as a pair without a second part
-        at = cut(more.groupBy("_row", "_n", F.floor(F.col("_pos") / 2).alias("_pos"))
-                 .agg(F.concat_ws(",", F.max(F.when(F.col("_pos") % 2 == 0, F.col("_name"))),
-                                  F.max(F.when(F.col("_pos") % 2 == 1, F.col("_name")))).alias("_content"))
-                 .withColumn("_bucket", _bucket(F.col("_content"), bits)))
+        placed = several.select("_bucket", "_content").distinct().withColumn("_no", F.row_number().over(order))
+        names = names.unionByName(several.join(placed, ["_bucket", "_content"])
+                                  .select("_row", "_n", "_pos", (F.col("offset") + F.col("_no")).alias("_name")))
+    return names
+
+
+def _last_names(at: DataFrame) -> DataFrame:
+    """(_row, _name): each row's last name, from the names of its blocks."""
+    at = cut(at)
+    done, part = [at.where("_n = 1")], 1
+    at = at.where("_n > 1")
+    while not at.isEmpty():
+        # an odd last name is carried up as a pair whose second part is 0
+        pairs = cut(at.groupBy("_row", "_n", F.floor(F.col("_pos") / 2).alias("_pos"))
+                    .agg(F.struct(F.max(F.when(F.col("_pos") % 2 == 0, F.col("_name"))).alias("a"),
+                                  F.coalesce(F.max(F.when(F.col("_pos") % 2 == 1, F.col("_name"))), F.lit(0)).alias("b")).alias("_pair")))
+        numbers = global_offsets(pairs.select("_pair").distinct().withColumn("_many", F.lit(1)), "_pair", "_many")
+        named = cut(pairs.join(numbers, "_pair").select("_row", "_n", "_pos", (F.col("offset") + 1).alias("_name")))
+        part *= 2
+        done.append(named.where(F.col("_n") <= part))
+        at = named.where(F.col("_n") > part)
+    return reduce(DataFrame.unionByName, done).select("_row", "_name")
 
 
 def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -117,16 +110,12 @@ def _grouped(df: DataFrame, id_col: str, text_col: str, block: int = BLOCK, bits
     src = df.select(F.col(f"`{id_col}`").alias("_id"), F.coalesce(F.char_length(F.col(f"`{text_col}`")), F.lit(0)).alias("_len"),
                     text.alias("_t"))
     cutup = src.withColumn("_blocks", _blocks(F.col("_t"), block))
-    narrow = ["_row", "_id", "_len", "_sha", "_n", "_name"]
-    sha = F.sha2("_t", 256).alias("_sha")
-    row = F.monotonically_increasing_id().alias("_row")
-    if not _clash(cutup.select("_blocks"), bits):
-        top = F.transform("_blocks", lambda b: _bucket(b, bits))
-        top = F.when(F.size("_blocks") > 1, F.get(_pairing(top, bits)["cur"], F.lit(0))).otherwise(F.get(top, F.lit(0)))
-        rows = cut(cutup.select(row, "_id", "_len", sha, F.size("_blocks").cast("long").alias("_n"), top.alias("_name")))
-    else:
-        held = cut(cutup.select(row, "_id", "_len", sha, "_blocks"))
-        rows = cut(held.drop("_blocks").join(_sorted_names(held, bits), "_row").select(*narrow))
+    numbers = _numbers(cutup, bits)
+    shared = not numbers.where("_many > 1").isEmpty()
+    rows = cut(cutup.select(F.monotonically_increasing_id().alias("_row"), "_id", "_len", F.sha2("_t", 256).alias("_sha"), F.size("_blocks").cast("long").alias("_n"),
+                            F.transform("_blocks", lambda b: _bucket(b, bits)).alias("_buckets"), *(["_blocks"] if shared else [])))
+    names = _last_names(_block_names(rows, numbers, shared))
+    rows = cut(rows.select("_row", "_id", "_len", "_sha", "_n").join(names, "_row"))
     first = F.struct((-F.col("_len")).alias("l"), F.isnull("_id").alias("x"), F.col("_id").alias("id"), F.col("_row").alias("r"))
     groups = rows.groupBy("_n", "_name").agg(F.min(first).alias("_first"), F.count(F.lit(1)).alias("_size"))
     return rows.join(groups, ["_n", "_name"]).select(
