@@ -157,6 +157,51 @@ def test_quality_is_a_probability():
             assert abs(y[near].mean() - 0.5) < 0.12
 
 
+def test_quality_learns_from_all_unlabelled_rows(spark):
+    """The rounds in Spark against plain ones over arrays; copies count once, the order of rows does not matter."""
+    rng = random.Random(5)
+    rows = []
+    for i in range(400):
+        bad = i % 4 == 0
+        words = rng.choices("alpha beta gamma delta epsilon zeta".split(), k=30)
+        rows.append((i, " ".join(w + ("$" if bad and rng.random() < 0.5 else "") for w in words), "en", f"s{i % 4}" if rng.random() < 0.7 else "s9"))
+    rows += [(1000 + i, rows[301][1], "en", rows[301][3]) for i in range(150)] + [(None, "gamma delta", None, None), (None, None, "en", "s1")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    marks = {i: int(i % 4 != 0) for i in range(60)}
+    labels = spark.createDataFrame(list(marks.items()), "doc_id bigint, quality int")
+    added = 12
+    model = cotrain.fit(df, labels, added=added)
+
+    seen = df.select("doc_id", F.xxhash64("doc_id", F.lit(5)).alias("f"), cotrain.key(F.col("source"), F.col("lang"), F.col("text")).alias("key"),
+                     F.col("text").alias("_text"), F.col("source").alias("_source"), F.col("lang").alias("_lang")).toArrow()
+    batch = seen.combine_chunks().to_batches()[0]
+    views = [x.astype(np.float16).astype(np.float32) for x in cotrain._views(batch)]
+    ids, keys = seen.column("doc_id").to_pylist(), seen.column("key").to_pylist()
+    at = sorted((k for k, i in enumerate(ids) if i in marks), key=lambda k: ids[k])
+    pool = {keys[k]: k for k in range(len(ids)) if ids[k] not in marks}
+    assert len(pool) < len(ids) - 60 - 140
+    given, learned = [{}, {}], []
+
+    def propose(sides, good):
+        fresh = [{}, {}]
+        for me in (0, 1):
+            p = {key: round(float(1 / (1 + np.exp(-sides[me].raw(views[me][k:k + 1])[0].astype(float)))), 6) for key, k in pool.items() if key not in given[1 - me]}
+            low = sorted((v, k) for k, v in p.items() if v <= 1 - cotrain.SURE)[:max(1, int(added * (1 - good)))]
+            high = sorted((-v, k) for k, v in p.items() if v >= cotrain.SURE)[:max(1, int(added * good))]
+            fresh[1 - me] = {k: 0 for _, k in low} | {k: 1 for _, k in high}
+            given[1 - me] |= fresh[1 - me]
+        learned.append(sum(map(len, fresh)))
+        return [(views[i][[pool[k] for k in sorted(fresh[i])]], np.array([fresh[i][k] for k in sorted(fresh[i])], float)) for i in (0, 1)]
+
+    y = np.array([marks[ids[k]] for k in at], float)
+    plain = cotrain.co_train(tuple(x[at] for x in views), y, np.array([seen.column("f")[k].as_py() % 5 for k in at]), propose)
+    assert sum(learned) > 20
+    ours, theirs = (cotrain.probabilities(m, *views)[2] for m in (model, plain))
+    assert np.abs(ours - theirs).max() < 1e-3
+    again = cotrain.fit(df.orderBy(F.rand(3)).repartition(5), labels.orderBy(F.rand(4)), added=added)
+    assert np.abs(cotrain.probabilities(again, *views)[2] - ours).max() < 1e-3
+
+
 def test_pipeline_stages(spark, tmpdir_run):
     import corpus_pipeline
 

@@ -2,18 +2,21 @@
 
 Two classifiers see a document from two sides: its content (hashed byte 2-
 and 3-grams) and its page metadata (source, language, length, layout).  Both
-start from the labelled rows; in every round each labels the unlabelled rows
-it is most sure of for the other.  Each is then calibrated on labelled rows
+start from the labelled rows; in every round each scores all unlabelled rows
+and labels those it is most sure of for the other.  Each is then calibrated on labelled rows
 that neither was trained on, with the classes in the shares they have there,
 and the mean of the two calibrated log-odds scores every document.
 
-Fitting uses a bounded sample: at most LABELLED labelled and UNLABELLED other
-documents, chosen by a hash of their ids.  Scoring reads every whole text.
+Of the labelled rows at most LABELLED are used, chosen by a hash of their ids.
+Every unlabelled row takes part in every round: the views of all rows are stored
+once, scored in Spark by each round's classifiers, and the ADDED surest different
+documents are learned from (copies count as one, so that a large group of copies
+is no more than one example).  Scoring reads every whole text.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,14 +25,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import byte_view, mix64, small_batches
+from .common import byte_view, mix64, release, small_batches, stored
 from .ngrams import codes
 from .words import word_hashes
 
-LABELLED, UNLABELLED = 4000, 4000
+#: Labelled rows that are learned from and calibrated on.
+LABELLED = 4000
 ROUNDS = 5
-#: Part of the unlabelled rows that each side labels in a round.
-SHARE = 0.04
+#: Unlabelled documents that each side labels for the other in a round.
+ADDED = 160
 #: A side labels only rows it is this sure of.
 SURE = 0.9
 #: Documents whose probability of good quality is at least this are kept.
@@ -147,29 +151,31 @@ def _calibrate(side: Side, x: np.ndarray, y: np.ndarray, prior: float) -> None:
         side.slope, side.shift = float(w[0] / scale), float(w[1] - w[0] * mean / scale)
 
 
-def co_train(views: tuple[np.ndarray, np.ndarray], y: np.ndarray, fold: np.ndarray, rounds: int = ROUNDS) -> Model:
-    """y: 1, 0 or NaN (no label); fold: labelled rows of fold 0 calibrate."""
+Proposal = Callable[[list[Side], float], list[tuple[np.ndarray, np.ndarray]]]
+
+
+def co_train(views: tuple[np.ndarray, np.ndarray], y: np.ndarray, fold: np.ndarray, propose: Proposal | None = None, rounds: int = ROUNDS) -> Model:
+    """y: 1, 0 or NaN (takes no part); fold: labelled rows of fold 0 calibrate.
+
+    ``propose(sides, good)`` gives for each side the views and labels of the
+    unlabelled documents that the other side is surest of and that it has not
+    been given yet; ``good`` is the share of good rows to keep to."""
     labelled = ~np.isnan(y)
     prior = float(y[labelled].mean()) if labelled.any() else 1.0
     train, held = labelled & (fold != 0), labelled & (fold == 0)
     if len(set(y[train])) < 2:
         return Model(None, None, prior)
-    known = [np.where(train, y, np.nan) for _ in views]
-    pool = ~labelled
-    most = max(1, int(SHARE * pool.sum()))
+    known = [(x[train], y[train]) for x in views]
     good = float(y[train].mean())
     sides = []
     for r in range(rounds + 1):
-        sides = [logistic(x[~np.isnan(k)], k[~np.isnan(k)]) for x, k in zip(views, known, strict=True)]
-        if r == rounds or not pool.any():
+        sides = [logistic(x, k) for x, k in known]
+        if r == rounds or propose is None:
             break
-        for me, other in ((0, 1), (1, 0)):
-            p = _sigmoid(sides[me].raw(views[me]))
-            free = np.flatnonzero(pool & np.isnan(known[other]))
-            order = free[np.argsort(p[free], kind="stable")]
-            low, high = order[:max(1, int(most * (1 - good)))], order[::-1][:max(1, int(most * good))]
-            known[other][low[p[low] <= 1 - SURE]] = 0
-            known[other][high[p[high] >= SURE]] = 1
+        more = propose(sides, good)
+        if not any(len(k) for _, k in more):
+            break
+        known = [(np.concatenate([x, a]), np.concatenate([k, b])) for (x, k), (a, b) in zip(known, more, strict=True)]
     for side, x in zip(sides, views, strict=True):
         _calibrate(side, x[held], y[held], prior)
     return Model(sides[0], sides[1], prior)
@@ -189,39 +195,93 @@ def _views(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return content_view(raw, at), metadata_view(raw, at, batch.column("_source").to_pylist(), batch.column("_lang").to_pylist())
 
 
-def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", labelled: int = LABELLED, unlabelled: int = UNLABELLED) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", labelled: int = LABELLED, added: int = ADDED) -> Model:
     """Co-train on ``docs`` (doc_id, text, lang, source) and ``labels`` (doc_id, label_col in 0 and 1).
 
-    Null ids and labels are not used; an id labelled twice counts with its
-    greater label, an id with several documents with one of them."""
+    Null labels and labels of null ids are not used; an id labelled twice
+    counts with its greater label, an id with several documents with that of
+    the smallest key.  Documents without a label, null ids included, are the
+    unlabelled rows; the order of rows and their partitions do not matter."""
     marks = (labels.select(F.col("doc_id").alias("_id"), F.col(f"`{label_col}`").cast("double").alias("_y"))
              .where("_id is not null and _y in (0, 1)").groupBy("_id").agg(F.max("_y").alias("_y")))
-
-    def sample(ids: DataFrame, most: int) -> DataFrame:
-        rate = min(1.0, 1.5 * most / max(ids.count(), 1))
-        h = F.xxhash64(F.col("_id"), F.lit(11))
-        return ids.where(F.pmod(h, F.lit(1_000_003)) < int(np.ceil(rate * 1_000_003))).orderBy(h, "_id").limit(most)
-
-    others = docs.select(F.col("doc_id").alias("_id")).where("_id is not null").distinct().join(marks, "_id", "left_anti")
-    ids = sample(marks, labelled).unionByName(sample(others, unlabelled).withColumn("_y", F.lit(None).cast("double")))
-    rows = (_sources(docs, [F.col("doc_id").alias("_id")]).join(F.broadcast(ids), "_id")  # at most labelled + unlabelled rows
-            .dropDuplicates(["_id"]))
+    rate = min(1.0, 1.5 * labelled / max(marks.count(), 1))
+    h = F.xxhash64(F.col("_id"), F.lit(11))
+    ids = marks.where(F.pmod(h, F.lit(1_000_003)) < int(np.ceil(rate * 1_000_003))).orderBy(h, "_id").limit(labelled)
+    views = _stored_views(docs)
+    try:
+        first = (views.join(F.broadcast(ids), "_id")  # at most ``labelled`` rows
+                 .groupBy("_id").agg(F.first("_y").alias("y"), F.min(F.struct("_key", "_view")).alias("v"))
+                 .select("_id", "y", F.pmod(F.xxhash64("_id", F.lit(5)), F.lit(5)).alias("f"), F.col("v._view").alias("view")).toArrow())
+        if not first.num_rows:
+            return Model(None, None, 1.0)
+        first = first.sort_by("_id")
+        pair = _halves(first.column("view").to_pylist())
+        return co_train(pair, first.column("y").to_numpy().astype(float), first.column("f").to_numpy(), _proposals(views, marks, added))
+    finally:
+        release(views)
+
+
+def key(source: Column, lang: Column, text: Column) -> Column:
+    """Names what the classifiers see of a document."""
+    return F.xxhash64(F.coalesce(text, F.lit("")), F.coalesce(source, F.lit("\0")), F.coalesce(lang, F.lit("\0")))
+
+
+def _stored_views(docs: DataFrame) -> DataFrame:
+    """(_id, _key, _view): both views of every row, as half-precision numbers."""
+    rows = _sources(docs, [F.col("doc_id").alias("_id")])
+    rows = rows.withColumn("_key", key(F.col("_source"), F.col("_lang"), F.col("_text")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b = _views(batch)
-            yield pa.RecordBatch.from_arrays([batch.column("_fold"), batch.column("_y"), pa.array([r.tobytes() for r in a], pa.binary()),
-                                              pa.array([r.tobytes() for r in b], pa.binary())], names=["f", "y", "a", "b"])
-
-    got = (small_batches(rows.withColumn("_fold", F.pmod(F.xxhash64("_id", F.lit(5)), F.lit(5)))).mapInArrow(run, "f bigint, y double, a binary, b binary")
-           .toArrow())
-    if not got.num_rows:
-        return Model(None, None, 1.0)
-    a, b = (np.stack([np.frombuffer(x.as_py(), np.float32) for x in got.column(c)]) for c in ("a", "b"))
-    y, fold = got.column("y").to_numpy().astype(float), got.column("f").to_numpy()
-    # an order that doesn't depend on how the rows were dealt
-    order = np.lexsort((b[:, 0], a[:, 0], a[:, 1], fold, y))
-    return co_train((a[order], b[order]), y[order], fold[order])
+            x = np.concatenate(_views(batch), axis=1).astype(np.float16)
+            yield pa.RecordBatch.from_arrays([batch.column("_id"), batch.column("_key"), pa.array([r.tobytes() for r in x], pa.binary())], names=["_id", "_key", "_view"])
+
+    schema = T.StructType([rows.schema["_id"], T.StructField("_key", T.LongType()), T.StructField("_view", T.BinaryType())])
+    return stored(small_batches(rows).mapInArrow(run, schema))
+
+
+def _halves(rows: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The content and metadata views of stored rows."""
+    x = np.frombuffer(b"".join(rows), np.float16).reshape(len(rows), -1).astype(np.float32)
+    return x[:, :CONTENT], x[:, CONTENT:]
+
+
+def _proposals(views: DataFrame, marks: DataFrame, added: int) -> Proposal:
+    """Scores all unlabelled rows and takes the ``added`` surest of each side."""
+    spark = views.sparkSession
+    given: list[set[int]] = [set(), set()]  # keys by side: at most rounds x added
+    empty = np.zeros(0)
+
+    def propose(sides: list[Side], good: float) -> list[tuple[np.ndarray, np.ndarray]]:
+        box = spark.sparkContext.broadcast(sides)  # bounded: a weight per feature
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                # rounded, so that copies in different batches are equal
+                p = [np.round(_sigmoid(side.raw(x)).astype(float), 6) for side, x in zip(box.value, _halves(batch.column("_view").to_pylist()), strict=True)] if batch.num_rows else [empty, empty]
+                yield pa.RecordBatch.from_arrays([batch.column("_id"), batch.column("_key"), *map(pa.array, p)], names=["_id", "_key", "p0", "p1"])
+
+        schema = T.StructType([views.schema["_id"], views.schema["_key"], *(T.StructField(c, T.DoubleType()) for c in ("p0", "p1"))])
+        scored = stored(views.mapInArrow(run, schema).join(marks, "_id", "left_anti")
+                        .groupBy("_key").agg(F.max("p0").alias("p0"), F.max("p1").alias("p1")))
+        named: list[dict[int, int]] = [{}, {}]
+        for me, other in ((0, 1), (1, 0)):
+            p = F.col(f"p{me}")
+            free = scored.where(~F.col("_key").isin(*given[other])) if given[other] else scored
+            for label, sure, order, n in ((0, p <= 1 - SURE, p, added * (1 - good)), (1, p >= SURE, p.desc(), added * good)):
+                named[other] |= dict.fromkeys((r._key for r in free.where(sure).orderBy(order, "_key").limit(max(1, int(n))).collect()), label)
+            given[other] |= named[other].keys()
+        release(scored)
+        wanted = sorted(named[0].keys() | named[1].keys())
+        if not wanted:
+            return [(np.zeros((0, 0), np.float32), empty)] * 2
+        chosen = F.broadcast(spark.createDataFrame([(k,) for k in wanted], "_key bigint"))  # at most 2 x added rows
+        got = {r._key: bytes(r._view) for r in views.join(chosen, "_key").groupBy("_key").agg(F.min("_view").alias("_view")).collect()}
+        halves = [_halves([got[k] for k in sorted(n)])[side] if n else None for side, n in enumerate(named)]
+        return [(x if x is not None else np.zeros((0, len(sides[i].mean)), np.float32), np.array([named[i][k] for k in sorted(named[i])], float))
+                for i, x in enumerate(halves)]
+
+    return propose
 
 
 def _sources(docs: DataFrame, keep: list[Column]) -> DataFrame:
