@@ -40,12 +40,20 @@ def _sql_grams(tok_expr: str, src: str, side: str) -> str:
       GROUP BY ALL) AS {side}"""
 
 
-def _sql_metrics() -> str:
+def _sql_sequence() -> str:
+    """Pairs over the whole sequence: a document's last chunk is followed by the next one's first."""
+    return f"""
+    WITH w AS ({_sql_windows("SELECT doc_id, text FROM documents", 500, 450)}),
+    pairs AS (SELECT doc_id, chunk_no, chunk_text AS text_a, lead(chunk_text) OVER (ORDER BY doc_id NULLS FIRST, chunk_no) AS text_b
+              FROM w QUALIFY text_b IS NOT NULL)"""
+
+
+def _sql_metrics(pairs: str | None = None) -> str:
     words_a, words_b = S.words("text_a"), S.words("text_b")
     rt = ("list_filter(string_split(regexp_replace(lower({x}), '[^a-z0-9]+', ' ', 'g'), ' '), lambda s: s <> '')")
     ra, rb = rt.format(x="text_a"), rt.format(x="text_b")
     cos_src = f"(SELECT {_sql_key('doc_id', 'chunk_no')} AS cid, chunk_text AS text FROM w)"
-    return f"""{_sql_pairs()},
+    return f"""{pairs or _sql_pairs()},
     P AS (SELECT doc_id, chunk_no, len({words_a}) AS rl, len({words_b}) AS hl FROM pairs),
     nn AS (SELECT P.*, n FROM P CROSS JOIN (SELECT unnest([1, 2, 3, 4]) AS n)),
     clip AS (SELECT h.doc_id, h.chunk_no, h.n, sum(least(h.c, coalesce(r.c, 0))) AS num
@@ -104,6 +112,18 @@ def chunk_overlap_metrics(spark, sf_dir):
     return s.select("doc_id", "chunk_no", *[r6(F.col(c)).alias(c) for c in ("bleu", "rouge1", "rouge2", "cosine")])
 
 
+@register("sequence_overlap_metrics", sql=_sql_metrics(_sql_sequence()) + """
+SELECT doc_id, chunk_no, round(bleu, 6) AS bleu, round(rouge1, 6) AS rouge1, round(rouge2, 6) AS rouge2 FROM scored
+""")
+def sequence_overlap_metrics(spark, sf_dir):
+    """V10 over the whole sequence: BLEU-4 and ROUGE-1/2 of each chunk and the next, across documents too."""
+    d = t(spark, sf_dir, "documents", ["doc_id", "text"])
+    chunks = C.token_window(d, "doc_id", "text", 500, 50, global_ids=False)
+    pairs = M.adjacent_pairs(chunks, "doc_id", "chunk_no", "chunk_text", by_document=False)
+    scored = M.text_pair_metrics(pairs, "text_a", "text_b", with_lcs=False)
+    return scored.select("doc_id", "chunk_no", *[r6(F.col(f"m.{c}")).alias(c) for c in ("bleu", "rouge1", "rouge2")])
+
+
 @register("overlap_report", sql=_sql_metrics() + """
 SELECT round(avg(cosine), 6) AS avg_cosine, round(avg(bleu), 6) AS avg_bleu, round(avg(rouge1), 6) AS avg_rouge1,
        round(avg(rouge2), 6) AS avg_rouge2, CAST(count(*) AS BIGINT) AS n_pairs FROM scored
