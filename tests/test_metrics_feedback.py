@@ -80,7 +80,7 @@ def test_template_weights_closed_form_equals_sequential_fold(spark):
     rnd = random.Random(2)
     rows = [(rnd.randrange(3), float(t), rnd.choice([-1.0, -0.5, 0.25, 1.0])) for t in range(400)]
     df = spark.createDataFrame(rows, "template int, ts double, reward double")
-    got = {r["template"]: r["weight"] for r in FB.template_weights(df, 4, order="ts", bucket_seconds=37).collect()}
+    got = {r["template"]: r["weight"] for r in FB.template_weights(df, 4, order="ts", partitions=5).collect()}
     w = [1.0] * 4
     for tpl, _, rw in sorted(rows, key=lambda r: r[1]):
         w[tpl] = max(0.1, w[tpl] + rw)
@@ -128,13 +128,24 @@ def test_softmax_and_loss(spark):
     assert math.isclose(lg, math.log1p(math.exp(-1.0)))
 
 
-def test_template_weights_deep_tree(spark):
+def test_template_weights_many_partitions(spark):
     rnd = random.Random(9)
     rows = [(rnd.randrange(2), float(t), rnd.choice([-2.0, -0.5, 0.3, 1.0])) for t in range(0, 3000, 7)]
     df = spark.createDataFrame(rows, "template int, ts double, reward double")
     got = {r["template"]: r["weight"] for r in
-           FB.template_weights(df, 2, order="ts", bucket_seconds=5, fanout=2, levels=4).collect()}
+           FB.template_weights(df, 2, order="ts", partitions=40).collect()}
     w = [1.0, 1.0]
     for tpl, _, rw in sorted(rows, key=lambda r: r[1]):
         w[tpl] = max(0.1, w[tpl] + rw)
     assert all(math.isclose(got[i], w[i], abs_tol=1e-9) for i in range(2))
+
+
+def test_template_weights_hot_moment(spark):
+    rnd = random.Random(4)
+    rows = [(0, 7.0, e, rnd.choice([-2.0, -0.5, 0.3, 1.0, None])) for e in rnd.sample(range(2000), 2000)]
+    df = spark.createDataFrame(rows, "template int, ts double, event_id bigint, reward double")
+    got = {r["template"]: r["weight"] for r in FB.template_weights(df, 2, tie="event_id", partitions=16).collect()}
+    w = 1.0
+    for r in sorted(rows, key=lambda r: r[2]):
+        w = max(0.1, w + (r[3] or 0.0))
+    assert math.isclose(got[0], w, abs_tol=1e-9) and got[1] == 1.0

@@ -252,45 +252,32 @@ def degradation(fb: DataFrame, by: str, order: str, bad: Column, n: int = 10, fa
 
 def template_weights(selections: DataFrame, n_templates: int, key: str | None = None, order: str = "ts",
                      choice: str = "template", reward: str = "reward", floor: float = TEMPLATE_FLOOR,
-                     bucket_seconds: float = 60.0, fanout: int = 1024, levels: int = 3) -> DataFrame:
+                     tie: str | None = None, partitions: int | None = None) -> DataFrame:
     """Weights start at 1.0, each selection adds its reward to the chosen
     template, a weight never drops below ``floor``; shares are normalised
-    by the sum.
+    by the sum.  Equal times are taken in order of ``tie`` (an event id), then
+    of the reward; a null reward counts as 0.
 
     The clamped update ``w = max(floor, w + r)`` has the closed form
     ``w_T = S_T + max(0, floor - min_j S_j)`` with ``S_j = 1 + r_1 + .. + r_j``.
-    ``(sum, min prefix)`` pairs combine associatively, so the history is
-    reduced as a tree: leaves are ``bucket_seconds`` time buckets (each
-    folded in its own group), and each level merges at most ``fanout``
-    consecutive summaries.  No template's history meets in one task.
+    It is an associative scan in two passes: selections lie in sorted range
+    partitions, each gives a ``(sum, least running sum)`` per template, and
+    these few are put one after another.  A template's history, or a busy
+    moment of it, spreads over as many partitions as it fills.
     """
     keys = ([key] if key else []) + [choice]
-    o = F.col(order)
-    num = F.unix_micros(o.cast("timestamp")).cast("double") / 1e6 if dict(selections.dtypes)[order].startswith("timestamp") else o.cast("double")
-    b = selections.select(*keys, num.alias("_o"), F.col(reward).cast("double").alias("_r"))
-    b = b.withColumn("_b", F.floor(F.col("_o") / F.lit(bucket_seconds)).cast("long"))
-    inf = F.lit(float("inf"))
-
-    def combine(items, s0):
-        return F.aggregate(items, F.struct(F.lit(s0).alias("s"), inf.alias("m")),
-                           lambda acc, x: F.struct((acc["s"] + x["s"]).alias("s"),
-                                                   F.least(acc["m"], acc["s"] + x["m"]).alias("m")))
-
-    # leaves: one summary per (key, time bucket), from the raw rewards in order
-    level = (b.groupBy(*keys, "_b")
-             .agg(F.array_sort(F.collect_list(F.struct("_o", F.col("_r").alias("s"), F.col("_r").alias("m")))).alias("_items"))
-             .select(*keys, "_b", combine("_items", 0.0).alias("_st")))
-    # inner levels: merge up to `fanout` consecutive summaries per node
-    for _ in range(levels):
-        level = (level.withColumn("_parent", F.floor(F.col("_b") / F.lit(fanout)).cast("long"))
-                 .groupBy(*keys, "_parent")
-                 .agg(F.array_sort(F.collect_list(F.struct(F.col("_b").alias("_pos"), "_st.s", "_st.m"))).alias("_items"))
-                 .select(*keys, F.col("_parent").alias("_b"), combine("_items", 0.0).alias("_st")))
-    # root: the few remaining summaries per key, prefixed by the start weight 1.0
-    folded = (level.groupBy(*keys)
-              .agg(F.array_sort(F.collect_list(F.struct(F.col("_b").alias("_pos"), "_st.s", "_st.m"))).alias("_items"))
-              .select(*keys, combine("_items", 1.0).alias("_t"))
-              .select(*keys, (F.col("_t.s") + F.greatest(F.lit(0.0), F.lit(floor) - F.col("_t.m"))).alias("weight")))
+    b = selections.select(*keys, F.col(order).alias("_o"), (F.col(tie) if tie else F.lit(None).cast("long")).alias("_e"),
+                          F.coalesce(F.col(reward).cast("double"), F.lit(0.0)).alias("_r"))
+    n = partitions or int(selections.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = b.repartitionByRange(n, *keys, "_o", "_e", "_r").withColumn("_p", F.spark_partition_id())
+    inside = Window.partitionBy("_p", *keys).orderBy("_o", "_e", "_r").rowsBetween(Window.unboundedPreceding, 0)
+    parts = (ranged.withColumn("_s", F.sum("_r").over(inside))
+             .groupBy("_p", *keys).agg(F.sum("_r").alias("_sum"), F.min("_s").alias("_least")))  # a template's are at most n
+    before = Window.partitionBy(*keys).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    begun = F.lit(1.0) + F.coalesce(F.sum("_sum").over(before), F.lit(0.0))
+    folded = (parts.withColumn("_least", begun + F.col("_least"))
+              .groupBy(*keys).agg(F.sum("_sum").alias("_sum"), F.min("_least").alias("_least"))
+              .select(*keys, (F.lit(1.0) + F.col("_sum") + F.greatest(F.lit(0.0), F.lit(floor) - F.col("_least"))).alias("weight")))
     grid = F.explode(F.sequence(F.lit(0), F.lit(n_templates - 1)))
     if key:
         base = selections.select(key).distinct().select(key, grid.alias(choice))

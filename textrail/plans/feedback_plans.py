@@ -465,7 +465,7 @@ def softmax_rewards(spark, sf_dir):
 @register("template_weights", sql="""
 WITH RECURSIVE sel AS (
   SELECT user_id % 3 AS template, ts, CAST(CASE WHEN event_type = 'error' THEN -1.0 ELSE 0.25 END AS DOUBLE) AS reward,
-         row_number() OVER (PARTITION BY user_id % 3 ORDER BY ts) AS i FROM events),
+         row_number() OVER (PARTITION BY user_id % 3 ORDER BY ts, event_id) AS i FROM events),
 fold AS (
   SELECT template, CAST(0 AS BIGINT) AS i, CAST(1.0 AS DOUBLE) AS w FROM (SELECT DISTINCT template FROM sel)
   UNION ALL
@@ -478,10 +478,10 @@ FROM grid LEFT JOIN fin USING (template)
 """)
 def template_weights(spark, sf_dir):
     """Template weights (start 1.0, + reward, floor 0.1), normalised."""
-    e = t(spark, sf_dir, "events", ["user_id", "ts", "event_type"])
-    sel = e.select((F.col("user_id") % 3).cast("int").alias("template"), "ts",
+    e = t(spark, sf_dir, "events", ["user_id", "ts", "event_type", "event_id"])
+    sel = e.select((F.col("user_id") % 3).cast("int").alias("template"), "ts", "event_id",
                    F.when(F.col("event_type") == "error", -1.0).otherwise(0.25).alias("reward"))
-    out = FB.template_weights(sel, 3)
+    out = FB.template_weights(sel, 3, tie="event_id")
     return out.select("template", r6(F.col("weight")).alias("weight"), r6(F.col("share")).alias("share"))
 
 
