@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import feedback as FB
 from ..sources import files as SF
+from ..sources.csv_ranges import read_csv_ranges
 from ..sources import html as H
 from . import sqlfrag as S
 from .common import r6, register, t
@@ -103,6 +104,19 @@ def csv_append_roundtrip(spark, sf_dir):
     return SF.read_feedback_csv(spark, path)
 
 
+@register("csv_ranges_roundtrip", sql="""
+SELECT CAST(doc_id AS VARCHAR) AS query, text AS answer, source, lang AS feedback FROM documents
+""")
+def csv_ranges_roundtrip(spark, sf_dir):
+    """Documents logged as CSV with multi-line quoted texts and read back
+    in byte ranges, one file in as many tasks as it has splits."""
+    d = t(spark, sf_dir, "documents", ["doc_id", "text", "source", "lang"])
+    path = _scratch(spark, "feedback-ranges")
+    SF.append_rows(d.select(F.col("doc_id").cast("string").alias("query"), F.col("text").alias("answer"), "source",
+                            F.col("lang").alias("feedback")), path)
+    return read_csv_ranges(spark, path)
+
+
 @register("jsonl_roundtrip", sql="SELECT doc_id, text FROM documents")
 def jsonl_roundtrip(spark, sf_dir):
     """Documents written as JSON lines and read back with an explicit
