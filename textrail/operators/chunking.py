@@ -265,36 +265,37 @@ def sentence_overlap(df: DataFrame, id_col: str, text_col: str, max_words: int =
     """C4: emit when the word count would exceed ``max_words``, then keep the
     last ``overlap`` sentences (or, with ``overlap_unit='word'``, sentences
     covering the last words are not split: the last ``overlap`` words)."""
-    sents = F.transform(F.split(F.col(text_col), SENTENCE_END), lambda s: strip(s))
-    init = F.struct(F.array().cast("array<string>").alias("out"), F.array().cast("array<string>").alias("cur"),
-                    F.lit(0).alias("len"))
-
-    def nwords(s):
-        return F.size(words(s))
+    # every sentence's words are counted once; the fold adds up the counts, and
+    # a chunk's words are the sum of its sentences' (they are joined by a space)
+    piece = "array<struct<s:string,n:int>>"
+    sents = F.transform(F.transform(F.split(F.col(text_col), SENTENCE_END), lambda s: strip(s)),
+                        lambda s: F.struct(s.alias("s"), F.size(words(s)).alias("n")))
+    init = F.struct(F.array().cast("array<struct<chunk_text:string,n_tokens:int>>").alias("out"),
+                    F.array().cast(piece).alias("cur"), F.lit(0).alias("len"))
+
+    def emitted(acc):
+        text = F.array_join(F.transform(acc["cur"], lambda x: x["s"]), " ")
+        return F.concat(acc["out"], F.array(F.struct(text.alias("chunk_text"), acc["len"].alias("n_tokens"))))
 
     def step(acc, s):
-        over = acc["len"] + nwords(s) > max_words
         if overlap_unit == "sentence":
             # Python's cur[-k:] keeps everything when the list is short; Spark's
             # slice with a start before the first element returns nothing.
             kept = (F.when(F.size(acc["cur"]) > overlap, F.slice(acc["cur"], -overlap, overlap)).otherwise(acc["cur"])
-                    if overlap > 0 else F.array().cast("array<string>"))
+                    if overlap > 0 else F.array().cast(piece))
         else:
-            joined = words(F.array_join(acc["cur"], " "))
+            joined = words(F.array_join(F.transform(acc["cur"], lambda x: x["s"]), " "))
             tail = F.when(F.size(joined) > overlap, F.slice(joined, -overlap, overlap)).otherwise(joined)
-            kept = F.when(F.size(tail) > 0, F.array(F.array_join(tail, " "))).otherwise(F.array().cast("array<string>"))
-        kept_len = F.aggregate(kept, F.lit(0), lambda a, x: a + nwords(x))
-        on_over = F.struct(F.concat(acc["out"], F.array(F.array_join(acc["cur"], " "))).alias("out"),
-                           F.concat(kept, F.array(s)).alias("cur"), (kept_len + nwords(s)).alias("len"))
-        normal = F.struct(acc["out"].alias("out"), F.concat(acc["cur"], F.array(s)).alias("cur"),
-                          (acc["len"] + nwords(s)).alias("len"))
-        return F.when(over, on_over).otherwise(normal)
-
-    def finish(acc):
-        return F.when(F.size(acc["cur"]) > 0, F.concat(acc["out"], F.array(F.array_join(acc["cur"], " ")))).otherwise(acc["out"])
-
-    folded = F.aggregate(sents, init, step, finish)
-    return _explode_chunks(df, id_col, folded)
+            kept = F.when(F.size(tail) > 0, F.array(F.struct(F.array_join(tail, " ").alias("s"), F.size(tail).alias("n")))).otherwise(
+                F.array().cast(piece))
+        kept_len = F.aggregate(kept, F.lit(0), lambda a, x: a + x["n"])
+        on_over = F.struct(emitted(acc).alias("out"), F.concat(kept, F.array(s)).alias("cur"), (kept_len + s["n"]).alias("len"))
+        normal = F.struct(acc["out"].alias("out"), F.concat(acc["cur"], F.array(s)).alias("cur"), (acc["len"] + s["n"]).alias("len"))
+        return F.when(acc["len"] + s["n"] > max_words, on_over).otherwise(normal)
+
+    folded = F.aggregate(sents, init, step, lambda acc: F.when(F.size(acc["cur"]) > 0, emitted(acc)).otherwise(acc["out"]))
+    return (df.select(id_col, F.posexplode_outer(folded).alias("chunk_no", "_c")).where(F.col("chunk_no").isNotNull())
+            .select(id_col, F.col("chunk_no").cast("bigint").alias("chunk_no"), "_c.chunk_text", F.col("_c.n_tokens").cast("bigint").alias("n_tokens")))
 
 
 def _explode_chunks(df: DataFrame, id_col: str, chunks: Column) -> DataFrame:
