@@ -13,9 +13,10 @@ from __future__ import annotations
 import re
 from bisect import bisect_left, bisect_right
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.patterns import WS, WS_CHARS
 from ..functions.text import punct_tokens, strip, words
@@ -25,6 +26,7 @@ from .offsets import global_offsets
 SENTENCE_END = r"(?<=[.!?]) +"                 # sentence split, punctuation kept
 HEADING = r"(?md)^([A-Z][A-Za-z0-9" + WS_CHARS + r"&\-]+)\n"
 SEPARATORS = ("\n\n", "\n", " ")               # C8, coarse to fine
+PART_CHARS, PART_ROWS = 1 << 20, 1 << 13       # C8: what a task holds of its chunks
 SWEEP_THRESHOLDS = (50, 150, 300, 450)
 SWEEP_OVERLAP_RATIO = 0.15
 # ---------------------------------------------------------------------------
@@ -347,20 +349,40 @@ def recursive_chars(df: DataFrame, id_col: str, text_col: str, size: int = 1000,
     most ``overlap`` characters of the one before.  A separator stays at the
     start of the piece after it; chunks are stripped, blank ones dropped, null
     and empty texts give none.  The UDF finds span ends by bisection (a
-    few steps per chunk); the texts stay in their Arrow batch."""
-
-    @F.pandas_udf("array<string>")
-    def _split(texts: pd.Series) -> pd.Series:
-        def one(t):
-            spans = _char_spans(t, 0, len(t), SEPARATORS, size, overlap) if t else ()
-            return [c for a, b in spans if (c := t[a:b].strip())]
-        return texts.map(one)
-
-    return (df.select(id_col, F.posexplode_outer(_split(F.col(text_col))).alias("chunk_no", "chunk_text"))
-            .where(F.col("chunk_no").isNotNull())
-            .select(id_col, F.col("chunk_no").cast("bigint").alias("chunk_no"),
-                    F.concat(F.lit("chunk_"), (F.col("chunk_no") + 1).cast("string")).alias("chunk_id"),
-                    "chunk_text"))
+    few steps per chunk) and hands its chunks on in parts of at most
+    ``PART_CHARS`` characters (or one chunk) and ``PART_ROWS`` rows, so that
+    its memory is one Arrow batch, one text and one part, however many or
+    long the texts."""
+
+    def _split(batches):
+        for batch in batches:
+            texts = batch.column(1)
+            at, numbers, chunks, held = [], [], [], 0
+            for i in range(batch.num_rows):
+                t = texts[i].as_py()
+                spans = _char_spans(t, 0, len(t), SEPARATORS, size, overlap) if t else ()
+                no = 0
+                for a, b in spans:
+                    if not (c := t[a:b].strip()):
+                        continue
+                    at.append(i)
+                    numbers.append(no)
+                    chunks.append(c)
+                    no += 1
+                    held += len(c)
+                    if held >= PART_CHARS or len(at) >= PART_ROWS:
+                        yield _part(batch.column(0), at, numbers, chunks)
+                        at, numbers, chunks, held = [], [], [], 0
+            yield _part(batch.column(0), at, numbers, chunks)
+
+    def _part(ids, at, numbers, chunks):
+        return pa.RecordBatch.from_arrays([ids.take(pa.array(at, pa.int64())), pa.array(numbers, pa.int64()), pa.array(chunks, pa.string())],
+                                          names=["_id", "chunk_no", "chunk_text"])
+
+    rows = df.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+    out = T.StructType([rows.schema["_id"], T.StructField("chunk_no", T.LongType()), T.StructField("chunk_text", T.StringType())])
+    return rows.mapInArrow(_split, out).select(
+        F.col("_id").alias(id_col), "chunk_no", F.concat(F.lit("chunk_"), (F.col("chunk_no") + 1).cast("string")).alias("chunk_id"), "chunk_text")
 
 
 def merge_fragments(df: DataFrame, group_col: str, order_col: str, text_col: str,
