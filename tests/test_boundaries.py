@@ -59,3 +59,13 @@ def test_windows_cover_a_long_text(spark):
         assert len(part) == r.n_tokens <= 500 and (not tokens or part[:50] == tokens[r.chunk_no * 450:r.chunk_no * 450 + 50][:len(part)])
         tokens = tokens[:r.chunk_no * 450] + part
     assert "".join(tokens) == text.replace(" ", "")
+
+
+def test_places_do_not_carry_their_text(spark):
+    """A word that can end a sentence is shuffled without the text it stands in."""
+    df = spark.createDataFrame([(1, "One two. Three four! Five"), (2, None), (3, "no end")], "id long, x string")
+    out = B.split_sentences(df, "id", "x")
+    assert sorted(map(tuple, out.collect())) == [(1, 0, "One two."), (1, 1, "Three four!"), (1, 2, "Five"), (3, 0, "no end")]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    spread_words = [line for line in plan.splitlines() if "Generate " in line and "explode(_words" in line]
+    assert not spread_words, spread_words

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import words
+from ..session import stored
 
 # --- fixed values ----------------------------------------------------------
 ABBREVIATION = 0.3          # least score of an abbreviation
@@ -64,12 +65,14 @@ def abbreviations(df: DataFrame, text_col: str) -> DataFrame:
 
     Null and empty texts hold no words; a repeated text counts each time; an
     empty table gives an empty one."""
-    seen = df.select(F.explode_outer(words(F.col(f"`{text_col}`"))).alias("word")).select(word_type(F.col("word")).alias("word"))
-    seen = seen.where(F.col("word").rlike(r"\pL"))
+    # the rules for types look at each different word once
+    seen = df.select(F.explode_outer(words(F.col(f"`{text_col}`"))).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    seen = seen.select(word_type(F.col("word")).alias("word"), "n").where(F.col("word").rlike(r"\pL"))
     stopped = F.endswith("word", F.lit("."))
-    counts = (seen.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    counts = (seen
               .groupBy(F.regexp_replace("word", r"\.$", "").alias("type"))
               .agg(F.coalesce(F.sum(F.when(stopped, F.col("n"))), F.lit(0)).alias("n_with"), F.coalesce(F.sum(F.when(~stopped, F.col("n"))), F.lit(0)).alias("n_without")))
+    counts = stored(counts)   # read twice: for the chance below and for the scores
     # the chance of a full stop after any word, one number; null where every word or none has one
     by_chance = counts.agg((F.sum("n_with") / F.nullif(F.sum("n_with") + F.sum("n_without"), F.lit(0))).alias("p")).scalar()
     letters = F.char_length(F.replace("type", F.lit("."), F.lit(""))).cast("double")
@@ -90,9 +93,13 @@ def split_sentences(df: DataFrame, id_col: str, text_col: str, short: DataFrame
     unique; texts that are null, empty or blank give no sentence."""
     short = abbreviations(df, text_col) if short is None else short
     texts = df.select(F.col(f"`{id_col}`").alias("_id"), words(F.col(f"`{text_col}`")).alias("_words"))
-    places = texts.select("_id", F.posexplode_outer("_words").alias("_at", "_word"), F.col("_words")).where(F.col("_word").rlike(ENDS))
-    following = F.get("_words", F.col("_at") + 1)
-    ends = places.select("_id", "_at", F.col("_word").rlike(STOPPED).alias("_stop"), F.regexp_replace(word_type(F.col("_word")), r"\.+$", "").alias("type"), following.alias("_next"))
+    # a word that can end a sentence goes on with its place and the next word, never with its whole text
+    marked = F.transform("_words", lambda w, i: F.when(
+        (F.contains(w, F.lit(".")) | F.contains(w, F.lit("!")) | F.contains(w, F.lit("?"))) & w.rlike(ENDS),
+        F.struct(i.alias("_at"), w.alias("_word"), F.get(F.col("_words"), i + 1).alias("_next"))))
+    places = F.filter(marked, lambda p: p.isNotNull())
+    ends = (texts.select("_id", F.explode_outer(places).alias("_p")).where(F.col("_p").isNotNull()).select("_id", "_p.*")
+            .select("_id", "_at", F.col("_word").rlike(STOPPED).alias("_stop"), F.regexp_replace(word_type(F.col("_word")), r"\.+$", "").alias("type"), "_next"))
     ordinal = F.col("type").rlike("^[0-9]+$") & F.col("_next").rlike(r"^\p{Ll}")
     initial = F.col("type").rlike(r"^\pL$") & F.col("_next").isNotNull()
     # the abbreviations' table is joined by what can end a sentence only; a word's places in a text are one row
