@@ -149,3 +149,19 @@ def test_template_weights_hot_moment(spark):
     for r in sorted(rows, key=lambda r: r[2]):
         w = max(0.1, w + (r[3] or 0.0))
     assert math.isclose(got[0], w, abs_tol=1e-9) and got[1] == 1.0
+
+
+def test_pair_scores_by_numbers_equal_counted_ngrams():
+    """n-grams compared as numbers give what counting tuples gives, without counting any tuple."""
+    import random
+
+    from textrail.operators import metrics as M
+    rng = random.Random(5)
+    texts = ["", "a", "a b", "a b c"] + [" ".join(rng.choice(["a", "B", "c-d", "é", "x1", "."]) for _ in range(rng.randrange(40))) for _ in range(60)]
+    for a in texts[::3]:
+        for b in texts:
+            got, ta, tb = M.pair_scores(a, b), M.rouge_tokens(a), M.rouge_tokens(b)
+            assert got["bleu"] == M.bleu(a.split(), b.split())
+            assert (got["rouge1"], got["rouge2"]) == (M.rouge_n(ta, tb, 1), M.rouge_n(ta, tb, 2))
+            for n, shared in enumerate(M.shared_ngrams(ta, tb, 4), 1):
+                assert shared == sum((M._ngrams(ta, n) & M._ngrams(tb, n)).values())

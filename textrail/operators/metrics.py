@@ -23,6 +23,7 @@ import math
 import re
 from collections import Counter
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -49,9 +50,13 @@ def bleu(reference: list[str], hypothesis: list[str], smooth: bool = True) -> fl
         ref = _ngrams(reference, n)
         nums.append(sum(min(c, ref[g]) for g, c in hyp.items()))
         dens.append(max(1, sum(hyp.values())))
+    return _bleu(nums, dens, len(reference), len(hypothesis), smooth)
+
+
+def _bleu(nums: list[int], dens: list[int], r: int, c: int, smooth: bool) -> float:
+    """BLEU of clipped n-gram counts ``nums`` of ``dens``, ``r`` and ``c`` tokens long."""
     if nums[0] == 0:
         return 0.0
-    r, c = len(reference), len(hypothesis)
     bp = 1.0 if c > r else (0.0 if c == 0 else math.exp(1 - r / c))
     logs = []
     for w, num, den in zip(BLEU_WEIGHTS, nums, dens):
@@ -112,12 +117,35 @@ def rouge_l(target: list[str], prediction: list[str]) -> float:
     return _f1(lcs_length(target, prediction), len(prediction), len(target))
 
 
+def shared_ngrams(a: list[str], b: list[str], n_max: int) -> list[int]:
+    """For n = 1..``n_max`` the size of the multiset overlap of the n-grams of
+    ``a`` and ``b``: every n-gram of both gets a number, made of the numbers of
+    its first n - 1 tokens and of its last, and is counted on both sides."""
+    numbers: dict[str, int] = {}
+    one_a, one_b = (np.array([numbers.setdefault(x, len(numbers)) for x in s], dtype=np.int64) for s in (a, b))
+    out, at_a, at_b = [], one_a, one_b
+    for n in range(1, n_max + 1):
+        if n > 1:
+            at_a, at_b = (at[:-1] * len(numbers) + one[n - 1:] for at, one in ((at_a, one_a), (at_b, one_b)))
+        if not len(at_a) or not len(at_b):
+            return out + [0] * (n_max + 1 - n)
+        at = np.unique(np.concatenate([at_a, at_b]), return_inverse=True)[1]
+        at_a, at_b = at[:len(at_a)], at[len(at_a):]
+        out.append(int(np.minimum(np.bincount(at_a, minlength=at.max() + 1), np.bincount(at_b, minlength=at.max() + 1)).sum()))
+    return out
+
+
 def pair_scores(a: str | None, b: str | None, with_lcs: bool = True) -> dict:
+    """All scores of a pair; the n-grams are compared as numbers."""
     a = a or ""
     b = b or ""
     ta, tb = rouge_tokens(a), rouge_tokens(b)
-    return {"bleu": bleu(a.split(), b.split()), "rouge1": rouge_n(ta, tb, 1), "rouge2": rouge_n(ta, tb, 2),
-            "rougeL": rouge_l(ta, tb) if with_lcs else None}
+    ref, hyp = a.split(), b.split()
+    nums = shared_ngrams(ref, hyp, len(BLEU_WEIGHTS))
+    over = shared_ngrams(ta, tb, 2)
+    f1 = [_f1(over[n - 1], max(0, len(tb) - n + 1), max(0, len(ta) - n + 1)) for n in (1, 2)]
+    return {"bleu": _bleu(nums, [max(1, len(hyp) - n) for n in range(len(BLEU_WEIGHTS))], len(ref), len(hyp), True),
+            "rouge1": f1[0], "rouge2": f1[1], "rougeL": rouge_l(ta, tb) if with_lcs else None}
 
 
 @F.pandas_udf(METRICS_SCHEMA)
