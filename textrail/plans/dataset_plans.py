@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..operators import datasets as D
 from ..operators import feedback as FB
+from ..session import stored
 from . import sqlfrag as S
 from .common import register, t
 from .feedback_plans import FB_SQL, _CAT_SQL, feedback_log
@@ -17,8 +18,9 @@ LOG_TS = "2024-02-01 00:00:00"   # log time of the query-log plan (a parameter)
 
 
 def _hits(spark, sf_dir, k=2):
-    docs = t(spark, sf_dir, "documents", ["doc_id", "text"])
-    return query_hits(spark, sf_dir, k).join(docs, "doc_id").select("query_id", "rank", F.col("text").alias("chunk_text"))
+    # the documents are read once, whatever number of prompts is made of the hits
+    docs = t(spark, sf_dir, "documents", ["doc_id", "text"], spread_rows=False)
+    return stored(query_hits(spark, sf_dir, k).join(docs, "doc_id").select("query_id", "rank", F.col("text").alias("chunk_text")))
 
 
 def _queries(spark, sf_dir):
