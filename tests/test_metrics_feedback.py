@@ -165,3 +165,26 @@ def test_pair_scores_by_numbers_equal_counted_ngrams():
             assert (got["rouge1"], got["rouge2"]) == (M.rouge_n(ta, tb, 1), M.rouge_n(ta, tb, 2))
             for n, shared in enumerate(M.shared_ngrams(ta, tb, 4), 1):
                 assert shared == sum((M._ngrams(ta, n) & M._ngrams(tb, n)).values())
+
+
+def test_chunk_cosine_exchanges_each_term_of_a_chunk_once(spark):
+    """The same cosines as from whole TF-IDF rows, with null, empty and repeated ids, by fewer exchanges of terms."""
+    from pyspark.sql import functions as F
+
+    from textrail.operators import chunking as C, features as FE
+    rows = [(1, "a1 b2 b2 c3 ΟΔΟΣ a1 d4 ... x é9 b2"), (2, "b2 " * 7), (3, ""), (4, None), (None, "a1 b2 q7 q7"), (None, "z1"),
+            (5, "- - - - - -"), (6, "c3 d4"), (6, "c3 d4"), (6, "c3 a1 a1 b2")]
+    for docs in (rows, [r for r in rows if r[0] not in (None, 6)]):
+        d = spark.createDataFrame(docs, "doc_id bigint, text string")
+        ch = C.fixed_words(d, "doc_id", "text", 3)
+        key = lambda no: F.struct("doc_id", no.cast("bigint").alias("chunk_no"))
+        both = d.select(key(F.lit(-1)).alias("id"), "text").unionByName(ch.select(key(F.col("chunk_no")).alias("id"), F.col("chunk_text").alias("text")))
+        tv = FE.tfidf(both, "id", "text")
+        pairs = ch.select(key(F.lit(-1)).alias("ida"), key(F.col("chunk_no")).alias("idb"))
+        want = FE.sparse_cosine(tv.withColumnRenamed("id", "ida"), tv.withColumnRenamed("id", "idb"), "ida", "idb", pairs)
+        want = {(r["idb"]["doc_id"], r["idb"]["chunk_no"]): r["cosine"] for r in want.collect() if r["cosine"]}
+        out = FE.chunk_cosine(d, "doc_id", "text", 3)
+        got = {(r["doc_id"], r["chunk_no"]): r["cosine"] for r in out.collect()}
+        assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert sum("Exchange hashpartitioning(term" in x for x in plan.splitlines()) <= 2

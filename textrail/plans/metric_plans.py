@@ -172,12 +172,6 @@ def doc_chunk_tfidf_cosine(spark, sf_dir):
     """M5: document-vs-chunk TF-IDF cosine, vocabulary fitted on both sides."""
     d = t(spark, sf_dir, "documents", ["doc_id", "text"])
     chunks = C.fixed_words(d, "doc_id", "text", 100)
-    both = (d.select(_key(_WHOLE).alias("id"), "text")
-            .unionByName(chunks.select(_key(F.col("chunk_no")).alias("id"), F.col("chunk_text").alias("text"))))
-    tv = FE.tfidf(both, "id", "text")
-    pairs = chunks.select("doc_id", "chunk_no", _key(_WHOLE).alias("ida"),
-                          _key(F.col("chunk_no")).alias("idb"))
-    # chunks (side b) carry far fewer terms than whole documents: expand by them
-    cos = FE.sparse_cosine(tv.withColumnRenamed("id", "ida"), tv.withColumnRenamed("id", "idb"), "ida", "idb", pairs,
-                           expand="b")
-    return pairs.join(cos, ["ida", "idb"]).select("doc_id", "chunk_no", r6(F.col("cosine")).alias("cosine"))
+    pairs = chunks.select(_key(F.col("chunk_no")).alias("id"))
+    cos = FE.chunk_cosine(d, "doc_id", "text", 100).select(_key(F.col("chunk_no")).alias("id"), "cosine")
+    return pairs.join(cos, "id", "left").select("id.doc_id", "id.chunk_no", r6(F.coalesce("cosine", F.lit(0.0))).alias("cosine"))
