@@ -342,3 +342,14 @@ def test_describe_with_quartiles(spark):
     r = SF.describe_numeric(df, ["x"], quartiles=True).collect()[0]
     assert (r["count"], r["min"], r["max"]) == (100, 1.0, 100.0) and r["mean"] == 50.5
     assert (r["q25"], r["q50"], r["q75"]) == (25.0, 50.0, 75.0)
+
+
+def test_text_dir_keeps_a_file_per_row_in_few_folders(spark, tmpdir_run):
+    """Rows with one key, null keys and null texts have files of their own; folders do not grow with the rows."""
+    rows = [(1, "a b"), (1, "c\nd"), (None, "e"), (None, " f "), (3, None), (4, "")] + [(i, f"t{i}") for i in range(10, 90)]
+    SF.write_text_dir(spark.createDataFrame(rows, "k bigint, html string").repartition(1), f"{tmpdir_run}/out", "k", "html", folders=4)
+    folders = [n for n in os.listdir(f"{tmpdir_run}/out") if n.startswith("folder=")]
+    assert len(folders) <= 4
+    assert sum(f.endswith(".txt") for n in folders for f in os.listdir(f"{tmpdir_run}/out/{n}")) == len(rows)
+    got = sorted(r["text"] for r in SF.read_text_dir(spark, f"{tmpdir_run}/out").collect())
+    assert got == sorted(t.strip() for _, t in rows if t and t.strip())

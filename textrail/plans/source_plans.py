@@ -167,8 +167,7 @@ def text_dir_roundtrip(spark, sf_dir):
     """Every page written as a text file of its own and the folders read back."""
     p = t(spark, sf_dir, "pages", ["page_id", "html"])
     path = _scratch(spark, "texts")
-    (p.withColumn("value", F.coalesce("html", F.lit(""))).select("page_id", "value")
-     .write.partitionBy("page_id").text(path))
+    SF.write_text_dir(p, path, "page_id", "html")
     return SF.read_text_dir(spark, path).select("text")
 
 

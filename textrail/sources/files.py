@@ -100,6 +100,16 @@ def describe_numeric(df: DataFrame, cols: list[str], quartiles: bool = False, ac
     return wide.select(F.explode(F.array(*[row(c) for c in cols])).alias("s")).select("s.*")
 
 
+def write_text_dir(df: DataFrame, path: str, key: str, col: str, folders: int = 64) -> None:
+    """A file for each row's text (null: empty), dealt over ``folders``
+    folders by its key, so that their number does not grow with the rows and
+    tasks list them; tasks move their files to their place themselves."""
+    deal = F.pmod(F.xxhash64(key), F.lit(folders)).alias("folder")
+    (df.select(deal, F.coalesce(col, F.lit("")).alias("value"))
+     .write.option("maxRecordsPerFile", 1).option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+     .partitionBy("folder").text(path))
+
+
 def read_text_dir(spark: SparkSession, path: str) -> DataFrame:
     """A folder of ``.txt`` files -> ``(filename, text)``; text
     stripped, empty files dropped.  Bytes that are not UTF-8 decode to
