@@ -353,3 +353,18 @@ def test_text_dir_keeps_a_file_per_row_in_few_folders(spark, tmpdir_run):
     assert sum(f.endswith(".txt") for n in folders for f in os.listdir(f"{tmpdir_run}/out/{n}")) == len(rows)
     got = sorted(r["text"] for r in SF.read_text_dir(spark, f"{tmpdir_run}/out").collect())
     assert got == sorted(t.strip() for _, t in rows if t and t.strip())
+
+
+def test_stream_trigger_takes_few_columns_and_rows_without_times(spark, tmpdir_run):
+    """A key's rows reach Python as one text each; a key whose times are all missing ends the run no more."""
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [("a", i, t0 + dt.timedelta(seconds=i), True) for i in range(25)] + [("b", i, None, True) for i in range(3)] + [("a", None, t0, False)]
+    spark.createDataFrame(rows, "k string, e bigint, ts timestamp_ntz, bad boolean").write.parquet(f"{tmpdir_run}/in")
+    src = spark.readStream.schema("k string, e bigint, ts timestamp_ntz, bad boolean").parquet(f"{tmpdir_run}/in")
+    out = TR.retrain_trigger_stream(src, "k", "ts", "e", F.col("bad"))
+    got = []
+    (out.writeStream.foreachBatch(lambda b, i: got.extend(b.collect())).option("checkpointLocation", f"{tmpdir_run}/state")
+     .trigger(availableNow=True).start().awaitTermination())
+    assert [(r["key"], r["event_id"], r["ts"], r["reason"]) for r in got] == [("a", 19, t0 + dt.timedelta(seconds=19), "threshold")]
+    plan = out._jdf.queryExecution().analyzed().toString()
+    assert "timestampdiff" in plan and "event#" in plan

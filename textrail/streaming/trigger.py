@@ -43,6 +43,8 @@ DEGRADATION_FACTOR = 1.5
 # learning rate / epochs chosen for a fire: degradation vs other reasons
 TRAINING_PARAMS = {"degradation": (2e-5, 5), "other": (1e-5, 3)}
 # ---------------------------------------------------------------------------
+#: What a missing time is as a number.
+NO_TIME = -(1 << 63)
 
 OUTPUT_SCHEMA = T.StructType([
     T.StructField("key", T.StringType()),
@@ -130,6 +132,11 @@ def _seconds(ts: pd.Series) -> list[float]:
     return (ts.to_numpy("datetime64[us]").astype("int64") / 1e6).tolist()
 
 
+def _event(text: str) -> list:
+    """(microseconds, event, bad, milliseconds) of a row's text."""
+    return [int(x) if x else None for x in text.split(",")]
+
+
 def _prepare(df: DataFrame, key: str, ts: str, event_id: str, bad: F.Column) -> DataFrame:
     # event time as timestamp_ntz: the rules see wall-clock seconds, whatever
     # the session time zone (no daylight-saving jumps in the differences)
@@ -178,26 +185,31 @@ def retrain_trigger_stream(sdf: DataFrame, key: str, ts: str, event_id: str, bad
     """
     # watermarks need a zoned timestamp: a separate column bounds lateness
     # while the rules keep reading the wall-clock value
-    prepared = (_prepare(sdf, key, ts, event_id, bad)
-                .withColumn("_wm", F.col("ts").cast("timestamp"))
-                .withColumn("_ms", F.unix_millis("_wm")).withWatermark("_wm", watermark))
+    # and what a row says travels as one text, as a key's every column costs
+    # more on its way to Python than its few rows
+    micros = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)")
+    parts = [micros, F.col("event_id"), F.col("is_bad").cast("int"), F.unix_millis("_wm")]
+    event = F.concat_ws(",", *[F.coalesce(c.cast("string"), F.lit("")) for c in parts])
+    prepared = (_prepare(sdf, key, ts, event_id, bad).withColumn("_wm", F.col("ts").cast("timestamp"))
+                .select("key", "_wm", event.alias("event")).withWatermark("_wm", watermark))
 
     def fn(k, pdfs, state):
         if state.hasTimedOut:
             state.remove()
             return
         st = TriggerState.from_row(state.get) if state.exists else TriggerState()
-        frames = [p for p in pdfs]
         out = []
-        if frames:
-            pdf = pd.concat(frames).sort_values(["ts", "event_id"])
-            for eid, t, second, b in zip(pdf["event_id"], pdf["ts"], _seconds(pdf["ts"]), pdf["is_bad"].tolist()):
-                fired = st.step(second, bool(b), strict_reference, training_seconds)
+        rows = sorted((_event(x) for p in pdfs for x in p["event"].tolist()), key=lambda r: tuple((x is None, x) for x in r[:2]))
+        if rows:
+            for us, eid, b, _ in rows:
+                fired = st.step((NO_TIME if us is None else us) / 1e6, bool(b), strict_reference, training_seconds)
                 if fired:
-                    out.append(_out_row(k[0], int(eid), t, fired[0], fired[1]))
-            state.setTimeoutTimestamp(max(int(pdf["_ms"].max()), state.getCurrentWatermarkMs()) + int(idle_seconds * 1000))
+                    out.append(_out_row(k[0], eid, pd.NaT if us is None else pd.Timestamp(us, unit="us"), fired[0], fired[1]))
+            last = max((r[3] for r in rows if r[3] is not None), default=0)
+            state.setTimeoutTimestamp(max(last, state.getCurrentWatermarkMs()) + int(idle_seconds * 1000))
         state.update(st.to_row())
-        yield pd.DataFrame(out, columns=OUTPUT_SCHEMA.fieldNames())
+        if out:
+            yield pd.DataFrame(out, columns=OUTPUT_SCHEMA.fieldNames())
 
     return prepared.groupBy("key").applyInPandasWithState(
         fn, OUTPUT_SCHEMA, STATE_SCHEMA, "append", "EventTimeTimeout")
