@@ -27,6 +27,9 @@ def _c(c: ColumnOrName) -> Column:
 ERROR_MARKER = r"\[ERROR.*?\]"
 NO_TEXT_MARKER = r"\[NO TEXT DETECTED\]"
 FOOTER_WORDS = ("source", "references", "footer")
+# `\S+@\S+` from the start of a non-space run: to the first `@` that is not the
+# run's first character, and on; ASCII and letters are tried first, for speed.
+ADDRESS = (r"(?<![!-~\pL[^" + WS_CHARS + r"]])" + NON_WS + r"[!-?A-~\pL[^@" + WS_CHARS + r"]]*+@" + NON_WS + "+")
 # Spanish wiki boiler-plate headers (clean_wiki).
 WIKI_HEADERS = ("Wikipedia", "Artículo", "Editar", "Ver historial", "Desde Wikipedia")
 # Answer gates.
@@ -159,14 +162,14 @@ def clean_for_embedding(c: ColumnOrName, min_sentence: int = 20) -> Column:
     t = F.regexp_replace(t, r"\[" + WORD + r"+\]", "")
     t = F.regexp_replace(t, r"\{[^}]*\}", "")
     t = F.lower(t)
-    # same matches as `http\S+|\S+@\S+`: an address match can only start at
-    # the beginning of a non-space run (any later start implies that one),
-    # so the look-behind keeps the engine from re-scanning every run suffix
-    t = F.regexp_replace(t, "(?d)(?<!" + NON_WS + ")" + NON_WS + "+@" + NON_WS + "+|http" + NON_WS + "+", "")
-    t = F.regexp_replace(t, r"[^\pL\pN_" + WS_CHARS + r".,]", " ")
-    t = strip(collapse_ws(t))
-    # after collapsing, a single space is the only white space left, so the
-    # space-only trim equals str.strip() here (and avoids a regex per piece)
+    # same matches as `http\S+|\S+@\S+`: an address is a whole non-space run
+    # and never crosses a space, so only pieces with an `@` meet its pattern
+    t = F.array_join(F.transform(F.split(t, " "), lambda s: F.when(F.instr(s, "@") > 0, F.regexp_replace(s, ADDRESS, "")).otherwise(s)), " ")
+    t = F.regexp_replace(t, "http" + NON_WS + "+", "")
+    # other characters become spaces and runs of spaces one: a run of either at once
+    t = F.regexp_replace(t, r"[^\pL\pN_.,]+", " ")
+    # a single space is the only white space left, so the space-only trim
+    # equals str.strip() here (and avoids a regex per piece)
     parts = F.transform(F.split(t, r"\."), lambda s: F.trim(s))
     kept = F.filter(parts, lambda s: F.length(s) > min_sentence)
     return F.array_join(kept, ". ")
