@@ -56,6 +56,35 @@ def test_equals_brute_force(spark, monkeypatch, block, k, norm):
     assert found(P.topk_text(d, q, k=k, block=block, norm=norm)) == brute(docs, queries, k)
 
 
+@pytest.mark.parametrize("in_place", [0, 10 ** 6])
+def test_lists_and_scoring_in_place_agree(spark, monkeypatch, in_place):
+    """Few queries are scored without lists; many by lists; both are exact."""
+    monkeypatch.setattr(P, "IN_PLACE", in_place)
+    monkeypatch.setattr(P, "PART", 3)
+    built = []
+    lists = P.impact_lists
+    monkeypatch.setattr(P, "impact_lists", lambda *a: built.append(1) or lists(*a))
+    docs, queries = corpus(200, 5), corpus(15, 6, own=4)
+    queries[200], queries[201] = {"w0": 1.0}, {"r1": 0.5, "nowhere": 0.5}
+    d, q = tables(spark, docs, queries)
+    assert found(P.topk_text(d, q, k=4)) == brute(docs, queries, 4)
+    assert bool(built) == (in_place == 0)
+
+
+@pytest.mark.parametrize("common", [2, 100_000])
+def test_rows_of_some_terms_have_the_norms_of_all(spark, monkeypatch, common):
+    monkeypatch.setattr(FE, "COMMON_TERMS", common)
+    texts = [(1, "aa bb bb cc"), (2, "aa cc dd dd dd"), (3, "ee ff"), (4, ""), (5, None), (None, "aa gg"), (6, "bb"), (6, "aa bb")]
+    d = spark.createDataFrame(texts, "id long, text string")
+    tc = FE.term_counts(d, "id", "text")
+    idf = FE.idf_table(tc, "id", len(texts))
+    only = spark.createDataFrame([("aa",), ("bb",), ("bb",), ("zz",)], "term string")
+    want = sorted((str(r.id), r.term, round(r.weight, 12)) for r in FE.tfidf(d, "id", "text", fit=idf, counts=tc).where("term in ('aa', 'bb')").collect())
+    got = FE.tfidf(d, "id", "text", fit=idf, counts=tc, only=only)
+    assert sorted((str(r.id), r.term, round(r.weight, 12)) for r in got.collect()) == want
+    assert "Window" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_common_words_are_looked_up_not_joined(spark):
     docs = corpus(3000, 3)
     queries = {i: docs[i * 7] for i in range(20)}  # near one of the documents each

@@ -19,6 +19,10 @@ the Cauchy-Schwarz inequality their norm in the query times it.  Hence
 What was proposed has then a score in part, whose k-th best raises the
 threshold; what can still reach it is scored exactly, by looking up the rest.
 Common words are hardly ever essential, so their lists are not joined.
+
+Lists pay only where many queries ask for the same postings.  For few queries
+a document's postings are brought together once, meet the queries in place,
+and all their pairs are scored, without lists and lookups.
 Everything is joins and aggregates on built-in functions.
 """
 
@@ -27,9 +31,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import stored
+from ..session import join_small, stored
 
 BLOCK = 1024
+#: Up to so many pairs of a posting and a query that asks for it, per posting,
+#: all are scored in place: building lists costs more than these joins.
+IN_PLACE = 32
+#: One of so many documents is scored first there, for a threshold.
+PART = 16
 #: Postings of a term's best block that look for the threshold.
 HEAD = 64
 #: Scores this close to a threshold are decided exactly.
@@ -52,11 +61,34 @@ def _scored(pairs: DataFrame, postings: DataFrame, asked: DataFrame) -> DataFram
     return looked.groupBy("query", "doc").agg(F.sum(F.col("qw") * F.col("w")).alias("score"))
 
 
+def _scored_in_place(postings: DataFrame, asked: DataFrame) -> DataFrame:
+    """(query, doc, score) of every pair with a common term; what is exchanged
+    is the postings, by document."""
+    whole = postings.where(F.col("doc").isNotNull()).repartition("doc")
+    met = join_small(whole, asked.where(F.col("query").isNotNull()), "term")
+    return met.groupBy("query", "doc").agg(F.sum(F.col("qw") * F.col("w")).alias("score"))
+
+
+def _reaching(postings: DataFrame, asked: DataFrame, k: int) -> DataFrame:
+    """Those of ``_scored_in_place`` that reach the k-th best score among a
+    part of the documents, which the k-th best of all cannot be below: few are
+    left to be sorted."""
+    part = _first(_scored_in_place(postings.where(F.pmod(F.xxhash64("doc"), F.lit(PART)) == 0), asked), k)
+    bound = stored(part.groupBy("query").agg(F.max("rank").alias("found"), F.min("score").alias("threshold")).where(F.col("found") == k).drop("found"))
+    scored = join_small(_scored_in_place(postings, asked), bound, "query", "left")
+    return scored.where(F.col("score") >= F.coalesce("threshold", F.lit(0.0)) - MARGIN).drop("threshold")
+
+
 def _first(scored: DataFrame, k: int) -> DataFrame:
     best = Window.partitionBy("query").orderBy(F.round("score", 9).desc(), "doc")
     return scored.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
 
 
+def _hits(scored: DataFrame, k: int, doc_id: str, query_id: str) -> DataFrame:
+    return _first(scored, k).select(
+        F.col("query").alias(query_id), F.col("doc").alias(doc_id), F.col("rank").cast("bigint").alias("rank"), F.col("score").alias("similarity"))
+
+
 def _most(c, square, norm: float | None):
     """The most that terms with these sums of contributions and of squared weights can add."""
     return c if norm is None else F.least(c, F.sqrt(F.greatest(square, F.lit(0.0))) * norm)
@@ -92,12 +124,17 @@ def topk_text(doc_terms: DataFrame, query_terms: DataFrame, k: int = 5, doc_id:
     document's weights have a greater Euclidean norm (TF-IDF rows: 1).
 
     With ``report`` also ``(query_id, postings, joined, scored)``: the postings
-    of the query's terms, those that were joined, and the documents scored.
+    of the query's terms, those that were joined, and the documents scored;
+    the lists are used then, however few the queries.
     """
     bound = None if norm is None else norm * (1 + 1e-9)
     asked = stored(query_terms.select(F.col(query_id).cast("bigint").alias("query"), "term", F.col("weight").alias("qw")).where("qw > 0"))
     wanted = asked.select("term").distinct()
     postings = stored(doc_terms.select(F.col(doc_id).cast("bigint").alias("doc"), "term", F.col("weight").alias("w")).where("w > 0").join(wanted, "term", "left_semi"))
+    if not report:
+        pairs = asked.join(postings.groupBy("term").agg(F.count(F.lit(1)).alias("n")), "term").agg(F.sum("n")).first()[0] or 0
+        if pairs <= IN_PLACE * postings.count():
+            return _hits(_reaching(postings, asked, k), k, doc_id, query_id)
     lists = stored(impact_lists(postings, block))
     plan = stored(plan_queries(lists, postings, asked, k, bound))
     reached = plan.where("essential").join(lists, "term").where("top >= least")
@@ -106,8 +143,7 @@ def topk_text(doc_terms: DataFrame, query_terms: DataFrame, k: int = 5, doc_id:
         F.sum(F.col("qw") * F.col("e.w")).alias("score"), F.first("threshold").alias("threshold"), F.first("rest").alias("rest"), F.count(F.lit(1)).alias("n")))
     raised = _first(proposed, k).groupBy("query").agg(F.when(F.max("rank") == k, F.min("score")).alias("raised"))
     alive = proposed.join(raised, "query").where(F.col("score") + F.col("rest") >= F.greatest("threshold", F.col("raised") - MARGIN))
-    hits = _first(_scored(alive.select("query", "doc"), postings, asked), k).select(
-        F.col("query").alias(query_id), F.col("doc").alias(doc_id), F.col("rank").cast("bigint").alias("rank"), F.col("score").alias("similarity"))
+    hits = _hits(_scored(alive.select("query", "doc"), postings, asked), k, doc_id, query_id)
     if not report:
         return hits
     total = plan.groupBy("query").agg(F.sum("n").alias("postings"))

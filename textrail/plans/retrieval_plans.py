@@ -160,8 +160,9 @@ def query_hits(spark, sf_dir, k: int, with_idf: bool = False):
     # every text is cut into terms once: statistics, rows and questions read the counts
     tc = stored(FE.term_counts(d, "doc_id", "text"))
     idf = stored(FE.idf_table(tc, "doc_id", n_docs))
-    dv = FE.tfidf(d, "doc_id", "text", fit=idf, counts=tc)
-    qv = FE.tfidf(b, "item_id", "text", fit=idf).withColumnRenamed("item_id", "query_id")
+    qv = stored(FE.tfidf(b, "item_id", "text", fit=idf).withColumnRenamed("item_id", "query_id"))
+    # rows of the questions' terms only: the norms are those of all terms
+    dv = FE.tfidf(d, "doc_id", "text", fit=idf, counts=tc, only=qv)
     hits = stored(FE.topk_sparse(dv, qv, k=k, norm=1.0))
     return (hits, idf, qv) if with_idf else hits
 
