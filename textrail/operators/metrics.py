@@ -1,10 +1,10 @@
 """Text-similarity metrics between paired texts.
 
-Pairs are built with Spark joins (adjacent chunks: an equi-join on
-``(doc, chunk_no + 1)``, so even a huge document is spread over many
-tasks); the per-pair scores are computed by one Arrow-batched pandas UDF
-that counts n-grams with ``collections.Counter`` - a narrow, shuffle-free
-step, where exploding every n-gram would shuffle tens of rows per token.
+Adjacent chunks meet in one exchange, by document and span of ``SPAN``
+chunks, so even a huge document is spread over many tasks; the per-pair
+scores are computed by one Arrow UDF that counts the n-grams
+of many pairs at once - a narrow, shuffle-free step, where exploding every
+n-gram would shuffle tens of rows per token.
 
 Definitions (fixed by the reference's libraries):
 
@@ -25,7 +25,9 @@ from collections import Counter
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,6 +35,9 @@ from pyspark.sql import types as T
 BLEU_WEIGHTS = (0.25, 0.25, 0.25, 0.25)
 BLEU_EPSILON = 0.1
 ROUGE_NON_ALNUM = re.compile(r"[^a-z0-9]+")
+ROUGE_NON_ALNUM_LINE = re.compile(r"[^a-z0-9\n]+")
+SPAN = 64                         # chunks of a document that are exchanged together
+SLICE = 1 << 22                   # characters of texts whose n-grams are counted at once
 # ---------------------------------------------------------------------------
 
 METRICS_SCHEMA = T.StructType([T.StructField(n, T.DoubleType()) for n in ("bleu", "rouge1", "rouge2", "rougeL")])
@@ -148,16 +153,91 @@ def pair_scores(a: str | None, b: str | None, with_lcs: bool = True) -> dict:
             "rouge1": f1[0], "rouge2": f1[1], "rougeL": rouge_l(ta, tb) if with_lcs else None}
 
 
-@F.pandas_udf(METRICS_SCHEMA)
-def _scores_udf(a: pd.Series, b: pd.Series) -> pd.DataFrame:
-    rows = [pair_scores(x, y) for x, y in zip(a, b)]
-    return pd.DataFrame(rows, columns=["bleu", "rouge1", "rouge2", "rougeL"])
+def split_pieces(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The distinct pieces between the spaces of all texts, the pieces of each
+    text in order as numbers, and the text of each."""
+    lists = pc.split_pattern(texts.cast(pa.large_string()).fill_null(""), " ")
+    coded = lists.flatten().dictionary_encode()
+    return coded.dictionary, coded.indices.to_numpy(), np.repeat(np.arange(len(texts)), pc.list_value_length(lists).to_numpy())
 
 
-@F.pandas_udf(METRICS_SCHEMA)
-def _scores_no_lcs_udf(a: pd.Series, b: pd.Series) -> pd.DataFrame:
-    rows = [pair_scores(x, y, with_lcs=False) for x, y in zip(a, b)]
-    return pd.DataFrame(rows, columns=["bleu", "rouge1", "rouge2", "rougeL"])
+def _numbered(lines: list[str], at: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Token numbers, and the text of each, of texts made of pieces; ``lines``
+    holds each piece's tokens between spaces."""
+    distinct, tokens, line = split_pieces(pa.array(lines, pa.large_string()))
+    real = (pc.utf8_length(distinct).to_numpy() > 0)[tokens]
+    tokens, n = tokens[real].astype(np.int64), np.bincount(line[real], minlength=len(lines))
+    of, first = n[at], (np.cumsum(n) - n)[at]
+    return tokens[np.repeat(first - (np.cumsum(of) - of), of) + np.arange(of.sum())], np.repeat(text, of)
+
+
+def _numbered_words(pieces: list[str], at: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    if " ".join(pieces).split() == pieces:                    # no other white space: each piece is a token
+        return at.astype(np.int64), text
+    return _numbered([" ".join(p.split()) for p in pieces], at, text)
+
+
+def _numbered_rouge(pieces: list[str], at: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens as :func:`rouge_tokens` has them, of all pieces in one pass of the pattern."""
+    lines = "\n".join(pieces)
+    if lines.count("\n") >= len(pieces):                      # a piece holds some
+        lines = "\n".join(p.replace("\n", " ") for p in pieces)
+    return _numbered(ROUGE_NON_ALNUM_LINE.sub(" ", lines.lower()).split("\n"), at, text)
+
+
+def _shared(tokens: np.ndarray, text: np.ndarray, n_max: int, pairs: int) -> np.ndarray:
+    """:func:`shared_ngrams` of texts ``i`` and ``pairs + i`` for every pair, as
+    ``(n_max, pairs)``.  Sorted by pair, n-gram and side, the n-grams that both
+    sides have are neighbouring runs."""
+    out, at, base = np.zeros((n_max, pairs), dtype=np.int64), tokens, int(tokens.max(initial=0)) + 1
+    for n in range(1, n_max + 1):
+        if n > 1:
+            at = pd.factorize(at[:-1] * base + tokens[n - 1:])[0]
+        if not len(at):
+            break
+        whole = text[:len(at)] == text[n - 1:]
+        side = text[:len(at)][whole] >= pairs
+        grams = int(at.max()) + 1
+        runs = np.sort(((text[:len(at)][whole] - pairs * side) * grams + at[whole]) * 2 + side)
+        first = np.flatnonzero(np.r_[True, runs[1:] != runs[:-1]][:len(runs)])
+        count, gram = np.diff(np.r_[first, len(runs)]), runs[first] >> 1
+        both = np.flatnonzero(gram[1:] == gram[:-1])
+        out[n - 1] = np.bincount(gram[both] // grams, np.minimum(count[both], count[both + 1]), minlength=pairs)
+    return out
+
+
+def batch_scores(a: pa.Array, b: pa.Array, with_lcs: bool = True) -> pa.Array:
+    """:func:`pair_scores` of each pair.  No token spans a space, so only the
+    distinct pieces between spaces are parted into tokens."""
+    n, rows = len(a), []
+    distinct, at, text = split_pieces(pa.concat_arrays([a, b]))
+    pieces = distinct.to_pylist()
+    words, rouge = _numbered_words(pieces, at, text), _numbered_rouge(pieces, at, text)
+    n_words, n_rouge = (np.bincount(x[1], minlength=2 * n).tolist() for x in (words, rouge))
+    nums, over = _shared(*words, len(BLEU_WEIGHTS), n).T.tolist(), _shared(*rouge, 2, n).T.tolist()
+    for i in range(n):
+        ref, hyp, ta, tb = n_words[i], n_words[n + i], n_rouge[i], n_rouge[n + i]
+        f1 = [_f1(over[i][k - 1], max(0, tb - k + 1), max(0, ta - k + 1)) for k in (1, 2)]
+        lcs = rouge_l(*(rouge_tokens(s[i].as_py() or "") for s in (a, b))) if with_lcs else None
+        rows.append((_bleu(nums[i], [max(1, hyp - k) for k in range(len(BLEU_WEIGHTS))], ref, hyp, True), *f1, lcs))
+    return pa.StructArray.from_arrays([pa.array([r[k] for r in rows], pa.float64()) for k in range(4)], METRICS_SCHEMA.names)
+
+
+def in_slices(fn, a: pa.Array, b: pa.Array) -> pa.Array:
+    """``fn`` of two columns of texts, about ``SLICE`` characters at a time."""
+    size = sum(pc.utf8_length(s).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64) for s in (a, b))
+    cuts = [0, *(np.flatnonzero(np.diff(np.cumsum(size) // SLICE)) + 1).tolist(), len(a)]
+    return pa.concat_arrays([fn(a[lo:hi], b[lo:hi]) for lo, hi in zip(cuts, cuts[1:])])
+
+
+@F.arrow_udf(METRICS_SCHEMA)
+def _scores_udf(a: pa.Array, b: pa.Array) -> pa.Array:
+    return in_slices(batch_scores, a, b)
+
+
+@F.arrow_udf(METRICS_SCHEMA)
+def _scores_no_lcs_udf(a: pa.Array, b: pa.Array) -> pa.Array:
+    return in_slices(lambda x, y: batch_scores(x, y, with_lcs=False), a, b)
 
 
 def text_pair_metrics(pairs: DataFrame, reference: str, candidate: str, out: str = "m",
@@ -172,14 +252,23 @@ def adjacent_pairs(chunks: DataFrame, id_col: str, order_col: str, text_col: str
                    by_document: bool = True) -> DataFrame:
     """Consecutive chunks as ``(id, order, text_a, text_b)``.
 
-    ``by_document``: chunk ``order`` and ``order + 1`` of the same document
-    (an equi-join, no per-document window).  Otherwise consecutive over the
-    whole sequence ordered by ``(id, order)``: positions come from
-    distributed running numbers, so no single-partition window is used."""
+    ``by_document``: chunk ``order`` and ``order + 1`` of the same document;
+    texts are exchanged once, by document and span of ``SPAN`` numbers, and a
+    span's first chunk to the span before it as well.  Rows that share a number
+    are all paired; rows without id or number have no pair.  Otherwise
+    consecutive over the whole sequence ordered by ``(id, order)``: positions
+    come from distributed running numbers, so no single-partition window is
+    used."""
     if by_document:
-        a = chunks.select(id_col, order_col, F.col(text_col).alias("text_a"))
-        b = chunks.select(id_col, (F.col(order_col) - 1).alias(order_col), F.col(text_col).alias("text_b"))
-        return a.join(b, [id_col, order_col])
+        shifted = F.col(order_col) + SPAN // 2                # chunk 0 is no span's first
+        span = F.floor(shifted / SPAN)
+        rows = (chunks.where(F.col(id_col).isNotNull() & F.col(order_col).isNotNull())
+                .select(id_col, order_col, F.col(text_col).alias("text_a"),
+                        F.explode(F.when(F.pmod(shifted, F.lit(SPAN)) == 0, F.array(span, span - 1)).otherwise(F.array(span))).alias("_span")))
+        after = Window.partitionBy(id_col, "_span").orderBy(order_col).rangeBetween(1, 1)
+        met = rows.withColumn("_next", F.collect_list(F.struct("text_a")).over(after)).where(F.col("_span") == span)
+        return (met.select(id_col, order_col, "text_a", F.explode("_next").alias("_b"))
+                .select(id_col, order_col, "text_a", F.col("_b.text_a").alias("text_b")))
     from .offsets import global_offsets
     keyed = chunks.select(F.struct(id_col, order_col).alias("_k"), F.col(text_col).alias("_t"))
     pos = global_offsets(keyed.select("_k", F.lit(1).alias("_one")), "_k", "_one", "_pos").drop("_one")

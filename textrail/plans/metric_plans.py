@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import chunking as C
 from ..operators import features as FE
 from ..operators import metrics as M
+from ..session import stored
 from . import sqlfrag as S
 from .chunk_plans import _sql_windows
 from .common import r6, register, t
@@ -91,15 +92,12 @@ def _sql_metrics(pairs: str | None = None) -> str:
 
 def _scored(spark, sf_dir, with_lcs: bool = False):
     d = t(spark, sf_dir, "documents", ["doc_id", "text"])
-    chunks = C.token_window(d, "doc_id", "text", 500, 50, global_ids=False)
+    # read for the statistics and for the pairs
+    chunks = stored(C.token_window(d, "doc_id", "text", 500, 50, global_ids=False).select("doc_id", "chunk_no", "chunk_text"))
     pairs = M.adjacent_pairs(chunks, "doc_id", "chunk_no", "chunk_text")
-    scored = M.text_pair_metrics(pairs, "text_a", "text_b", with_lcs=with_lcs).select("doc_id", "chunk_no", "m.*")
-    ids = chunks.select(_key(F.col("chunk_no")).alias("cid"), F.col("chunk_text").alias("text"))
-    tv = FE.tfidf(ids, "cid", "text")
-    keyed = pairs.select("doc_id", "chunk_no", _key(F.col("chunk_no")).alias("ida"),
-                         _key(F.col("chunk_no") + 1).alias("idb"))
-    cos = FE.sparse_cosine(tv.withColumnRenamed("cid", "ida"), tv.withColumnRenamed("cid", "idb"), "ida", "idb", keyed)
-    return scored.join(keyed, ["doc_id", "chunk_no"]).join(cos, ["ida", "idb"]).drop("ida", "idb")
+    scored = M.text_pair_metrics(pairs, "text_a", "text_b", with_lcs=with_lcs).select(*pairs.columns, "m.*")
+    idf = FE.row_idf(chunks.select(_key(F.col("chunk_no")).alias("cid"), "chunk_text"), "cid", "chunk_text")
+    return FE.pair_cosine(scored, ["doc_id", "chunk_no"], "text_a", "text_b", idf)
 
 
 @register("chunk_overlap_metrics", sql=_sql_metrics() + """
