@@ -59,3 +59,12 @@ def test_pair_cosine_is_the_cosine_of_the_tfidf_table(spark, common):
     assert got.columns == ["doc", "no", "cosine"]
     as_rows = lambda rows: sorted((r["doc"], r["no"], round(r["cosine"], 9)) for r in rows)
     assert as_rows(got.collect()) == as_rows(want)
+
+
+def test_report_exchanges_no_row_per_chunk_and_term(spark, tmp_path, monkeypatch):
+    from textrail.plans import metric_plans
+    rows = [(i, " ".join(f"w{i % 3} v{j % 7}" for j in range(400))) for i in range(4)] + [(9, "short"), (10, None), (None, "a b " * 300)]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    monkeypatch.setattr(FE, "tfidf", lambda *a, **k: pytest.fail("a row per chunk and term"))
+    got = metric_plans.overlap_report(spark, str(tmp_path)).first()
+    assert got["n_pairs"] == 4 and 0.9 < got["avg_cosine"] <= 1.0
